@@ -20,8 +20,10 @@ from .words import U64, mix, text_blocks, word_hashes
 
 BITS = 18
 #: Documents that train the scorers: a bounded sample by hash of doc_id; everything else covers all documents.
-TRAIN_ROWS, SHARDS, EPOCHS = 12_000, 4, 2
+TRAIN_ROWS, SHARDS, EPOCHS = 12_000, 4, 6
 GOOD, BAD, NONE = 0, 1, 2
+#: Share of good documents that a labeller may call bad.
+MOST_FALSE = 0.02
 #: Insults, in two overlapping lists.
 INSULTS = frozenset(b"idiot idiots moron morons loser losers clown clowns scum trash fool fools imbecile vermin bastard jerk creep garbage".split())
 SLURRING = frozenset(b"stupid pathetic worthless disgusting trash scum dumb ugly filthy idiotic vile despicable shut hate idiot moron".split())
@@ -29,7 +31,7 @@ _LETTERS = np.array([(48 <= b <= 57) or (97 <= b <= 122) or (65 <= b <= 90) or b
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if _LETTERS[b] else 32 for b in range(256))
 _UPPER, _LOWER, _SYMBOLS = bytes(range(65, 91)), bytes(range(97, 123)), b"#*$%&|<>"
 _SEEN = INSULTS | SLURRING
-QUALITY_LABELLERS = ["symbols", "capitals", "repeats", "tables", "length", "sentences", "shouting", "lines"]
+QUALITY_LABELLERS = ["symbols", "decorated", "capitals", "shouting", "repeats", "variety", "bars", "tables", "lines", "sentences"]
 TOXIC_LABELLERS = ["insults", "slurring", "density", "several"]
 
 
@@ -37,8 +39,8 @@ def _vote(bad: bool, good: bool) -> int:
     return BAD if bad else GOOD if good else NONE
 
 
-def votes(raw: bytes) -> tuple[list[int], list[int], list[int]]:
-    """Quality votes, toxicity votes and bins of the measures behind them."""
+def votes(raw: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Quality votes, toxicity votes, and bins of the measures behind either."""
     words = raw.split()
     n, size = len(words), max(1, len(raw))
     upper = size - len(raw.translate(None, _UPPER))
@@ -49,17 +51,19 @@ def votes(raw: bytes) -> tuple[list[int], list[int], list[int]]:
     bars, stops, shouts = raw.count(b"|") / max(1, n), raw.count(b".") / max(1, n), raw.count(b"!!") / max(1, n)
     lines = [x for x in raw.split(b"\n") if x]
     again = 1 - len(set(lines)) / max(1, len(lines))
-    quality = [
-        _vote(symbols > 0.03, symbols < 0.005), _vote(capitals > 0.3, capitals < 0.12), _vote(same > 0.15, n >= 10 and same < 0.03), _vote(bars > 0.15, bars == 0 and n >= 10),
-        _vote(n < 10, n >= 40), _vote(n > 30 and stops < 0.01, 0.02 < stops < 0.5 and n >= 10), _vote(shouts > 0.1, shouts == 0 and n >= 10), _vote(again > 0.3, again < 0.05 and n >= 10),
+    decorated = sum(raw.count(c * 3) for c in (b"#", b"*", b"$", b"%", b"&")) / max(1, n)
+    variety = len(set(words)) / max(1, n) * max(1.0, (n / 400) ** 0.4)
+    bad = [
+        symbols > 0.03, decorated > 0.1, capitals > 0.3, shouts > 0.1, same > 0.1, n >= 20 and variety < 0.35, bars > 0.1, sum(x.count(b" | ") >= 2 for x in lines) > 0.4 * max(1, len(lines)), again > 0.3, n > 30 and stops < 0.01,
     ]
+    quality = [BAD if x else GOOD for x in bad]
     plain = raw.translate(_PLAIN).split()
     hits = [w for w in plain if w in _SEEN]
     kinds = set(hits)
     some = bool(plain)
     toxic = [_vote(bool(kinds & INSULTS), some), _vote(bool(kinds & SLURRING), some), _vote(len(hits) > 0.002 * len(plain), some), _vote(len(kinds) >= 2, not kinds and some)]
-    bins = [int(min(9, 20 * x)) for x in (symbols * 5, capitals, same, bars, stops, shouts, again)] + [min(12, n.bit_length())]
-    return quality, toxic, bins
+    bins = [int(max(0, min(9, 20 * x))) for x in (symbols * 5, decorated, capitals, same, 1 - variety, bars, stops, shouts, again)] + [min(12, n.bit_length())]
+    return quality, toxic, bins, [min(3, len(kinds)), min(3, len(hits))]
 
 
 def _code(v: list[int]) -> int:
@@ -77,25 +81,26 @@ def _features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes]]:
             yield row + i, np.unique(h[bounds[i] : bounds[i + 1]]), raw
 
 
-def _bin_features(bins: list[int]) -> np.ndarray:
-    return (mix(np.array([(k + 1) * 1000 + b for k, b in enumerate(bins)], dtype=np.uint64)) >> U64(64 - BITS)).astype(np.int64)
+def _bin_features(bins: list[int], first: int = 1) -> np.ndarray:
+    return (mix(np.array([(k + first) * 1000 + b for k, b in enumerate(bins)], dtype=np.uint64)) >> U64(64 - BITS)).astype(np.int64)
 
 
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [votes(t.as_py() or b"") for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([_code(q) for q, _, _ in found], pa.int32()), pa.array([_code(t) for _, t, _ in found], pa.int32())], names=["quality", "toxic"])
+        yield pa.RecordBatch.from_arrays([pa.array([_code(q) for q, *_ in found], pa.int32()), pa.array([_code(t) for _, t, *_ in found], pa.int32())], names=["quality", "toxic"])
 
 
 def posteriors(counts: dict[int, int], labellers: int, rounds: int = 200) -> tuple[dict[int, float], np.ndarray]:
-    """P(bad) of each vote pattern, and P(vote | class) of each labeller (labellers x 2 x 3), by EM from majority votes."""
+    """P(bad) of each vote pattern, and P(vote | class) of each labeller (labellers x 2 x 3), by EM that
+    starts from a noisy-or of the bad votes. A labeller's false alarms are held to MOST_FALSE, so that a defect that one
+    labeller alone sees isn't explained away as its error."""
     if not counts:
         return {}, np.full((labellers, 2, 3), 1 / 3)
     codes = np.array(sorted(counts))
     n = np.array([counts[c] for c in codes.tolist()], float)
     v = np.stack([codes // 3**k % 3 for k in range(labellers)], 1)
-    bad, good = (v == BAD).sum(1), (v == GOOD).sum(1)
-    p = (bad + 0.1) / (bad + good + 0.5)
+    p = 1 - 0.98 * 0.4 ** (v == BAD).sum(1)
     table = np.zeros((labellers, 2, 3))
     for _ in range(rounds):
         w = np.stack([n * (1 - p), n * p])
@@ -104,6 +109,9 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = 200) -> tup
             for x in range(3):
                 table[k, :, x] = w[:, v[:, k] == x].sum(1)
         table = (table + 1) / (table.sum(2, keepdims=True) + 3)
+        over = np.maximum(0, table[:, 0, BAD] - MOST_FALSE)
+        table[:, 0, BAD] -= over
+        table[:, 0, GOOD] += over
         score = np.log(prior)[None, :] + sum(np.log(table[k][:, v[:, k]]).T for k in range(labellers))
         new = 1 / (1 + np.exp(np.clip(score[:, 0] - score[:, 1], -50, 50)))
         if np.abs(new - p).max() < 1e-6:
@@ -112,10 +120,17 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = 200) -> tup
     return dict(zip(codes.tolist(), p.tolist(), strict=True)), table
 
 
+def _vector(words: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features, values): words share a length of 1, each bin has 1, and so has the constant at the end."""
+    x = np.ones(len(words) + len(bins) + 1)
+    x[: len(words)] = 1 / np.sqrt(max(1, len(words)))
+    return np.concatenate([words, bins, [2**BITS]]), x
+
+
 class Scorer:
     """Logistic FTRL-proximal over hashed features: most weights stay exactly 0."""
 
-    def __init__(self, alpha: float = 0.2, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.5, l2: float = 0.1):
         self.z, self.n = np.zeros(2**BITS + 1), np.zeros(2**BITS + 1)
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
 
@@ -123,10 +138,9 @@ class Scorer:
         z, n = self.z[at], self.n[at]
         return np.where(np.abs(z) > self.l1, -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2), 0)
 
-    def learn(self, at: np.ndarray, y: float) -> None:
-        at = np.append(at, 2**BITS)
+    def learn(self, at: np.ndarray, x: np.ndarray, y: float) -> None:
         w = self.weights(at)
-        g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y
+        g = (1 / (1 + np.exp(-np.clip(w @ x, -30, 30))) - y) * x
         self.z[at] += g - (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha * w
         self.n[at] += g * g
 
@@ -136,13 +150,13 @@ def _trainer(quality: dict[int, float], toxic: dict[int, float]):
         rows = []
         for batch in batches:
             for _, at, raw in _features(batch.column(0)):
-                q, t, bins = votes(raw)
-                rows.append((np.append(at, _bin_features(bins)).astype(np.int32), at.astype(np.int32), quality[_code(q)], toxic[_code(t)]))
+                q, t, bins, insults = votes(raw)
+                rows.append((_vector(at, _bin_features(bins)), _vector(at, _bin_features(insults, 101)), quality[_code(q)], toxic[_code(t)]))
         a, b = Scorer(), Scorer()
         for _ in range(EPOCHS):
-            for both, words, q, t in rows:
-                a.learn(both, q)
-                b.learn(words, t)
+            for x, y, q, t in rows:
+                a.learn(*x, q)
+                b.learn(*y, t)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), *(pa.array([s.weights().astype("<f8").tobytes()], pa.binary()) for s in (a, b))], names=["n", "quality", "toxic"])
 
@@ -155,8 +169,10 @@ def _scorer(weights):
         for batch in batches:
             out = np.zeros((batch.num_rows, 2))
             for row, at, raw in _features(batch.column(batch.num_columns - 1)):
-                bins = votes(raw)[2]
-                out[row] = wq[at].sum() + wq[_bin_features(bins)].sum() + wq[-1], wt[at].sum() + wt[-1]
+                _, _, bins, insults = votes(raw)
+                for k, (w, kind) in enumerate(((wq, _bin_features(bins)), (wt, _bin_features(insults, 101)))):
+                    features, x = _vector(at, kind)
+                    out[row, k] = w[features] @ x
             p = 1 / (1 + np.exp(-np.clip(out, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(1 - p[:, 0]), pa.array(p[:, 1])], names=[*batch.schema.names[:-1], "quality_score", "toxic_score"])
 
