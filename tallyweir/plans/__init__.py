@@ -1,0 +1,6 @@
+"""The registered queries of the library and their SQL."""
+
+from . import format_plans, read_plans, stats_plans
+
+QUERIES = read_plans.QUERIES | stats_plans.QUERIES | format_plans.QUERIES
+ORACLE_SQL = read_plans.SQL | stats_plans.SQL | format_plans.SQL

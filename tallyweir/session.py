@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "tallyweir", cpus: int | str | None = None, partitions: int | None = None) -> SparkSession:
-    """A local session with the settings that the queries rely on (UTC, AQE, RocksDB state)."""
+    """A local session with the settings that the queries rely on (UTC, AQE)."""
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -19,6 +19,5 @@ def get_spark(app: str = "tallyweir", cpus: int | str | None = None, partitions:
         .config("spark.driver.memory", os.environ.get("TALLYWEIR_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .getOrCreate()
     )
