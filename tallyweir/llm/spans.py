@@ -2,8 +2,8 @@
 
 A text is split into sentences (after . ! ? followed by space, and at line breaks). From each sentence the shortest run
 of at least two consecutive sentences with MIN_WORDS words or more is hashed forwards, and the same ending at each
-sentence backwards; a single sentence of that many words is a run too. So a passage of MIN_WORDS words or more that
-two texts share is covered by shared runs up to its last sentence. Run hashes are joined over all documents, and the
+sentence backwards; a single sentence of SOLO_WORDS words is a run too. So a passage of two sentences and MIN_WORDS
+words or more that two texts share is covered by shared runs up to its last sentence. Run hashes are joined over all documents, and the
 sentences of every run but the first (smallest doc_id, then place) are removed.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .words import BASE, U64, mix, powers, text_blocks, word_hashes
 
-MIN_WORDS = 30
+MIN_WORDS, SOLO_WORDS = 20, 40
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
 _SPACE = np.zeros(256, bool)
@@ -35,7 +35,7 @@ def _sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.searchsorted(starts, offsets)
 
 
-def _run_hashes(min_words: int):
+def _run_hashes(min_words: int, solo_words: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in text_blocks(batch.column(2)):
@@ -53,7 +53,7 @@ def _run_hashes(min_words: int):
                 k = np.arange(n)
                 text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 lo, hi = bounds[:-1][text], bounds[1:][text]
-                need = np.where(count >= min_words, 1, 2)
+                need = np.where(count >= solo_words, 1, 2)
                 to = np.maximum(np.searchsorted(up, up[k] + min_words), k + need)
                 ok = (to <= hi) & (count > 0)
                 since = np.minimum(np.searchsorted(up, up[k + 1] - min_words, side="right") - 1, k + 1 - need)
@@ -98,25 +98,25 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string()), *(pa.array(counts[:, k]) for k in range(3))], names=[*names, "text", "_n", "_gone", "_chars"])
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int = SOLO_WORDS) -> DataFrame:
     """doc_id, digest (of the text) and span (first sentence << 32 | sentence after the last) of each run that is not
     the first of its kind. Rows without a doc_id or text have none."""
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
-    runs = rows.mapInArrow(_run_hashes(min_words), "doc_id long, digest long, h long, span long")
+    runs = rows.mapInArrow(_run_hashes(min_words, solo_words), "doc_id long, digest long, h long, span long")
     # counted before the shuffle; the join splits a run that very many documents share
     first = runs.groupBy("h").agg(F.min(F.struct("doc_id", "span")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = runs.join(first.select("h", F.col("first.doc_id").alias("d0"), F.col("first.span").alias("s0")), "h")
     return again.where("doc_id <> d0 or span <> s0").select("doc_id", "digest", "span")
 
 
-def drop_repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int = SOLO_WORDS) -> DataFrame:
     """docs with text rewritten, and n_sentences, n_removed, chars_removed (long).
 
     A text keeps its bytes but for the removed sentences; nothing left gives an empty text; a null text stays null with
     zero counts; a row without a doc_id is not changed. Rows with the same doc_id and text count as one (all keep a
     first passage); the order for "first" is doc_id, then place. n_chars, if there is one, is set to the new length.
     Columns of docs with the new names are replaced."""
-    spans = repeated_spans(docs, min_words).groupBy("doc_id", "digest").agg(F.collect_set("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+    spans = repeated_spans(docs, min_words, solo_words).groupBy("doc_id", "digest").agg(F.collect_set("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
     docs = docs.drop("n_sentences", "n_removed", "chars_removed", "_spans")
     joined = docs.join(spans, (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest")), "left").drop("_id", "_digest")
     other = [f for f in docs.schema.fields if f.name != "text"]

@@ -220,13 +220,13 @@ def brute_spans(rows, least=spans.MIN_WORDS):
         n = [len(words(x)) for x in s]
         for a in range(len(s)):
             for b in range(a + 1, len(s) + 1):
-                need = 1 if n[a] >= least else 2
+                need = 1 if n[a] >= spans.SOLO_WORDS else 2
                 if n[a] and b - a >= need and sum(n[a:b]) >= least:
                     runs[tuple(words(" ".join(s[a:b])))].append((i, a, b))
                     break
         for b in range(1, len(s) + 1):
             for a in range(b - 1, -1, -1):
-                need = 1 if n[b - 1] >= least else 2
+                need = 1 if n[b - 1] >= spans.SOLO_WORDS else 2
                 if n[b - 1] and b - a >= need and sum(n[a:b]) >= least:
                     runs[tuple(words(" ".join(s[a:b])))].append((i, a, b))
                     break
