@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import cut
 from .words import BASE, U64, mix, powers, text_blocks, word_hashes
 
 MIN_WORDS, SOLO_WORDS = 20, 40
@@ -103,9 +104,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int
     the first of its kind. Rows without a doc_id or text have none."""
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     runs = rows.mapInArrow(_run_hashes(min_words, solo_words), "doc_id long, digest long, h long, span long")
-    # counted before the shuffle; the join splits a run that very many documents share
+    # counted before the shuffle and written, so that the join, whose sides are then both plain shuffles, can split a
+    # run that very many documents share
     first = runs.groupBy("h").agg(F.min(F.struct("doc_id", "span")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = runs.join(first.select("h", F.col("first.doc_id").alias("d0"), F.col("first.span").alias("s0")), "h")
+    again = runs.join(cut(first.select("h", F.col("first.doc_id").alias("d0"), F.col("first.span").alias("s0"))), "h")
     return again.where("doc_id <> d0 or span <> s0").select("doc_id", "digest", "span")
 
 
