@@ -119,7 +119,8 @@ def fuse(evidence: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     smooth = lambda c, m, base: F.transform(F.zip_with(c, base, lambda x, b: x + KAPPA * b), lambda x: x / (m + KAPPA))
     world = sums().select(F.transform("c", lambda x: (x + 1) / (size("c") + n)).alias("world"), F.col("c").alias("all"))
     domain = sums("domain").join(F.broadcast(world)).select(F.col("domain").alias("_d"), smooth(F.col("c"), size("c"), F.col("world")).alias("dp"))
-    host = sums("host").select(F.col("host").alias("_h"), F.col("c").alias("hc"))
+    # a row for each host, written: the join with all rows is then one plain shuffle, which AQE splits where a host is hot
+    hosts = cut(sums("host", "domain").join(domain, F.col("domain") == F.col("_d")).select(F.col("host").alias("_h"), F.col("c").alias("hc"), "dp"))
 
     def agreement(column: str, name: str) -> DataFrame:
         """P(value | language) of each value, relative to its share in the corpus."""
@@ -127,8 +128,9 @@ def fuse(evidence: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
         share = (size("c") + 1) / (size("all") + n)
         return by.select(F.col(column).alias(f"_{name}"), F.transform(F.zip_with("c", "all", lambda x, a: (x + KAPPA * share) / (a + KAPPA)), lambda x: F.log(x / share)).alias(name))
 
-    declared, suffix = agreement("declared", "dl"), agreement("suffix", "sl")
-    full = rows.join(host, F.col("host") == F.col("_h"), "left").join(domain, F.col("domain") == F.col("_d"), "left").join(declared, F.col("declared") == F.col("_dl"), "left").join(suffix, F.col("suffix") == F.col("_sl"), "left").join(F.broadcast(world))
+    # declared languages have two or three letters: at most 18,252 rows
+    declared, suffix = F.broadcast(agreement("declared", "dl").where("length(_dl) <= 3")), cut(agreement("suffix", "sl"))
+    full = rows.join(declared, F.col("declared") == F.col("_dl"), "left").join(F.broadcast(world)).join(suffix, F.col("suffix") == F.col("_sl"), "left").join(hosts, F.col("host") == F.col("_h"), "left")
     base = F.coalesce("dp", "world")
     others = F.coalesce(F.zip_with("hc", "p", lambda c, p: F.greatest(c - p, F.lit(0.0))), F.transform("p", lambda x: F.lit(0.0)))
     zero = F.transform("p", lambda x: F.lit(0.0))
