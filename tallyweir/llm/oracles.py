@@ -22,6 +22,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 5 THEN w[i:i + 4] ELSE w END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT * FROM (WITH RECURSIVE reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a) SELECT a, min(b) AS low FROM reach GROUP BY a))
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id, least(d.doc_id, coalesce(low, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id
+"""
+
 OP4 = """
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 parts AS (
@@ -53,7 +67,7 @@ FROM judged j JOIN verdict v ON j.source IS NOT DISTINCT FROM v.source
   SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i), i + 5) - i) AS r FROM windows WHERE c >= 2),
 repeats_sum AS (SELECT doc_id, sum(r) AS r FROM repeats GROUP BY doc_id),""")
 
-_WORDS5 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS5 = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP5 = f"""
 WITH docs AS (SELECT doc_id, {_WORDS5} AS w FROM documents),
@@ -95,4 +109,4 @@ best AS (SELECT doc_id, count(*) AS c, max(dice) AS dice, arg_max(name, struct_p
 SELECT d.doc_id, name AS license_id, dice, CAST(coalesce(c, 0) AS BIGINT) AS n_matches FROM d LEFT JOIN best USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op4_quality_rules": OP4, "op5_decontamination": OP5, "op7_warc": OP7, "op8_license_scan": OP8}
+ORACLE_SQL = {"op1_chat_format": OP1, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op5_decontamination": OP5, "op7_warc": OP7, "op8_license_scan": OP8}
