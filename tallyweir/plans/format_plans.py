@@ -58,8 +58,7 @@ def polling_source(spark, sf):
 
 
 def explode_chunks(spark, sf):
-    rows = bus_rows(spark, sf).withColumn("minute", F.date_trunc("day", F.timestamp_millis("timestamp")))
-    return formats.explode_chunks(formats.make_chunks(rows.where("dt < date'2024-01-15'"), ["queue", "dt"]))
+    return formats.explode_chunks(formats.make_chunks(bus_rows(spark, sf).where("dt < date'2024-01-15'"), ["queue", "dt"], 20))
 
 
 def archive_queue(spark, sf):
@@ -137,7 +136,8 @@ SQL = {
     "project_payload": sql("""SELECT event_id, CAST(k AS DOUBLE) AS a_n, queue AS a_s, CAST(NULL AS VARCHAR) AS a_o, eid, '{"n":' || k || ',"s":"' || queue || '","o":{"x":1}}' AS a_raw FROM rows_"""),
     "custom_parse": sql("SELECT eid, queue, k FROM rows_ WHERE k % 2 = 1"),
     "polling_source": """SELECT r - 1 AS position, '{"n": ' || ((r - 1) * (r - 1)) || '}' AS payload FROM (SELECT row_number() OVER () AS r FROM orders)""",
-    "explode_chunks": sql(""", c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM rows_ WHERE dt < '2024-01-15' WINDOW w AS (PARTITION BY queue, dt ORDER BY eid))
+    "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_ WHERE dt < '2024-01-15'),
+      c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM n WINDOW w AS (PARTITION BY queue, dt, batch ORDER BY eid))
       SELECT queue, regexp_extract(f, '^(.*)-', 1) || '-' || right('0000000' || (CAST(regexp_extract(f, '-(\\d+)$', 1) AS BIGINT) + p), 7) AS eid, bot AS id, timestamp, payload FROM c"""),
     "archive_queue": sql(f"SELECT {_E}, CAST(dt AS VARCHAR) AS dt FROM rows_ WHERE dt >= '2024-01-10'"),
     "queue_manifest": sql("SELECT queue, CAST(dt AS VARCHAR) AS dt, min(eid) AS start, max(eid) AS \"end\", count(*) AS records, CAST(sum(size) AS BIGINT) AS size FROM rows_ GROUP BY queue, dt"),

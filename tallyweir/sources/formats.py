@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.batching import number_batches
 from .shared import new_path
 
 
@@ -63,18 +64,20 @@ def custom_parse(lines: DataFrame, column: str, parser: Callable[[str], dict | N
     return lines.select(column).mapInPandas(parse, schema)
 
 
-def make_chunks(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Stored chunks of events: per key the gzip JSON lines of its events in eid order, with start, end, records, size."""
+def make_chunks(events: DataFrame, keys: list[str], records: int = 1000) -> DataFrame:
+    """Stored chunks of events: the gzip JSON lines of up to records events of a key in eid order, with start, end,
+    records and size. Events are numbered in two phases, so a hot key is many chunks in many tasks."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.drop(columns="lines").assign(body=[gzip.compress("".join(x + "\n" for x in lines).encode(), mtime=0) for lines in b["lines"]], size=[sum(len(x.encode()) + 1 for x in lines) for lines in b["lines"]])
 
     line = F.to_json(F.struct(F.col("bot").alias("id"), "timestamp", "payload"))
-    grouped = events.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("eid", line.alias("line")))).alias("x"), F.min("eid").alias("start"), F.max("eid").alias("end"), F.count(F.lit(1)).alias("records"))
+    numbered = number_batches(events, records, keys)
+    grouped = numbered.groupBy(*keys, "batch").agg(F.sort_array(F.collect_list(F.struct("eid", line.alias("line")))).alias("x"), F.min("eid").alias("start"), F.max("eid").alias("end"), F.count(F.lit(1)).alias("records"))
     fields = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    rows = grouped.select(*keys, "start", "end", "records", F.transform("x", lambda e: e["line"]).alias("lines"))
-    return rows.mapInPandas(pack, ", ".join([*(f"{k} {fields[k]}" for k in keys), "start string, end string, records long, body binary, size long"]))
+    rows = grouped.select(*keys, "batch", "start", "end", "records", F.transform("x", lambda e: e["line"]).alias("lines"))
+    return rows.mapInPandas(pack, ", ".join([*(f"{k} {fields[k]}" for k in keys), "batch long, start string, end string, records long, body binary, size long"]))
 
 
 def explode_chunks(chunks: DataFrame) -> DataFrame:

@@ -40,29 +40,30 @@ def run_batches(stream: DataFrame, step: Callable[[DataFrame], DataFrame], on_ba
     return spark.read.schema(schema).parquet(f"{path}/out").drop("batch") if "batch" not in schema.names else spark.read.schema(schema).parquet(f"{path}/out")
 
 
-class ByteBatches(StatefulProcessor):
-    """batch per key by bytes, over micro-batches: state is (batch, bytes so far)."""
+def byte_batches(limit: int) -> StatefulProcessor:
+    """A processor that numbers batches per key by bytes, over micro-batches; its state is (batch, bytes so far). The
+    class is made here, so that it travels by value to workers that don't have this package."""
 
-    def __init__(self, limit: int):
-        self.limit = limit
+    class ByteBatches(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("at", "batch long, bytes long")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("at", "batch long, bytes long")
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
+            batch, size = self.state.get() if self.state.exists() else (0, 0)
+            data = pd.concat(list(rows)).sort_values("eid", kind="stable")
+            out = []
+            for s in data["size"]:
+                if size >= limit:
+                    batch, size = batch + 1, 0
+                size += int(s)
+                out.append(batch)
+            self.state.update((batch, size))
+            yield pd.DataFrame({"queue": key[0], "eid": data["eid"].to_numpy(), "seq": out})
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        batch, size = self.state.get() if self.state.exists() else (0, 0)
-        data = pd.concat(list(rows)).sort_values("eid", kind="stable")
-        out = []
-        for s in data["size"]:
-            if size >= self.limit:
-                batch, size = batch + 1, 0
-            size += int(s)
-            out.append(batch)
-        self.state.update((batch, size))
-        yield pd.DataFrame({"queue": key[0], "eid": data["eid"].to_numpy(), "seq": out})
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return ByteBatches()
 
 
 def batch_stream(stream: DataFrame, limit: int, seconds: int = 600) -> DataFrame:
@@ -70,7 +71,7 @@ def batch_stream(stream: DataFrame, limit: int, seconds: int = 600) -> DataFrame
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # value states need it
     path = new_path(spark, "stream")
-    out = stream.select("queue", "eid", "size").groupBy("queue").transformWithStateInPandas(statefulProcessor=ByteBatches(limit), outputStructType="queue string, eid string, seq long", outputMode="Append", timeMode="None")
+    out = stream.select("queue", "eid", "size").groupBy("queue").transformWithStateInPandas(statefulProcessor=byte_batches(limit), outputStructType="queue string, eid string, seq long", outputMode="Append", timeMode="None")
     query = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
     if not query.awaitTermination(seconds):
         query.stop()
