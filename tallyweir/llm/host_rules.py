@@ -45,7 +45,10 @@ def with_measures(docs: DataFrame) -> DataFrame:
     covered = F.aggregate(F.transform(F.col("_p"), lambda p, i: F.coalesce(F.least(F.get(F.col("_p"), i + 1) - p, F.lit(k)), F.lit(k))), F.lit(0), lambda a, x: a + x)
     five = four.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return five.select(*(f"`{c}`" for c in kept), *MEASURES, failed.alias("base_failed"))
+    # a generated row: without it a later filter on a measure is pushed down by writing the whole chain of expressions out
+    # in place of each column, inside the lambdas too
+    row = F.explode(F.array(F.struct(*MEASURES, failed.alias("base_failed")))).alias("_m")
+    return five.select(*(f"`{c}`" for c in kept), row).select(*(f"`{c}`" for c in kept), "_m.*")
 
 
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
