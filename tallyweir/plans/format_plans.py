@@ -51,10 +51,9 @@ def custom_parse(spark, sf):
 
 
 def polling_source(spark, sf):
-    """Polls a source with as many positions as there are orders."""
-    spark.dataSource.register(formats.PollingSource)
-    n = table(spark, sf, "orders").count()
-    return spark.read.format("polling").option("last", n).option("ranges", 8).load()
+    """Orders polled in ranges of 20,000 keys until a range is empty."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("position"), "o_custkey", "o_totalprice")
+    return formats.poll_pages(lambda at: orders.where((F.col("position") > at) & (F.col("position") <= at + 20_000)), -1, 20_000)
 
 
 def explode_chunks(spark, sf):
@@ -135,7 +134,7 @@ SQL = {
     "csv_roundtrip": r"SELECT doc_id, CASE WHEN doc_id % 5 > 0 THEN regexp_replace(regexp_replace(left(text, 200), '\n', '', 'g'), '^ +| +$', '', 'g') END AS head, lang FROM documents",
     "project_payload": sql("""SELECT event_id, CAST(k AS DOUBLE) AS a_n, queue AS a_s, CAST(NULL AS VARCHAR) AS a_o, eid, '{"n":' || k || ',"s":"' || queue || '","o":{"x":1}}' AS a_raw FROM rows_"""),
     "custom_parse": sql("SELECT eid, queue, k FROM rows_ WHERE k % 2 = 1"),
-    "polling_source": """SELECT r - 1 AS position, '{"n": ' || ((r - 1) * (r - 1)) || '}' AS payload FROM (SELECT row_number() OVER () AS r FROM orders)""",
+    "polling_source": "SELECT o_orderkey AS position, o_custkey, o_totalprice FROM orders",
     "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_ WHERE dt < '2024-01-15'),
       c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM n WINDOW w AS (PARTITION BY queue, dt, batch ORDER BY eid))
       SELECT queue, regexp_extract(f, '^(.*)-', 1) || '-' || right('0000000' || (CAST(regexp_extract(f, '-(\\d+)$', 1) AS BIGINT) + p), 7) AS eid, bot AS id, timestamp, payload FROM c"""),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.batching import number_batches
-from .shared import new_path
+from .shared import cut, new_path
 
 
 def write_jsonl(rows: DataFrame, path: str | None = None, compression: str = "gzip") -> str:
@@ -115,6 +116,20 @@ def append_batch(events: DataFrame, path: str, batch: int) -> None:
     events.withColumn("batch", F.lit(batch)).write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
+def poll_pages(fetch: Callable[[int], DataFrame], state: int, step: int, records: int | None = None, seconds: float | None = None) -> DataFrame | None:
+    """Rows of fetch(state) for one state after the other until it gives none, or records or seconds are reached; None
+    if there are none at all. fetch gives the rows with state < position <= state + step; each page is written before
+    the state moves, so a lost executor costs one page and a later run goes on from the last state."""
+    out, n, began = None, 0, time.monotonic()
+    while (records is None or n < records) and (seconds is None or time.monotonic() - began < seconds):
+        page = cut(fetch(state))
+        if not (got := page.count()):
+            break
+        out = page if out is None else out.unionByName(page)
+        n, state = n + got, state + step
+    return out
+
+
 class PolledRange(InputPartition):
     def __init__(self, first: int, last: int):
         self.first, self.last = first, last

@@ -139,3 +139,13 @@ def test_rules_skip_after_required(spark):
     d = spark.createDataFrame([(1, None), (2, "ab")], "k long, x string")
     rules = [("x", "required", "error", F.col("x").isNotNull()), ("x", "match", "warn", F.col("x").rlike("^z"))]
     assert sorted((r.k, r.rule) for r in process.violations(d, "k", rules).collect()) == [(1, "required"), (2, "match")]
+
+
+def test_polling_stops_at_empty_and_at_its_cap(spark):
+    rows = spark.range(25).withColumnRenamed("id", "p")
+    fetch = lambda at: rows.where((F.col("p") > at) & (F.col("p") <= at + 10))
+    assert formats.poll_pages(fetch, -1, 10).count() == 25
+    assert formats.poll_pages(fetch, -1, 10, records=15).count() == 20
+    assert formats.poll_pages(fetch, 99, 10) is None
+    spark.dataSource.register(formats.PollingSource)
+    assert spark.read.format("polling").option("last", 2500).option("ranges", 3).load().agg(F.sum("position")).first()[0] == 2500 * 2499 // 2
