@@ -29,7 +29,7 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weak_labels.classify(table(spark, sf_dir, "documents"))
+    return weak_labels.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,10 @@ Overlapping heuristics vote good, bad or nothing on each document. How often eac
 all documents (at most 3 ** labellers rows), expectation-maximisation estimates each heuristic's accuracy and the
 posterior of each pattern, and those posteriors train a hashed linear scorer (FTRL-proximal, sparse) that then scores
 every document. Two targets are fitted alike: bad quality and toxic wording.
+
+The word lists of the toxicity labellers are English, and they say nothing on other texts. Two more labellers take
+their terms (words and word beginnings) from given toxicity labels, so they know the insults of every language that has
+labelled texts; without labels they say nothing.
 """
 
 from __future__ import annotations
@@ -16,31 +20,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import U64, mix, text_blocks, word_hashes
+from .tables import cut
+from .words import BYTE_VALUES, LOWER, U64, mix, powers, text_blocks, windows, word_hashes
 
 BITS = 18
 #: Documents that train the scorers: a bounded sample by hash of doc_id; everything else covers all documents.
 TRAIN_ROWS, SHARDS, EPOCHS = 12_000, 4, 6
+#: Labelled documents that the terms are taken from: a bounded sample by hash of doc_id.
+LABELLED_ROWS = 20_000
+#: Bytes of word beginnings that are terms, beside whole words.
+STEMS = range(5, 11)
+#: A term occurs in this share of the toxic texts of the sample and in this number of them at least, and this share of
+#: the texts with it is toxic.
+TERM_SHARE, TERM_TEXTS, TERM_TOXIC = 0.005, 5, 0.9
 GOOD, BAD, NONE = 0, 1, 2
 #: Share of good documents that a labeller may call bad.
 MOST_FALSE = 0.02
 #: Insults, in two overlapping lists.
 INSULTS = frozenset(b"idiot idiots moron morons loser losers clown clowns scum trash fool fools imbecile vermin bastard jerk creep garbage".split())
 SLURRING = frozenset(b"stupid pathetic worthless disgusting trash scum dumb ugly filthy idiotic vile despicable shut hate idiot moron".split())
+#: Frequent English words; a text with few of them isn't English.
+ENGLISH = frozenset(b"the of and to is that was for".split())
 _LETTERS = np.array([(48 <= b <= 57) or (97 <= b <= 122) or (65 <= b <= 90) or b >= 128 for b in range(256)])
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if _LETTERS[b] else 32 for b in range(256))
 _UPPER, _LOWER, _SYMBOLS = bytes(range(65, 91)), bytes(range(97, 123)), b"#*$%&|<>"
 _SEEN = INSULTS | SLURRING
 QUALITY_LABELLERS = ["symbols", "decorated", "capitals", "shouting", "repeats", "variety", "bars", "tables", "lines", "sentences"]
-TOXIC_LABELLERS = ["insults", "slurring", "density", "several"]
+TOXIC_LABELLERS = ["insults", "slurring", "density", "several", "terms", "dense_terms"]
+_NO_TERMS = np.empty(0, np.uint64)
 
 
 def _vote(bad: bool, good: bool) -> int:
     return BAD if bad else GOOD if good else NONE
 
 
-def votes(raw: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Quality votes, toxicity votes, and bins of the measures behind either."""
+def votes(raw: bytes, term_hits: int | None = None) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Quality votes, toxicity votes, and bins of the measures behind either. term_hits: words with a labelled term;
+    None if there are no such terms."""
     words = raw.split()
     n, size = len(words), max(1, len(raw))
     upper = size - len(raw.translate(None, _UPPER))
@@ -60,35 +76,109 @@ def votes(raw: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
     plain = raw.translate(_PLAIN).split()
     hits = [w for w in plain if w in _SEEN]
     kinds = set(hits)
-    some = bool(plain)
-    toxic = [_vote(bool(kinds & INSULTS), some), _vote(bool(kinds & SLURRING), some), _vote(len(hits) > 0.002 * len(plain), some), _vote(len(kinds) >= 2, not kinds and some)]
+    english = bool(kinds) or sum(w in ENGLISH for w in plain) > 0.01 * len(plain)
+    toxic = [_vote(bool(kinds & INSULTS), english), _vote(bool(kinds & SLURRING), english), _vote(len(hits) > 0.002 * len(plain), english), _vote(len(kinds) >= 2, not kinds and english)]
+    some, known = bool(plain) and term_hits is not None, term_hits or 0
+    toxic += [_vote(known >= 2 and known > 0.004 * len(plain), some), _vote(known > 0.008 * len(plain), some)]
     bins = [int(max(0, min(9, 20 * x))) for x in (symbols * 5, decorated, capitals, same, 1 - variety, bars, stops, shouts, again)] + [min(12, n.bit_length())]
-    return quality, toxic, bins, [min(3, len(kinds)), min(3, len(hits))]
+    return quality, toxic, bins, [min(3, len(kinds)), min(3, len(hits)), min(3, known), min(5, int(250 * known / max(1, len(plain))))]
 
 
 def _code(v: list[int]) -> int:
     return sum(x * 3**k for k, x in enumerate(v))
 
 
-def _features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes]]:
-    """(row, distinct hashed words, raw text) of each text."""
+def _word_terms(data: np.ndarray, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words' numbers, hashes) of the terms of each kind: whole words, then word beginnings of each length."""
+    yield np.arange(len(words)), words
+    if not len(words):
+        return
+    length = np.add.reduceat(_LETTERS[data].astype(np.int64), starts)
+    which, total, factor = np.arange(len(words)), np.zeros(len(words), np.uint64), powers(STEMS.stop)
+    for k in range(STEMS.stop - 1):
+        which = which[length[which] > k]
+        total[which] += BYTE_VALUES[LOWER[data[starts[which] + k]]] * factor[k]
+        if k + 1 in STEMS:
+            yield which, mix(total[which] ^ U64(k + 1))
+
+
+def _features(texts: pa.Array, terms: np.ndarray = _NO_TERMS) -> Iterator[tuple[int, np.ndarray, bytes, int | None]]:
+    """(row, distinct hashed words, raw text, words with one of terms, which are sorted) of each text."""
     down = U64(64 - BITS)
     for row, data, offsets in text_blocks(texts):
-        h, _, bounds = word_hashes(data, offsets, in_word=_LETTERS)
-        h = (h >> down).astype(np.int64)
+        full, starts, bounds = word_hashes(data, offsets, in_word=_LETTERS)
+        hit = np.zeros(len(full), np.int64)
+        if len(terms):
+            for which, h in _word_terms(data, full, starts):
+                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
+                hit[which[terms[at] == h]] = 1
+        hits = np.concatenate([[0], np.cumsum(hit)])
+        short = (full >> down).astype(np.int64)
         for i in range(len(offsets) - 1):
+            a, b = bounds[i], bounds[i + 1]
             raw = data[offsets[i] : offsets[i + 1]].tobytes()
-            yield row + i, np.unique(h[bounds[i] : bounds[i + 1]]), raw
+            yield row + i, np.unique(short[a:b]), raw, int(hits[b] - hits[a]) if len(terms) else None
 
 
 def _bin_features(bins: list[int], first: int = 1) -> np.ndarray:
     return (mix(np.array([(k + first) * 1000 + b for k, b in enumerate(bins)], dtype=np.uint64)) >> U64(64 - BITS)).astype(np.int64)
 
 
-def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _patterns(terms):
+    def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [votes(raw, n)[:2] for _, _, raw, n in _features(batch.column(0), terms.value)]
+            yield pa.RecordBatch.from_arrays([pa.array([_code(v[k]) for v in found], pa.int32()) for k in (0, 1)], names=["quality", "toxic"])
+
+    return patterns
+
+
+def _copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds k0 to k2: minima of three hashes of the text's 5-word runs, most of which near copies share."""
+    for batch in batches:
+        keys = np.zeros((batch.num_rows, 3), np.uint64)
+        for row, data, offsets in text_blocks(batch.column(batch.num_columns - 1)):
+            words, _, bounds = word_hashes(data, offsets, in_word=_LETTERS)
+            runs, at = windows(words, bounds, 5)
+            for i in np.flatnonzero(np.diff(at)):
+                keys[row + i] = [mix(runs[at[i] : at[i + 1]] ^ U64(k + 1)).min() for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(keys[:, k].view(np.int64)) for k in range(3))], names=[*batch.schema.names, "k0", "k1", "k2"])
+
+
+def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, toxic) of each distinct term of each document."""
     for batch in batches:
-        found = [votes(t.as_py() or b"") for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([_code(q) for q, *_ in found], pa.int32()), pa.array([_code(t) for _, t, *_ in found], pa.int32())], names=["quality", "toxic"])
+        toxic = batch.column(0).to_numpy()
+        for row, data, offsets in text_blocks(batch.column(1)):
+            words, starts, bounds = word_hashes(data, offsets, in_word=_LETTERS)
+            found = list(_word_terms(data, words, starts))
+            text = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+            both = np.unique(np.stack([np.concatenate([text[w] for w, _ in found]).astype(np.uint64), np.concatenate([h for _, h in found])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[1].view(np.int64)), pa.array(toxic[row + both[0].astype(np.int64)])], names=["term", "toxic"])
+
+
+def labelled_terms(docs: DataFrame, labels: DataFrame | None, rows: int = LABELLED_ROWS) -> np.ndarray:
+    """Sorted hashes of the terms that occur almost only in texts labelled toxic.
+
+    labels (doc_id, toxic) is sampled first, so what is joined to docs is bounded by rows; of near copies in the sample
+    one counts. Every kept term occurs in TERM_SHARE of the sample's toxic texts, which bounds their number. Null labels
+    and ids are ignored; of several labels of a document toxic wins; no labels give no terms."""
+    if labels is None:
+        return _NO_TERMS
+    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
+    share = min(1.0, rows / max(1, known.count()))
+    known = known.where(F.xxhash64("_id", F.lit(2)).cast("double") / 2.0**64 + 0.5 < share)
+    raw = F.col("text").cast("string").cast("binary").alias("raw")
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("_id"), raw).join(F.broadcast(known), "_id")
+    sample = cut(texts.select("_id", "toxic", "raw").mapInArrow(_copy_keys, "_id long, toxic long, raw binary, k0 long, k1 long, k2 long"))
+    one = sample.select("_id", "k0", "k1", "k2")
+    for key in ("k0", "k1", "k2"):
+        one = one.groupBy(key).agg(F.min(F.struct("_id", "k0", "k1", "k2")).alias("one")).select("one.*")
+    chosen = sample.join(one.select("_id"), "_id", "left_semi")
+    counted = cut(chosen.select("toxic", "raw").mapInArrow(_document_terms, "term long, toxic long").groupBy("term").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")))
+    total = chosen.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first().t
+    kept = counted.where((F.col("t") >= max(TERM_TEXTS, TERM_SHARE * total)) & (F.col("t") >= TERM_TOXIC * F.col("n")))
+    return np.sort(np.array([r.term for r in kept.select("term").collect()], np.int64).view(np.uint64))
 
 
 def posteriors(counts: dict[int, int], labellers: int, rounds: int = 200) -> tuple[dict[int, float], np.ndarray]:
@@ -145,12 +235,12 @@ class Scorer:
         self.n[at] += g * g
 
 
-def _trainer(quality: dict[int, float], toxic: dict[int, float]):
+def _trainer(quality: dict[int, float], toxic: dict[int, float], terms):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for _, at, raw in _features(batch.column(0)):
-                q, t, bins, insults = votes(raw)
+            for _, at, raw, n in _features(batch.column(0), terms.value):
+                q, t, bins, insults = votes(raw, n)
                 rows.append((_vector(at, _bin_features(bins)), _vector(at, _bin_features(insults, 101)), quality[_code(q)], toxic[_code(t)]))
         a, b = Scorer(), Scorer()
         for _ in range(EPOCHS):
@@ -163,13 +253,13 @@ def _trainer(quality: dict[int, float], toxic: dict[int, float]):
     return train
 
 
-def _scorer(weights):
+def _scorer(weights, terms):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wq, wt = weights.value
         for batch in batches:
             out = np.zeros((batch.num_rows, 2))
-            for row, at, raw in _features(batch.column(batch.num_columns - 1)):
-                _, _, bins, insults = votes(raw)
+            for row, at, raw, n in _features(batch.column(batch.num_columns - 1), terms.value):
+                _, _, bins, insults = votes(raw, n)
                 for k, (w, kind) in enumerate(((wq, _bin_features(bins)), (wt, _bin_features(insults, 101)))):
                     features, x = _vector(at, kind)
                     out[row, k] = w[features] @ x
@@ -179,16 +269,18 @@ def _scorer(weights):
     return score
 
 
-def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TRAIN_ROWS, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
     """doc_id, quality_score (P good), toxic_score (P toxic), good, toxic and kept (good and not toxic) of each row of
-    docs (doc_id, text; other columns are ignored).
+    docs (doc_id, text; other columns are ignored). labels (doc_id, toxic) gives the labellers "terms" and "dense_terms"
+    their terms (see labelled_terms).
 
     A null text is empty: too short to be good. Rows without a doc_id are scored and not sampled; repeated rows get
-    equal scores. An empty table gives an empty table. train_rows bounds the training sample, not what is counted or
-    scored."""
+    equal scores. An empty table gives an empty table. train_rows and labelled_rows bound the training samples, not what
+    is counted or scored."""
     spark = docs.sparkSession
+    terms = spark.sparkContext.broadcast(labelled_terms(docs, labels, labelled_rows))
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("raw")
-    patterns = docs.select(raw).mapInArrow(_patterns, "quality int, toxic int").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    patterns = docs.select(raw).mapInArrow(_patterns(terms), "quality int, toxic int").groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
     counts: list[dict[int, int]] = [{}, {}]
     for r in patterns:
         for d, code in zip(counts, (r.quality, r.toxic), strict=True):
@@ -198,9 +290,9 @@ def classify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     drawn = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
     sample = docs.where(F.col("doc_id").isNotNull() & (drawn < min(1.0, train_rows / max(1, total))))
     sample = sample.select(raw, drawn.alias("u"), "doc_id").repartition(SHARDS, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SHARDS))).sortWithinPartitions("u", "doc_id").select("raw")
-    shards = sample.mapInArrow(_trainer(quality, toxic), "n long, quality binary, toxic binary").collect()
+    shards = sample.mapInArrow(_trainer(quality, toxic, terms), "n long, quality binary, toxic binary").collect()
     mean = lambda c: sum(r.n * np.frombuffer(r[c], "<f8") for r in shards) / sum(r.n for r in shards) if shards else np.zeros(2**BITS + 1)
     weights = spark.sparkContext.broadcast((mean("quality"), mean("toxic")))
-    out = docs.select("doc_id", raw).mapInArrow(_scorer(weights), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality_score double, toxic_score double")
+    out = docs.select("doc_id", raw).mapInArrow(_scorer(weights, terms), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality_score double, toxic_score double")
     out = out.withColumns({"good": F.col("quality_score") >= 0.5, "toxic": F.col("toxic_score") >= 0.5})
     return out.withColumn("kept", F.col("good") & ~F.col("toxic"))

@@ -140,6 +140,30 @@ def test_classifier_edges(spark):
     assert weak_labels.classify(df.limit(0)).count() == 0
 
 
+def test_classifier_learns_insults_of_other_languages(spark):
+    """Terms come from the labels of even documents; toxic texts without any English insult are judged on the odd ones."""
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
+    got = weak_labels.classify(docs, labels.where("doc_id % 2 = 0")).toPandas().set_index("doc_id")
+    j = got.join(labels.where("doc_id % 2 = 1").toPandas().set_index("doc_id"), how="inner", lsuffix="_ours").join(docs.select("doc_id", "lang").toPandas().set_index("doc_id"))
+    assert j[j.toxic == 1].toxic_ours.mean() > 0.85 and j[j.toxic == 0].toxic_ours.mean() < 0.005
+    assert j[(j.toxic == 1) & j.lang.isin(["de", "fr"])].toxic_ours.mean() > 0.8
+
+
+def test_labelled_terms_edges(spark):
+    clean = [(i, f"{prose(i, 40)}") for i in range(60)]
+    toxic = [(100 + i, f"{prose(100 + i, 20)} gribblewort gribblewort {prose(200 + i, 20)}") for i in range(12)]
+    docs = spark.createDataFrame([*clean, *toxic, (None, "gribblewort"), (900, None), (901, "")], "doc_id long, text string")
+    marks = [(i, 0) for i, _ in clean] + [(i, 1) for i, _ in toxic] + [(100, 0), (None, 1), (5, None), (900, 1), (901, 1), (5000, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    assert len(weak_labels.labelled_terms(docs, labels)) == 1 + len(weak_labels.STEMS)  # the word and its beginnings
+    assert not len(weak_labels.labelled_terms(docs, None)) and not len(weak_labels.labelled_terms(docs, labels.limit(0))) and not len(weak_labels.labelled_terms(docs.limit(0), labels))
+    got = weak_labels.classify(docs, labels)
+    assert got.count() == docs.count() and got.where("toxic and doc_id < 100").count() == 0
+    # copies of one toxic text are one text: their words aren't terms
+    copies = spark.createDataFrame([*clean, *((100 + i, f"{prose(7777, 60)} unusual {'x' * i}") for i in range(30))], "doc_id long, text string")
+    assert not len(weak_labels.labelled_terms(copies, spark.createDataFrame([(i, int(i >= 100)) for i in [*range(60), *range(100, 130)]], "doc_id long, toxic int")))
+
+
 def test_em_finds_bad_patterns():
     counts = {0: 900, 1 + 3: 60, 9 + 27: 50, 1: 5}
     p, _ = weak_labels.posteriors(counts, 4)
