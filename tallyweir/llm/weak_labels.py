@@ -44,10 +44,11 @@ ENGLISH = frozenset(b"the of and to is that was for".split())
 _LETTERS = np.array([(48 <= b <= 57) or (97 <= b <= 122) or (65 <= b <= 90) or b >= 128 for b in range(256)])
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if _LETTERS[b] else 32 for b in range(256))
 _UPPER, _LOWER, _SYMBOLS = bytes(range(65, 91)), bytes(range(97, 123)), b"#*$%&|<>"
-_SEEN = INSULTS | SLURRING
+_SEEN = INSULTS | SLURRING | ENGLISH
 QUALITY_LABELLERS = ["symbols", "decorated", "capitals", "shouting", "repeats", "variety", "bars", "tables", "lines", "sentences"]
 TOXIC_LABELLERS = ["insults", "slurring", "density", "several", "terms", "dense_terms"]
 _NO_TERMS = np.empty(0, np.uint64)
+_VALUES = BYTE_VALUES[LOWER]
 
 
 def _vote(bad: bool, good: bool) -> int:
@@ -75,8 +76,10 @@ def votes(raw: bytes, term_hits: int | None = None) -> tuple[list[int], list[int
     quality = [BAD if x else GOOD for x in bad]
     plain = raw.translate(_PLAIN).split()
     hits = [w for w in plain if w in _SEEN]
+    english = bool(hits) and len(hits) > 0.01 * len(plain)
+    hits = [w for w in hits if w not in ENGLISH]
     kinds = set(hits)
-    english = bool(kinds) or sum(w in ENGLISH for w in plain) > 0.01 * len(plain)
+    english |= bool(kinds)
     toxic = [_vote(bool(kinds & INSULTS), english), _vote(bool(kinds & SLURRING), english), _vote(len(hits) > 0.002 * len(plain), english), _vote(len(kinds) >= 2, not kinds and english)]
     some, known = bool(plain) and term_hits is not None, term_hits or 0
     toxic += [_vote(known >= 2 and known > 0.004 * len(plain), some), _vote(known > 0.008 * len(plain), some)]
@@ -94,24 +97,30 @@ def _word_terms(data: np.ndarray, words: np.ndarray, starts: np.ndarray) -> Iter
     if not len(words):
         return
     length = np.add.reduceat(_LETTERS[data].astype(np.int64), starts)
-    which, total, factor = np.arange(len(words)), np.zeros(len(words), np.uint64), powers(STEMS.stop)
+    which = np.flatnonzero(length >= STEMS.start)
+    at, length, total, factor = starts[which], length[which], np.zeros(len(which), np.uint64), powers(STEMS.stop)
     for k in range(STEMS.stop - 1):
-        which = which[length[which] > k]
-        total[which] += BYTE_VALUES[LOWER[data[starts[which] + k]]] * factor[k]
+        if k >= STEMS.start:
+            long = length > k
+            which, at, length, total = which[long], at[long], length[long], total[long]
+        total += _VALUES[data[at + k]] * factor[k]
         if k + 1 in STEMS:
-            yield which, mix(total[which] ^ U64(k + 1))
+            yield which, mix(total ^ U64(k + 1))
 
 
 def _features(texts: pa.Array, terms: np.ndarray = _NO_TERMS) -> Iterator[tuple[int, np.ndarray, bytes, int | None]]:
     """(row, distinct hashed words, raw text, words with one of terms, which are sorted) of each text."""
     down = U64(64 - BITS)
+    head = np.zeros(1 << 16, bool)  # first bits of the terms
+    head[terms >> U64(48)] = True
     for row, data, offsets in text_blocks(texts):
         full, starts, bounds = word_hashes(data, offsets, in_word=_LETTERS)
         hit = np.zeros(len(full), np.int64)
         if len(terms):
             for which, h in _word_terms(data, full, starts):
-                at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-                hit[which[terms[at] == h]] = 1
+                maybe = np.flatnonzero(head[h >> U64(48)])
+                at = np.minimum(np.searchsorted(terms, h[maybe]), len(terms) - 1)
+                hit[which[maybe[terms[at] == h[maybe]]]] = 1
         hits = np.concatenate([[0], np.cumsum(hit)])
         short = (full >> down).astype(np.int64)
         for i in range(len(offsets) - 1):
