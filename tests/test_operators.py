@@ -73,6 +73,28 @@ def test_stream_stats(spark):
     assert (s.units, s.source_timestamp, s.started_timestamp, s.ended_timestamp, s.first_timestamp) == (5, -5, 4000, 4000, 0)
 
 
+def test_fold_carries_over_arrow_batches(spark):
+    """Groups longer than an Arrow batch, several groups in a task, a null key, null sizes and times."""
+    rows = [(q, f"z/{i:04d}", None if i % 11 == 5 else (i * 7) % 13, None if i % 17 == 3 else i * 100) for q, n in (("a", 60), ("b", 1), (None, 40), ("c", 25)) for i in range(n)]
+    e = spark.createDataFrame(rows, "queue string, eid string, size long, timestamp long").repartition(5)
+    want = {}
+    for q in {r[0] for r in rows}:
+        batch, n, size = 0, 0, 0
+        for _, eid_, s, _ in sorted((r for r in rows if r[0] == q), key=lambda r: r[1]):
+            if n >= 9 or size >= 40:
+                batch, n, size = batch + 1, 0, 0
+            n, size = n + 1, size + (s or 0)
+            want[q, eid_] = batch
+    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = batching.fold_batches(e, ["queue"], count=9, size=40).collect()
+        assert batching.fold_batches(e, ["queue"], millis=500).count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
+    assert {(r.queue, r.eid): r.batch for r in got} == want and len(got) == len(rows)
+
+
 def test_batches(spark):
     e = events(spark, 7)
     b = batching.merge_batches(batching.number_batches(e, 3)).orderBy("batch").collect()
