@@ -169,8 +169,8 @@ def _document_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def labelled_terms(docs: DataFrame, labels: DataFrame | None, rows: int = LABELLED_ROWS) -> np.ndarray:
     """Sorted hashes of the terms that occur almost only in texts labelled toxic.
 
-    labels (doc_id, toxic) is sampled first, so what is joined to docs is bounded by rows; of near copies in the sample
-    one counts. Every kept term occurs in TERM_SHARE of the sample's toxic texts, which bounds their number. Null labels
+    labels (doc_id, toxic) is sampled first, so what is joined to docs is bounded by rows; of near copies and of
+    repeated rows in the sample one counts. Every kept term occurs in TERM_SHARE of the sample's toxic texts, which bounds their number. Null labels
     and ids are ignored; of several labels of a document toxic wins; no labels give no terms."""
     if labels is None:
         return _NO_TERMS
@@ -183,7 +183,8 @@ def labelled_terms(docs: DataFrame, labels: DataFrame | None, rows: int = LABELL
     one = sample.select("_id", "k0", "k1", "k2")
     for key in ("k0", "k1", "k2"):
         one = one.groupBy(key).agg(F.min(F.struct("_id", "k0", "k1", "k2")).alias("one")).select("one.*")
-    chosen = sample.join(one.select("_id"), "_id", "left_semi")
+    same = ["_id", "k0", "k1", "k2"]  # repeated rows of an id count once, however many they are
+    chosen = sample.join(one, same, "left_semi").groupBy(*same).agg(F.min("raw").alias("raw"), F.first("toxic").alias("toxic"))
     counted = cut(chosen.select("toxic", "raw").mapInArrow(_document_terms, "term long, toxic long").groupBy("term").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")))
     total = chosen.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first().t
     kept = counted.where((F.col("t") >= max(TERM_TEXTS, TERM_SHARE * total)) & (F.col("t") >= TERM_TOXIC * F.col("n")))

@@ -161,6 +161,9 @@ def test_labelled_terms_edges(spark):
     assert got.count() == docs.count() and got.where("toxic and doc_id < 100").count() == 0
     # copies of one toxic text are one text: their words aren't terms
     copies = spark.createDataFrame([*clean, *((100 + i, f"{prose(7777, 60)} unusual {'x' * i}") for i in range(30))], "doc_id long, text string")
+    # a row that is repeated many times counts once
+    again = docs.union(spark.createDataFrame([(0, "gribblewort gribblewort gribblewort")] + [(100, toxic[0][1])] * 400, docs.schema))
+    assert len(weak_labels.labelled_terms(again, labels)) == 1 + len(weak_labels.STEMS)
     assert not len(weak_labels.labelled_terms(copies, spark.createDataFrame([(i, int(i >= 100)) for i in [*range(60), *range(100, 130)]], "doc_id long, toxic int")))
 
 
