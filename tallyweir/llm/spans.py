@@ -1,6 +1,7 @@
 """Substring dedup on sliding sentence spans.
 
-A text is split into sentences (after . ! ? followed by space, and at line breaks). From each sentence the shortest run
+A text is split into sentences (after . ! ? followed by space, and at line breaks); what holds no word, such as an empty
+line, belongs to the sentence before it, or at the start of a text to the first. From each sentence the shortest run
 of at least two consecutive sentences with MIN_WORDS words or more is hashed forwards, and the same ending at each
 sentence backwards; a single sentence of SOLO_WORDS words is a run too. So a passage of two sentences and MIN_WORDS
 words or more that two texts share is covered by shared runs up to its last sentence. Run hashes are joined over all documents, and the
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import cut
-from .words import BASE, U64, mix, powers, text_blocks, word_hashes
+from .words import BASE, SPACED, U64, mix, powers, text_blocks, word_hashes
 
 MIN_WORDS, SOLO_WORDS = 20, 40
 _END = np.zeros(256, bool)
@@ -28,12 +29,16 @@ _INVERSE = U64(pow(int(BASE), -1, 2**64))
 
 
 def _sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte of each sentence, and where each text's sentences start (an empty text has none)."""
+    """First byte of each sentence, and where each text's sentences start (a text without words has none)."""
     first = np.zeros(len(data), bool)
     first[1:] = (data[:-1] == 10) | (_END[data[:-1]] & _SPACE[data[1:]] & (data[1:] != 10))
     first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     starts = np.flatnonzero(first)
-    return starts, np.searchsorted(starts, offsets)
+    if len(starts):
+        starts = starts[np.logical_or.reduceat(SPACED[data], starts)]
+    bounds = np.searchsorted(starts, offsets)
+    starts[bounds[:-1][bounds[:-1] < bounds[1:]]] = offsets[:-1][bounds[:-1] < bounds[1:]]
+    return starts, bounds
 
 
 def _run_hashes(min_words: int, solo_words: int):

@@ -284,6 +284,22 @@ def test_spans_edges(spark):
     assert spans.drop_repeated_spans(df.limit(0)).count() == 0
 
 
+def paragraphs(seed, *sizes):
+    """Texts of one sentence with that many words each, none of them like another."""
+    return [" ".join(f"w{seed}x{k}x{j}" for j in range(n)) + "." for k, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("gap", ["\n\n", "\r\n", "\r\n\r\n", "\n \t\n\n"])
+def test_spans_keep_unique_paragraphs_between_empty_lines(spark, gap):
+    unique = [gap.join(paragraphs(k, 25, 30, 25, 39, 20)) for k in range(3)] + [gap + gap.join(paragraphs(3, 25, 30)) + gap]
+    shared = paragraphs(9, 30, 12)
+    texts = [*unique, gap.join([*paragraphs(5, 25), *shared, *paragraphs(6, 25)]), gap.join([*paragraphs(7, 25), *shared, *paragraphs(8, 25)]), gap + unique[0] + gap]
+    got = {r.doc_id: r.text for r in spans.drop_repeated_spans(docs_of(spark, texts)).collect()}
+    assert [got[k] for k in range(5)] == texts[:5]
+    assert got[5] == gap.join([*paragraphs(7, 25), *paragraphs(8, 25)])
+    assert got[6] == ""
+
+
 # 7: WARC
 
 def test_warc_round_trip(spark):
