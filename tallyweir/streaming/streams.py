@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources.formats import append_batch
@@ -22,8 +23,18 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{sf_dir}/{name}.parq*t")
 
 
-def run_batches(stream: DataFrame, step: Callable[[DataFrame], DataFrame], on_batch: Callable[[int, DataFrame], None] | None = None, seconds: int = 600) -> DataFrame:
-    """step over each micro-batch, written under its batch id; the whole output when the stream has been read.
+def _read_through(query: StreamingQuery, seconds: float | None) -> None:
+    """Wait until the stream has been read. Where seconds are given and pass before that, it is stopped and raises."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"the stream was not read through after {seconds} seconds")
+
+
+def run_batches(stream: DataFrame, step: Callable[[DataFrame], DataFrame], on_batch: Callable[[int, DataFrame], None] | None = None, seconds: float | None = None) -> DataFrame:
+    """step over each micro-batch, written under its batch id; the whole output when the stream has been read, however
+    long that takes, or an error after seconds.
     on_batch(batch, output) is the checkpoint hook; it is called after the output is written."""
     spark = stream.sparkSession
     path = new_path(spark, "stream")
@@ -35,8 +46,7 @@ def run_batches(stream: DataFrame, step: Callable[[DataFrame], DataFrame], on_ba
             on_batch(number, spark.read.schema(schema).parquet(f"{path}/out/batch={number}"))
 
     query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
-    if not query.awaitTermination(seconds):
-        query.stop()
+    _read_through(query, seconds)
     return spark.read.schema(schema).parquet(f"{path}/out").drop("batch") if "batch" not in schema.names else spark.read.schema(schema).parquet(f"{path}/out")
 
 
@@ -66,15 +76,15 @@ def byte_batches(limit: int) -> StatefulProcessor:
     return ByteBatches()
 
 
-def batch_stream(stream: DataFrame, limit: int, seconds: int = 600) -> DataFrame:
-    """queue, eid and seq (the byte batch) of a stream of events (queue, eid, size) in eid order per queue."""
+def batch_stream(stream: DataFrame, limit: int, seconds: float | None = None) -> DataFrame:
+    """queue, eid and seq (the byte batch) of a stream of events (queue, eid, size) in eid order per queue; the whole
+    output, or an error after seconds."""
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # value states need it
     path = new_path(spark, "stream")
     out = stream.select("queue", "eid", "size").groupBy("queue").transformWithStateInPandas(statefulProcessor=byte_batches(limit), outputStructType="queue string, eid string, seq long", outputMode="Append", timeMode="None")
     query = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
-    if not query.awaitTermination(seconds):
-        query.stop()
+    _read_through(query, seconds)
     return spark.read.schema("queue string, eid string, seq long").parquet(f"{path}/out")
 
 

@@ -1,11 +1,15 @@
 """Literal cases for the operators."""
 
+import inspect
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyweir.functions import eid, hashing, refs
 from tallyweir.operators import batching, joins, lineage, process, read, state, stats
 from tallyweir.sources import formats
+from tallyweir.streaming import streams
 
 MS = 1648149254205
 
@@ -171,3 +175,16 @@ def test_polling_stops_at_empty_and_at_its_cap(spark):
     assert formats.poll_pages(fetch, 99, 10) is None
     spark.dataSource.register(formats.PollingSource)
     assert spark.read.format("polling").option("last", 2500).option("ranges", 3).load().agg(F.sum("position")).first()[0] == 2500 * 2499 // 2
+
+
+def test_streams_give_all_rows_or_an_error(spark, tmp_path):
+    """Three micro-batches; a run limit that is reached gives no partial rows."""
+    spark.range(30).selectExpr("'q' as queue", "lpad(id, 4, '0') as eid", "10 as size").repartition(3).write.parquet(f"{tmp_path}/t.parquet")
+    stream = lambda: streams.stream_table(spark, str(tmp_path), "t", files_per_batch=1)
+    slow = lambda number, out: time.sleep(3)
+    assert streams.run_batches(stream(), lambda b: b, slow).count() == 30
+    with pytest.raises(TimeoutError):
+        streams.run_batches(stream(), lambda b: b, slow, seconds=2)
+    with pytest.raises(TimeoutError):
+        streams.batch_stream(stream(), 100, seconds=0.01)
+    assert all(inspect.signature(f).parameters["seconds"].default is None for f in (streams.run_batches, streams.batch_stream))
