@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, percent=80, bands=minhash.LOW_BANDS)
 
 
 def span_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ sets. Where members of a bucket are still in different components after that, th
 new hub (the member with most confirmed links), until the pairs still open are few enough for a plain join: links
 between different texts aren't lost by the star shape, and no step emits all pairs of a large group.
 
-A pair at the threshold (0.85) shares no bucket with a chance of about 7e-8 (28 bands of 5 rows).
+A pair at the threshold (0.85) shares no bucket with a chance of about 7e-8 (28 bands of 5 rows); lower thresholds need
+more bands (at 0.8 it is 1.5e-5 with 28, and 1.3e-7 with LOW_BANDS).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from .components import components
 from .tables import cut
 from .words import BASE, U64, mix, text_blocks, windows, word_hashes
 
-BANDS, ROWS, SHINGLE = 28, 5, 5
+BANDS, LOW_BANDS, ROWS, SHINGLE = 28, 40, 5, 5
 
 
 @lru_cache(1)
@@ -58,18 +59,21 @@ def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield row + i, np.unique(hashes[at[i] : at[i + 1]])
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    factor = (mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * BASE) | U64(1)).reshape(BANDS, ROWS)
-    for batch in batches:
-        n, digest, keys = [], [], []
-        for _, s in _sets(batch.column(1)):
-            n.append(len(s))
-            digest.append((int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ BASE).sum(dtype=np.uint64))))
-            keys.append(mix((signature(s, BANDS * ROWS).reshape(BANDS, ROWS) * factor).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)) if len(s) else np.empty(0, np.uint64))
-        flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)), pa.array(flat.view(np.int64)))
-        d = np.array(digest, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), lists], names=["doc_id", "n_shingles", "d1", "d2", "keys"])
+def _sketch_of(bands: int):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor = (mix(np.arange(1, bands * ROWS + 1, dtype=np.uint64) * BASE) | U64(1)).reshape(bands, ROWS)
+        for batch in batches:
+            n, digest, keys = [], [], []
+            for _, s in _sets(batch.column(1)):
+                n.append(len(s))
+                digest.append((int(mix(s).sum(dtype=np.uint64)), int(mix(s ^ BASE).sum(dtype=np.uint64))))
+                keys.append(mix((signature(s, bands * ROWS).reshape(bands, ROWS) * factor).sum(1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)) if len(s) else np.empty(0, np.uint64))
+            flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)), pa.array(flat.view(np.int64)))
+            d = np.array(digest, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), lists], names=["doc_id", "n_shingles", "d1", "d2", "keys"])
+
+    return sketch
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,14 +153,14 @@ def _between_blocks(open_: DataFrame, sets: DataFrame, percent: int, members: in
     return met.join(sets, "id").groupBy("key", "x", "y").applyInArrow(_links_of(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row of docs (doc_id, text; other columns are ignored).
 
     kept is doc_id = component_id. Documents without words, and null texts, have an empty set and are linked with
     nothing; a row without a doc_id is linked with nothing, has no component and is kept. Rows that share a doc_id are
     one document (all kept or none). An empty table gives an empty table. slack: open pairs for each member up to which a
     bucket is small; it changes the plan, never the result."""
-    sketch = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketch, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
+    sketch = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketch_of(bands), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
     # a class: the documents with one set; its smallest doc_id stands for it
     classes = cut(sketch.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys")))
     buckets = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
@@ -203,9 +207,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4) -> DataF
     return placed.select("doc_id", "n_shingles", part.alias("component_id"), F.coalesce(F.col("doc_id") == part, F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS) -> DataFrame:
     """docs with one row of each near-duplicate group: the document with the smallest doc_id, once. Rows without a
     doc_id stay. Columns are docs' own."""
-    verdict = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    verdict = near_duplicates(docs, percent, bands=bands).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     rest = docs.join(verdict, docs["doc_id"] == F.col("_gone"), "left_anti")
     return rest

@@ -435,3 +435,18 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     encode = packing._encoders(files["tokenizer"], None, None)
     assert dict(got) == {k: len(encode([t])[0]) + 1 for k, t in left}
     assert len(left) < len(texts) - 4
+
+
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    """Texts with one or two planted edits: similarities from below 0.8 to above 0.85, in pairs that no third text links."""
+    import corpus_pipeline
+
+    texts, alike = [], []
+    for k in range(24):
+        base = prose(3000 + k, 60 + k).replace(".", "")
+        texts += [base, edited(base, 3000 + k, 1 + k % 2)]
+        a, b = map(shingles, texts[-2:])
+        alike.append(len(a & b) / len(a | b))
+    assert sum(0.8 <= x < 0.85 for x in alike) > 2 and min(alike) < 0.8 and max(alike) > 0.85
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, texts), SF).collect()}
+    assert got == {2 * k for k in range(24)} | {2 * k + 1 for k, x in enumerate(alike) if x < 0.8}
