@@ -6,6 +6,11 @@ of at least two consecutive sentences with MIN_WORDS words or more is hashed for
 sentence backwards; a single sentence of SOLO_WORDS words is a run too. So a passage of two sentences and MIN_WORDS
 words or more that two texts share is covered by shared runs up to its last sentence. Run hashes are joined over all documents, and the
 sentences of every run but the first (smallest doc_id, then place) are removed.
+
+Passages of PASSAGE words or more whose edges fall inside sentences are found by words. Of each PASSAGE words the SEED
+words with the smallest hash are joined along with the runs; around seeds that occur twice, every PASSAGE words are hashed
+and joined, and the words of all but the first are removed. Windows with fewer than EDGE words outside removed sentences
+aren't asked again: so few words that agree beside a removed sentence may do so by chance, and stay.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from .tables import cut
 from .words import BASE, SPACED, U64, mix, powers, text_blocks, word_hashes
 
 MIN_WORDS, SOLO_WORDS = 20, 40
+PASSAGE, SEED, EDGE = 51, 25, 5
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
 _SPACE = np.zeros(256, bool)
@@ -41,12 +47,68 @@ def _sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, bounds
 
 
+def _window(total: np.ndarray, back: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the width words from each place in at; total and back as in runs."""
+    return mix(mix((total[at + width] - total[at]) * back[at]) + U64(width))
+
+
+def _seeds(words: np.ndarray, total: np.ndarray, back: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Places of the SEED words with the smallest hash in any PASSAGE words of a text."""
+    if len(words) < PASSAGE:
+        return np.empty(0, np.int64)
+    hashes = _window(total, back, np.arange(len(words) - SEED + 1), SEED)
+    first = np.arange(len(words) - PASSAGE + 1)
+    least = first + np.lib.stride_tricks.sliding_window_view(hashes, PASSAGE - SEED + 1).argmin(1)
+    ends = heads[np.searchsorted(heads, first, side="right")]
+    return np.unique(least[first + PASSAGE <= ends])
+
+
+def _word_ranges(found: list[int], starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word, and word after the last, of sentence spans."""
+    spans = np.array(found, np.int64)
+    up = np.append(np.searchsorted(at, starts), len(at))
+    return up[spans >> 32], up[spans & 0xFFFFFFFF]
+
+
+def _covered(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in a range from a to b."""
+    return np.cumsum(np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1))[:n] > 0
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and place of every PASSAGE words that hold a seed, but for those that removed sentences cover."""
+    for batch in batches:
+        marks = batch.column(3).to_pylist()
+        for row, data, offsets in text_blocks(batch.column(2)):
+            starts, bounds = _sentences(data, offsets)
+            words, at, heads = word_hashes(data, offsets)
+            if not len(words):
+                continue
+            total = np.concatenate([[U64(0)], np.cumsum(words * powers(len(words)), dtype=np.uint64)])
+            back = powers(len(words) + 1, _INVERSE)
+            places, texts = [], []
+            for i in range(len(offsets) - 1):
+                n = int(heads[i + 1] - heads[i])
+                seeds = -1 - np.array([m for m in marks[row + i] if m < 0], np.int64)
+                place = np.unique(seeds[:, None] + np.arange(SEED - PASSAGE, 1))
+                place = place[(place >= 0) & (place <= n - PASSAGE)]
+                if found := [m for m in marks[row + i] if m >= 0]:
+                    a, b = _word_ranges(found, starts[bounds[i] : bounds[i + 1]], at[heads[i] : heads[i + 1]])
+                    gone = np.concatenate([[0], np.cumsum(_covered(a, b, n))])
+                    place = place[gone[place + PASSAGE] - gone[place] <= PASSAGE - EDGE]
+                places.append(place)
+                texts.append(np.full(len(place), i))
+            place, of_text = np.concatenate(places), np.concatenate(texts)
+            rows = pa.array(of_text + row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(_window(total, back, place + heads[of_text], PASSAGE).view(np.int64)), pa.array(place)], names=["doc_id", "digest", "h", "place"])
+
+
 def _run_hashes(min_words: int, solo_words: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in text_blocks(batch.column(2)):
                 starts, bounds = _sentences(data, offsets)
-                words, at, _ = word_hashes(data, offsets)
+                words, at, heads = word_hashes(data, offsets)
                 n = len(starts)
                 if not n or not len(words):
                     continue
@@ -71,64 +133,80 @@ def _run_hashes(min_words: int, solo_words: int):
                 h = mix((total[up[b]] - total[up[a]]) * back[up[a]] + (up[b] - up[a]).astype(np.uint64))
                 own = text[a]
                 span = ((a - bounds[own]) << 32) | (b - bounds[own])
-                rows = pa.array(own + row)
+                # seeds are marked by a negative span: -1 - the place of the first word
+                seed = _seeds(words, total, back, heads)
+                of_text = np.searchsorted(heads, seed, side="right") - 1
+                h = np.concatenate([h, _window(total, back, seed, SEED)])
+                span = np.concatenate([span, -1 - (seed - heads[of_text])])
+                rows = pa.array(np.concatenate([own, of_text]) + row)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h.view(np.int64)), pa.array(span)], names=["doc_id", "digest", "h", "span"])
 
     return runs
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text and _spans to the text without the sentences in spans, and three counts; other columns pass."""
+    """text, _spans and _places to the text without the sentences in spans and the passages at places, and three counts;
+    other columns pass."""
     for batch in batches:
-        place = batch.schema.get_field_index("text")
-        texts, spans = batch.column(place), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
+        names = batch.schema.names
+        texts, spans, places = batch.column(names.index("text")), batch.column(names.index("_spans")).to_pylist(), batch.column(names.index("_places")).to_pylist()
         out, counts = texts.to_pylist(), np.zeros((len(texts), 3), np.int64)
         for row, data, offsets in text_blocks(texts):
             starts, bounds = _sentences(data, offsets)
+            counts[row : row + len(offsets) - 1, 0] = np.diff(bounds)
             for i in range(len(offsets) - 1):
-                n = int(bounds[i + 1] - bounds[i])
-                counts[row + i, 0] = n
-                if not (found := spans[row + i]):
+                if not (spans[row + i] or places[row + i]):
                     continue
-                gone = np.zeros(n + 1, np.int64)
-                for s in found:
-                    gone[s >> 32] += 1
-                    gone[s & 0xFFFFFFFF] -= 1
-                gone = np.cumsum(gone)[:n] > 0
-                edge = np.append(starts[bounds[i] : bounds[i + 1]], offsets[i + 1])
-                keep = b"".join(data[edge[j] : edge[j + 1]].tobytes() for j in np.flatnonzero(~gone)).decode()
-                counts[row + i, 1:] = gone.sum(), len(out[row + i]) - len(keep)
+                own = data[offsets[i] : offsets[i + 1]]
+                edge = np.append(starts[bounds[i] : bounds[i + 1]] - offsets[i], len(own))
+                _, at, _ = word_hashes(own, np.array([0, len(own)]))
+                found, place = np.array(spans[row + i] or [], np.int64), np.array(places[row + i] or [], np.int64)
+                a, b = _word_ranges(found, edge[:-1], at)
+                words = _covered(np.concatenate([a, place]), np.concatenate([b, place + PASSAGE]), len(at))
+                to = np.append(at, len(own))
+                gone = _covered(np.concatenate([edge[found >> 32], to[place]]), np.concatenate([edge[found & 0xFFFFFFFF], to[place + PASSAGE]]), len(own))
+                keep = "" if words.all() else own[~gone].tobytes().decode()
+                counts[row + i, 1:] = len(np.unique(np.searchsorted(edge, at[words], side="right"))), len(out[row + i]) - len(keep)
                 out[row + i] = keep
-        columns = [c for k, c in enumerate(batch.columns) if k != place and batch.schema.names[k] != "_spans"]
-        names = [c for c in batch.schema.names if c not in ("text", "_spans")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string()), *(pa.array(counts[:, k]) for k in range(3))], names=[*names, "text", "_n", "_gone", "_chars"])
+        columns = [c for k, c in enumerate(batch.columns) if names[k] not in ("text", "_spans", "_places")]
+        other = [c for c in names if c not in ("text", "_spans", "_places")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string()), *(pa.array(counts[:, k]) for k in range(3))], names=[*other, "text", "_n", "_gone", "_chars"])
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int = SOLO_WORDS) -> DataFrame:
-    """doc_id, digest (of the text) and span (first sentence << 32 | sentence after the last) of each run that is not
-    the first of its kind. Rows without a doc_id or text have none."""
+    """doc_id, digest (of the text), _spans and _places of the texts with repeats: spans (first sentence << 32 | sentence
+    after the last) of the runs, and places (first word) of the PASSAGE words, that are not the first of their kind.
+    Rows without a doc_id or text have none."""
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     runs = rows.mapInArrow(_run_hashes(min_words, solo_words), "doc_id long, digest long, h long, span long")
     # counted before the shuffle and written, so that the join, whose sides are then both plain shuffles, can split a
     # run that very many documents share
     first = runs.groupBy("h").agg(F.min(F.struct("doc_id", "span")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = runs.join(cut(first.select("h", F.col("first.doc_id").alias("d0"), F.col("first.span").alias("s0"))), "h")
-    return again.where("doc_id <> d0 or span <> s0").select("doc_id", "digest", "span")
+    marks = cut(again.where("span < 0 or doc_id <> d0 or span <> s0").groupBy("doc_id", "digest").agg(F.collect_set("span").alias("marks")))
+    seeded = rows.join(marks.where(F.exists("marks", lambda m: m < 0)), ["doc_id", "digest"]).select("doc_id", "digest", "text", "marks")
+    windows = cut(seeded.mapInArrow(_passages, "doc_id long, digest long, h long, place long"))
+    first = windows.groupBy("h").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = windows.join(cut(first.select("h", F.col("first.doc_id").alias("d0"), F.col("first.place").alias("p0"))), "h")
+    # a window that overlaps its first one is kept
+    places = again.where(f"doc_id <> d0 or place >= p0 + {PASSAGE}").groupBy("doc_id", "digest").agg(F.collect_set("place").alias("_places"))
+    both = marks.join(places, ["doc_id", "digest"], "left").select("doc_id", "digest", F.filter("marks", lambda m: m >= 0).alias("_spans"), "_places")
+    return both.where("size(_spans) > 0 or _places is not null")
 
 
 def drop_repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int = SOLO_WORDS) -> DataFrame:
     """docs with text rewritten, and n_sentences, n_removed, chars_removed (long).
 
-    A text keeps its bytes but for the removed sentences; nothing left gives an empty text; a null text stays null with
+    n_removed counts the sentences removed whole or in part. A text keeps its bytes but for what is removed; no word left gives an empty text; a null text stays null with
     zero counts; a row without a doc_id is not changed. Rows with the same doc_id and text count as one (all keep a
     first passage); the order for "first" is doc_id, then place. n_chars, if there is one, is set to the new length.
     Columns of docs with the new names are replaced."""
-    spans = repeated_spans(docs, min_words, solo_words).groupBy("doc_id", "digest").agg(F.collect_set("span").alias("_spans")).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
-    docs = docs.drop("n_sentences", "n_removed", "chars_removed", "_spans")
+    spans = repeated_spans(docs, min_words, solo_words).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+    docs = docs.drop("n_sentences", "n_removed", "chars_removed", "_spans", "_places")
     joined = docs.join(spans, (docs["doc_id"].cast("long") == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_digest")), "left").drop("_id", "_digest")
     other = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in other), "text string, _n long, _gone long, _chars long"])
-    out = joined.select(*(f"`{f.name}`" for f in other), "text", "_spans").mapInArrow(_remove, schema)
+    out = joined.select(*(f"`{f.name}`" for f in other), "text", "_spans", "_places").mapInArrow(_remove, schema)
     out = out.withColumnsRenamed({"_n": "n_sentences", "_gone": "n_removed", "_chars": "chars_removed"})
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

@@ -300,6 +300,24 @@ def test_spans_keep_unique_paragraphs_between_empty_lines(spark, gap):
     assert got[6] == ""
 
 
+def test_spans_remove_long_passages_that_start_and_end_inside_sentences(spark):
+    """Shared words with unique ones before and after in the same sentence; only over 50 words they go."""
+    run = lambda seed, n: [f"w{seed}x{j}" for j in range(n)]
+    long, short, cut_up = run(1, 51), run(2, 50), run(3, 70)
+    for j in range(9, 70, 9):
+        cut_up[j] += "."  # whole sentences inside, which go by themselves; the edges around them go too
+    around = lambda k, *parts: " ".join(w for j, part in enumerate(parts) for w in [*run(f"{k}u{j}", 30), *part]) + " " + " ".join(run(f"{k}e", 30)) + "."
+    texts = [around(k, long, short, cut_up) for k in range(3)] + [around(7, run(4, 60), run(4, 60)), "again " * 300]
+    got = {r.doc_id: r for r in spans.drop_repeated_spans(docs_of(spark, texts)).collect()}
+    kept = {k: r.text.split() for k, r in got.items()}
+    for k in range(1, 3):
+        assert kept[k] == around(k, [], short, []).split()
+    assert set(long) | set(cut_up) <= set(kept[0]) and set(short) <= set(kept[0])
+    assert kept[3] == around(7, run(4, 60), []).split()
+    assert len(kept[4]) == 51
+    assert all(r.chars_removed == len(texts[k]) - len(r.text) and (r.n_removed > 0) == (r.chars_removed > 0) for k, r in got.items())
+
+
 # 7: WARC
 
 def test_warc_round_trip(spark):
