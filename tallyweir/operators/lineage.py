@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +21,18 @@ def lineage_edges(bots: DataFrame) -> DataFrame:
     return read.unionByName(write).distinct()
 
 
-def trace_upstream(roots: DataFrame, events: DataFrame, hops: int = 32) -> DataFrame:
+def trace_upstream(roots: DataFrame, events: DataFrame, hops: int | None = None) -> DataFrame:
     """root, hop, queue, eid, bot and lag of each event from a root (queue, eid) up through its parents. A trace ends at
-    an event without a parent, a parent that isn't there, or a bot that it has met; hops is only a stop for very long
-    chains. All roots go up one hop at a time, by one join; each hop is written, so a lost executor costs one hop."""
+    an event without a parent, a parent that isn't there, or a bot that it has met; where hops are given
+    and events are left after that many, it raises. All roots go up one hop at a time, by one join; each hop is written, so a lost executor costs one hop."""
     known = events.select("queue", "eid", "bot", "source", "start", (F.col("timestamp") - F.col("event_source_timestamp")).alias("lag"))
     now = roots.select(F.col("eid").alias("root"), "queue", "eid").join(known, ["queue", "eid"])
     now = now.select("root", F.lit(0).alias("hop"), "queue", "eid", "bot", "lag", "source", "start", F.array("bot").alias("seen"))
     out = None
-    for k in range(1, hops + 1):
+    for k in count(1):
         now = cut(now)
+        if hops is not None and k > hops and not now.isEmpty():
+            raise ValueError(f"a trace is longer than {hops} hops")
         part = now.select("root", "hop", "queue", "eid", "bot", "lag")
         out = part if out is None else out.unionByName(part)
         up = now.where("start is not null").select("root", "seen", F.col("source").alias("queue"), F.col("start").alias("eid"))
@@ -39,14 +43,16 @@ def trace_upstream(roots: DataFrame, events: DataFrame, hops: int = 32) -> DataF
     return out
 
 
-def trace_downstream(roots: DataFrame, reads: DataFrame, writes: DataFrame, hops: int = 32) -> DataFrame:
+def trace_downstream(roots: DataFrame, reads: DataFrame, writes: DataFrame, hops: int | None = None) -> DataFrame:
     """root, depth, queue, bot, has_processed and lag of the bots downstream of each root (root, queue, eid,
     event_source_timestamp). reads: (bot, queue, checkpoint, source_timestamp); writes: (bot, queue). A bot has processed
     an event that its checkpoint is past; its lag is 0 then, else the time it is behind. Only processed bots are passed,
-    and each queue is visited once for a root."""
+    and each queue is visited once for a root. Where hops are given and queues are left after that many, it raises."""
     now = roots.select("root", "eid", "event_source_timestamp", "queue")
     seen, out = now.select("root", "queue"), None
-    for depth in range(hops):
+    for depth in count():
+        if hops is not None and depth >= hops:
+            raise ValueError(f"a trace is longer than {hops} hops")
         at = now.join(reads.select("bot", "queue", "checkpoint", "source_timestamp"), "queue").withColumn("has_processed", F.coalesce(F.col("checkpoint") > F.col("eid"), F.lit(False)))
         at = cut(at.withColumn("lag", F.when(F.col("has_processed"), F.lit(0).cast("long")).otherwise(F.col("source_timestamp") - F.col("event_source_timestamp"))))
         part = at.select("root", F.lit(depth).alias("depth"), "queue", "bot", "has_processed", "lag")

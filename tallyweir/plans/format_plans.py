@@ -51,9 +51,13 @@ def custom_parse(spark, sf):
 
 
 def polling_source(spark, sf):
-    """Orders polled in ranges of 20,000 keys until a range is empty."""
+    """Orders polled up to the largest key, in ranges of 20,000 keys, or at most 16 longer ones."""
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("position"), "o_custkey", "o_totalprice")
-    return formats.poll_pages(lambda at: orders.where((F.col("position") > at) & (F.col("position") <= at + 20_000)), -1, 20_000)
+    first, last = orders.agg(F.min("position"), F.max("position")).first()
+    if last is None:
+        return orders
+    step = max(20_000, -(-(last - first + 1) // 16))
+    return formats.poll_pages(lambda at: orders.where((F.col("position") > at) & (F.col("position") <= at + step)), first - 1, step, last=last)
 
 
 def explode_chunks(spark, sf):

@@ -116,16 +116,17 @@ def append_batch(events: DataFrame, path: str, batch: int) -> None:
     events.withColumn("batch", F.lit(batch)).write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
-def poll_pages(fetch: Callable[[int], DataFrame], state: int, step: int, records: int | None = None, seconds: float | None = None) -> DataFrame | None:
-    """Rows of fetch(state) for one state after the other until it gives none, or records or seconds are reached; None
-    if there are none at all. fetch gives the rows with state < position <= state + step; each page is written before
+def poll_pages(fetch: Callable[[int], DataFrame], state: int, step: int, records: int | None = None, seconds: float | None = None, last: int | None = None) -> DataFrame | None:
+    """Rows of fetch(state) for one state after the other until it gives none, or with last, over empty ranges too, until
+    the state has reached last; or until records or seconds are reached. None if there are none at all. fetch gives the rows with state < position <= state + step; each page is written before
     the state moves, so a lost executor costs one page and a later run goes on from the last state."""
     out, n, began = None, 0, time.monotonic()
-    while (records is None or n < records) and (seconds is None or time.monotonic() - began < seconds):
+    while (last is None or state < last) and (records is None or n < records) and (seconds is None or time.monotonic() - began < seconds):
         page = cut(fetch(state))
-        if not (got := page.count()):
+        if not (got := page.count()) and last is None:
             break
-        out = page if out is None else out.unionByName(page)
+        if got:
+            out = page if out is None else out.unionByName(page)
         n, state = n + got, state + step
     return out
 

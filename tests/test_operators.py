@@ -188,3 +188,25 @@ def test_streams_give_all_rows_or_an_error(spark, tmp_path):
     with pytest.raises(TimeoutError):
         streams.batch_stream(stream(), 100, seconds=0.01)
     assert all(inspect.signature(f).parameters["seconds"].default is None for f in (streams.run_batches, streams.batch_stream))
+
+
+def test_polling_goes_on_over_a_gap(spark, tmp_path):
+    from tallyweir.plans import format_plans
+
+    spark.range(10).selectExpr("if(id < 5, id, id + 1000000) as o_orderkey", "id as o_custkey", "1.0 as o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    assert format_plans.polling_source(spark, str(tmp_path)).count() == 10
+
+
+def test_long_traces_are_whole_or_an_error(spark):
+    n = 35
+    e = spark.createDataFrame([(f"q{k}", f"z/{k}", f"b{k}", f"q{k - 1}" if k else None, f"z/{k - 1}" if k else None, 7, 5) for k in range(n)], "queue string, eid string, bot string, source string, start string, timestamp long, event_source_timestamp long").coalesce(1)
+    root = e.where(f"queue = 'q{n - 1}'").select("queue", "eid")
+    assert lineage.trace_upstream(root, e).count() == n
+    with pytest.raises(ValueError):
+        lineage.trace_upstream(root, e, hops=3)
+    reads = spark.createDataFrame([(f"b{k}", f"q{k}", "z/9", 7) for k in range(n)], "bot string, queue string, checkpoint string, source_timestamp long").coalesce(1)
+    writes = spark.createDataFrame([(f"b{k}", f"q{k + 1}") for k in range(n)], "bot string, queue string").coalesce(1)
+    start = spark.createDataFrame([("z/1", "z/1", 5, "q0")], "root string, eid string, event_source_timestamp long, queue string")
+    assert lineage.trace_downstream(start, reads, writes).count() == n
+    with pytest.raises(ValueError):
+        lineage.trace_downstream(start, reads, writes, hops=3)
