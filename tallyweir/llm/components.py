@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import cut
+from .tables import new_path, remove, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,11 +26,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Nulls and self-links are ignored, repeated links count once, an empty table gives an empty table. The number of
     steps grows with the logarithm of the longest path; no step brings rows to the driver."""
-    edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark = links.sparkSession
+    path = new_path(spark, "edges")
+    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), path)
     print_of = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
     seen = print_of(edges)
     while seen[0]:
-        edges = cut(_stars(_stars(edges, True), False))
+        before, path = path, new_path(spark, "edges")
+        edges = written(_stars(_stars(edges, True), False), path)
+        remove(spark, before)
         if (now := print_of(edges)) == seen:
             break
         seen = now

@@ -1,9 +1,11 @@
-"""Reading the given tables, and cutting lineage in the shared folder."""
+"""Reading the given tables, cutting lineage in the shared folder, and names that don't clash."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,16 +15,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where nothing is set, as in tests."""
+    """The folder named by spark.checkpoint.dir. Where nothing is set, a temporary folder serves a local master, as in
+    tests; on a cluster it would be another folder on each machine, so that is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
+def new_path(spark: SparkSession, what: str) -> str:
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it back: later steps restart from there when executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, new_path(df.sparkSession, "cut"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing will read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def private(taken: Iterable[str], *names: str) -> list[str]:
+    """names, made longer where a column of taken is called so (in whatever case)."""
+    have, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def ddl(df: DataFrame, names: Iterable[str]) -> str:
+    """name type, ... of columns of df."""
+    return ", ".join(f"{quoted(c)} {df.schema[c].dataType.simpleString()}" for c in names)
+
+
+def by_plain_names(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """step(docs), whose columns are docs' own, for names that Arrow steps can't take (with points or backticks)."""
+    if all(re.fullmatch(r"\w+", c) for c in docs.columns):
+        return step(docs)
+    plain = [c if re.fullmatch(r"\w+", c) else private(docs.columns, f"column{k}")[0] for k, c in enumerate(docs.columns)]
+    return step(docs.toDF(*plain)).toDF(*docs.columns)
