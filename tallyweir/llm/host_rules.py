@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import cut
+from .tables import cut, private, quoted
 
 #: Patterns of the contract: words, symbols, lines.
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -21,34 +21,36 @@ HOST_LIMIT = 0.6
 #: Hosts up to which the verdicts of rejected hosts are shipped to every task.
 BROADCAST_HOSTS = 200_000
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+NEW = [*MEASURES, "base_failed", "host_rate", "kept"]
 
 
-def with_measures(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and base_failed; columns of docs with
-    these names are replaced. A null text has no words and measures 0."""
+def with_measures(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns in keep (default: all of docs) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long)
+    and base_failed; columns of docs with these names are replaced. A null text has no words and measures 0.
+
+    The measures are one chain of expressions. Filters on them are pushed down by writing the chain out in place of each
+    column, so write the result before filtering it."""
     k = REPEAT_WIDTH
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.filter(F.split(text, GAP), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
-    kept = [c for c in docs.columns if c not in [*MEASURES, "base_failed"]]
-    one = docs.select(*(f"`{c}`" for c in kept), words.alias("_w"), lines.alias("_l"), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
-    hashes = F.when(F.size("_w") >= k, F.transform(F.sequence(F.lit(0), F.size("_w") - k), lambda i: F.xxhash64(*(F.get(F.col("_w"), i + j) for j in range(k)))))
+    kept = [quoted(c) for c in (docs.columns if keep is None else keep) if c.lower() not in NEW[:6]]
+    w, ln, h, o, p = private(docs.columns, "w", "l", "h", "o", "p")
+    one = docs.select(*kept, words.alias(w), lines.alias(ln), F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
+    hashes = F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(*(F.get(F.col(w), i + j) for j in range(k)))))
     two = one.select(
-        *(f"`{c}`" for c in kept), "n_symbols", F.size("_w").cast("long").alias("n_words"), F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"), hashes.alias("_h"),
+        *kept, "n_symbols", F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        (F.size(ln) - F.size(F.array_distinct(ln))).cast("long").alias("n_dup_lines"), hashes.alias(h),
     )
-    repeats = F.size(F.array_distinct("_h")) < F.size("_h")
-    order = F.when(repeats, F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    three = two.select(*(f"`{c}`" for c in kept), "n_symbols", "n_words", "word_chars", "n_dup_lines", order.alias("_o"))
-    twice = F.filter(F.col("_o"), lambda x, i: (x["h"] == F.get(F.col("_o"), i - 1)["h"]) | F.coalesce(x["h"] == F.get(F.col("_o"), i + 1)["h"], F.lit(False)))
-    four = three.select(*(f"`{c}`" for c in kept), "n_symbols", "n_words", "word_chars", "n_dup_lines", F.array_sort(F.transform(twice, lambda x: x["i"])).alias("_p"))
-    covered = F.aggregate(F.transform(F.col("_p"), lambda p, i: F.coalesce(F.least(F.get(F.col("_p"), i + 1) - p, F.lit(k)), F.lit(k))), F.lit(0), lambda a, x: a + x)
+    repeats = F.size(F.array_distinct(h)) < F.size(h)
+    order = F.when(repeats, F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))))
+    three = two.select(*kept, "n_symbols", "n_words", "word_chars", "n_dup_lines", order.alias(o))
+    twice = F.filter(F.col(o), lambda x, i: (x["h"] == F.get(F.col(o), i - 1)["h"]) | F.coalesce(x["h"] == F.get(F.col(o), i + 1)["h"], F.lit(False)))
+    four = three.select(*kept, "n_symbols", "n_words", "word_chars", "n_dup_lines", F.array_sort(F.transform(twice, lambda x: x["i"])).alias(p))
+    covered = F.aggregate(F.transform(F.col(p), lambda x, i: F.coalesce(F.least(F.get(F.col(p), i + 1) - x, F.lit(k)), F.lit(k))), F.lit(0), lambda a, x: a + x)
     five = four.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # a generated row: without it a later filter on a measure is pushed down by writing the whole chain of expressions out
-    # in place of each column, inside the lambdas too
-    row = F.explode(F.array(F.struct(*MEASURES, failed.alias("base_failed")))).alias("_m")
-    return five.select(*(f"`{c}`" for c in kept), row).select(*(f"`{c}`" for c in kept), "_m.*")
+    return five.select(*kept, *MEASURES, failed.alias("base_failed"))
 
 
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
@@ -66,20 +68,27 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     return by.join(F.broadcast(prior)).withColumn("shrunk", (F.col("failed") + F.col("mean") * F.col("weight")) / (F.col("n") + F.col("weight"))).select("host", "n", "failed", "rate", "shrunk")
 
 
-def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """docs with the measures, base_failed, host_rate (shrunk), and kept: neither the rules nor the host's shrunk rate
-    reject it. Without the host column all documents have one (null) host. An empty table gives an empty table."""
-    if host not in docs.columns:
-        docs = docs.withColumn(host, F.lit(None).cast("string"))
-    docs = docs.drop("host_rate", "kept")
-    measured = with_measures(docs)
-    rates = cut(host_rates(with_measures(docs.select(host, "text")), host)).select(F.col("host").alias("_host"), F.col("shrunk").alias("host_rate"))
+def judge(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT, keep: list[str] | None = None, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+    """The columns in keep (default: all of docs) with the measures, base_failed, host_rate (shrunk), and kept: neither
+    the rules nor the host's shrunk rate reject it. Columns of docs with these names are replaced. Without the host
+    column all documents have one (null) host. An empty table gives an empty table.
+
+    The measures are taken once and written with the columns that are kept; the hosts' sums and the result read that.
+    broadcast_hosts changes the plan, never the result."""
+    at, rate = private([*docs.columns, *NEW], "host", "rate")
+    source = F.col(quoted(host)).cast("string") if host in docs.columns else F.lit(None).cast("string")
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in NEW]
+    measured = cut(with_measures(docs.withColumn(at, source), [*names, at]))
+    rates = cut(host_rates(measured, at)).select(F.col("host").alias(rate), F.col("shrunk").alias("host_rate"))
     # a verdict for each host; shipped where there are few hosts, else joined by host with AQE's skew handling
-    few = rates.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    joined = measured.join(F.broadcast(rates) if few else rates, measured[host].eqNullSafe(F.col("_host")), "left").drop("_host")
-    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= limit))
+    few = rates.limit(broadcast_hosts + 1).count() <= broadcast_hosts
+    joined = measured.join(F.broadcast(rates) if few else rates, F.col(at).eqNullSafe(F.col(rate)), "left")
+    kept = ~F.col("base_failed") & (F.col("host_rate") <= limit)
+    return joined.select(*map(quoted, names), *MEASURES, "base_failed", "host_rate", kept.alias("kept"))
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """docs (its columns) without the rejected rows."""
-    return judge(docs).where("kept").select(*(f"`{c}`" for c in docs.columns))
+    """docs (its columns, whatever their names) without the rejected rows."""
+    clash = {c: private([*docs.columns, *NEW], f"own_{c}")[0] for c in docs.columns if c.lower() in NEW}
+    passed = judge(docs.withColumnsRenamed(clash)).where("kept")
+    return passed.select(*(F.col(quoted(clash.get(c, c))).alias(c) for c in docs.columns))

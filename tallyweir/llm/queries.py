@@ -33,7 +33,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = host_rules.judge(table(spark, sf_dir, "documents"))
+    judged = host_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select("doc_id", *host_rules.MEASURES, "base_failed", "kept")
 
 
