@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import cut
+from .tables import cut, private
 from .words import BASE, U64, mix, text_blocks, windows, word_hashes
 
 BANDS, LOW_BANDS, ROWS, SHINGLE = 28, 40, 5, 5
@@ -188,7 +188,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4, bands: i
         if step == "second hub" and not all(r.few for r in left):
             degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
             ranked = open_.join(degree, "id", "left").select("key", "id", "n_shingles", "part", F.struct(-F.coalesce("degree", F.lit(0)), "id", "n_shingles", "part").alias("rank"))
-            hub = ranked.groupBy("key").agg(F.min("rank").alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_n"), F.col("h.part").alias("hub_part"))
+            # written, so that the join's sides are both plain and AQE can split a bucket that is hot
+            hub = cut(ranked.groupBy("key").agg(F.min("rank").alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_n"), F.col("h.part").alias("hub_part")))
             open_ = cut(open_.select("key", "id", "n_shingles", "part").join(hub, "key"))
             ask = open_.where("id <> hub and part <> hub_part").where(near(F.col("n_shingles"), F.col("hub_n"))).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
             ask = cut(ask.distinct().join(tested, ["a", "b"], "left_anti"))
@@ -208,8 +209,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4, bands: i
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS) -> DataFrame:
-    """docs with one row of each near-duplicate group: the document with the smallest doc_id, once. Rows without a
-    doc_id stay. Columns are docs' own."""
-    verdict = near_duplicates(docs, percent, bands=bands).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(verdict, docs["doc_id"] == F.col("_gone"), "left_anti")
-    return rest
+    """docs (its columns) without the documents of a near-duplicate group other than the one with the smallest doc_id.
+    Rows without a doc_id stay; rows that share a doc_id are one document, and stay or go together."""
+    (gone,) = private(docs.columns, "gone")
+    verdict = near_duplicates(docs, percent, bands=bands).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(verdict, docs["doc_id"].cast("long") == F.col(gone), "left_anti")
