@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import by_plain_names, cut, ddl, private, quoted
+
 WINDOW = 10
 #: Bytes of item text in one block: what the driver and each task hold at most.
 BLOCK_BYTES = 8_000_000
@@ -63,7 +65,7 @@ class Patterns:
             at += 1
 
 
-def _tables(items: list[tuple[int, bytes]], window: int) -> list[Patterns]:
+def _tables(items: list[tuple[int | str, bytes]], window: int) -> list[Patterns]:
     by_length: dict[int, dict] = defaultdict(dict)
     for item, text in items:
         words = words_of(text)
@@ -75,8 +77,9 @@ def _tables(items: list[tuple[int, bytes]], window: int) -> list[Patterns]:
     return [Patterns(p) for p in by_length.values()]
 
 
-def _searcher(items, window: int):
-    """items: a broadcast list of (item, text)."""
+def _searcher(items, window: int, kind: pa.DataType, names: list[str], hits_only: bool = False):
+    """For batches whose last column is a text: the others with n_words, spans and items, called names. items: a
+    broadcast list of (item, text), whose ids are of this kind. hits_only leaves rows without a hit out."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(items.value, window)
@@ -98,47 +101,63 @@ def _searcher(items, window: int):
                 n_words.append(len(words))
                 spans.append([{"start": a, "end": b} for a, b in merged])
                 found.append(sorted(seen))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(spans, kind), pa.array(found, pa.list_(pa.int64()))], names=[*batch.schema.names[:-1], "n_words", "spans", "items"])
+            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            out = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(spans, span), pa.array(found, pa.list_(kind))], names=[*batch.schema.names[:-1], *names])
+            yield out.filter(pa.array([bool(x) for x in found], pa.bool_())) if hits_only else out
 
     return search
 
 
-def _item_blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
-    """The items in parts whose texts have about block_bytes together, decided from their summed size."""
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").cast("binary").alias("text"))
+def _item_blocks(benchmark: DataFrame, block_bytes: int) -> tuple[list[DataFrame], bool]:
+    """The items in parts whose texts have about block_bytes together, decided from their summed size; and whether
+    their ids are whole numbers (else they are taken as strings)."""
+    number = benchmark.schema["item_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long" if number else "string").alias("item_id"), F.col("text").cast("string").cast("binary").alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     n = max(1, -(-total // block_bytes))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items for k in range(n)]
+    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items for k in range(n)], number
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int, block_bytes: int) -> tuple[DataFrame, list[str]]:
+    """The columns in keep of every row with n_words, spans and items, whose names (which no column of docs has) are
+    given too."""
+    sc = docs.sparkSession.sparkContext
+    parts, number = _item_blocks(benchmark, block_bytes)
+    raw, mark, key, *names = private(docs.columns, "raw", "mark", "key", "n_words", "spans", "items")
+    kind, item = (pa.int64(), "long") if number else (pa.string(), "string")
+    made = f"{names[0]} long, {names[1]} array<struct<start:long,end:long>>, {names[2]} array<{item}>"
+    text = F.col("text").cast("string")
+    blocks = [sc.broadcast([(r.item_id, bytes(r.text)) for r in part.collect()]) for part in parts]
+    if len(blocks) == 1:
+        return docs.select(*map(quoted, keep), text.cast("binary").alias(raw)).mapInArrow(_searcher(blocks[0], window, kind, names), f"{ddl(docs, keep)}, {made}"), names
+    # what a text holds depends on the text alone: each further block gives the texts that it hits, by digest, and only
+    # these few rows are grouped and joined back
+    first = docs.select(*map(quoted, keep), F.md5(text).alias(mark), text.cast("binary").alias(raw)).mapInArrow(_searcher(blocks[0], window, kind, names), f"{ddl(docs, keep)}, {mark} string, {made}")
+    hits = None
+    for block in blocks[1:]:
+        one = docs.where("text is not null").select(F.md5(text).alias(key), text.cast("binary").alias(raw)).mapInArrow(_searcher(block, window, kind, names, True), f"{key} string, {made}")
+        hits = one if hits is None else hits.unionByName(one)
+    more_spans, more_items = private([*docs.columns, raw, mark, key, *names], "more_spans", "more_items")
+    hits = cut(hits.groupBy(key).agg(F.flatten(F.collect_set(names[1])).alias(more_spans), F.array_distinct(F.flatten(F.collect_set(names[2]))).alias(more_items)))
+    both = first.join(hits, F.col(mark) == F.col(key), "left")
+    spans = F.aggregate(F.array_sort(F.concat(names[1], F.coalesce(more_spans, F.slice(names[1], 1, 0)))), F.array().cast("array<struct<start:long,end:long>>"), _join_spans)
+    items = F.array_sort(F.array_distinct(F.concat(names[2], F.coalesce(more_items, F.slice(names[2], 1, 0)))))
+    return both.select(*map(quoted, keep), names[0], F.when(F.col(key).isNull(), F.col(names[1])).otherwise(spans).alias(names[1]), items.alias(names[2])), names
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The columns in keep (default doc_id) of each row of docs with n_words, n_hit, spans (start, end of hit words,
-    joined where they meet) and item_ids (array<long>, the items with an occurring window, ascending).
+    """The columns in keep (default doc_id; those with a new name are replaced) of each row of docs with n_words, n_hit,
+    spans (start, end of hit words, joined where they meet) and item_ids (the items with an occurring window, ascending;
+    longs, or strings if benchmark's ids aren't whole numbers).
 
     Null or empty texts have no words and no hits; items without words, id or text have no windows; items with equal
-    windows are all named. A benchmark of several blocks needs docs' rows twice: each pass's spans are joined by row
-    content (all kept columns and the text's hash), so equal rows count as one."""
-    keep = keep or ["doc_id"]
-    sc = docs.sparkSession.sparkContext
-    fields = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "{}n_words long, spans array<struct<start:long,end:long>>, items array<long>"])
-    text = F.col("text").cast("string").cast("binary").alias("_bytes")
-    parts = _item_blocks(benchmark, block_bytes)
-    found = None
-    for part in parts:
-        items = sc.broadcast([(r.item_id, bytes(r.text)) for r in part.collect()])
-        extra = [F.xxhash64("text").alias("_digest")] if len(parts) > 1 else []
-        one = docs.select(*(f"`{c}`" for c in keep), *extra, text).mapInArrow(_searcher(items, window), schema.format("_digest long, " if extra else ""))
-        found = one if found is None else found.unionByName(one)
-    if len(parts) > 1:
-        # equal rows give equal results: each pass sends one of them
-        by = [*keep, "_digest", "n_words"]
-        found = found.groupBy(*by).agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), (F.count(F.lit(1)) / len(parts)).cast("int").alias("_n"))
-        joined = F.aggregate(F.array_sort("spans"), F.array().cast("array<struct<start:long,end:long>>"), _join_spans)
-        found = found.withColumn("spans", joined).withColumn("_k", F.explode(F.sequence(F.lit(1), "_n"))).drop("_n", "_k", "_digest")
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return found.select(*(f"`{c}`" for c in keep), "n_words", n_hit.alias("n_hit"), "spans", F.col("items").alias("item_ids"))
+    windows are all named. A benchmark of several blocks needs a pass over the texts for each; only texts with hits are
+    shuffled then."""
+    new = ["n_words", "n_hit", "spans", "item_ids"]
+    keep = [c for c in keep or ["doc_id"] if c.lower() not in new]
+    found, (words, spans, items) = _search(docs, benchmark, keep, window, block_bytes)
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(*map(quoted, keep), F.col(words).alias("n_words"), n_hit.alias("n_hit"), F.col(spans).alias("spans"), F.col(items).alias("item_ids"))
 
 
 def _join_spans(acc, s):
@@ -148,6 +167,11 @@ def _join_spans(acc, s):
     return F.when(meets, grown).otherwise(F.concat(acc, F.array(s)))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs (its columns) without the rows that hold a benchmark window."""
-    return contamination(docs, benchmark, docs.columns).where("n_hit = 0").select(*(f"`{c}`" for c in docs.columns))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs (its columns, whatever their names) without the rows that hold a benchmark window."""
+
+    def clean(d: DataFrame) -> DataFrame:
+        found, (_, spans, _) = _search(d, benchmark, d.columns, window, block_bytes)
+        return found.where(F.size(spans) == 0).select(*d.columns)
+
+    return by_plain_names(docs, clean)
