@@ -50,7 +50,18 @@ def blocks_of(turns: DataFrame) -> DataFrame:
     single = lambda x: F.array(F.struct(x["role"].alias("role"), F.array(x["text"]).alias("texts")))
     chunk = chunk.select("conv_id", "chunk", F.aggregate("t", F.array().cast(_BLOCKS), lambda acc, x: _merge(acc, single(x))).alias("blocks"))
     whole = chunk.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("chunk", "blocks"))).alias("c"))
-    return whole.select("conv_id", F.aggregate("c", F.array().cast(_BLOCKS), lambda acc, x: _merge(acc, x["blocks"])).alias("blocks"))
+    flat = whole.select("conv_id", F.flatten(F.transform("c", lambda x: x["blocks"])).alias("b"))
+    # where chunks meet in one role their blocks are one: places of first blocks, then each stretch is copied once
+    first = F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: (i == 0) | (F.get("b", i)["role"] != F.get("b", i - 1)["role"]))
+    placed = flat.withColumn("at", F.concat(first, F.array(F.size("b"))))
+
+    def stretch(k: Column) -> Column:
+        i, to = F.get("at", k), F.get("at", k + 1)
+        texts = F.flatten(F.transform(F.slice("b", i + 1, to - i), lambda x: x["texts"]))
+        return F.struct(F.get("b", i)["role"].alias("role"), texts.alias("texts"))
+
+    joined = F.transform(F.sequence(F.lit(0), F.size("at") - 2), stretch)
+    return placed.select("conv_id", joined.alias("blocks"))
 
 
 def format_chat(turns: DataFrame, learn: str = "assistant") -> DataFrame:
