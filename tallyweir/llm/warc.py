@@ -107,15 +107,55 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT, min_revi
     records.select(F.col("record").cast("string").alias("value")).write.format("text").option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).save(path)
 
 
-def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")[1:]
+def _inflated(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """A file's bytes piece by piece; gzip members are inflated one after the other, never as a whole."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[i : i + step] for i in range(0, len(content), step))
+        return
+    at, rest, d, begun = 0, b"", zlib.decompressobj(31), False
+    while rest or at < len(content):
+        if not rest:
+            rest, at = content[at : at + step], at + step
+        begun = True
+        yield d.decompress(rest, step)
+        rest = d.unconsumed_tail
+        if d.eof:
+            rest, d, begun = d.unused_data, zlib.decompressobj(31), False
+    if begun:
+        yield d.flush()
+        if not d.eof:
+            raise ValueError("a gzip member is cut off")
+
+
+def _records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of a file whose bytes come in pieces; one record is held at a time. A record
+    that is cut off is an error."""
+    held, done = bytearray(), False
+
+    def more() -> bool:
+        nonlocal done
+        if (piece := next(pieces, None)) is None:
+            done = True
+        else:
+            held.extend(piece)
+        return not done
+
+    while True:
+        while (at := held.find(b"WARC/")) < 0:
+            if not more():
+                return
+        del held[:at]
+        while (end := held.find(b"\r\n\r\n")) < 0:
+            if not more():
+                raise ValueError("a record's headers are cut off")
+        lines = held[:end].decode().split("\r\n")[1:]
         head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        n = int(head["content-length"])
-        yield head, data[end + 4 : end + 4 + n]
-        at = end + 4 + n
+        to = end + 4 + int(head["content-length"])
+        while len(held) < to:
+            if not more():
+                raise ValueError("a record is cut off")
+        yield head, bytes(held[end + 4 : to])
+        del held[:to]
 
 
 def _page(urn: str | None) -> int | None:
@@ -129,16 +169,8 @@ def _parse(whole: bool):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                raw = content.as_buffer().to_pybytes()
-                if raw[:2] == b"\x1f\x8b":
-                    parts = []
-                    while raw:
-                        d = zlib.decompressobj(31)
-                        parts.append(d.decompress(raw))
-                        raw = d.unused_data
-                    raw = b"".join(parts)
                 out, size = [], 0
-                for head, block in _records(raw):
+                for head, block in _records(_inflated(content.as_buffer().to_pybytes())):
                     if (kind := head.get("warc-type")) not in ("response", "revisit", "continuation") or whole == ("warc-segment-number" in head):
                         continue
                     digest = head.get("warc-payload-digest")
@@ -159,7 +191,10 @@ def _parse(whole: bool):
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         payload, digest, n = [], [], []
-        for kind, block, stated, size in zip(*(batch.column(c).to_pylist() for c in ("record_type", "block", "digest", "payload_bytes")), strict=True):
+        for kind, blocks, total, stated, size in zip(*(batch.column(c).to_pylist() for c in ("record_type", "blocks", "total", "digest", "payload_bytes")), strict=True):
+            block = b"".join(blocks)
+            if total is not None and total != len(block):
+                raise ValueError("incomplete segments: not of the stated length")
             if kind == "revisit":
                 payload.append(None)
                 digest.append(stated)
@@ -181,17 +216,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     for a revisit) of each page in the archives under path. A page whose segments are not all there, or whose length is
     not as stated, is an error: archives are read whole or not at all."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*part-*").load(path).select("content")
-    single = files.mapInArrow(_parse(True), _READ)
-    # only segmented pages are shuffled
+    single = files.mapInArrow(_parse(True), _READ).withColumn("blocks", F.array("block")).drop("block")
+    # only segmented pages are shuffled; their segments are joined in one step where they are decoded
     parts = files.mapInArrow(_parse(False), _READ).groupBy("origin").agg(
         F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("s"), F.max("total").alias("total"),
         *(F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in ("page_id", "digest", "target_uri")),
     )
-    block = F.aggregate("s", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
-    complete = (F.element_at("s", 1)["segment"] == 1) & (F.element_at("s", -1)["segment"] == F.size("s"))
-    parts = parts.withColumn("block", block)
-    checked = F.when(complete & (F.octet_length("block") == F.col("total")), F.col("block")).otherwise(F.raise_error(F.concat(F.lit("incomplete segments of "), F.col("origin"))))
-    whole = parts.select("page_id", F.lit("response").alias("record_type"), "origin", F.lit(1).alias("segment"), "total", F.lit(None).cast("long").alias("refers_to"), "digest", F.lit(None).cast("long").alias("payload_bytes"), "target_uri", checked.alias("block"))
+    complete = (F.element_at("s", 1)["segment"] == 1) & (F.element_at("s", -1)["segment"] == F.size("s")) & F.col("total").isNotNull()
+    checked = F.when(complete, F.transform("s", lambda x: x["block"])).otherwise(F.raise_error(F.concat(F.lit("incomplete segments of "), F.col("origin"))))
+    whole = parts.select("page_id", F.lit("response").alias("record_type"), "origin", F.lit(1).alias("segment"), "total", F.lit(None).cast("long").alias("refers_to"), "digest", F.lit(None).cast("long").alias("payload_bytes"), "target_uri", checked.alias("blocks"))
     decoded = "page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     return single.unionByName(whole).mapInArrow(_decode, decoded)
 
