@@ -67,6 +67,17 @@ def test_chat_merges_adjacent_roles(spark):
     assert chat.format_chat(df).first().formatted == "<s>[INST]user[/INST]a</s><s>[INST]assistant[/INST]b[NEXT]<\\/s></s>"
 
 
+def test_long_conversations_merge_over_chunks(spark):
+    """One role over many chunks, and roles that change at the edges of chunks."""
+    n = chat.CHUNK
+    rows = [(1, t, "user", f"a{t}") for t in range(5 * n)] + [(2, t, "user" if t // n % 2 else "assistant", f"b{t}") for t in range(4 * n)] + [(3, t, "user" if t < n + 3 else "assistant", "c") for t in range(3 * n)] + [(4, 0, "user", "d")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    blocks = {r.conv_id: [(b.role, len(b.texts)) for b in r.blocks] for r in chat.blocks_of(df).collect()}
+    assert blocks == {1: [("user", 5 * n)], 2: [("assistant", n), ("user", n)] * 2, 3: [("user", n + 3), ("assistant", 2 * n - 3)], 4: [("user", 1)]}
+    got = {x.conv_id: (x.n_turns, x.turns_sha256, x.loss_chars, x.loss_sha256) for x in chat.digests(chat.format_chat(df)).collect()}
+    assert got == brute_chat(rows)
+
+
 # 2: near duplicates
 
 def shingles(text):
@@ -192,6 +203,15 @@ def test_measures(spark):
     assert host_rules.passing(df).columns == df.columns
 
 
+@pytest.mark.parametrize("shipped", [0, 1000])
+def test_hosts_joined_and_shipped_alike(spark, shipped):
+    """Many hosts (a join) and few (a broadcast) give the same; repeated rows count each time."""
+    rows = [(k, "too short" if k % 3 else prose(k, 30), "en", None if k % 7 == 0 else f"h{k % 5}", 1) for k in range(60)] * 2
+    df = spark.createDataFrame(rows, DOC)
+    want = sorted(map(tuple, host_rules.judge(df, keep=["doc_id"]).collect()))
+    assert sorted(map(tuple, host_rules.judge(df, keep=["doc_id"], broadcast_hosts=shipped).collect())) == want and len(want) == 120
+
+
 def test_a_bad_host_goes_and_small_hosts_are_shrunk(spark):
     good, bad = prose(3, 40), "too short"
     rows = [(k, bad if k % 10 else good, "en", "junk", 1) for k in range(200)] + [(1000 + k, bad if k % 10 == 0 else good, "en", f"h{k % 12}", 1) for k in range(600)] + [(5000, good, "en", None, 1), (5001, bad, "en", "lone", 1), (5002, good, "en", "lone", 1)]
@@ -225,6 +245,13 @@ def test_decontamination_brute_force(spark, block_bytes):
     assert got == {k: brute_hits(t, [x for x in items if x[0] is not None]) for k, t in enumerate([*texts, texts[8]])}
 
 
+def test_decontamination_with_item_names(spark):
+    bench = spark.createDataFrame([("b/2", prose(11, 12)), ("a-1", prose(11, 12)), ("c", prose(12, 12))], "item_id string, text string")
+    for block_bytes in (10**6, 100):
+        got = decontam.contamination(docs_of(spark, [prose(11, 12), "x"]), bench, block_bytes=block_bytes).orderBy("doc_id").collect()
+        assert [list(r.item_ids) for r in got] == [["a-1", "b/2"], []]
+
+
 def test_decontamination_edges(spark):
     df, bench = docs_of(spark, odd_texts()), spark.createDataFrame([], "item_id long, text string")
     assert decontam.contamination(df, bench).where("n_hit = 0").count() == len(odd_texts())
@@ -284,6 +311,20 @@ def test_spans_edges(spark):
     assert spans.drop_repeated_spans(df.limit(0)).count() == 0
 
 
+def test_spans_of_one_id_and_several_texts(spark):
+    """Rows that share a doc_id and not their text are different texts: the first in order keeps the passage."""
+    shared = " ".join(paragraphs(1, 30, 30))
+    rows = [(7, f"{shared} Own a."), (7, f"{shared} Own b."), (8, f"{shared} Own c.")]
+    got = spans.drop_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(7, 0), (7, 2), (8, 2)]
+
+
+def test_spans_of_a_seeds_length_are_no_repeats(spark):
+    """A run with as many words as a passage's seed is not taken for that seed."""
+    texts = [" ".join(paragraphs(k, 12, 13, 12, 13, 12, 13, 12, 13, 12, 13)) for k in range(40)]
+    assert spans.drop_repeated_spans(docs_of(spark, texts)).where("n_removed > 0").count() == 0
+
+
 def paragraphs(seed, *sizes):
     """Texts of one sentence with that many words each, none of them like another."""
     return [" ".join(f"w{seed}x{k}x{j}" for j in range(n)) + "." for k, n in enumerate(sizes)]
@@ -345,6 +386,20 @@ def test_chunked_framing():
         warc.unchunked(b"4\r\nabc\r\n0\r\n\r\n")
 
 
+def test_archives_are_read_piece_by_piece():
+    """Members, headers and blocks that lie across the pieces; a file that is cut off is an error."""
+    import gzip
+
+    made = [(f"<urn:page:{k}:0>", bytes([k]) * (k * 37)) for k in range(30)]
+    raw = b"".join(warc._record([("WARC-Record-ID", i)], b) + b"\r\n\r\n" for i, b in made)
+    for file in (raw, gzip.compress(raw), b"".join(gzip.compress(raw[i : i + 501]) for i in range(0, len(raw), 501))):
+        for step in (1, 7, 100, 1 << 20):
+            assert [(h["warc-record-id"], b) for h, b in warc._records(warc._inflated(file, step))] == made
+    for file in (raw[:-20], gzip.compress(raw)[:-30]):
+        with pytest.raises(ValueError):
+            list(warc._records(warc._inflated(file, 100)))
+
+
 def test_missing_segments_are_an_error(spark, tmp_path):
     block = b"HTTP/1.1 200 OK\r\n\r\nabc"
     (tmp_path / "part-0.warc").write_bytes(warc._record([("WARC-Type", "continuation"), ("WARC-Record-ID", "<urn:page:1:0:2>"), ("WARC-Segment-Origin-ID", "<urn:page:1:0>"), ("WARC-Segment-Number", 2), ("WARC-Segment-Total-Length", 99)], block) + b"\r\n\r\n")
@@ -429,6 +484,42 @@ def test_language_edges(spark):
     assert langid.identify(df.limit(0), pages).count() == 0
 
 
+# names
+
+CLASHING = ["_id", "_digest", "_n", "_spans", "_places", "_gone", "_chars", "doc", "digest", "spans", "places", "gone", "_host", "host", "rate", "_m", "_w", "_h", "w", "l", "h", "o", "p", "_bytes", "raw", "mark", "key",
+    "n_sentences", "n_removed", "chars_removed", "n_words", "n_hit", "items", "item_ids", "base_failed", "host_rate", "kept", "component_id", "n_shingles", "more_spans", "Marks", "d0", "g0"]
+
+
+@pytest.mark.parametrize("block_bytes", [10**6, 200])
+def test_stages_leave_columns_of_any_name_alone(spark, block_bytes):
+    base = edited(prose(1, 80), 1, 0)
+    texts = [None, "", base, edited(base, 2, 1), prose(2, 60) + ".", prose(3, 90) + ". " + prose(4, 40) + "."]
+    df = docs_of(spark, texts).select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in [*CLASHING, "odd name.with `ticks`"]))
+    bench = spark.createDataFrame([(1, prose(2, 60)), (2, prose(70, 12)), (3, prose(71, 12))], "item_id long, text string")
+    stages = [host_rules.passing, lambda d: minhash.drop_near_duplicates(d, percent=80), spans.without_repeats, lambda d: decontam.drop_contaminated(d, bench, block_bytes=block_bytes)]
+    for stage in stages:
+        out = stage(df)
+        assert out.columns == df.columns
+        for r in out.collect():
+            assert all(v == f"{c}{r.doc_id}" for c, v in zip(df.columns[5:], r[5:], strict=True))
+    df = df.select(*df.columns[:-1])
+    for out in (host_rules.judge(df), spans.drop_repeated_spans(df), decontam.contamination(df, bench, df.columns, block_bytes=block_bytes)):
+        assert len(out.columns) == len({c.lower() for c in out.columns}) and out.count() == len(texts)
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from tallyweir.llm import tables
+
+    class Context:
+        master, getCheckpointDir = "spark://x:7077", staticmethod(lambda: None)
+
+    class Session:
+        sparkContext, conf = Context(), {"spark.checkpoint.dir": None}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        tables.shared_dir(Session())
+
+
 # the pipeline
 
 def test_pipeline_against_brute_force(spark, tmp_path):
