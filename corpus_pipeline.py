@@ -23,7 +23,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def span_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return spans.drop_repeated_spans(docs).select(*docs.columns)
+    return spans.without_repeats(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
