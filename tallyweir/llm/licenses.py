@@ -1,7 +1,10 @@
 """Licence scans in Spark expressions only: normalised texts against templates by Dice coefficient over word bigrams.
 
-Each line, each paragraph and the whole text is a unit. 2|A&B| / (|A|+|B|) >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t, so
-templates out of these bounds aren't compared with a unit. A document's texts stay in one row: nothing is shuffled.
+Each sentence, line, paragraph and the whole text is a unit, so a notice inside a longer line or paragraph is found too.
+2|A&B| / (|A|+|B|) >= t needs t/(2-t) <= |A|/|B| <= (2-t)/t, so templates out of these bounds aren't compared with a
+unit, and at least t/(2-t) of a template's bigrams are in the unit: a unit without any of the template's anchors (words
+in so many of its bigrams that too few are left without one) can't reach t. Units are dropped by words and
+anchors before their bigrams are made. A document's texts stay in one row: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -10,12 +13,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
-#: Licence notices as their publishers word them.
+#: Licence texts and notices as their publishers word them.
+_AS_IS_ISC = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_AS_IS_MIT = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_AS_IS_BSD = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 TEMPLATES = [
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _AS_IS_ISC),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("BSD-2-Clause", f"{_BSD} {_AS_IS_BSD}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_NAMES} {_AS_IS_BSD}"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -24,16 +37,20 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. " + _AS_IS_ISC),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT", _MIT),
+    ("MIT", f"{_MIT} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_AS_IS_MIT}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
 ]
 
 
 def words(text: Column) -> Column:
     """Normalised words: lower case, letters and digits only."""
-    return F.split(F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " ")), " ")
+    return F.filter(F.split(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}]+", " "), " "), lambda w: w != "")
 
 
 def bigrams(w: Column) -> Column:
@@ -42,29 +59,50 @@ def bigrams(w: Column) -> Column:
     return F.array_distinct(F.when(F.size(w) >= 2, pairs).otherwise(F.array().cast("array<long>")))
 
 
-def _templates(spark: SparkSession, templates: list[tuple[str, str]], t: float) -> tuple[Column, float]:
-    """The templates as one literal (name, bigrams, bounds of a unit's size), and the largest bound."""
-    rows = spark.createDataFrame([(n, x) for n, x in templates], "name string, text string").select("name", bigrams(words(F.col("text"))).alias("b")).collect()
+def anchors(w: list[str], t: float) -> list[str]:
+    """Words of a template, the longest first, until fewer than t/(2-t) of its bigrams are without one."""
+    left, out = set(zip(w, w[1:])), []
+    least = t / (2 - t) * len(left)
+    for word in sorted(set(w), key=lambda x: (-len(x), x)):
+        if len(left) < least:
+            break
+        if any(word in pair for pair in left):
+            out.append(word)
+            left = {pair for pair in left if word not in pair}
+    return out
+
+
+def _templates(spark: SparkSession, templates: list[tuple[str, str]], t: float) -> tuple[Column, Column, float, float]:
+    """The templates as one literal (name, bigrams, bounds of a unit's size), all anchors, and the least and the
+    largest bound."""
+    rows = spark.createDataFrame([(n, x) for n, x in templates], "name string, text string").select("name", words(F.col("text")).alias("w")).select("name", "w", bigrams(F.col("w")).alias("b")).collect()
     made = [F.struct(F.lit(r.name).alias("name"), F.array(*map(F.lit, r.b)).alias("b"), F.lit(t / (2 - t) * len(r.b)).alias("lo"), F.lit((2 - t) / t * len(r.b)).alias("hi")) for r in rows]
-    return F.array(*made), max((2 - t) / t * len(r.b) for r in rows)
+    known = sorted({word for r in rows for word in anchors(r.w, t)})
+    sizes = [len(r.b) for r in rows]
+    return F.array(*made), F.array(*map(F.lit, known)), t / (2 - t) * min(sizes), (2 - t) / t * max(sizes)
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license_id, dice and n_matches of each row of docs (doc_id, text; other columns are ignored).
 
-    n_matches counts distinct units that reach the threshold with some template; license_id is the best one's (ties: the
-    greater name) and dice its coefficient, both null if there is none. A null or empty text has none."""
-    known, most = _templates(docs.sparkSession, templates, threshold)
+    n_matches counts units of distinct words that reach the threshold with some template; license_id is the best one's
+    (ties: the greater name) and dice its coefficient, both null if there is none. A null or empty text has none. A
+    sentence ends at . ! ? ; and a space, or with its line; an empty line ends a paragraph."""
+    known, anchored, least, most = _templates(docs.sparkSession, templates, threshold)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    units = F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, "\n[ \\t\\r]*\n"), F.array(text)))
-    one = docs.select("doc_id", F.transform(units, lambda u: words(u)).alias("w"))
-    two = one.select("doc_id", F.transform("w", lambda w: bigrams(w)).alias("b"))
+    sentences = lambda line: F.transform(F.split(line, "(?<=[.!?;])[ \\t]+"), words)
+    nested = F.transform(F.split(text, "\n[ \\t\\r]*\n"), lambda paragraph: F.transform(F.split(paragraph, "\n"), sentences))
+    one = docs.select("doc_id", nested.alias("n"))
+    two = one.select("doc_id", F.flatten("n").alias("lines"), F.transform("n", lambda x: F.flatten(F.flatten(x))).alias("paragraphs"))
+    three = two.select("doc_id", F.concat(F.flatten("lines"), F.transform("lines", F.flatten), "paragraphs", F.array(F.flatten("paragraphs"))).alias("u"))
+    may = lambda w: (F.size(w) - 1 >= F.lit(least)) & F.arrays_overlap(w, anchored)
+    four = three.select("doc_id", F.array_distinct(F.filter("u", may)).alias("w")).select("doc_id", F.transform("w", bigrams).alias("b"))
     sized = F.filter("b", lambda b: (F.size(b) > 0) & (F.size(b) <= most))
 
     def best(b: Column) -> Column:
         near = F.filter(known, lambda t: (F.size(b) >= t["lo"]) & (F.size(b) <= t["hi"]))
         return F.array_max(F.transform(near, lambda t: F.struct((2.0 * F.size(F.array_intersect(b, t["b"])) / (F.size(b) + F.size(t["b"]))).alias("dice"), t["name"].alias("name"))))
 
-    found = two.select("doc_id", F.filter(F.transform(sized, best), lambda x: x["dice"] >= threshold).alias("m"))
+    found = four.select("doc_id", F.filter(F.transform(sized, best), lambda x: x["dice"] >= threshold).alias("m"))
     top = F.array_max("m")
     return found.select("doc_id", top["name"].alias("license_id"), top["dice"].alias("dice"), F.size("m").cast("long").alias("n_matches"))
