@@ -58,7 +58,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
-    return pieces.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pieces.select("doc_id", "start", "length", F.crc32("token_bytes").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
