@@ -7,12 +7,15 @@ smoothed to its domain and the domain to the corpus. Tables of agreement and pri
 
 from __future__ import annotations
 
+import html as markup
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .tables import cut
 from .words import LOWER, text_blocks
@@ -56,7 +59,10 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, shards: int = 8) -> tuple
     labelled = labelled.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     total = labelled.count()
     drawn = F.xxhash64("text").cast("double") / 2.0**64 + 0.5
-    sample = labelled.where(drawn < min(1.0, rows / max(1, total))).repartition(shards)
+    # a text that occurs very often counts once, so that the sample is bounded whatever the copies
+    digest = F.xxhash64("text").alias("digest")
+    sample = labelled.where(drawn < min(1.0, rows / max(1, total))).groupBy("lang", digest, F.length("text").alias("size")).agg(F.first("text").alias("text"))
+    sample = sample.select("lang", "text").repartition(shards)
     sums: dict[str, np.ndarray] = {}
     for r in sample.mapInArrow(_counter, "lang string, counts binary").collect():  # languages x shards rows
         sums[r.lang] = sums.get(r.lang, 0) + np.frombuffer(r.counts, "<i8")
@@ -84,10 +90,16 @@ def _likelihoods(model):
     return score
 
 
+@F.pandas_udf(StringType())
+def _characters(text: pd.Series) -> pd.Series:
+    """Entities to the characters they stand for."""
+    return text.map(lambda t: markup.unescape(t) if t is not None and "&" in t else t)
+
+
 def visible(html: Column) -> Column:
-    """Text of a page: without comments, scripts, styles and tags."""
+    """Text of a page: without comments, scripts, styles and tags, entities as characters."""
     bare = F.regexp_replace(html, "(?is)<!--.*?-->|<(script|style)\\b.*?</\\1\\s*>|<[^>]*>", " ")
-    return F.regexp_replace(bare, "&[#\\w]{1,8};", " ")
+    return _characters(bare)
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -128,8 +140,8 @@ def fuse(evidence: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
         share = (size("c") + 1) / (size("all") + n)
         return by.select(F.col(column).alias(f"_{name}"), F.transform(F.zip_with("c", "all", lambda x, a: (x + KAPPA * share) / (a + KAPPA)), lambda x: F.log(x / share)).alias(name))
 
-    # declared languages have two or three letters: at most 18,252 rows
-    declared, suffix = F.broadcast(agreement("declared", "dl").where("length(_dl) <= 3")), cut(agreement("suffix", "sl"))
+    # written, so that the planner knows their sizes: a small one is shipped, a large one is joined by value
+    declared, suffix = cut(agreement("declared", "dl")), cut(agreement("suffix", "sl"))
     full = rows.join(declared, F.col("declared") == F.col("_dl"), "left").join(F.broadcast(world)).join(suffix, F.col("suffix") == F.col("_sl"), "left").join(hosts, F.col("host") == F.col("_h"), "left")
     base = F.coalesce("dp", "world")
     others = F.coalesce(F.zip_with("hc", "p", lambda c, p: F.greatest(c - p, F.lit(0.0))), F.transform("p", lambda x: F.lit(0.0)))
