@@ -419,6 +419,30 @@ def test_license_scan(spark):
     assert licenses.scan(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_license_inside_longer_units(spark):
+    mit = [x for n, x in licenses.TEMPLATES if n == "MIT"][-1]
+    head, tail = prose(1, 60).replace(";", ""), prose(2, 60)
+    texts = [f"{head}. Released under the MIT License. {tail}", f"{head}\n\nCopyright me\n\n{mit}\n\n{tail}", f"{head} {mit[:300]} {tail}", f"{head} the license and the software under copyright {tail}"]
+    got = [r.license_id for r in licenses.scan(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert got == ["MIT", "MIT", None, None]
+
+
+def test_license_anchors_lose_no_unit(spark):
+    """Units around the threshold, with and without anchors, against plain Python over all templates."""
+    t, r, units = licenses.THRESHOLD, random.Random(2), []
+    for name, x in licenses.TEMPLATES:
+        w = re.sub(r"[\W_]+", " ", x.lower()).split()
+        known = licenses.anchors(w, t)
+        for share in (0.02, 0.05, 0.08, 0.1, 0.2, 0.3):
+            units.append([r.choice(WORDS) if r.random() < share else v for v in w])
+        units.append([v for v in w if v not in known])  # all anchors away
+    pairs = lambda w: set(zip(w, w[1:]))
+    made = [pairs(re.sub(r"[\W_]+", " ", x.lower()).split()) for _, x in licenses.TEMPLATES]
+    want = [any(2 * len(pairs(u) & b) >= t * (len(pairs(u)) + len(b)) for b in made) for u in units]
+    got = [r.n_matches > 0 for r in licenses.scan(docs_of(spark, [" ".join(u) for u in units])).orderBy("doc_id").collect()]
+    assert got == want and 20 < sum(want) < len(want) - 20
+
+
 # 9: packing
 
 def test_pieces():
@@ -447,6 +471,49 @@ def test_packing_holds_every_id_once(spark):
     assert packing.pack(docs_of(spark, texts).limit(0), **files).count() == 0
 
 
+def test_both_encoders_are_one():
+    """The proof that packing._encoders names: over the vocabulary, over all code points, special tokens, long runs."""
+    import base64
+    import json
+    from pathlib import Path
+
+    from tokenizers import Tokenizer
+
+    files = queries.tokenizer_files()
+    slow, model = Tokenizer.from_file(files["tokenizer"]), json.loads(Path(files["tokenizer"]).read_text())["model"]
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    made = [model["vocab"][a + b] for a, b in merges]
+    assert made == sorted(set(made)) and len(made) + 256 == len(model["vocab"])  # one merge a token, ranked as ids
+    ranks = dict((base64.b64decode(a), int(b)) for a, b in map(bytes.split, Path(files["ranks"]).read_bytes().splitlines()))
+    assert all([x.id for x in slow.model.tokenize(t)] == [k] for t, k in model["vocab"].items())
+    to_bytes = {c: b for b, c in zip(ranks, [slow.id_to_token(k) for k in ranks.values()], strict=True)}
+    single = {c: b[0] for c, b in to_bytes.items() if len(b) == 1}
+    assert len(single) == 256 and all(bytes(single[c] for c in token) == b for token, b in to_bytes.items())
+    fast, plain = packing._encoders(**{k: files[k] for k in ("tokenizer", "ranks", "pattern")}), packing._encoders(files["tokenizer"], None, None)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"{c}a{c}{c} {c}1 " for c in points[i : i + 4096]) for i in range(0, len(points), 4096)]
+    texts += ["a<|endoftext|> b", " <|endoftext|>  <|endoftext|>", "<|endoftext|", "a" * 100_000, " " * 300_000, "\n" * 50_000 + "x", "é!" * 50_000, ""]
+    assert fast(texts) == plain(texts)
+
+
+def test_buckets_hold_one_length_each(spark, tmp_path):
+    packed = packing.pack(docs_of(spark, odd_texts()), **queries.tokenizer_files())
+    packing.write_buckets(packed, f"{tmp_path}/b")
+    back = spark.read.parquet(f"{tmp_path}/b")
+    assert back.count() == packed.count() and back.where("length <> shiftleft(1, bucket)").count() == 0
+
+
+def test_repeated_rows_count_each(spark):
+    """op4, op7 to op10 give each of equal rows its row."""
+    three = docs_of(spark, [prose(1, 30)]).union(docs_of(spark, [prose(1, 30)])).union(docs_of(spark, [prose(1, 30)]))
+    pages = spark.createDataFrame([(1, "http://a.fr/", "x" * 2000)] * 3, "page_id long, url string, html string")
+    assert host_rules.judge(three).count() == 3 and licenses.scan(three).count() == 3
+    assert [(r.record_type, r.payload_bytes) for r in warc.round_trip(pages).collect()] == [("response", 2000)] * 3
+    packed = packing.pack(three, **queries.tokenizer_files()).collect()
+    assert len({r.sequence_id for r in packed}) == len(packed) and len(packed) % 3 == 0
+    assert langid.identify(three, pages).count() == 6
+
+
 def test_packing_same_ids_as_tokenizers(spark):
     from tokenizers import Tokenizer
 
