@@ -162,26 +162,118 @@ def test_classifier_learns_insults_of_other_languages(spark):
 
 def test_labelled_terms_edges(spark):
     clean = [(i, f"{prose(i, 40)}") for i in range(60)]
-    toxic = [(100 + i, f"{prose(100 + i, 20)} gribblewort gribblewort {prose(200 + i, 20)}") for i in range(12)]
+    toxic = [(100 + i, f"{prose(100 + i, 20)} gribblewort gribblewort {prose(200 + i, 20)}") for i in range(24)]
     docs = spark.createDataFrame([*clean, *toxic, (None, "gribblewort"), (900, None), (901, "")], "doc_id long, text string")
     marks = [(i, 0) for i, _ in clean] + [(i, 1) for i, _ in toxic] + [(100, 0), (None, 1), (5, None), (900, 1), (901, 1), (5000, 1)]
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
-    assert len(weak_labels.labelled_terms(docs, labels)) == 1 + len(weak_labels.STEMS)  # the word and its beginnings
-    assert not len(weak_labels.labelled_terms(docs, None)) and not len(weak_labels.labelled_terms(docs, labels.limit(0))) and not len(weak_labels.labelled_terms(docs.limit(0), labels))
+    sizes = lambda *x: [len(t) for t in weak_labels.labelled_terms(*x)[0]]
+    word = 1 + len(weak_labels.STEMS)  # the word and its beginnings
+    assert sizes(docs, labels) == [word] * 3
+    assert sizes(docs, None) == sizes(docs, labels.limit(0)) == sizes(docs.limit(0), labels) == [0] * 3
     got = weak_labels.classify(docs, labels)
     assert got.count() == docs.count() and got.where("toxic and doc_id < 100").count() == 0
+    # a document isn't judged by its own label: with toxic labels in fold 0 only that fold has no terms
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", weak_labels.fold_of(F.col("doc_id")).alias("f")).collect()}
+    one = spark.createDataFrame([(i, x) for i, x in marks if x != 1 or fold.get(i) == 0], "doc_id long, toxic int")
+    assert sizes(docs, one) == [0, word, word]
     # copies of one toxic text are one text: their words aren't terms
-    copies = spark.createDataFrame([*clean, *((100 + i, f"{prose(7777, 60)} unusual {'x' * i}") for i in range(30))], "doc_id long, text string")
+    copies = spark.createDataFrame([*clean, *((100 + i, f"{prose(7777, 60)} unusual {'x' * i}") for i in range(60))], "doc_id long, text string")
+    assert sizes(copies, spark.createDataFrame([(i, int(i >= 100)) for i in [*range(60), *range(100, 160)]], "doc_id long, toxic int")) == [0] * 3
     # a row that is repeated many times counts once
     again = docs.union(spark.createDataFrame([(0, "gribblewort gribblewort gribblewort")] + [(100, toxic[0][1])] * 400, docs.schema))
-    assert len(weak_labels.labelled_terms(again, labels)) == 1 + len(weak_labels.STEMS)
-    assert not len(weak_labels.labelled_terms(copies, spark.createDataFrame([(i, int(i >= 100)) for i in [*range(60), *range(100, 130)]], "doc_id long, toxic int")))
+    assert sizes(again, labels) == [word] * 3
+
+
+def brute_em(votes, labellers, kinds, rounds=300):
+    """P(bad) of each document's votes, document by document."""
+    spots = [[labellers.index(x) for x in kind] for kind in kinds]
+    p = []
+    for v in votes:
+        seen = [sum(v[k] == weak_labels.BAD for k in kind) for kind in spots]
+        row = [0.98 * 0.2 ** sum(seen)] + [0.02 / len(kinds) + x for x in seen]
+        p.append([x / sum(row) for x in row])
+    for _ in range(rounds):
+        share, table = [], []
+        for c in range(1 + len(kinds)):
+            share.append((sum(q[c] for q in p) + 1) / (len(votes) + 1 + len(kinds)))
+            n = [[1 + sum(q[c] for q, v in zip(p, votes) if v[k] == x) for x in (weak_labels.GOOD, weak_labels.BAD)] for k in range(len(labellers))]
+            table.append([[a / (a + b), b / (a + b)] for a, b in n])
+        new = []
+        for v in votes:
+            row = []
+            for c, s in enumerate(share):
+                for k, x in enumerate(v):
+                    s *= 1 if x == weak_labels.NONE else table[c][k][x]
+                row.append(s)
+            new.append([x / sum(row) for x in row])
+        done = max(abs(x - y) for q, r in zip(new, p) for x, y in zip(q, r)) < 1e-6
+        p = new
+        if done:
+            break
+    return [1 - q[0] for q in p]
+
+
+def test_em_against_documents_one_by_one():
+    r = random.Random(4)
+    labellers, kinds = list("abcdef"), [["a", "b"], ["c", "d", "e"], ["f"]]
+    votes = []
+    for _ in range(150):
+        bad = set(r.choice(kinds)) if r.random() < 0.3 else set()
+        votes.append([weak_labels.NONE if r.random() < 0.1 else weak_labels.BAD if r.random() < (0.85 if x in bad else 0.03) else weak_labels.GOOD for x in labellers])
+    counts = Counter(weak_labels._code(v) for v in votes)
+    got, table = weak_labels.posteriors(dict(counts), labellers, kinds)
+    for v, want in zip(votes, brute_em(votes, labellers, kinds), strict=True):
+        assert got[weak_labels._code(v)] == pytest.approx(want, abs=1e-5)
+    assert table[0, 0, 1] < 0.1 and table[0, 1, 1] > 0.7  # an accuracy that was estimated
+    assert weak_labels.posteriors({}, labellers, kinds)[0] == {}
 
 
 def test_em_finds_bad_patterns():
     counts = {0: 900, 1 + 3: 60, 9 + 27: 50, 1: 5}
-    p, _ = weak_labels.posteriors(counts, 4)
+    p, _ = weak_labels.posteriors(counts, list("abcd"), [["a", "b"], ["c", "d"]])
     assert p[0] < 0.1 and p[4] > 0.9 and p[36] > 0.9
+    assert weak_labels.posteriors({**counts, 2 * (1 + 3 + 9 + 27): 5000}, list("abcd"), [["a", "b"], ["c", "d"]])[0][4] > 0.9  # thousands of silent texts
+
+
+def test_classifier_against_plain_python(spark):
+    """Votes, EM, training in the same order and scores, without Spark's steps; ids are null, repeated and unique."""
+    import numpy as np
+
+    bad = ["#### $$$$ %%%% " * 9, "BUY NOW!! CHEAP!! " * 12, "spam " * 60, "a | b | c\n" * 20, "idiot scum moron, the of and " * 8]
+    texts = [prose(k, 60) + f". The end of {k} and to." for k in range(30)] + [f"{bad[k % 5]} {prose(50 + k, 5)}" for k in range(25)] + [None, "", prose(1, 60)] * 2
+    df = spark.createDataFrame([(None if k % 9 == 0 else k % 40, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted((r.quality_score, r.toxic_score) for r in weak_labels.classify(df, train_rows=10**6).collect())
+    raws = [(t or "").encode() for t in texts]
+    voted = [weak_labels.votes(x) for x in raws]
+    p = [brute_em([v[k] for v in voted], names, kinds) for k, (names, kinds) in enumerate(((weak_labels.QUALITY_LABELLERS, weak_labels.QUALITY_KINDS), (weak_labels.TOXIC_LABELLERS, weak_labels.TOXIC_KINDS)))]
+    target = {x: (p[0][k], p[1][k]) for k, x in enumerate(raws)}
+    drawn = spark.createDataFrame([(x,) for x in sorted(set(raws))], "raw binary").select("raw", (F.xxhash64("raw").cast("double") / 2.0**64 + 0.5).alias("u"))
+    order = drawn.select("raw", "u", F.pmod(F.xxhash64("u", F.lit(1)), F.lit(weak_labels.SHARDS)).alias("shard"))
+    shards = defaultdict(list)
+    # Spark deals the shards by the hash of their number
+    for r in order.repartition(weak_labels.SHARDS, F.col("shard")).select("*", F.spark_partition_id().alias("at")).orderBy("u").collect():
+        shards[r["at"]].append(bytes(r.raw))
+
+    def vectors(x):
+        words = np.unique(next(iter(weak_labels._fold_features(__import__("pyarrow").array([x], "binary"), weak_labels._NO_TERMS)))[1])
+        _, _, bins, insults = weak_labels.votes(x)
+        return weak_labels._vector(words, weak_labels._bin_features(bins)), weak_labels._vector(words, weak_labels._bin_features(insults, 101))
+
+    total, sums = 0, [0, 0]
+    for rows in shards.values():
+        scorers = weak_labels.Scorer(), weak_labels.Scorer()
+        for _ in range(weak_labels.EPOCHS):
+            for x in rows:
+                for s, v, y in zip(scorers, vectors(x), target[x], strict=True):
+                    s.learn(*v, y)
+        total += len(rows)
+        sums = [a + len(rows) * s.weights() for a, s in zip(sums, scorers)]
+    want = []
+    for x in raws:
+        q, t = (1 / (1 + np.exp(-(w / total)[at] @ v)) for w, (at, v) in zip(sums, vectors(x)))
+        want.append((1 - q, t))
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a == pytest.approx(b, abs=1e-3)
 
 
 # 4: host rules
@@ -544,6 +636,60 @@ def test_language_evidence_without_text(spark):
     assert got[1] == got[3] == "fr" and got[2] is not None and len(got) == pages.count()
 
 
+def test_language_fusion_against_plain_python(spark):
+    """Every sum, prior and agreement by loops over rows."""
+    import math
+
+    import numpy as np
+
+    langs, r = ["aa", "bb", "cc"], random.Random(8)
+    model = np.log(np.random.Generator(np.random.PCG64(3)).dirichlet(np.ones(langid.BUCKETS), 3)).astype(np.float32)
+    hosts = ["x.site.aa", "y.site.aa", "z.other.bb", "lone", None]
+    rows = [(k, h, r.choice([None, "aa", "bb", "long-code"]), None if h is None else h.split(".")[-1], r.choice(["", "é", prose(k, 3)])) for k in range(60) for h in [hosts[min(4, int(r.expovariate(0.7)))]]]
+    df = spark.createDataFrame(rows, "k long, host string, declared string, suffix string, text string")
+    got = {x.k: (x.lang, x.prob, x.text_lang) for x in langid.fuse(df, langs, model).collect()}
+    import pyarrow as pa
+
+    ll, n = [], len(langs)
+    for *_, t in rows:
+        code = next(iter(langid._trigrams(pa.array([t.encode()]))))[1] if t else np.empty(0, int)
+        s = [float(model[c][code[code >= 0]].sum(dtype=float)) for c in range(n)]
+        ll.append([(x - max(s)) / langid.TEMPER for x in s])
+    p = [[math.exp(x) / sum(map(math.exp, row)) for x in row] for row in ll]
+    total = lambda keep: [sum(q[c] for q, x in zip(p, rows) if keep(x)) for c in range(n)]
+    smooth = lambda c, base: [(x + langid.KAPPA * b) / (sum(c) + langid.KAPPA) for x, b in zip(c, base)]
+    every = total(lambda x: True)
+    world = [(x + 1) / (sum(every) + n) for x in every]
+    domain = lambda h: ".".join(h.split(".")[-2:])
+
+    def agrees(at, value):
+        if value is None:
+            return [0.0] * n
+        c = total(lambda x: x[at] == value)
+        share = (sum(c) + 1) / (sum(every) + n)
+        return [math.log((x + langid.KAPPA * share) / (a + langid.KAPPA) / share) for x, a in zip(c, every)]
+
+    for k, (row, l, q) in enumerate(zip(rows, ll, p)):
+        _, h, declared, suffix, _ = row
+        if h is None:
+            prior = world  # no host: nothing but the corpus
+        else:
+            base = smooth(total(lambda x: x[1] is not None and domain(x[1]) == domain(h)), world)
+            prior = smooth([max(0.0, a - b) for a, b in zip(total(lambda x: x[1] == h), q)], base)
+        log = [a + math.log(b) + c + d for a, b, c, d in zip(l, prior, agrees(2, declared), agrees(3, suffix))]
+        assert got[k][0] == langs[log.index(max(log))] and got[k][2] == langs[l.index(max(l))]
+        assert got[k][1] == pytest.approx(1 / sum(math.exp(x - max(log)) for x in log), rel=1e-6)
+
+
+def test_language_sample_is_bounded_and_entities_are_letters(spark):
+    texts = [(prose(1, 20), "en")] * 500 + [(prose(k, 20), "en") for k in range(2, 30)]
+    labelled = spark.createDataFrame(texts, "text string, lang string")
+    once = spark.createDataFrame(sorted(set(texts)), "text string, lang string")
+    assert (langid.train(labelled, rows=10**6)[1] == langid.train(once, rows=10**6)[1]).all()
+    page = spark.createDataFrame([(1, "http://a.de/", "<p>sch&ouml;n &amp; gr&#252;n</p>")], "page_id long, url string, html string")
+    assert langid.page_evidence(page).first().text.split() == ["schön", "&", "grün"]
+
+
 def test_language_edges(spark):
     df = docs_of(spark, odd_texts(), page_id=1, host="x", ll=2, p=3)
     pages = table(spark, SF, "pages").limit(0)
