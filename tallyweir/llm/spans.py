@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import by_plain_names, cut, ddl, private, quoted
+from .tables import Scratch, by_plain_names, cut, ddl, private, quoted
 from .words import BASE, SPACED, U64, mix, powers, text_blocks, word_hashes
 
 MIN_WORDS, SOLO_WORDS = 20, 40
@@ -190,22 +190,29 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, solo_words: int
     rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     runs = rows.mapInArrow(_run_hashes(min_words, solo_words), "doc_id long, digest long, h long, g long, span long")
 
-    def first_of(of: DataFrame, place: str) -> DataFrame:
-        # counted before the shuffle and written, so that the join, whose sides are then both plain shuffles, can split a
-        # run that very many documents share
-        first = of.groupBy("h", "g").agg(F.min(F.struct("doc_id", "digest", place)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return cut(first.select("h", "g", F.col("first.doc_id").alias("d0"), F.col("first.digest").alias("g0"), F.col(f"first.{place}").alias("p0")))
+    scratch = Scratch(docs.sparkSession)
+
+    def repeats(of: DataFrame, place: str) -> DataFrame:
+        """The rows whose hash is there more than once, with the first of them (d0, g0, p0). Most hashes occur once: they
+        are told by counts of one half alone, taken before the shuffle. What is joined is written first, so that both
+        sides of a join are plain shuffles and AQE can split a run that very many documents share."""
+        twice = scratch.cut(of.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+        again = scratch.cut(of.join(twice, "h"))
+        first = again.groupBy("h", "g").agg(F.min(F.struct("doc_id", "digest", place)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        first = scratch.cut(first.select("h", "g", F.col("first.doc_id").alias("d0"), F.col("first.digest").alias("g0"), F.col(f"first.{place}").alias("p0")))
+        return again.join(first, ["h", "g"])
 
     other = "doc_id <> d0 or digest <> g0"
-    again = runs.join(first_of(runs, "span"), ["h", "g"])
-    marks = cut(again.where(f"span < 0 or {other} or span <> p0").groupBy("doc_id", "digest").agg(F.collect_set("span").alias("marks")))
+    marks = scratch.cut(repeats(runs, "span").where(f"span < 0 or {other} or span <> p0").groupBy("doc_id", "digest").agg(F.collect_set("span").alias("marks")))
     seeded = rows.join(marks.where(F.exists("marks", lambda m: m < 0)), ["doc_id", "digest"]).select("doc_id", "digest", "text", "marks")
-    windows = cut(seeded.mapInArrow(_passages, "doc_id long, digest long, h long, g long, place long"))
+    windows = scratch.cut(seeded.mapInArrow(_passages, "doc_id long, digest long, h long, g long, place long"))
     # a window that overlaps its first one is kept
-    again = windows.join(first_of(windows, "place"), ["h", "g"]).where(f"{other} or place >= p0 + {PASSAGE}")
+    again = repeats(windows, "place").where(f"{other} or place >= p0 + {PASSAGE}")
     places = again.groupBy("doc_id", "digest").agg(F.collect_set("place").alias("places"))
     both = marks.join(places, ["doc_id", "digest"], "left").select("doc_id", "digest", F.filter("marks", lambda m: m >= 0).alias("spans"), "places")
-    return both.where("size(spans) > 0 or places is not null")
+    out = cut(both.where("size(spans) > 0 or places is not null"))
+    scratch.clear()
+    return out
 
 
 NEW = ["n_sentences", "n_removed", "chars_removed"]

@@ -46,6 +46,21 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+class Scratch:
+    """Intermediate tables of one operator that its result doesn't read: cut() writes them, clear() deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.paths.append(new_path(self.spark, "cut"))
+        return written(df, self.paths[-1])
+
+    def clear(self) -> None:
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+
 def private(taken: Iterable[str], *names: str) -> list[str]:
     """names, made longer where a column of taken is called so (in whatever case)."""
     have, out = {c.lower() for c in taken}, []
