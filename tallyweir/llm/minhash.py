@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import cut, private
+from .tables import Scratch, cut, private
 from .words import BASE, U64, mix, text_blocks, windows, word_hashes
 
 BANDS, LOW_BANDS, ROWS, SHINGLE = 28, 40, 5, 5
@@ -163,17 +163,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4, bands: i
     sketch = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sketch_of(bands), "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>"))
     # a class: the documents with one set; its smallest doc_id stands for it
     classes = cut(sketch.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys")))
+    scratch = Scratch(docs.sparkSession)
     buckets = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = cut(buckets.join(hubs.select("key", "m", F.col("hub.id").alias("hub"), F.col("hub.n_shingles").alias("hub_n")), "key"))
+    members = scratch.cut(buckets.join(hubs.select("key", "m", F.col("hub.id").alias("hub"), F.col("hub.n_shingles").alias("hub_n")), "key"))
     near = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))  # noqa: E731  sizes that far apart can't agree
     star = members.where("id <> hub").where(near(F.col("n_shingles"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    tested = cut(star)
+    tested = scratch.cut(star)
     wanted = members.select("id").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     one_each = classes.join(wanted, "id", "left_semi").select("id")
-    sets = cut(texts.join(one_each, "id", "left_semi").mapInArrow(_full_sets, "id long, shingles array<long>")).where(F.size("shingles") > 0)
-    links = cut(_confirm(tested, sets, percent))
+    sets = scratch.cut(texts.join(one_each, "id", "left_semi").mapInArrow(_full_sets, "id long, shingles array<long>")).where(F.size("shingles") > 0)
+    links = scratch.cut(_confirm(tested, sets, percent))
     parts = cut(components(links))
     open_ = members.where("m > 2 and id <> hub").select("key", "id", "n_shingles")
     for step in ("second hub", "all"):
@@ -182,26 +183,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, slack: int = 4, bands: i
         by_part = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("s"))
         pairs = (F.col("m") * F.col("m") - F.col("within")) / 2
         by_key = by_part.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("within"), F.max(F.struct("c", "part", "s")).alias("main"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-        open_ = cut(placed.join(by_key.select("key", "m", "s", "main", (pairs <= slack * F.col("m")).alias("few")), "key"))
+        open_ = scratch.cut(placed.join(by_key.select("key", "m", "s", "main", (pairs <= slack * F.col("m")).alias("few")), "key"))
         if not (left := open_.groupBy("few").count().collect()):
             break
         if step == "second hub" and not all(r.few for r in left):
             degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
             ranked = open_.join(degree, "id", "left").select("key", "id", "n_shingles", "part", F.struct(-F.coalesce("degree", F.lit(0)), "id", "n_shingles", "part").alias("rank"))
             # written, so that the join's sides are both plain and AQE can split a bucket that is hot
-            hub = cut(ranked.groupBy("key").agg(F.min("rank").alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_n"), F.col("h.part").alias("hub_part")))
-            open_ = cut(open_.select("key", "id", "n_shingles", "part").join(hub, "key"))
+            hub = scratch.cut(ranked.groupBy("key").agg(F.min("rank").alias("h")).select("key", F.col("h.id").alias("hub"), F.col("h.n_shingles").alias("hub_n"), F.col("h.part").alias("hub_part")))
+            open_ = scratch.cut(open_.select("key", "id", "n_shingles", "part").join(hub, "key"))
             ask = open_.where("id <> hub and part <> hub_part").where(near(F.col("n_shingles"), F.col("hub_n"))).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b"))
-            ask = cut(ask.distinct().join(tested, ["a", "b"], "left_anti"))
-            more = cut(_confirm(ask, sets, percent))
+            ask = scratch.cut(ask.distinct().join(tested, ["a", "b"], "left_anti"))
+            more = scratch.cut(_confirm(ask, sets, percent))
             open_ = open_.where("id <> hub").select("key", "id", "n_shingles")
         else:
             few = open_.where("few").select("key", "id", "n_shingles", "part")
             other = few.select("key", F.col("id").alias("b"), F.col("n_shingles").alias("bn"), F.col("part").alias("bp"))
             ask = few.join(other, "key").where("id < b and part <> bp").where(near(F.col("n_shingles"), F.col("bn"))).select(F.col("id").alias("a"), "b")
-            ask = cut(ask.distinct().join(tested, ["a", "b"], "left_anti"))
-            more = cut(_confirm(ask, sets, percent).union(_between_blocks(open_.where("not few"), sets, percent)))
+            ask = scratch.cut(ask.distinct().join(tested, ["a", "b"], "left_anti"))
+            more = scratch.cut(_confirm(ask, sets, percent).union(_between_blocks(open_.where("not few"), sets, percent)))
         parts = cut(components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+    scratch.clear()
     rep = classes.join(parts, F.col("id") == F.col("node"), "left").select("d1", "d2", "n_shingles", F.col("id").alias("rep"), F.coalesce("component", "id").alias("part"))
     placed = sketch.select("doc_id", "n_shingles", "d1", "d2").join(rep, ["d1", "d2", "n_shingles"], "left")
     part = F.when(F.col("doc_id").isNotNull(), F.coalesce("part", "doc_id"))
