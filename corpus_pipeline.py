@@ -5,13 +5,11 @@ of documents. A runner writes each stage's rows as Parquet and reads them as the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.llm import decontam, host_rules, minhash, packing, spans
 from tallyweir.llm.queries import tokenizer_files
-from tallyweir.llm.tables import shared_dir, table
+from tallyweir.llm.tables import new_path, remove, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +40,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over documents; each stage's table is written in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(path := f"{folder}/{k}")
-        docs = spark.read.schema(out.schema).parquet(path)
-    return docs
+    """The stages in order over documents. Each stage's table is written in the shared folder, and deleted when the next
+    one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = new_path(spark, f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
