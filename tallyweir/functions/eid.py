@@ -1,26 +1,38 @@
-"""Event ids as columns: z/yyyy/MM/dd/HH/mm/<epoch ms>-<7-digit record number>, ordered by bytes."""
+"""Event ids as columns: z/yyyy/MM/dd/HH/mm/<epoch ms>-<7-digit record number>, ordered by bytes.
+
+Times are UTC whatever the session's time zone is: they are written from timestamps without a zone."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The part of an id at each granularity (UTC).
-FORMATS = {
-    "year": "yyyy", "month": "yyyy/MM", "day": "yyyy/MM/dd", "hour": "yyyy/MM/dd/HH", "minute": "yyyy/MM/dd/HH/mm",
-    "second": "yyyy/MM/dd/HH/mm/", "millisecond": "yyyy/MM/dd/HH/mm/", "full": "yyyy/MM/dd/HH/mm/",
-}
+#: How many characters of yyyy/MM/dd/HH/mm/ an id has at each granularity.
+LENGTHS = {"year": 4, "month": 7, "day": 10, "hour": 13, "minute": 16, "second": 17, "millisecond": 17, "full": 17}
+
+
+def utc_time(ms: Column) -> Column:
+    """The UTC wall-clock time of an epoch-ms time, as a timestamp without a zone."""
+    seconds = ms.cast("decimal(20,0)") / F.lit(1000).cast("decimal(4,0)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def utc_millis(at: Column) -> Column:
+    """Epoch ms of a UTC wall-clock time without a zone; parts of a millisecond are cut."""
+    since = at.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(since.cast("interval second").cast("decimal(18,6)") * 1000).cast("long")
 
 
 def build_eid(ms: Column, record: Column | None = None, granularity: str = "full") -> Column:
     """The id of an epoch-ms time. An unknown granularity is full; second floors to whole seconds and has no record."""
-    at = F.timestamp_millis(ms.cast("long"))
-    head = F.concat(F.lit("z/"), F.date_format(at, FORMATS.get(granularity, FORMATS["full"])))
-    if granularity in ("year", "month", "day", "hour", "minute"):
+    ms = ms.cast("long")
+    n = LENGTHS.get(granularity, LENGTHS["full"])
+    head = F.concat(F.lit("z/"), F.left(F.translate(utc_time(ms).cast("string"), "- :", "///"), F.lit(n)))
+    if n < LENGTHS["full"]:
         return head
     if granularity == "second":
-        return F.concat(head, (F.floor(ms / 1000) * 1000).cast("string"))
-    out = F.concat(head, ms.cast("long").cast("string"))
+        return F.concat(head, (ms - F.pmod(ms, F.lit(1000))).cast("string"))
+    out = F.concat(head, ms.cast("string"))
     return out if record is None else F.concat(out, F.lit("-"), F.right(F.concat(F.lit("0000000"), record.cast("string")), F.lit(7)))
 
 
@@ -28,8 +40,8 @@ def eid_millis(eid: Column) -> Column:
     """Epoch ms of an id: its ms part, else its leading date parts (UTC). Null for what is no id."""
     part = lambda k, other: F.coalesce(F.nullif(F.try_element_at(F.split(eid, "[/-]"), F.lit(k)), F.lit("")), F.lit(other))
     ms = part(7, "0").try_cast("long")
-    day = F.try_to_timestamp(F.concat_ws(" ", F.concat_ws("-", part(2, "1970"), part(3, "01"), part(4, "01")), F.concat_ws(":", part(5, "00"), part(6, "00"), F.lit("00"))))
-    return F.when(~eid.startswith("z"), None).when(ms > 10000, ms).otherwise(F.unix_millis(day))
+    text = F.concat_ws(" ", F.concat_ws("-", part(2, "1970"), part(3, "01"), part(4, "01")), F.concat_ws(":", part(5, "00"), part(6, "00"), F.lit("00")))
+    return F.when(~eid.startswith("z"), None).when(ms > 10000, ms).otherwise(utc_millis(text.try_cast("timestamp_ntz")))
 
 
 def after(eid: Column | str) -> Column:
@@ -38,8 +50,9 @@ def after(eid: Column | str) -> Column:
 
 
 def previous_eid(eid: Column) -> Column:
-    """The id with its last character one lower."""
-    return F.concat(F.left(eid, F.length(eid) - 1), F.char(F.ascii(F.right(eid, F.lit(1))) - 1))
+    """An id before this one: its last digit one lower, or a space for a 0; reading after it starts with this one."""
+    last = F.right(eid, F.lit(1))
+    return F.concat(F.left(eid, F.length(eid) - 1), F.when(last == "0", " ").otherwise((last.try_cast("int") - 1).cast("string")))
 
 
 def day_bounds(start: str | None, end: str | None) -> list[Column]:

@@ -12,12 +12,33 @@ def _signed(x: Column) -> Column:
     return F.pmod(x + F.lit(_HALF), F.lit(_FULL)) - F.lit(_HALF)
 
 
+def _units(char: Column) -> Column:
+    """A character's UTF-16 code units: one, or two above U+FFFF."""
+    point = F.ascii(char).cast("long")
+    over = point - 0x10000
+    pair = F.array(F.lit(0xD800).cast("long") + F.shiftright(over, 10), F.lit(0xDC00).cast("long") + over.bitwiseAND(F.lit(0x3FF).cast("long")))
+    return F.when(point > 0xFFFF, pair).otherwise(F.array(point))
+
+
 def string_hash(text: Column) -> Column:
-    """h * 31 + code over the characters, in signed 32-bit arithmetic."""
-    codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
-    return F.aggregate(codes, F.lit(0).cast("long"), lambda h, c: _signed(h * 31 + c))
+    """h * 31 + unit over the UTF-16 code units, in signed 32-bit arithmetic; 0 for an empty string."""
+    units = F.flatten(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), _units))
+    return F.aggregate(units, F.lit(0).cast("long"), lambda h, c: _signed(h * 31 + c))
+
+
+def key_hash(key: Column, kind: str = "string") -> Column:
+    """The hash of a partition key whose type is named: of a string its string_hash, of a number itself, of an array the sum of
+    its members' hashes."""
+    if kind.startswith("array<"):
+        return F.aggregate(key, F.lit(0).cast("double" if kind[6:-1] in ("float", "double") else "long"), lambda h, x: h + key_hash(x, kind[6:-1]))
+    return string_hash(key) if kind == "string" else key
+
+
+def clamp(n: int) -> int:
+    """Instances are held to 1 .. 20."""
+    return max(1, min(20, n))
 
 
-def partition_of(key: Column, n: int) -> Column:
-    """0 .. n - 1 for a string key; n is held to 1 .. 20."""
-    return F.pmod(F.abs(string_hash(key)), F.lit(max(1, min(20, n)))).cast("int")
+def partition_of(key: Column, n: int, kind: str = "string") -> Column:
+    """0 .. n - 1 for a key; n is held to 1 .. 20."""
+    return F.pmod(F.abs(key_hash(key, kind)), F.lit(clamp(n))).cast("int")

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Patterns of the stored references: a typed one, the prefixes of old ones, a queue that another thing owns.
 _TYPED = "(?i)(system|queue|bot):(.*)"
+_OLD = "^[seb]_"
+_OWNED = "^(bot|system)\\.(.*?)(?:\\.(.*))?$"
 
 
 def ref_type(ref: Column, default: str = "queue") -> Column:
@@ -13,7 +16,7 @@ def ref_type(ref: Column, default: str = "queue") -> Column:
 
 
 def ref_name(ref: Column) -> Column:
-    return F.when(ref.rlike(_TYPED), F.regexp_extract(ref, _TYPED, 2)).otherwise(F.regexp_replace(ref, "^[seb]_", ""))
+    return F.when(ref.rlike(_TYPED), F.regexp_extract(ref, _TYPED, 2)).otherwise(F.regexp_replace(ref, _OLD, ""))
 
 
 def ref_id(ref: Column, default: str = "queue") -> Column:
@@ -31,5 +34,4 @@ def as_queue(ref: Column, sub: Column | str | None = None, default: str = "queue
 
 def owner(queue: Column) -> Column:
     """bot:x or system:x for a queue named bot.x[...] or system.x[...], else null."""
-    p = "^(bot|system)\\.(.*?)(?:\\.(.*))?$"
-    return F.when(queue.rlike(p), F.concat(F.regexp_extract(queue, p, 1), F.lit(":"), F.regexp_extract(queue, p, 2)))
+    return F.when(queue.rlike(_OWNED), F.concat(F.regexp_extract(queue, _OWNED, 1), F.lit(":"), F.regexp_extract(queue, _OWNED, 2)))

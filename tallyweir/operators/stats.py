@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.eid import eid_millis
+from ..functions.eid import utc_time
 
 
 def checkpoint_from_correlations(processed: DataFrame) -> DataFrame:
@@ -35,24 +35,21 @@ def chunk_stats(events: DataFrame, chunk: list[str]) -> DataFrame:
     )
 
 
-#: Label prefix and format of each grain.
-GRAINS = {"minute_1": ("minute_", "yyyy-MM-dd HH:mm"), "minute_5": ("minute_5_", "yyyy-MM-dd HH:mm"), "minute_15": ("minute_15_", "yyyy-MM-dd HH:mm"), "hour": ("hour_", "yyyy-MM-dd HH"), "day": ("day_", "yyyy-MM-dd"), "week": ("week_", "yyyy-MM-dd")}
+#: Of each grain its label's prefix, how much of yyyy-MM-dd HH:mm follows, and its length in minutes.
+GRAINS = {"minute_1": ("minute_", 16, 1), "minute_5": ("minute_5_", 16, 5), "minute_15": ("minute_15_", 16, 15), "hour": ("hour_", 13, 60), "day": ("day_", 10, 1440), "week": ("week_", 10, 10_080)}
+#: Minutes from the last Sunday before 1970 to its start: weeks start on Sunday.
+_SUNDAY = 4 * 1440
 
 
 def bucket_start(ms: Column, grain: str) -> Column:
-    """Start (timestamp, UTC) of the bucket that an epoch-ms time is in; weeks start on Sunday."""
-    at = F.timestamp_millis(ms)
-    if grain.startswith("minute_"):
-        step = 60_000 * int(grain[7:])
-        return F.timestamp_millis(ms - F.pmod(ms, F.lit(step)))
-    if grain == "week":
-        return (F.date_trunc("week", at + F.expr("interval 1 day")) - F.expr("interval 1 day")).cast("timestamp")
-    return F.date_trunc(grain, at)
+    """Start (epoch ms) of the UTC bucket that an epoch-ms time is in."""
+    step, shift = 60_000 * GRAINS[grain][2], 60_000 * _SUNDAY if grain == "week" else 0
+    return ms - F.pmod(ms + shift, F.lit(step))
 
 
 def bucket_label(ms: Column, grain: str) -> Column:
-    prefix, form = GRAINS[grain]
-    return F.concat(F.lit(prefix), F.date_format(bucket_start(ms, grain), form))
+    prefix, length, _ = GRAINS[grain]
+    return F.concat(F.lit(prefix), F.left(utc_time(bucket_start(ms, grain)).cast("string"), F.lit(length)))
 
 
 def bucket_rollup(events: DataFrame, by: list[str], grains: list[str] = tuple(GRAINS)) -> DataFrame:
@@ -87,8 +84,3 @@ def reduce_checkpoints(workers: DataFrame) -> DataFrame:
     checked = reads.unionByName(writes).join(F.broadcast(first.select("_e")))
     ok = F.when(F.col("_e").isNull(), F.col("checkpoint")).otherwise(F.raise_error(F.concat(F.lit("a worker failed: "), F.col("_e"))))
     return checked.withColumn("checkpoint", ok).drop("_e")
-
-
-def eid_lag(now_ms: Column, eid: Column) -> Column:
-    """Milliseconds between an id's time and now_ms."""
-    return now_ms - eid_millis(eid)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.eid import build_eid
+from ..functions.eid import build_eid, utc_millis
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def from_events(events: DataFrame) -> DataFrame:
     """queue, eid, bot, timestamp, payload, size, units, dt, k and the columns of events, row by row."""
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = utc_millis(F.col("ts"))
     return events.select(
         "event_id", "user_id", "value", F.col("event_type").alias("queue"), F.concat(F.lit("bot_"), (F.col("user_id") % 5).cast("string")).alias("bot"), ms.alias("timestamp"),
         build_eid(ms, F.col("event_id")).alias("eid"), F.col("props").alias("payload"), F.octet_length("props").cast("long").alias("size"), F.lit(1).cast("long").alias("units"),

@@ -86,9 +86,3 @@ def batch_stream(stream: DataFrame, limit: int, seconds: float | None = None) ->
     query = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start()
     _read_through(query, seconds)
     return spark.read.schema("queue string, eid string, seq long").parquet(f"{path}/out")
-
-
-def windowed_counts(stream: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Events by queue and window; the watermark only clears state (the bus itself has no late-data rule)."""
-    at = stream.withColumn("at", F.timestamp_millis("timestamp"))
-    return at.withWatermark("at", late).groupBy("queue", F.window("at", width)).agg(F.count(F.lit(1)).alias("n"))

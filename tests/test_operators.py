@@ -28,7 +28,21 @@ def test_event_ids(spark):
     assert one(spark, eid.build_eid(ms, F.lit(12)))[0] == f"z/2022/03/24/19/14/{MS}-0000012"
     got = one(spark, *(eid.eid_millis(F.lit(x)) for x in (f"z/2022/03/24/19/14/{MS}-0000012", "z/2022/03/24/19/14", "z/2022", "x/2022", "")))
     assert list(got) == [MS, 1648149240000, 1640995200000, None, None]
-    assert one(spark, eid.previous_eid(F.lit("z/12")), F.lit("z/1-0000000") > eid.after("z/1"))[:] == ("z/11", True)
+    assert one(spark, eid.previous_eid(F.lit("z/12")), eid.previous_eid(F.lit("z/10")), F.lit("z/1-0000000") > eid.after("z/1"))[:] == ("z/11", "z/1 ", True)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_ids_and_buckets_are_utc_in_any_session(spark, zone):
+    """Also for wall-clock times that the session's zone skips or has twice."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for ms, text in ((MS, "2022-03-24 19:14"), (1710037800000, "2024-03-10 02:30"), (1730611800000, "2024-11-03 05:30"), (-1, "1969-12-31 23:59")):
+            want = f"z/{text.replace('-', '/').replace(' ', '/').replace(':', '/')}/{ms}"
+            row = one(spark, eid.build_eid(F.lit(ms)), eid.eid_millis(eid.build_eid(F.lit(ms), None, "minute")), stats.bucket_label(F.lit(ms), "hour"), stats.bucket_label(F.lit(ms), "day"))
+            assert list(row) == [want, ms - ms % 60_000, f"hour_{text[:13]}", f"day_{text[:10]}"]
+        assert one(spark, stats.bucket_label(F.lit(MS), "week"), eid.utc_millis(F.lit("2024-03-10 02:30:00.0019").cast("timestamp_ntz")))[:] == ("week_2022-03-20", 1710037800001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_references(spark):
@@ -40,6 +54,9 @@ def test_references(spark):
 
 def test_hash(spark):
     assert one(spark, hashing.string_hash(F.lit("hello")), hashing.string_hash(F.lit("")))[:] == (99162322, 0)
+    assert one(spark, hashing.string_hash(F.lit("\U0001f600")), hashing.string_hash(F.lit("é")))[:] == (1772899, 233)
+    assert one(spark, hashing.key_hash(F.lit(-7), "bigint"), hashing.key_hash(F.array(F.lit("a"), F.lit("b")), "array<string>"), hashing.key_hash(F.array(F.lit(3), F.lit(4)), "array<int>"))[:] == (-7, 97 + 98, 7)
+    assert one(spark, hashing.partition_of(F.lit(-9), 7, "bigint"))[0] == 2
     assert 0 <= one(spark, hashing.partition_of(F.lit("z/2024/01/01/00/00/1704067207179-0000000"), 50))[0] < 20
 
 
