@@ -21,16 +21,16 @@ def to_envelope(rows: DataFrame, bot: str, queue: str, now: Column | None = None
     })
 
 
-def process(events: DataFrame, action: Column, payload: Column, bot: str, out_queue: Column | str, **options: Column) -> DataFrame:
+def process(events: DataFrame, action: Column, payload: Column, bot: str, out_queue: Column | str, keep: tuple[str, ...] = (), **options: Column) -> DataFrame:
     """id, event, payload, event_source_timestamp, source, start, units and action of each event that isn't dropped.
 
     action: EMIT, ACK (nothing is stored, the position counts) or DROP (nor that). options override event,
-    event_source_timestamp, start or units."""
+    event_source_timestamp, start or units; the columns in keep pass."""
     out = F.lit(out_queue) if isinstance(out_queue, str) else out_queue
     pick = lambda c, other: F.coalesce(options[c], other) if c in options else other
     return events.select(
         F.lit(bot).alias("id"), pick("event", out).alias("event"), F.when(action == EMIT, payload).alias("payload"), pick("event_source_timestamp", F.col("event_source_timestamp")).alias("event_source_timestamp"),
-        F.col("queue").alias("source"), pick("start", F.col("eid")).alias("start"), pick("units", F.col("units")).cast("long").alias("units"), action.alias("action"), "eid",
+        F.col("queue").alias("source"), pick("start", F.col("eid")).alias("start"), pick("units", F.col("units")).cast("long").alias("units"), action.alias("action"), "eid", *keep,
     ).where(F.col("action") != DROP)
 
 

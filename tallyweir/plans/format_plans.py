@@ -6,11 +6,12 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..operators import batching, joins, process, read
+from ..operators import batching, bots, joins, process, read
 from ..sources import formats
 from ..sources.fixture import bus_events, bus_rows, from_events, sql, table
 from ..sources.shared import new_path
 from ..streaming import streams
+from ..streaming.bots import ManualCheckpoint, run_bot
 from . import read_plans
 
 EVENT = ["eid", "queue", "bot", "timestamp", "payload", "size"]
@@ -113,10 +114,47 @@ def stream_read(spark, sf):
     return streams.run_batches(streams.stream_table(spark, sf, "events"), step)
 
 
+def _own_time(events):
+    return events.withColumn("event_source_timestamp", F.col("timestamp"))
+
+
+def _doubler(batch):
+    return bots.enrich(_own_time(from_events(batch)), "doubler", "doubled", lambda rows: (process.action_of(read_plans._kind()), read_plans._doubled()))
+
+
+def _dealt(spark, sf):
+    return streams.deal(table(spark, sf, "events"))
+
+
 def enrich_stream(spark, sf):
-    """Process per micro-batch; output and checkpoint are one batch."""
-    step = lambda b: process.process(from_events(b).withColumn("event_source_timestamp", F.col("timestamp")), process.action_of(read_plans._kind()), read_plans._doubled(), "doubler", "doubled")
-    return streams.run_batches(streams.stream_table(spark, sf, "events"), step)
+    """Process per micro-batch, four of them; output and checkpoint are one batch."""
+    run = run_bot(_dealt(spark, sf), _doubler)
+    return read_plans._event_and_checkpoints(bots.Worked(run.output(), run.checkpoints()))
+
+
+def offload_stream(spark, sf):
+    """Deliveries of single events per micro-batch, and the checkpoint."""
+    run = run_bot(_dealt(spark, sf), lambda batch: bots.offload(_own_time(from_events(batch)), "offloader", read_plans._not_thirds))
+    return read_plans._delivered(bots.Worked(run.output(), run.checkpoints()))
+
+
+def checkpoint_hook(spark, sf):
+    """What the hook is told of each micro-batch, put together."""
+    told = new_path(spark, "hook")
+    run_bot(_dealt(spark, sf), _doubler, lambda number, error, checkpoints: formats.append_batch(checkpoints, told, number))
+    return bots.latest(spark.read.parquet(told))
+
+
+def manual_checkpoint(spark, sf):
+    """Three parts read, flushed after the first two: the third moves nothing."""
+    rows = _own_time(bus_rows(spark, sf))
+    manual = ManualCheckpoint(spark)
+    for part in range(3):
+        worked = bots.enrich(rows.where(F.col("event_id") % 3 == part), "manual", "out", lambda r: (F.lit(process.ACK), F.lit(None).cast("string")))
+        manual.add(worked.checkpoints)
+        if part == 1:
+            manual.flush()
+    return manual.checkpoints()
 
 
 def lookup_join_stream(spark, sf):
@@ -129,9 +167,10 @@ def batch_stream(spark, sf):
     return streams.batch_stream(from_events(streams.stream_table(spark, sf, "events")), 1000)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, lookup_join_stream, batch_stream)}
+QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
 
 _E = ", ".join(EVENT)
+_DOUBLED = sql(", d AS (" + read_plans._SYNC.replace("payload, event_source_timestamp, queue AS source", "payload, timestamp AS event_source_timestamp, queue AS source") + ")")
 SQL = {
     "jsonl_source": sql(f"SELECT {_E} FROM rows_"),
     "jsonl_sink": sql(f"SELECT {_E} FROM rows_"),
@@ -148,7 +187,12 @@ SQL = {
     "retrying_sink": "SELECT count(*) AS written, count(*) FILTER (event_id % 10 = 0) AS retried, CAST(0 AS BIGINT) AS failed FROM events",
     "external_enrich": sql("""SELECT eid, k, '{"sq": ' || k * k || '}' AS answer FROM rows_"""),
     "stream_read": read_plans.SQL["read_range"],
-    "enrich_stream": read_plans.SQL["process_emit_ack_drop"].replace("payload, event_source_timestamp, queue AS source", "payload, timestamp AS event_source_timestamp, queue AS source"),
+    "enrich_stream": _DOUBLED + """ SELECT 'event' AS kind, id, event AS queue, payload, start AS position, units AS n, event_source_timestamp AS source_timestamp FROM d WHERE action = 'emit'
+      UNION ALL SELECT 'checkpoint', id, source, NULL, max(start), CAST(sum(units) AS BIGINT), min(event_source_timestamp) FROM d GROUP BY id, source""",
+    "checkpoint_hook": _DOUBLED + " SELECT id AS bot, source AS queue, max(start) AS checkpoint, CAST(sum(units) AS BIGINT) AS records, min(event_source_timestamp) AS source_timestamp, max(event_source_timestamp) AS ended_timestamp FROM d GROUP BY id, source",
+    "manual_checkpoint": sql("SELECT 'manual' AS bot, queue, max(eid) AS checkpoint, count(*) AS records, min(timestamp) AS source_timestamp, max(timestamp) AS ended_timestamp FROM rows_ WHERE event_id % 3 < 2 GROUP BY queue"),
+    "offload_stream": sql("""SELECT 'delivery' AS kind, 'offloader' AS id, queue, sha256(payload) AS payload, eid AS position, CAST(1 AS BIGINT) AS n, timestamp AS source_timestamp FROM rows_ WHERE k % 3 > 0
+      UNION ALL SELECT 'checkpoint', 'offloader', queue, NULL, max(eid), CAST(sum(units) AS BIGINT), min(timestamp) FROM rows_ WHERE k % 3 > 0 GROUP BY queue"""),
     "lookup_join_stream": "SELECT o_orderkey, o_custkey, c_name, c_acctbal FROM orders LEFT JOIN customer ON o_custkey = c_custkey",
     "batch_stream": sql(""", o AS (SELECT queue, eid, size, row_number() OVER (PARTITION BY queue ORDER BY eid) AS r FROM rows_)
 , f AS (SELECT * FROM (WITH RECURSIVE g AS (SELECT queue, eid, r, CAST(0 AS BIGINT) AS seq, CAST(size AS BIGINT) AS b FROM o WHERE r = 1

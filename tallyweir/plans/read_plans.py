@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import refs
 from ..functions.eid import build_eid, utc_millis
-from ..operators import batching, process, read, stats
+from ..operators import batching, bots, process, read, stats
 from ..sources.fixture import bus_events, bus_rows, checkpoints, sql, table
 
 START, END = "z/2024/01/05", "z/2024/01/20/12"
@@ -157,18 +157,39 @@ def batch_count(spark, sf):
     return b.select("queue", "batch", "bot", "event_source_timestamp", "timestamp", "start", "eid", "units", F.sha2(joined, 256).alias("payloads_sha256"))
 
 
+def _event_and_checkpoints(worked):
+    """Both in one table: kind, id, queue, payload, position and n."""
+    out = worked.output.select(F.lit("event").alias("kind"), "id", F.col("event").alias("queue"), "payload", F.col("start").alias("position"), F.col("units").alias("n"), F.col("event_source_timestamp").alias("source_timestamp"))
+    return out.unionByName(_checkpoint_rows(worked.checkpoints))
+
+
+def _checkpoint_rows(checkpoints):
+    return checkpoints.select(F.lit("checkpoint").alias("kind"), F.col("bot").alias("id"), "queue", F.lit(None).cast("string").alias("payload"), F.col("checkpoint").alias("position"), F.col("records").alias("n"), "source_timestamp")
+
+
+def _batch_sums(rows):
+    """Sum of k over a batch's events; odd sums are acknowledged only."""
+    s = F.aggregate("events", F.lit(0).cast("long"), lambda a, e: a + F.get_json_object(e["payload"], "$.k").cast("long"))
+    return F.when(s % 2 == 0, process.EMIT).otherwise(process.ACK), F.concat(F.lit('{"sum":'), s.cast("string"), F.lit("}"))
+
+
 def enrich(spark, sf):
-    """Read, batch by 10, process (sum of k; odd sums are acknowledged only), write; and the checkpoint it leaves."""
-    b = batching.number_batches(read.read_range(bus_events(spark, sf), "view", START), 10)
-    g = b.groupBy("queue", "batch").agg(F.sum("k").alias("s"), F.max("eid").alias("eid"), F.sum("units").alias("units"), F.min_by("event_source_timestamp", "eid").alias("event_source_timestamp"))
-    return process.process(g, F.when(F.col("s") % 2 == 0, process.EMIT).otherwise(process.ACK), F.concat(F.lit('{"sum":'), F.col("s").cast("string"), F.lit("}")), "enricher", "sums")
+    """Read, batch by 10, process, write; and the checkpoint it leaves."""
+    return _event_and_checkpoints(bots.enrich(read.read_range(bus_events(spark, sf), "view", START), "enricher", "sums", _batch_sums, batch=10))
+
+
+def _not_thirds(rows):
+    return F.when(F.col("k") % 3 > 0, F.col("payload"))
 
 
 def offload(spark, sf):
     """Read, map (falsy drops), batch by 20, and what an outside system gets per batch, with the checkpoint."""
-    rows = bus_events(spark, sf).where("k % 3 > 0")
-    b = batching.number_batches(rows, 20)
-    return b.groupBy("queue", "batch").agg(F.count(F.lit(1)).alias("records"), F.sum("k").alias("total"), F.max("eid").alias("checkpoint"))
+    return _delivered(bots.offload(bus_events(spark, sf), "offloader", _not_thirds, batch=20))
+
+
+def _delivered(worked):
+    out = worked.output.select(F.lit("delivery").alias("kind"), "id", "queue", F.sha2("delivery", 256).alias("payload"), F.col("eid").alias("position"), F.col("records").alias("n"), F.col("event_source_timestamp").alias("source_timestamp"))
+    return out.unionByName(_checkpoint_rows(worked.checkpoints))
 
 
 QUERIES = {f.__name__: f for f in (flagship, read_range, read_from_checkpoint, read_limit, read_byte_budget, snapshot_tail, archive_tail, normalize_refs, table_scan, load_events, dw_feed, stamp_eids, route_by_size, dead_letter, route_queues, quality_rules, process_emit_ack_drop, process_async_rules, fanout_partial, process_with_summary, checkpoint_from_correlations, batch_correlation, batch_count, enrich, offload)}
@@ -215,7 +236,10 @@ SQL = {
     "checkpoint_from_correlations": sql(_FANNED + " SELECT id AS bot, source AS queue, max(start) AS checkpoint, CAST(sum(units) AS BIGINT) AS records, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS ended_timestamp FROM fanned GROUP BY id, source"),
     "batch_correlation": sql(_NUMBERED.format(n=10, where="") + " SELECT queue AS source, batch, min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS \"end\", CAST(sum(units) AS BIGINT) AS units FROM b GROUP BY queue, batch"),
     "batch_count": sql(_NUMBERED.format(n=25, where="") + " SELECT queue, batch, arg_min(bot, eid) AS bot, arg_min(event_source_timestamp, eid) AS event_source_timestamp, arg_max(timestamp, eid) AS timestamp, min(eid) AS start, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, sha256(string_agg(payload, '' ORDER BY eid)) AS payloads_sha256 FROM b GROUP BY queue, batch"),
-    "enrich": sql(_NUMBERED.format(n=10, where=f" WHERE queue = 'view' AND eid > '{START} '") + """ SELECT 'enricher' AS id, 'sums' AS event, CASE WHEN s % 2 = 0 THEN '{"sum":' || s || '}' END AS payload, event_source_timestamp, queue AS source, eid AS start, units, CASE WHEN s % 2 = 0 THEN 'emit' ELSE 'ack' END AS action, eid
-      FROM (SELECT queue, batch, CAST(sum(k) AS BIGINT) AS s, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, arg_min(event_source_timestamp, eid) AS event_source_timestamp FROM b GROUP BY queue, batch)"""),
-    "offload": sql(_NUMBERED.format(n=20, where=" WHERE k % 3 > 0") + " SELECT queue, batch, count(*) AS records, CAST(sum(k) AS BIGINT) AS total, max(eid) AS checkpoint FROM b GROUP BY queue, batch"),
+    "enrich": sql(_NUMBERED.format(n=10, where=f" WHERE queue = 'view' AND eid > '{START} '") + """, g AS (SELECT queue, batch, CAST(sum(k) AS BIGINT) AS s, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, arg_min(event_source_timestamp, eid) AS est FROM b GROUP BY queue, batch)
+      SELECT 'event' AS kind, 'enricher' AS id, 'sums' AS queue, '{"sum":' || s || '}' AS payload, eid AS position, units AS n, est AS source_timestamp FROM g WHERE s % 2 = 0
+      UNION ALL SELECT 'checkpoint', 'enricher', queue, NULL, max(eid), CAST(sum(units) AS BIGINT), min(est) FROM g GROUP BY queue"""),
+    "offload": sql(_NUMBERED.format(n=20, where=" WHERE k % 3 > 0") + """, g AS (SELECT queue, batch, count(*) AS n, '[' || string_agg(payload, ',' ORDER BY eid) || ']' AS body, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, arg_min(event_source_timestamp, eid) AS est FROM b GROUP BY queue, batch)
+      SELECT 'delivery' AS kind, 'offloader' AS id, queue, sha256(body) AS payload, eid AS position, n, est AS source_timestamp FROM g
+      UNION ALL SELECT 'checkpoint', 'offloader', queue, NULL, max(eid), CAST(sum(units) AS BIGINT), min(est) FROM g GROUP BY queue"""),
 }

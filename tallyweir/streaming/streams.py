@@ -23,6 +23,13 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{sf_dir}/{name}.parq*t")
 
 
+def deal(rows: DataFrame, files: int = 4) -> DataFrame:
+    """A table dealt into files, as a stream with one of them in each micro-batch."""
+    path = new_path(rows.sparkSession, "dealt")
+    rows.repartition(files).write.parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _read_through(query: StreamingQuery, seconds: float | None) -> None:
     """Wait until the stream has been read. Where seconds are given and pass before that, it is stopped and raises."""
     if seconds is None:

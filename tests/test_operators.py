@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweir.functions import eid, hashing, refs
-from tallyweir.operators import batching, joins, lineage, process, read, state, stats
+from tallyweir.operators import batching, bots, joins, lineage, process, read, state, stats
 from tallyweir.sources import formats
 from tallyweir.streaming import streams
+from tallyweir.streaming.bots import BotRun, ManualCheckpoint, run_bot
 
 MS = 1648149254205
 
@@ -227,3 +228,53 @@ def test_long_traces_are_whole_or_an_error(spark):
     assert lineage.trace_downstream(start, reads, writes).count() == n
     with pytest.raises(ValueError):
         lineage.trace_downstream(start, reads, writes, hops=3)
+
+
+def acked(rows):
+    return bots.enrich(rows, "b", "out", lambda r: (F.when(F.col("timestamp") % 2000 == 0, "emit").otherwise("ack"), F.col("payload")))
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    run, seen = BotRun(spark), []
+    for number, rows in ((0, events(spark, 4)), (1, events(spark, 9)), (1, events(spark, 9)), (0, events(spark, 4))):
+        run.write(number, acked(rows), lambda n, error, checkpoints: seen.append((n, error, checkpoints.first().checkpoint[-1])))
+    assert run.output().count() == 2 + 5
+    assert [(r.checkpoint[-1], r.records) for r in run.checkpoints().collect()] == [("8", 13)]
+    assert seen == [(0, None, "3"), (1, None, "8"), (1, None, "8"), (0, None, "3")]
+
+
+def test_a_failed_batch_moves_no_checkpoint(spark):
+    run, seen = BotRun(spark), []
+    run.write(0, acked(events(spark, 3)))
+    worked = acked(events(spark, 9))
+    with pytest.raises(Exception, match="boom"):
+        run.write(1, bots.Worked(worked.output.withColumn("payload", F.raise_error(F.lit("boom"))), worked.checkpoints), lambda n, error, checkpoints: seen.append((n, error is not None, checkpoints)))
+    assert seen == [(1, True, None)] and run.checkpoints().first().checkpoint[-1] == "2"
+
+
+def test_bots_over_several_micro_batches(spark):
+    numbers = []
+    run = run_bot(streams.deal(events(spark, 40), 4), acked, lambda n, error, checkpoints: numbers.append(n))
+    assert len(set(numbers)) == 4 and run.output().count() == 20
+    assert [(r.checkpoint[-2:], r.records) for r in run.checkpoints().collect()] == [("39", 40)]
+
+
+def test_offload_drops_and_batches(spark):
+    kept = lambda rows: F.when(F.col("timestamp") < 5000, F.col("payload"))
+    one, three = (bots.offload(events(spark, 12), "b", kept, n) for n in (1, 3))
+    assert [r.delivery for r in one.output.orderBy("eid").collect()] == [f'{{"data":{k}}}' for k in range(5)]
+    assert [(r.delivery, r.records) for r in three.output.orderBy("eid").collect()] == [('[{"data":0},{"data":1},{"data":2}]', 3), ('[{"data":3},{"data":4}]', 2)]
+    assert one.checkpoints.first().checkpoint[-1] == three.checkpoints.first().checkpoint[-1] == "4"
+
+
+def test_manual_checkpoint_waits_for_flush(spark):
+    manual = ManualCheckpoint(spark)
+    manual.flush()
+    manual.add(acked(events(spark, 3)).checkpoints)
+    assert manual.checkpoints().count() == 0
+    manual.flush()
+    manual.flush()
+    manual.add(acked(events(spark, 9)).checkpoints)
+    assert [(r.checkpoint[-1], r.records) for r in manual.checkpoints().collect()] == [("2", 3)]
+    manual.flush()
+    assert [(r.checkpoint[-1], r.records) for r in manual.checkpoints().collect()] == [("8", 12)]
