@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.eid import build_eid, eid_millis
+from ..sources.shared import cut
+
 
 def lookup_join(events: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """events with joined_data: the row of dim with its key, null if there is none or the key is null. AQE picks a
@@ -31,12 +36,13 @@ def find_ids(changes: dict[str, DataFrame], mappings: dict[str, DataFrame | bool
 
 
 def build_entities(roots: DataFrame, key: str, one: dict[str, tuple[DataFrame, str, Column]] | None = None, many: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
-    """Root rows with nested children. one: name -> (table, its key, order; the last wins), a struct or null; many:
+    """Root rows with nested children. one: name -> (table, its key, order; the last wins), a struct, whose fields are null if there is none; many:
     name -> (table, its key), a list, empty if there are none. Children are grouped before they are joined."""
     out = roots
     for name, (rows, fk, order) in (one or {}).items():
         child = rows.groupBy(F.col(fk).alias("_k")).agg(F.max_by(F.struct(*rows.columns), order).alias(name))
-        out = out.join(child, F.col(key) == F.col("_k"), "left").drop("_k")
+        empty = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields))
+        out = out.join(child, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, empty))
     for name, (rows, fk) in (many or {}).items():
         child = rows.groupBy(F.col(fk).alias("_k")).agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias(name))
         out = out.join(child, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, F.array()))
@@ -50,26 +56,61 @@ def parent_join(events: DataFrame) -> DataFrame:
 
 
 def correlation_search(points: DataFrame, spans: DataFrame) -> DataFrame:
-    """Which spans (source, start, end, eid) hold each point (source, x): start <= x <= end, or start = x where there is
-    no end. Spans are cut by day, so the join is on source and day and compares ids within."""
-    day = lambda c: F.left(c, F.lit(12))
-    date = lambda c: F.to_date(F.substring(c, 3, 10), "yyyy/MM/dd")
-    days = F.sequence(date(F.col("start")), date(F.coalesce("end", "start")))
-    s = spans.select("source", "start", "end", F.col("eid").alias("found"), F.explode(days).alias("_d")).withColumn("_d", F.concat(F.lit("z/"), F.date_format("_d", "yyyy/MM/dd")))
-    p = points.withColumn("_d", day(F.col("x")))
-    return p.join(s, ["source", "_d"]).where((F.col("start") == F.col("x")) | ((F.col("start") <= F.col("x")) & (F.col("x") <= F.col("end")))).drop("_d")
+    """source, x, start, end, found: which spans (source, start, end, eid) hold each point (source, x): start <= x <= end,
+    or start = x where there is no end. Both are dealt by source and hour and swept in order; a task holds the spans that
+    are open where it stands, and time grows with rows and matches, not with their product. Null positions match nothing."""
+    hour = lambda c: F.left(c, F.lit(15))
+    since = lambda c: F.floor(eid_millis(c) / 3_600_000).cast("long")
+    to = F.coalesce("end", "start")
+    hours = F.transform(F.sequence(since(F.col("start")), F.greatest(since(to), since(F.col("start")))), lambda h: build_eid(h * 3_600_000, None, "hour"))
+    none = F.lit(None).cast("string")
+    s = spans.where("start is not null").select("source", F.explode(hours).alias("hour"), F.col("start").alias("at"), F.lit(0).alias("kind"), "start", "end", F.col("eid").alias("found"))
+    p = points.where("x is not null").select("source", hour(F.col("x")).alias("hour"), F.col("x").alias("at"), F.lit(1).alias("kind"), none.alias("start"), none.alias("end"), none.alias("found"))
+    both = s.unionByName(p).repartition("source", "hour").sortWithinPartitions("source", "hour", "at", "kind")
+    return both.mapInArrow(_sweep, "source string, x string, start string, end string, found string")
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, opened = None, []
+    for batch in batches:
+        out = []
+        for source, hour, at, kind, start, end, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (source, hour) != key:
+                key, opened = (source, hour), []
+            if kind == 0:
+                opened.append((start, end, found))
+                continue
+            opened = [s for s in opened if (s[1] or s[0]) >= at]
+            out += [(source, at, *s) for s in opened]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["source", "x", "start", "end", "found"])
 
 
 def checkpoint_asof(wanted: DataFrame, stats: DataFrame) -> DataFrame:
-    """found: the first stats bucket (bot, queue, bucket, checkpoint) at or after each wanted (bot, queue, eid, bucket)
-    whose checkpoint has reached eid; null if there is none. A bot's checkpoints never fall, so found is the later of
-    two lookups, each a running minimum over stats and wanted rows sorted together: no pairs are made."""
-    by = ["bot", "queue"]
-    w = wanted.select(*by, "eid", "bucket").withColumns({"b": F.lit(None).cast("string"), "checkpoint": F.lit(None).cast("string")})
-    s = stats.select(*by, F.lit(None).cast("string").alias("eid"), F.lit(None).cast("string").alias("bucket"), F.col("bucket").alias("b"), "checkpoint")
-    both = w.unionByName(s)
-    # from the highest position down, stats before wanted rows at the same one
-    reached = Window.partitionBy(*by).orderBy(F.coalesce("checkpoint", "eid").desc(), F.col("b").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    later = Window.partitionBy(*by).orderBy(F.coalesce("b", "bucket").desc(), F.col("b").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_1", F.min("b").over(reached)).withColumn("_2", F.min("b").over(later)).where("b is null")
-    return out.select(*by, "eid", "bucket", F.when(F.col("_1").isNotNull() & F.col("_2").isNotNull(), F.greatest("_1", "_2")).alias("found"))
+    """wanted (bot, queue, eid, bucket; other columns pass; equal rows are one) with found: the first stats bucket (bot,
+    queue, bucket, checkpoint) at or after bucket whose checkpoint has reached eid; null if there is none.
+
+    A bot's checkpoints rise from bucket to bucket but where they are forced back, so its stats are cut into rising runs.
+    In a run found is the later of two lookups: the first bucket from bucket on, and the first whose checkpoint has
+    reached eid. Each is an equi-join with a table that has a row for each hour or bucket, not for each event: only such
+    tables are put in order."""
+    by, run = ["bot", "queue"], ["bot", "queue", "run"]
+    order = Window.partitionBy(*by).orderBy("bucket")
+    fell = (F.col("checkpoint") < F.lag("checkpoint").over(order)).cast("int")
+    s = cut(stats.where("checkpoint is not null").select(*by, "bucket", "checkpoint").withColumn("fell", F.coalesce(fell, F.lit(0))).withColumn("run", F.sum("fell").over(order.rowsBetween(Window.unboundedPreceding, 0))))
+    hour = lambda c: F.left(c, F.lit(15))
+    runs = s.groupBy(*run).agg(F.max("bucket").alias("_last"), F.max("checkpoint").alias("_top"))
+    fits = (F.col("_last") >= F.col("bucket")) & (F.col("_top") >= F.col("eid"))
+    asked = wanted.join(F.broadcast(runs), by, "left").withColumn("_h", hour(F.col("eid")))
+    asked = asked.withColumn("run", F.when(fits, F.col("run")))
+    later = Window.partitionBy(*run).orderBy(F.col("_h").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    hours = s.groupBy(*run, hour(F.col("checkpoint")).alias("_h")).agg(F.collect_list(F.struct("checkpoint", "bucket")).alias("_here"), F.min("bucket").alias("_b"))
+    hours = asked.select(*run, "_h").distinct().where("run is not null").join(hours, [*run, "_h"], "full_outer").withColumn("_after", F.min("_b").over(later))
+    on = Window.partitionBy(*run).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    buckets = asked.select(*run, "bucket").distinct().where("run is not null").join(s.select(*run, "bucket", F.col("bucket").alias("_own")), [*run, "bucket"], "full_outer").withColumn("_from", F.min("_own").over(on))
+    both = asked.join(hours.select(*run, "_h", "_here", "_after"), [*run, "_h"], "left").join(buckets.select(*run, "bucket", "_from").distinct(), [*run, "bucket"], "left")
+    reached = F.array_min(F.transform(F.filter("_here", lambda x: x["checkpoint"] >= F.col("eid")), lambda x: x["bucket"]))
+    reached = F.coalesce(F.least(reached, "_after"), reached, "_after")
+    found = F.when(F.col("run").isNotNull() & reached.isNotNull() & F.col("_from").isNotNull(), F.greatest(reached, "_from"))
+    out = both.withColumn("_found", found).groupBy(*wanted.columns).agg(F.min("_found").alias("found"))
+    return out

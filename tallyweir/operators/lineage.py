@@ -25,7 +25,7 @@ def trace_upstream(roots: DataFrame, events: DataFrame, hops: int | None = None)
     """root, hop, queue, eid, bot and lag of each event from a root (queue, eid) up through its parents. A trace ends at
     an event without a parent, a parent that isn't there, or a bot that it has met; where hops are given
     and events are left after that many, it raises. All roots go up one hop at a time, by one join; each hop is written, so a lost executor costs one hop."""
-    known = events.select("queue", "eid", "bot", "source", "start", (F.col("timestamp") - F.col("event_source_timestamp")).alias("lag"))
+    known = cut(events.select("queue", "eid", "bot", "source", "start", (F.col("timestamp") - F.col("event_source_timestamp")).alias("lag")))
     now = roots.select(F.col("eid").alias("root"), "queue", "eid").join(known, ["queue", "eid"])
     now = now.select("root", F.lit(0).alias("hop"), "queue", "eid", "bot", "lag", "source", "start", F.array("bot").alias("seen"))
     out = None

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.eid import after, day_bounds
 
 
-def read_range(events: DataFrame, queue: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """A queue's events with start < eid <= end (strictly after start, counting its record number)."""
-    out = events.where(F.col("queue") == queue)
+def read_range(events: DataFrame, queue: str | list[str], start: str | None = None, end: str | None = None) -> DataFrame:
+    """A queue's events (or several queues') with start < eid <= end (strictly after start, counting its record number)."""
+    out = events.where(F.col("queue") == queue if isinstance(queue, str) else F.col("queue").isin(queue))
     if start:
         out = out.where(F.col("eid") > after(start))
     if end:
@@ -30,12 +30,12 @@ def read_from_checkpoint(events: DataFrame, readers: DataFrame, checkpoints: Dat
 
 def prefix_sum(events: DataFrame, keys: list[str], value: str, name: str = "before") -> DataFrame:
     """events with the sum of value over the rows of the same keys with a smaller eid, in two phases: sums by hour give
-    each hour its offset, and only rows of one hour are ordered together."""
+    each hour its offset, and only rows of one hour are ordered together (equal eids by value)."""
     rows = events.withColumn("_hour", F.left("eid", F.lit(15)))
     sums = rows.groupBy(*keys, "_hour").agg(F.sum(value).alias("_s"))
     upto = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "_hour", F.coalesce(F.sum("_s").over(upto), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(*keys, "_hour").orderBy("eid").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys, "_hour").orderBy("eid", value).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_local", F.coalesce(F.sum(value).over(within), F.lit(0)))
     return local.join(offsets, [*keys, "_hour"]).withColumn(name, F.col("_local") + F.col("_offset")).drop("_hour", "_local", "_offset")
 
@@ -45,8 +45,17 @@ def read_limit(events: DataFrame, queue: str, limit: int, start: str | None = No
 
 
 def read_byte_budget(events: DataFrame, queue: str, size: int) -> DataFrame:
-    """Events in order while the sizes before them sum to less than size: the one that crosses is in."""
-    return prefix_sum(read_range(events, queue), [], "size").where(F.col("before") < size).drop("before")
+    """Events in order while the sizes before them sum to less than size: the one that crosses is in. Sums by hour tell
+    the hour in which size is reached; nothing after it is read, and only its rows are ordered."""
+    rows = read_range(events, queue)
+    hour = F.left("eid", F.lit(15))
+    upto = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = rows.groupBy(hour.alias("hour")).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s"))  # a row for each hour
+    crossed = sums.withColumn("upto", F.sum("s").over(upto)).where(F.col("upto") >= size).orderBy("hour").first()
+    if crossed is None:
+        return rows
+    last = prefix_sum(rows.where(hour == crossed.hour), [], "size").where(F.col("before") < size - (crossed.upto - crossed.s)).drop("before")
+    return rows.where(hour < crossed.hour).unionByName(last)
 
 
 def first_then(first: DataFrame, live: DataFrame, until: str) -> DataFrame:
@@ -54,6 +63,19 @@ def first_then(first: DataFrame, live: DataFrame, until: str) -> DataFrame:
     return first.where(F.col("eid") <= until).unionByName(live.where(F.col("eid") > until))
 
 
+def read_registered(events: DataFrame, queue: str, start: str, registered: dict[str, str | None]) -> DataFrame:
+    """A queue read from start, by what its registry row says: from "z/" exactly and with a snapshot, the events of
+    <queue>/_snapshot and then the live ones after snapshot_next; where archive_end is past start, those of
+    <queue>/_archive up to it and then the live ones; else the live ones. All are queues of events, so each part
+    reads only its own range."""
+    part = lambda name, a, b=None: read_range(events, name, a, b).withColumn("queue", F.lit(queue))
+    if start.strip() == "z/" and registered.get("snapshot_next"):
+        return part(f"{queue}/_snapshot", None).unionByName(part(queue, registered["snapshot_next"]))
+    if (end := registered.get("archive_end")) and end > start:
+        return part(f"{queue}/_archive", start, end).unionByName(part(queue, end))
+    return part(queue, start)
+
+
 def table_scan(rows: DataFrame, key: str, low, high, count: int | None = None) -> DataFrame:
     """Rows with low <= key <= high, in key order; at most count of them."""
     out = rows.where(F.col(key).between(low, high)).orderBy(key)

@@ -31,8 +31,9 @@ def jsonl_sink(spark, sf):
 
 
 def csv_roundtrip(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 5 > 0, F.left("text", F.lit(200))).alias("head"), "lang")
-    return formats.read_csv(spark, formats.write_csv(rows), "doc_id long, head string, lang string", sep=",")
+    """Whole texts, with a column that is null for long ones."""
+    rows = table(spark, sf, "documents").select("doc_id", "text", "lang", F.when(F.col("n_chars") < 500, F.col("source")).alias("short_source"))
+    return formats.read_csv(spark, formats.write_csv(rows), "doc_id long, text string, lang string, short_source string", sep=",")
 
 
 def project_payload(spark, sf):
@@ -62,7 +63,7 @@ def polling_source(spark, sf):
 
 
 def explode_chunks(spark, sf):
-    return formats.explode_chunks(formats.make_chunks(bus_rows(spark, sf).where("dt < date'2024-01-15'"), ["queue", "dt"], 20))
+    return formats.explode_chunks(formats.make_chunks(bus_rows(spark, sf), ["queue", "dt"], 20))
 
 
 def archive_queue(spark, sf):
@@ -87,21 +88,13 @@ def append_queue(spark, sf):
 
 
 def retrying_sink(spark, sf):
-    """A sink that refuses one row in ten at the first try."""
-    rows = bus_rows(spark, sf).select("event_id")
-
-    def writer():
-        seen: set = set()
-
-        def write(batch):
-            bad = [k for k, r in enumerate(batch) if r["event_id"] % 10 == 0 and r["event_id"] not in seen]
-            seen.update(batch[k]["event_id"] for k in bad)
-            return bad
-
-        return write
-
-    out = formats.retrying_sink(rows, writer())
-    return out.agg(F.sum("written").alias("written"), F.sum("retried").alias("retried"), F.sum("failed").alias("failed"))
+    """A sink that takes at most a third of a queue's rows, and one, in a try: what it holds after all tries."""
+    rows = bus_rows(spark, sf).select("event_id", "queue", "eid", "size")
+    path = new_path(spark, "sink")
+    quota = rows.groupBy("queue").count().agg(F.max("count")).first()[0]
+    formats.write_with_retries(rows, formats.throttled_sink(path, "queue", "eid", (quota or 0) // 3 + 1))
+    held = spark.read.parquet(path)
+    return held.groupBy("queue", F.col("batch").alias("try")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.max("eid").alias("last_eid"), F.sum("size").alias("bytes"))
 
 
 def external_enrich(spark, sf):
@@ -174,17 +167,18 @@ _DOUBLED = sql(", d AS (" + read_plans._SYNC.replace("payload, event_source_time
 SQL = {
     "jsonl_source": sql(f"SELECT {_E} FROM rows_"),
     "jsonl_sink": sql(f"SELECT {_E} FROM rows_"),
-    "csv_roundtrip": r"SELECT doc_id, CASE WHEN doc_id % 5 > 0 THEN regexp_replace(regexp_replace(left(text, 200), '\n', '', 'g'), '^ +| +$', '', 'g') END AS head, lang FROM documents",
+    "csv_roundtrip": r"SELECT doc_id, regexp_replace(replace(text, chr(10), ''), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS text, lang, CASE WHEN n_chars < 500 THEN source END AS short_source FROM documents",
     "project_payload": sql("""SELECT event_id, CAST(k AS DOUBLE) AS a_n, queue AS a_s, CAST(NULL AS VARCHAR) AS a_o, eid, '{"n":' || k || ',"s":"' || queue || '","o":{"x":1}}' AS a_raw FROM rows_"""),
     "custom_parse": sql("SELECT eid, queue, k FROM rows_ WHERE k % 2 = 1"),
     "polling_source": "SELECT o_orderkey AS position, o_custkey, o_totalprice FROM orders",
-    "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_ WHERE dt < '2024-01-15'),
+    "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_),
       c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM n WINDOW w AS (PARTITION BY queue, dt, batch ORDER BY eid))
       SELECT queue, regexp_extract(f, '^(.*)-', 1) || '-' || right('0000000' || (CAST(regexp_extract(f, '-(\\d+)$', 1) AS BIGINT) + p), 7) AS eid, bot AS id, timestamp, payload FROM c"""),
     "archive_queue": sql(f"SELECT {_E}, CAST(dt AS VARCHAR) AS dt FROM rows_ WHERE dt >= '2024-01-10'"),
     "queue_manifest": sql("SELECT queue, CAST(dt AS VARCHAR) AS dt, min(eid) AS start, max(eid) AS \"end\", count(*) AS records, CAST(sum(size) AS BIGINT) AS size FROM rows_ GROUP BY queue, dt"),
     "append_queue": sql("SELECT queue, CAST(timestamp % 2 AS INTEGER) AS batch, count(*) AS n, max(eid) AS last_eid FROM rows_ GROUP BY 1, 2"),
-    "retrying_sink": "SELECT count(*) AS written, count(*) FILTER (event_id % 10 = 0) AS retried, CAST(0 AS BIGINT) AS failed FROM events",
+    "retrying_sink": sql(""", q AS (SELECT max(n) // 3 + 1 AS quota FROM (SELECT count(*) AS n FROM rows_ GROUP BY queue)), r AS (SELECT *, CAST((row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // quota AS INTEGER) AS try FROM rows_, q)
+      SELECT queue, try, count(*) AS n, count(DISTINCT event_id) AS ids, max(eid) AS last_eid, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY queue, try"""),
     "external_enrich": sql("""SELECT eid, k, '{"sq": ' || k * k || '}' AS answer FROM rows_"""),
     "stream_read": read_plans.SQL["read_range"],
     "enrich_stream": _DOUBLED + """ SELECT 'event' AS kind, id, event AS queue, payload, start AS position, units AS n, event_source_timestamp AS source_timestamp FROM d WHERE action = 'emit'

@@ -16,7 +16,7 @@ _E = ", ".join(EVENT)
 
 def flagship(spark, sf):
     """Envelope, ids, range read, projected payload and stream statistics by queue."""
-    rows = read.read_range(bus_events(spark, sf), "view", START, END).unionByName(read.read_range(bus_events(spark, sf), "purchase", START, END))
+    rows = read.read_range(bus_events(spark, sf), ["view", "purchase"], START, END)
     return stats.stream_stats(rows.withColumn("units", F.col("k")), "queue")
 
 
@@ -39,15 +39,23 @@ def read_byte_budget(spark, sf):
     return read.read_byte_budget(bus_rows(spark, sf), "error", 2000).select(*EVENT)
 
 
+def _parts(spark, sf):
+    """Live queues, and beside each its snapshot (each user's last event up to END) and its archive (events up to END)."""
+    rows = bus_rows(spark, sf)
+    old = rows.where(F.col("eid") <= END)
+    last = old.groupBy("queue", "user_id").agg(F.max_by(F.struct(*EVENT[:1], *EVENT[2:], "dt"), "eid").alias("e")).select(F.concat("queue", F.lit("/_snapshot")).alias("queue"), "e.*")
+    kept = old.select(F.concat("queue", F.lit("/_archive")).alias("queue"), EVENT[0], *EVENT[2:], "dt")
+    return rows.select(*EVENT, "dt").unionByName(last).unionByName(kept)
+
+
 def snapshot_tail(spark, sf):
-    rows = read.read_range(bus_rows(spark, sf), "view")
-    last = rows.groupBy("user_id").agg(F.max_by(F.struct(*EVENT), "eid").alias("e")).select("e.*")  # a snapshot keeps each user's last event
-    return read.first_then(last, rows.select(*EVENT), END)
+    """From the very start, of a queue with a snapshot."""
+    return read.read_registered(_parts(spark, sf), "view", "z/", {"snapshot_next": END, "archive_end": END}).select(*EVENT)
 
 
 def archive_tail(spark, sf):
-    rows = read.read_range(bus_rows(spark, sf), "click").select(*EVENT)
-    return read.first_then(rows.where("size >= 9"), rows, END)
+    """From a day before the archive's end."""
+    return read.read_registered(_parts(spark, sf), "click", START, {"snapshot_next": END, "archive_end": END}).select(*EVENT)
 
 
 def normalize_refs(spark, sf):
@@ -58,7 +66,10 @@ def normalize_refs(spark, sf):
 
 
 def table_scan(spark, sf):
-    return read.table_scan(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", 100, 5000, 1000)
+    """The middle half of the keys, at most 1000 rows."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return read.table_scan(orders, "o_orderkey", low + (high - low) // 4, high - (high - low) // 4, 1000) if low is not None else orders
 
 
 def load_events(spark, sf):
@@ -80,7 +91,7 @@ def stamp_eids(spark, sf):
 
 
 def _json():
-    return F.concat(F.lit('{"text":"'), F.col("text"), F.lit('"}'))
+    return F.to_json(F.struct("doc_id", "text", "lang"))
 
 
 def route_by_size(spark, sf):
@@ -202,7 +213,7 @@ _FANNED = """, fanned AS (SELECT 'fan' AS id, 'fanned' AS event, CASE WHEN n > 0
     CASE WHEN pos >= n - 1 THEN eid END AS start, CAST(1 AS BIGINT) AS units, CAST(pos AS BIGINT) AS pos, timestamp, event_source_timestamp
   FROM (SELECT *, k % 4 AS n, unnest(range(greatest(k % 4, 1))) AS pos FROM bus))"""
 _NUMBERED = ", b AS (SELECT *, (row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // {n} AS batch FROM bus{where})"
-_JSON = """'{"text":"' || text || '"}'"""
+_JSON = "CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang}) AS VARCHAR)"
 
 SQL = {
     "flagship": sql(f"SELECT queue, max(eid) AS eid, min(eid) AS start_eid, CAST(sum(k) AS BIGINT) AS units, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS started_timestamp, max(timestamp) AS ended_timestamp, min(timestamp) AS first_timestamp FROM bus WHERE queue IN ('view', 'purchase') AND eid > '{START} ' AND eid <= '{END}' GROUP BY queue"),
@@ -211,13 +222,13 @@ SQL = {
       FROM rows_ JOIN (SELECT x.bot, x.queue, coalesce(CASE WHEN x.bot = 'bot_1' THEN '{START}' END, checkpoint, 'z/2024/01/01') || ' ' AS f FROM (SELECT DISTINCT bot, queue FROM rows_) x LEFT JOIN cps c ON x.bot = c.bot AND x.queue = c.queue) r USING (queue) WHERE eid > f GROUP BY r.bot, queue"""),
     "read_limit": sql(f"SELECT {_E} FROM rows_ WHERE queue = 'click' AND eid > '{START} ' ORDER BY eid LIMIT 100"),
     "read_byte_budget": sql(f"SELECT {_E} FROM (SELECT *, coalesce(sum(size) OVER (ORDER BY eid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM rows_ WHERE queue = 'error') WHERE b < 2000"),
-    "snapshot_tail": sql(f"SELECT {_E} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY eid DESC) AS r FROM rows_ WHERE queue = 'view') WHERE r = 1 AND eid <= '{END}' UNION ALL SELECT {_E} FROM rows_ WHERE queue = 'view' AND eid > '{END}'"),
-    "archive_tail": sql(f"SELECT {_E} FROM rows_ WHERE queue = 'click' AND (eid > '{END}' OR size >= 9)"),
+    "snapshot_tail": sql(f"SELECT {_E} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY eid DESC) AS r FROM rows_ WHERE queue = 'view' AND eid <= '{END}') WHERE r = 1 UNION ALL SELECT {_E} FROM rows_ WHERE queue = 'view' AND eid > '{END} '"),
+    "archive_tail": sql(f"SELECT {_E} FROM rows_ WHERE queue = 'click' AND eid > '{START} '"),
     "normalize_refs": """WITH r AS (SELECT case user_id % 6 when 0 then event_type when 1 then 'bot:' || event_type when 2 then 'System:' || event_type when 3 then 'e_' || event_type when 4 then 'bot:bot.' || event_type else 'queue:bot.' || event_type || '.error' end AS raw FROM events),
       t AS (SELECT raw, count(*) AS n, CASE WHEN regexp_matches(raw, '(?i)(system|queue|bot):') THEN lower(regexp_extract(raw, '(?i)(system|queue|bot):(.*)', 1)) ELSE 'queue' END AS kind, CASE WHEN regexp_matches(raw, '(?i)(system|queue|bot):') THEN regexp_extract(raw, '(?i)(system|queue|bot):(.*)', 2) ELSE regexp_replace(raw, '^[seb]_', '') END AS name FROM r GROUP BY raw),
       q AS (SELECT *, CASE WHEN kind = 'queue' THEN name ELSE kind || '.' || regexp_replace(name, '^' || kind || '\\.', '') END AS queue FROM t)
       SELECT raw, n, kind || ':' || name AS ref, queue, queue || '.sub' AS sub, CASE WHEN regexp_matches(queue, '^(bot|system)\\.') THEN regexp_extract(queue, '^(bot|system)\\.([^.]*)', 1) || ':' || regexp_extract(queue, '^(bot|system)\\.([^.]*)', 2) END AS owner FROM q""",
-    "table_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 100 AND 5000 ORDER BY o_orderkey LIMIT 1000",
+    "table_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders, (SELECT min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders) WHERE o_orderkey BETWEEN a + (b - a) // 4 AND b - (b - a) // 4 ORDER BY o_orderkey LIMIT 1000",
     "load_events": """SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'own' ELSE 'loader' END AS id, 'orders' AS event, CASE WHEN o_orderkey % 3 = 0 THEN 1700000000000 ELSE 1710000000000 END AS timestamp,
       CASE WHEN o_orderkey % 5 = 0 THEN 1600000000000 WHEN o_orderkey % 3 = 0 THEN 1700000000000 ELSE 1710000000000 END AS event_source_timestamp, '{"o":' || o_orderkey || '}' AS payload FROM orders""",
     "dw_feed": """SELECT 'dw' AS id, 'dw.load.customer' AS event, 1710000000000 AS timestamp, 1710000000000 AS event_source_timestamp, '{"c":' || c_custkey || '}' AS payload FROM customer""",

@@ -101,23 +101,26 @@ def parent_join(spark, sf):
 
 
 def correlation_search(spark, sf):
-    """Which batches of 10 hold each purchase."""
-    rows = bus_rows(spark, sf).where("queue = 'purchase'")
+    """Which batches of 10 of its queue hold each event."""
+    rows = bus_rows(spark, sf)
     b = batching.number_batches(rows, 10).groupBy("queue", "batch").agg(F.min("eid").alias("start"), F.max("eid").alias("last"), F.count(F.lit(1)).alias("n"))
     spans = b.select(F.col("queue").alias("source"), "start", F.when(F.col("n") > 1, F.col("last")).alias("end"), F.concat(F.lit("b"), F.col("batch").cast("string")).alias("eid"))
-    return joins.correlation_search(rows.select(F.col("queue").alias("source"), F.col("eid").alias("x")), spans).select("source", "x", "start", "end", "found")
+    return joins.correlation_search(rows.select(F.col("queue").alias("source"), F.col("eid").alias("x")), spans)
 
 
-def _bot_stats(rows):
-    hourly = rows.groupBy("bot", "queue", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).agg(F.max("eid").alias("checkpoint"))
-    return hourly
+def _bot_stats(rows, grain):
+    return rows.groupBy("bot", "queue", stats.bucket_label(F.col("timestamp"), grain).alias("bucket")).agg(F.max("eid").alias("checkpoint"))
 
 
 def checkpoint_asof(spark, sf):
-    """When each bot had passed each view event of another bot."""
-    rows = bus_rows(spark, sf).where("queue = 'view'")
-    want = rows.where("bot = 'bot_0'").select(F.lit("bot_1").alias("bot"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket"))
-    return joins.checkpoint_asof(want, _bot_stats(rows))
+    """When each bot had passed each event that another bot of its queue has: the hour, and the minute from it on."""
+    rows = bus_rows(spark, sf)
+    readers = rows.select("bot", "queue").distinct()
+    want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(F.broadcast(readers), "queue").where("bot <> own").drop("own")
+    hours = joins.checkpoint_asof(want, _bot_stats(rows, "hour"))
+    asked = hours.where("found is not null").select("bot", "queue", "eid", F.col("found").alias("hour"), F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00")).alias("bucket"))
+    minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1")).select("bot", "queue", "eid", "hour", F.col("found").alias("minute"))
+    return hours.join(minutes, ["bot", "queue", "eid"], "left").select("bot", "queue", "eid", "bucket", "hour", "minute")
 
 
 def _traced(spark, sf):
@@ -133,7 +136,7 @@ def lineage_edges(spark, sf):
 
 def trace_upstream(spark, sf):
     e = _traced(spark, sf)
-    return lineage.trace_upstream(e.where("queue = 'purchase'").select("queue", "eid"), e)
+    return lineage.trace_upstream(e.select("queue", "eid"), e)
 
 
 def trace_downstream(spark, sf):
@@ -141,7 +144,7 @@ def trace_downstream(spark, sf):
     cps = checkpoints(rows).where("(substring(bot, 5, 1) + length(queue)) % 2 = 0")
     names = F.array(*map(F.lit, QUEUES))
     writes = rows.select("bot").distinct().withColumn("queue", F.element_at(names, (F.substring("bot", 5, 1).cast("int") * 2 + 1) % 5 + 1))
-    roots = rows.where("event_id % 10 = 0").select(F.col("eid").alias("root"), "eid", "event_source_timestamp", "queue")
+    roots = rows.select(F.col("eid").alias("root"), "eid", "event_source_timestamp", "queue")
     return lineage.trace_downstream(roots, cps, writes)
 
 
@@ -238,18 +241,20 @@ SQL = {
     "load_entities": f"""SELECT 'entities' AS id, 'order_entities' AS event, 1710000000000 AS timestamp, '{{"order":' || o_orderkey || ',"parts":[' || coalesce(string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey), '') || ']}}' AS payload
       FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey IN ({_IDS}) GROUP BY o_orderkey""",
     "parent_join": sql("SELECT c.queue, c.eid, c.source, c.start, p.timestamp AS parent_timestamp, c.timestamp - p.timestamp AS lag FROM bus c JOIN bus p ON c.source = p.queue AND c.start = p.eid"),
-    "correlation_search": sql(""", p AS (SELECT *, (row_number() OVER (ORDER BY eid) - 1) // 10 AS batch FROM rows_ WHERE queue = 'purchase'),
-      s AS (SELECT min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS "end", 'b' || batch AS found FROM p GROUP BY batch)
-      SELECT 'purchase' AS source, eid AS x, start, "end", found FROM p JOIN s ON start = eid OR (start <= eid AND eid <= "end")"""),
-    "checkpoint_asof": sql(""", h AS (SELECT bot, queue, 'hour_' || strftime(ts, '%Y-%m-%d %H') AS b, max(eid) AS checkpoint FROM rows_ WHERE queue = 'view' GROUP BY ALL),
-      w AS (SELECT 'bot_1' AS bot, queue, eid, 'hour_' || strftime(ts, '%Y-%m-%d %H') AS bucket FROM rows_ WHERE queue = 'view' AND bot = 'bot_0')
-      SELECT bot, queue, eid, bucket, (SELECT min(b) FROM h WHERE h.bot = w.bot AND b >= bucket AND checkpoint >= eid) AS found FROM w"""),
+    "correlation_search": sql(""", p AS (SELECT *, (row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // 10 AS batch FROM rows_),
+      s AS (SELECT queue, min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS "end", 'b' || batch AS found FROM p GROUP BY queue, batch)
+      SELECT p.queue AS source, eid AS x, start, "end", found FROM p JOIN s ON p.queue = s.queue AND (start = eid OR (start <= eid AND eid <= "end"))"""),
+    "checkpoint_asof": sql(""", h AS (SELECT bot, queue, 'hour_' || strftime(ts, '%Y-%m-%d %H') AS b, max(eid) AS checkpoint FROM rows_ GROUP BY ALL),
+      m AS (SELECT bot, queue, 'minute_' || strftime(ts, '%Y-%m-%d %H:%M') AS b, max(eid) AS checkpoint FROM rows_ GROUP BY ALL),
+      w AS (SELECT r.bot, e.queue, eid, 'hour_' || strftime(ts, '%Y-%m-%d %H') AS bucket FROM rows_ e JOIN (SELECT DISTINCT bot, queue FROM rows_) r ON r.queue = e.queue AND r.bot <> e.bot),
+      wh AS (SELECT w.bot, w.queue, w.eid, w.bucket, min(b) AS hour FROM w LEFT JOIN h ON h.bot = w.bot AND h.queue = w.queue AND b >= bucket AND checkpoint >= eid GROUP BY ALL)
+      SELECT wh.bot, wh.queue, wh.eid, bucket, hour, min(b) AS minute FROM wh LEFT JOIN m ON m.bot = wh.bot AND m.queue = wh.queue AND b >= 'minute_' || substr(hour, 6) || ':00' AND checkpoint >= eid GROUP BY ALL"""),
     "lineage_edges": sql("SELECT DISTINCT 'queue:' || queue AS source, 'bot:' || bot AS target, 'read' AS direction FROM (SELECT regexp_replace(bot, '^[seb]_', '') AS bot, queue FROM rows_) UNION ALL SELECT DISTINCT 'bot:' || bot, 'queue:out_' || queue, 'write' FROM rows_"),
-    "trace_upstream": sql(_TRACED + """, t AS (SELECT * FROM (WITH RECURSIVE r AS (SELECT eid AS root, 0 AS hop, queue, eid, bot, timestamp - event_source_timestamp AS lag, source, start, [bot] AS seen FROM e WHERE queue = 'purchase'
+    "trace_upstream": sql(_TRACED + """, t AS (SELECT * FROM (WITH RECURSIVE r AS (SELECT eid AS root, 0 AS hop, queue, eid, bot, timestamp - event_source_timestamp AS lag, source, start, [bot] AS seen FROM e
       UNION ALL SELECT root, hop + 1, e.queue, e.eid, e.bot, e.timestamp - e.event_source_timestamp, e.source, e.start, list_append(seen, e.bot) FROM r JOIN e ON r.source = e.queue AND r.start = e.eid WHERE NOT list_contains(seen, e.bot)) SELECT * FROM r))
       SELECT root, hop, queue, eid, bot, lag FROM t"""),
     "trace_downstream": sql(""", rd AS (SELECT * FROM cps WHERE (CAST(bot[5:5] AS INT) + length(queue)) % 2 = 0), wr AS (SELECT DISTINCT bot, ['click', 'error', 'purchase', 'signup', 'view'][(CAST(bot[5:5] AS INT) * 2 + 1) % 5 + 1] AS queue FROM rows_),
-      walk AS (SELECT * FROM (WITH RECURSIVE d AS (SELECT eid AS root, 0 AS depth, queue, event_source_timestamp AS est, [queue] AS path FROM bus WHERE event_id % 10 = 0
+      walk AS (SELECT * FROM (WITH RECURSIVE d AS (SELECT eid AS root, 0 AS depth, queue, event_source_timestamp AS est, [queue] AS path FROM bus
         UNION ALL SELECT DISTINCT d.root, d.depth + 1, wr.queue, d.est, list_append(d.path, wr.queue) FROM d JOIN rd ON rd.queue = d.queue AND rd.checkpoint > d.root JOIN wr ON wr.bot = rd.bot WHERE NOT list_contains(d.path, wr.queue)) SELECT * FROM d)),
       first AS (SELECT root, queue, min(depth) AS depth, any_value(est) AS est FROM walk GROUP BY root, queue)
       SELECT root, depth, f.queue, bot, checkpoint > root AS has_processed, CASE WHEN checkpoint > root THEN 0 ELSE source_timestamp - est END AS lag FROM first f JOIN rd ON rd.queue = f.queue"""),

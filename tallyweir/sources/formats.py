@@ -8,7 +8,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -32,13 +32,13 @@ def write_csv(rows: DataFrame, path: str | None = None) -> str:
     path = path or new_path(rows.sparkSession, "csv")
     kinds = dict(rows.dtypes)
     flat = rows.select(*(F.coalesce(F.regexp_replace(c, "\n", "") if kinds[c] == "string" else F.col(c).cast("string"), F.lit("\\N")).alias(c) for c in rows.columns))
-    flat.write.csv(path, sep=",", escape='"', emptyValue="")
+    flat.write.csv(path, sep=",", escape='"', emptyValue="", lineSep="\n")
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, sep: str = "|") -> DataFrame:
     """CSV as the bus reads it: bars, backslash escapes, \\N for null, spaces around values and empty lines ignored."""
-    return spark.read.schema(schema).csv(path, sep=sep, escape='"' if sep == "," else "\\", nullValue="\\N", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    return spark.read.schema(schema).csv(path, sep=sep, escape='"' if sep == "," else "\\", nullValue="\\N", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, lineSep="\n")
 
 
 def project_payload(events: DataFrame, payload: str, fields: dict[str, str]) -> DataFrame:
@@ -98,9 +98,10 @@ def explode_chunks(chunks: DataFrame) -> DataFrame:
 
 
 def write_archive(events: DataFrame, path: str | None = None) -> str:
-    """Archive layout: q=<queue>/dt=<day>, gzip, sorted by eid inside a file."""
+    """Archive layout: q=<queue>/dt=<day>, gzip, sorted by eid inside a file. Rows are dealt by ranges of (queue, day, eid),
+    so a hot queue's day is many files, each with a range of its ids."""
     path = path or new_path(events.sparkSession, "archive")
-    rows = events.withColumn("q", F.col("queue")).repartition("q", "dt").sortWithinPartitions("q", "dt", "eid")
+    rows = events.withColumn("q", F.col("queue")).repartitionByRange("q", "dt", "eid").sortWithinPartitions("q", "dt", "eid")
     rows.write.partitionBy("q", "dt").option("compression", "gzip").parquet(path)
     return path
 
@@ -175,8 +176,35 @@ class _PollingReader(DataSourceReader):
             at += len(rows)
 
 
-def retrying_sink(rows: DataFrame, write: Callable[[list[dict]], list[int]], batch: int = 500, tries: int = 10) -> DataFrame:
-    """Write rows in batches, again and again only those that failed: write(rows) -> places of the failed ones.
+def write_with_retries(rows: DataFrame, emit: Callable[[DataFrame, int], DataFrame], tries: int = 10, delay: float = 0.001, most: float = 1.0) -> int:
+    """Write rows by emit(rows, number of the try) -> rows that failed, again and again only those, with Fibonacci pauses
+    of delay seconds and more up to most. Gives the number of tries; raises when rows are left after all of them. The failed rows are
+    written between tries, so a lost executor repeats one try; emit must take a repeated try of the same number."""
+    pause, following = delay, delay
+    for number in range(tries):
+        rows = cut(emit(rows, number))
+        if rows.isEmpty():
+            return number + 1
+        time.sleep(min(pause, most))
+        pause, following = following, pause + following
+    raise RuntimeError(f"{rows.count()} rows failed after {tries} tries")
+
+
+def throttled_sink(path: str, key: str, order: str, quota: int) -> Callable[[DataFrame, int], DataFrame]:
+    """A table under path that takes at most quota rows of a key in a try, the first in order, and gives the others back."""
+
+    def emit(rows: DataFrame, number: int) -> DataFrame:
+        n = F.row_number().over(Window.partitionBy(key).orderBy(order))
+        numbered = cut(rows.withColumn("_n", n))
+        append_batch(numbered.where(F.col("_n") <= quota).drop("_n"), path, number)
+        return numbered.where(F.col("_n") > quota).drop("_n")
+
+    return emit
+
+
+def retrying_sink(rows: DataFrame, write: Callable[[list[dict]], list[int]], batch: int = 500, tries: int = 10, delay: float = 0.001) -> DataFrame:
+    """Write rows in batches, again and again only those that failed, with Fibonacci pauses: write(rows) -> places of the
+    failed ones. It writes whenever the result is asked for, and again where a task is repeated.
     One row a partition: written, retried, failed. A row that fails every time is counted, or raises at the reader."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,8 +212,11 @@ def retrying_sink(rows: DataFrame, write: Callable[[list[dict]], list[int]], bat
         for b in batches:
             records = b.to_dict("records")
             for i in range(0, len(records), batch):
-                left = records[i : i + batch]
+                left, pause, following = records[i : i + batch], delay, delay
                 for n in range(tries):
+                    if n:
+                        time.sleep(min(pause, 1.0))
+                        pause, following = following, pause + following
                     bad = write(left)
                     written += len(left) - len(bad)
                     left = [left[k] for k in bad]

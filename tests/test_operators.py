@@ -1,6 +1,7 @@
 """Literal cases for the operators."""
 
 import inspect
+import random
 import time
 
 import pytest
@@ -278,3 +279,77 @@ def test_manual_checkpoint_waits_for_flush(spark):
     assert [(r.checkpoint[-1], r.records) for r in manual.checkpoints().collect()] == [("2", 3)]
     manual.flush()
     assert [(r.checkpoint[-1], r.records) for r in manual.checkpoints().collect()] == [("8", 12)]
+
+
+def test_interval_join_against_all_pairs(spark):
+    """Spans that overlap, hold one another, cross hours or have no end; points at their edges, twice and elsewhere."""
+    r = random.Random(1)
+    at = lambda m: f"z/2024/01/{1 + m // 1440:02d}/{m // 60 % 24:02d}/{m % 60:02d}/{1704067200000 + 60000 * m}-0000000"
+    spans = []
+    for k in range(60):
+        a = r.randrange(3000)
+        spans.append((r.choice("ab"), at(a), None if k % 7 == 0 else at(a + r.choice([0, 1, 5, 200, 1500])), f"s{k}"))
+    points = [(r.choice("abc"), at(r.randrange(4000))) for _ in range(150)] + [(s, x) for s, x, _, _ in spans] * 2 + [(s, y) for s, _, y, _ in spans if y] + [("a", None)]
+    got = joins.correlation_search(spark.createDataFrame(points, "source string, x string"), spark.createDataFrame(spans, "source string, start string, end string, eid string"))
+    want = [(q, x, a, b, f) for q, x in points if x for s, a, b, f in spans if q == s and (x == a or (b is not None and a <= x <= b))]
+    key = lambda row: tuple(str(v) for v in row)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_asof_against_a_scan_also_where_checkpoints_fall(spark):
+    r = random.Random(2)
+    at = lambda m: f"z/2024/01/{1 + m // 1440:02d}/{m // 60 % 24:02d}/{m % 60:02d}/{1704067200000 + 60000 * m}-0000000"
+    label = lambda h: f"hour_2024-01-{1 + h // 24:02d} {h % 24:02d}"
+    rows, wanted = [], []
+    for bot in "xyz":
+        mark = 0
+        for h in sorted(r.sample(range(72), 40)):
+            mark = max(0, mark - 900) if r.random() < 0.08 else max(mark, 60 * h - r.randrange(300))
+            rows.append((bot, "q", label(h), at(mark)))
+    wanted = [(bot, "q", at(m), label(min(71, m // 60 + r.choice([0, 0, 1, 5])))) for bot in "xyzw" for m in r.sample(range(4500), 80)]
+    got = {(x.bot, x.eid, x.bucket): x.found for x in joins.checkpoint_asof(spark.createDataFrame(wanted, "bot string, queue string, eid string, bucket string"), spark.createDataFrame(rows, "bot string, queue string, bucket string, checkpoint string")).collect()}
+    want = {(b, e, k): min((x for o, _, x, c in rows if o == b and x >= k and c >= e), default=None) for b, _, e, k in wanted}
+    assert got == want and None in want.values() and len(set(want.values())) > 20
+
+
+def test_reads_choose_by_registry(spark):
+    row = lambda q, n: (q, f"z/2024/01/0{n}/00/00/{n}", n)
+    e = spark.createDataFrame([row("q", n) for n in range(3, 7)] + [row("q/_snapshot", n) for n in (1, 2)] + [row("q/_archive", n) for n in (1, 2, 3)], "queue string, eid string, n int")
+    known = {"snapshot_next": "z/2024/01/04", "archive_end": "z/2024/01/03/00/00/3"}
+    got = lambda start, r: sorted(x.n for x in read.read_registered(e, "q", start, r).collect())
+    assert got("z/", known) == got("z/ ", known) == [1, 2, 4, 5, 6]
+    assert got("z/2024/01/02", known) == [2, 3, 4, 5, 6]
+    assert got("z/2024/01/05", known) == [5, 6]
+    assert got("z/", {}) == [3, 4, 5, 6]
+
+
+def test_byte_budget_edges(spark):
+    rows = [("q", f"z/2024/01/01/{h:02d}/00/{h}-{k:07d}", (h * 7 + k) % 5) for h in range(6) for k in range(9)]
+    e = spark.createDataFrame(rows, "queue string, eid string, size long")
+    for size in (0, 1, 17, 18, 40, 90, 10**6):
+        want, before = [], 0
+        for _, eid_, s in sorted(rows, key=lambda r: r[1]):
+            if before < size:
+                want.append(eid_)
+            before += s
+        assert sorted(r.eid for r in read.read_byte_budget(e, "q", size).collect()) == want
+    assert read.read_byte_budget(e, "none", 10).count() == 0
+
+
+def test_retries_stop_with_an_error(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id", "id % 2 as key")
+    assert formats.write_with_retries(rows, formats.throttled_sink(f"{tmp_path}/a", "key", "id", 4)) == 3
+    assert spark.read.parquet(f"{tmp_path}/a").selectExpr("count(*)", "count(distinct id)").first()[:] == (20, 20)
+    with pytest.raises(RuntimeError, match="12 rows failed after 1"):
+        formats.write_with_retries(rows, formats.throttled_sink(f"{tmp_path}/b", "key", "id", 4), tries=1)
+
+
+def test_a_hot_day_is_many_archive_files(spark, tmp_path):
+    e = spark.range(4000).selectExpr("'q' as queue", "lpad(id, 6, '0') as eid", "date'2024-01-01' as dt").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one file
+    try:
+        formats.write_archive(e, f"{tmp_path}/x")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(f"{tmp_path}/x").groupBy(F.input_file_name()).agg(F.min("eid").alias("a"), F.max("eid").alias("b"), F.count(F.lit(1)).alias("n")).orderBy("a").collect()
+    assert len(files) > 1 and sum(f.n for f in files) == 4000 and all(x.b < y.a for x, y in zip(files, files[1:]))
