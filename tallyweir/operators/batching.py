@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .read import prefix_sum
@@ -28,6 +28,19 @@ def merge_batches(numbered: DataFrame, keys: list[str] = ("queue",)) -> DataFram
     return out.withColumn("end", F.when(F.col("n") > 1, F.col("eid")))
 
 
+def correlation(events: DataFrame, keys: list[str] = (), partial: Column | bool = False) -> DataFrame:
+    """keys, source, start, end, partial_start, partial_end and units of each group of events (queue, eid, units): from its
+    first event to its last (no end for a single one); units count 1 where they are null. A partial group has the
+    partial names instead, and moves no checkpoint. Without keys all events are one group, and none at all is an error."""
+    if not keys and events.isEmpty():
+        raise ValueError("a correlation needs an event")
+    rows = events.groupBy(*keys).agg(F.min_by("queue", "eid").alias("source"), F.min("eid").alias("_a"), F.max("eid").alias("_b"), F.count(F.lit(1)).alias("_n"), F.sum(F.coalesce("units", F.lit(1))).cast("long").alias("units"))
+    is_partial = F.lit(partial) if isinstance(partial, bool) else partial
+    end = F.when(F.col("_n") > 1, F.col("_b"))
+    named = [F.when(~is_partial, F.col("_a")).alias("start"), F.when(~is_partial, end).alias("end"), F.when(is_partial, F.col("_a")).alias("partial_start"), F.when(is_partial, end).alias("partial_end")]
+    return rows.select(*keys, "source", *named, "units")
+
+
 def fold_batches(events: DataFrame, keys: list[str], count: int | None = None, size: int | None = None, millis: int | None = None) -> DataFrame:
     """eid, keys and batch: a batch closes once it has count events or size bytes (the crossing event is in), or before
     an event that comes millis or more after its first one by event time; the first limit reached wins.

@@ -7,8 +7,11 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.eid import eid_millis, utc_millis
 from ..functions.refs import ref_id
 from ..sources.shared import cut
+from .joins import checkpoint_asof
+from .stats import bucket_label
 
 
 def lineage_edges(bots: DataFrame) -> DataFrame:
@@ -65,13 +68,33 @@ def trace_downstream(roots: DataFrame, reads: DataFrame, writes: DataFrame, hops
     return out
 
 
-def trace_path(roots: DataFrame, events: DataFrame, queues: list[str]) -> DataFrame:
-    """root, hop, queue and eid of the events that follow each root (queue, eid) through queues in this order: the
-    children of hop k - 1 in the k-th queue, the first (by eid) of several."""
-    now = roots.select(F.col("eid").alias("root"), "queue", "eid")
-    out = now.select("root", F.lit(0).alias("hop"), "queue", "eid")
-    for k, queue in enumerate(queues, 1):
-        child = events.where(F.col("queue") == queue).select(F.col("source").alias("_q"), F.col("start").alias("_e"), "eid")
-        now = now.select("root", F.col("queue").alias("_q"), F.col("eid").alias("_e")).join(child, ["_q", "_e"]).groupBy("root").agg(F.min("eid").alias("eid")).select("root", F.lit(queue).alias("queue"), "eid")
-        out = out.unionByName(now.select("root", F.lit(k).alias("hop"), "queue", "eid"))
+def _asof_time(asked: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
+    """asked (bot, queue, eid, timestamp, ...) with begin: when the bot had read past eid, by the first hour from timestamp's
+    on, and the first minute from that hour on, whose checkpoint has reached it; not before timestamp. Null if never."""
+    hour = checkpoint_asof(asked.withColumn("bucket", bucket_label(F.col("timestamp"), "hour")), stats["hour"]).where("found is not null")
+    minute = checkpoint_asof(hour.withColumn("bucket", F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00"))).drop("found"), stats["minute_1"]).where("found is not null")
+    at = utc_millis(F.concat(F.substr("found", F.lit(8)), F.lit(":00")).cast("timestamp_ntz"))
+    return minute.withColumn("begin", F.greatest(at, F.col("timestamp"))).drop("bucket", "found")
+
+
+def trace_path(roots: DataFrame, events: DataFrame, stats: dict[str, DataFrame], hops: list[tuple[str, str]]) -> DataFrame:
+    """root, hop, bot, queue, eid and lag of the events that follow each root (root, queue, eid, timestamp) through hops (bot,
+    queue that it writes): of the bot's events in the minute from when it had read past the event before (to the
+    second), the first whose correlation holds that event's id. events: queue, eid, timestamp, event_source_timestamp,
+    source, start, end; stats: hour and minute_1 tables of (bot, queue, bucket, checkpoint). A hop that finds nothing ends
+    its root's path. All roots go one hop at a time, joined by queue and minute."""
+    now = roots.select("root", "queue", "eid", "timestamp")
+    out = None
+    for hop, (bot, queue) in enumerate(hops, 1):
+        asked = _asof_time(now.withColumn("bot", F.lit(bot)), stats)
+        first = asked.withColumn("begin", F.col("begin") - F.pmod("begin", F.lit(1000)))
+        minute = lambda ms: F.floor(ms / 60_000)
+        points = first.select("root", F.col("queue").alias("source"), F.col("eid").alias("x"), "begin", F.explode(F.array_distinct(F.array(minute(F.col("begin")), minute(F.col("begin") + 60_000)))).alias("_m"))
+        made = events.where(F.col("queue") == queue).withColumn("at", eid_millis(F.col("eid"))).withColumn("_m", minute(F.col("at")))
+        holds = (F.col("start") == F.col("x")) | ((F.col("start") <= F.col("x")) & (F.col("x") <= F.col("end")))
+        found = points.join(made, ["source", "_m"]).where(holds & F.col("at").between(F.col("begin"), F.col("begin") + 60_000))
+        found = found.groupBy("root").agg(F.min(F.struct("eid", "timestamp", "event_source_timestamp")).alias("e"))
+        now = cut(found.select("root", F.lit(queue).alias("queue"), "e.eid", "e.timestamp", (F.col("e.timestamp") - F.col("e.event_source_timestamp")).alias("lag")))
+        part = now.select("root", F.lit(hop).alias("hop"), F.lit(bot).alias("bot"), "queue", "eid", "lag")
+        out = part if out is None else out.unionByName(part)
     return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def keyed_upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -13,11 +14,34 @@ def keyed_upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str)
     return target.withColumn("_o", F.struct(*fields)).select(*keys, "_o").join(last, keys, "full_outer").withColumn("_v", F.coalesce("_n", "_o")).select(*keys, *(f"_v.{c}" for c in fields))
 
 
+def _leaves(kind: StructType, at: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
+    """Paths of the fields of a struct that are no structs."""
+    return [x for f in kind.fields for x in (_leaves(f.dataType, (*at, f.name)) if isinstance(f.dataType, StructType) else [(*at, f.name)])]
+
+
+def _grown(kind: StructType, values: dict[tuple[str, ...], Column], at: tuple[str, ...] = ()) -> list[Column]:
+    """The fields of a struct from the values of its leaves; a struct without any value is null."""
+    out = []
+    for f in kind.fields:
+        path = (*at, f.name)
+        if isinstance(f.dataType, StructType):
+            below = [v for p, v in values.items() if p[: len(path)] == path]
+            out.append(F.when(F.coalesce(*(v.isNotNull().cast("int") * F.when(v.isNotNull(), 1) for v in below)).isNotNull(), F.struct(*_grown(f.dataType, values, path))).alias(f.name))
+        else:
+            out.append(values[path].alias(f.name))
+    return out
+
+
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """target merged field by field with each key's rows in batch: the newest value that isn't null wins."""
-    fields = [c for c in target.columns if c not in keys]
-    new = batch.groupBy(*keys).agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"_{c}") for c in fields))
-    return target.join(new, keys, "full_outer").select(*keys, *(F.coalesce(f"_{c}", c).alias(c) for c in fields))
+    """target merged with each key's rows in batch, field by field and inside structs at any depth: the newest value
+    that isn't null wins. Lists and maps are values. Newest values are taken before the shuffle, leaf by leaf, so a hot key
+    is never held as rows."""
+    kind = StructType([f for f in target.schema.fields if f.name not in keys])
+    paths = _leaves(kind)
+    leaf = lambda p: F.col(".".join(f"`{x}`" for x in p))
+    new = batch.groupBy(*keys).agg(*(F.max_by(leaf(p), F.when(leaf(p).isNotNull(), F.col(seq))).alias(f"_{k}") for k, p in enumerate(paths)))
+    values = {p: F.coalesce(F.col(f"_{k}"), leaf(p)) for k, p in enumerate(paths)}
+    return target.join(new, keys, "full_outer").select(*keys, *_grown(kind, values))
 
 
 def dedup_latest(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.eid import utc_time
+from ..sources.shared import cut
 
 
 def checkpoint_from_correlations(processed: DataFrame) -> DataFrame:
@@ -35,6 +36,14 @@ def chunk_stats(events: DataFrame, chunk: list[str]) -> DataFrame:
     )
 
 
+def chunk_correlations(events: DataFrame, chunk: list[str]) -> DataFrame:
+    """Per chunk and source queue: first start and last one, records, and the newest times."""
+    return events.where("source is not null").groupBy(*chunk, "source").agg(
+        F.min_by("start", "eid").alias("start"), F.max_by("start", "eid").alias("end"), F.sum(F.coalesce("units", F.lit(1))).cast("long").alias("records"),
+        F.max("event_source_timestamp").alias("source_timestamp"), F.max("timestamp").alias("timestamp"),
+    )
+
+
 #: Of each grain its label's prefix, how much of yyyy-MM-dd HH:mm follows, and its length in minutes.
 GRAINS = {"minute_1": ("minute_", 16, 1), "minute_5": ("minute_5_", 16, 5), "minute_15": ("minute_15_", 16, 15), "hour": ("hour_", 13, 60), "day": ("day_", 10, 1440), "week": ("week_", 10, 10_080)}
 #: Minutes from the last Sunday before 1970 to its start: weeks start on Sunday.
@@ -67,6 +76,25 @@ def rolling_hour(events: DataFrame, by: list[str]) -> DataFrame:
     return quarter.withColumn("hour_n", F.sum("n").over(hour))
 
 
+#: Of each range the grain that it is summed from, and how many of them it holds.
+RANGES = {"minute_5": ("minute_1", 5), "minute_15": ("minute_1", 15), "hour": ("minute_15", 4), "hour_6": ("hour", 6), "day": ("hour", 24), "week": ("hour", 168)}
+
+
+def range_counts(events: DataFrame, by: list[str], ranges: list[str] = tuple(RANGES)) -> DataFrame:
+    """Per group, range and grain bucket with events: bucket (epoch ms), events in it, and in the range that ends with it.
+    Events are summed by minute first; what is put in order is a row for each bucket."""
+    minute = cut(events.groupBy(*by, bucket_start(F.col("timestamp"), "minute_1").alias("_m")).agg(F.count(F.lit(1)).alias("n")))
+    out = None
+    for name in ranges:
+        grain, count = RANGES[name]
+        length = 60_000 * GRAINS[grain][2]
+        bucket = minute.groupBy(*by, bucket_start(F.col("_m"), grain).alias("bucket")).agg(F.sum("n").cast("long").alias("n"))
+        span = Window.partitionBy(*by).orderBy("bucket").rangeBetween(-length * (count - 1), 0)
+        one = bucket.select(*by, F.lit(name).alias("range"), "bucket", "n", F.sum("n").over(span).alias("range_n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def throughput(events: DataFrame, by: list[str], period_ms: int) -> DataFrame:
     """Per group and period: records, bytes, records a second over the span of the period's events, last eid."""
     span = (F.max("timestamp") - F.min("timestamp")) / 1000

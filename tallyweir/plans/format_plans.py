@@ -42,6 +42,13 @@ def project_payload(spark, sf):
     return formats.project_payload(rows, "body", {"a.n": "Number", "a.s": "IfString", "a.o": "IfString", "eid": "Eid", "a": "Raw"}).drop("body")
 
 
+def project_wildcard(spark, sf):
+    """Every member of an object and of a list in the payload."""
+    body = F.concat(F.lit('{"m":{"a":{"n":'), F.col("k").cast("string"), F.lit('},"b":{"n":'), (F.col("k") * 2).cast("string"), F.lit('},"c":{}},"l":[{"s":"'), F.col("queue"), F.lit('"},{"s":"x"}]}'))
+    rows = formats.project_payload(bus_rows(spark, sf).select("event_id", body.alias("body")), "body", {"m.*.n": "Number", "l.*.s": "String"})
+    return rows.select("event_id", F.size("m_all_n").alias("members"), F.col("m_all_n")["a"].alias("a"), F.col("m_all_n")["b"].alias("b"), F.col("l_all_s")["0"].alias("first"), F.col("l_all_s")["1"].alias("second"))
+
+
 def custom_parse(spark, sf):
     rows = bus_rows(spark, sf).select(F.concat_ws("|", "eid", "queue", F.col("k").cast("string")).alias("line"))
 
@@ -72,8 +79,14 @@ def archive_queue(spark, sf):
 
 
 def queue_manifest(spark, sf):
-    path = formats.write_archive(bus_rows(spark, sf).select(*EVENT, "dt"))
-    return formats.manifest(spark, path, [F.col("queue"), F.col("dt").cast("string").alias("dt")])
+    """The files' manifest, put together by queue, day and bot, with what the files hold in all and where they end."""
+    path = formats.write_archive(bus_events(spark, sf).select(*EVENT, "units", "source", "start", "event_source_timestamp", "dt"))
+    files = formats.manifest(spark, path)
+    days = files.groupBy("q", "dt").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("records").alias("records"), F.sum("size").alias("size"), F.max(F.col("offset") + F.col("records")).alias("upto"), F.min(F.col("gzip_size") > 0).alias("zipped"))
+    bots_ = files.select("q", "dt", F.explode("stats").alias("bot", "s")).groupBy("q", "dt", "bot").agg(F.sum("s.units").alias("units"), F.max("s.end").alias("last"))
+    sources = files.select("q", "dt", F.explode("correlations").alias("c")).groupBy("q", "dt").agg(F.sum("c.records").alias("correlated"))
+    out = bots_.join(days, ["q", "dt"]).join(sources, ["q", "dt"], "left").withColumn("correlated", F.coalesce("correlated", F.lit(0)))
+    return out.withColumn("dt", F.col("dt").cast("string")).withColumnRenamed("q", "queue")
 
 
 def append_queue(spark, sf):
@@ -160,7 +173,7 @@ def batch_stream(spark, sf):
     return streams.batch_stream(from_events(streams.stream_table(spark, sf, "events")), 1000)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
+QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, project_wildcard, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
 
 _E = ", ".join(EVENT)
 _DOUBLED = sql(", d AS (" + read_plans._SYNC.replace("payload, event_source_timestamp, queue AS source", "payload, timestamp AS event_source_timestamp, queue AS source") + ")")
@@ -169,13 +182,16 @@ SQL = {
     "jsonl_sink": sql(f"SELECT {_E} FROM rows_"),
     "csv_roundtrip": r"SELECT doc_id, regexp_replace(replace(text, chr(10), ''), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS text, lang, CASE WHEN n_chars < 500 THEN source END AS short_source FROM documents",
     "project_payload": sql("""SELECT event_id, CAST(k AS DOUBLE) AS a_n, queue AS a_s, CAST(NULL AS VARCHAR) AS a_o, eid, '{"n":' || k || ',"s":"' || queue || '","o":{"x":1}}' AS a_raw FROM rows_"""),
+    "project_wildcard": sql("SELECT event_id, CAST(2 AS INTEGER) AS members, CAST(k AS DOUBLE) AS a, CAST(2 * k AS DOUBLE) AS b, queue AS first, 'x' AS second FROM rows_"),
     "custom_parse": sql("SELECT eid, queue, k FROM rows_ WHERE k % 2 = 1"),
     "polling_source": "SELECT o_orderkey AS position, o_custkey, o_totalprice FROM orders",
     "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_),
       c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM n WINDOW w AS (PARTITION BY queue, dt, batch ORDER BY eid))
       SELECT queue, regexp_extract(f, '^(.*)-', 1) || '-' || right('0000000' || (CAST(regexp_extract(f, '-(\\d+)$', 1) AS BIGINT) + p), 7) AS eid, bot AS id, timestamp, payload FROM c"""),
     "archive_queue": sql(f"SELECT {_E}, CAST(dt AS VARCHAR) AS dt FROM rows_ WHERE dt >= '2024-01-10'"),
-    "queue_manifest": sql("SELECT queue, CAST(dt AS VARCHAR) AS dt, min(eid) AS start, max(eid) AS \"end\", count(*) AS records, CAST(sum(size) AS BIGINT) AS size FROM rows_ GROUP BY queue, dt"),
+    "queue_manifest": sql(""", d AS (SELECT queue, dt, min(eid) AS start, max(eid) AS "end", count(*) AS records, CAST(sum(size) AS BIGINT) AS size, count(*) AS upto, true AS zipped, count(source) AS correlated FROM bus GROUP BY queue, dt),
+      b AS (SELECT queue, dt, bot, CAST(sum(units) AS BIGINT) AS units, max(timestamp) AS last FROM bus GROUP BY queue, dt, bot)
+      SELECT queue, CAST(dt AS VARCHAR) AS dt, bot, units, last, start, "end", records, size, upto, zipped, correlated FROM b JOIN d USING (queue, dt)"""),
     "append_queue": sql("SELECT queue, CAST(timestamp % 2 AS INTEGER) AS batch, count(*) AS n, max(eid) AS last_eid FROM rows_ GROUP BY 1, 2"),
     "retrying_sink": sql(""", q AS (SELECT max(n) // 3 + 1 AS quota FROM (SELECT count(*) AS n FROM rows_ GROUP BY queue)), r AS (SELECT *, CAST((row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // quota AS INTEGER) AS try FROM rows_, q)
       SELECT queue, try, count(*) AS n, count(DISTINCT event_id) AS ids, max(eid) AS last_eid, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY queue, try"""),

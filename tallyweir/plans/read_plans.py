@@ -158,8 +158,9 @@ def checkpoint_from_correlations(spark, sf):
 
 
 def batch_correlation(spark, sf):
-    b = batching.merge_batches(batching.number_batches(bus_events(spark, sf), 10))
-    return b.select(F.col("queue").alias("source"), "batch", "start", "end", "units")
+    """Of batches of 10; every second one is partial."""
+    b = batching.number_batches(bus_events(spark, sf), 10)
+    return batching.correlation(b.drop("source", "start"), ["queue", "batch"], F.col("batch") % 2 == 1).drop("queue")
 
 
 def batch_count(spark, sf):
@@ -245,7 +246,8 @@ SQL = {
     "fanout_partial": sql(_FANNED + " SELECT * FROM fanned"),
     "process_with_summary": sql(f"""SELECT id, event, payload, eid FROM ({_SYNC}) UNION ALL SELECT 'doubler', 'sum_' || queue, '{{"sum":' || CAST(sum(k) AS BIGINT) || '}}', max(eid) FROM bus GROUP BY queue"""),
     "checkpoint_from_correlations": sql(_FANNED + " SELECT id AS bot, source AS queue, max(start) AS checkpoint, CAST(sum(units) AS BIGINT) AS records, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS ended_timestamp FROM fanned GROUP BY id, source"),
-    "batch_correlation": sql(_NUMBERED.format(n=10, where="") + " SELECT queue AS source, batch, min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS \"end\", CAST(sum(units) AS BIGINT) AS units FROM b GROUP BY queue, batch"),
+    "batch_correlation": sql(_NUMBERED.format(n=10, where="") + """, g AS (SELECT queue, batch, min(eid) AS a, CASE WHEN count(*) > 1 THEN max(eid) END AS b, CAST(sum(units) AS BIGINT) AS units FROM b GROUP BY queue, batch)
+      SELECT batch, queue AS source, CASE WHEN batch % 2 = 0 THEN a END AS start, CASE WHEN batch % 2 = 0 THEN b END AS "end", CASE WHEN batch % 2 = 1 THEN a END AS partial_start, CASE WHEN batch % 2 = 1 THEN b END AS partial_end, units FROM g"""),
     "batch_count": sql(_NUMBERED.format(n=25, where="") + " SELECT queue, batch, arg_min(bot, eid) AS bot, arg_min(event_source_timestamp, eid) AS event_source_timestamp, arg_max(timestamp, eid) AS timestamp, min(eid) AS start, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, sha256(string_agg(payload, '' ORDER BY eid)) AS payloads_sha256 FROM b GROUP BY queue, batch"),
     "enrich": sql(_NUMBERED.format(n=10, where=f" WHERE queue = 'view' AND eid > '{START} '") + """, g AS (SELECT queue, batch, CAST(sum(k) AS BIGINT) AS s, max(eid) AS eid, CAST(sum(units) AS BIGINT) AS units, arg_min(event_source_timestamp, eid) AS est FROM b GROUP BY queue, batch)
       SELECT 'event' AS kind, 'enricher' AS id, 'sums' AS queue, '{"sum":' || s || '}' AS payload, eid AS position, units AS n, est AS source_timestamp FROM g WHERE s % 2 = 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.eid import build_eid
 from ..functions.hashing import partition_of
 from ..operators import batching, joins, lineage, state, stats
 from ..sources.fixture import bus_events, bus_rows, checkpoints, sql, table
@@ -25,6 +26,14 @@ def chunk_stats(spark, sf):
     return c.withColumn("by_source", pairs).withColumn("dt", F.col("dt").cast("string"))
 
 
+def chunk_correlations(spark, sf):
+    return stats.chunk_correlations(bus_events(spark, sf), ["queue", "dt"]).withColumn("dt", F.col("dt").cast("string"))
+
+
+def range_counts(spark, sf):
+    return stats.range_counts(bus_rows(spark, sf), ["queue"])
+
+
 def throughput(spark, sf):
     return stats.throughput(bus_rows(spark, sf), ["queue"], 3_600_000).withColumn("rate", F.round("rate", 6))
 
@@ -148,9 +157,22 @@ def trace_downstream(spark, sf):
     return lineage.trace_downstream(roots, cps, writes)
 
 
+def _worked(spark, sf):
+    """Two steps that run each minute: reader writes a batch to stage_1 for each queue, minute and fifth of the users,
+    joiner one to stage_2 for each minute; and where both stood at each minute and hour."""
+    rows = bus_rows(spark, sf).select("queue", "eid", "timestamp", "event_id", (F.col("user_id") % 5).alias("part"))
+    minute = stats.bucket_start(F.col("timestamp"), "minute_1")
+    batch = lambda events, name, *by: events.groupBy(*by, minute.alias("m")).agg(F.max("timestamp").alias("timestamp"), F.min("timestamp").alias("event_source_timestamp"), F.min("eid").alias("start"), F.max("eid").alias("last"), F.count(F.lit(1)).alias("n"), F.max("event_id").alias("event_id")).withColumns({"eid": build_eid(F.col("timestamp"), F.col("event_id")), "end": F.when(F.col("n") > 1, F.col("last"))}).select(F.lit(name).alias("queue"), "eid", "timestamp", "event_source_timestamp", *(F.col(c).alias("source") for c in ("queue",)), "start", "end", "event_id")
+    one = batch(rows, "stage_1", "queue", "part")
+    two = batch(one, "stage_2", "queue")
+    read = rows.select(F.lit("reader").alias("bot"), "queue", "eid", "timestamp").unionByName(one.select(F.lit("joiner").alias("bot"), "queue", "eid", "timestamp"))
+    return rows, one.unionByName(two), {g: _bot_stats(read, g) for g in ("hour", "minute_1")}
+
+
 def trace_path(spark, sf):
-    e = _traced(spark, sf)
-    return lineage.trace_path(e.where("queue = 'view'").select("queue", "eid"), e, ["click", "purchase", "error"])
+    """Every event through both steps."""
+    rows, made, stood = _worked(spark, sf)
+    return lineage.trace_path(rows.select(F.col("eid").alias("root"), "queue", "eid", "timestamp"), made, stood, [("reader", "stage_1"), ("joiner", "stage_2")])
 
 
 def _updates(spark, sf):
@@ -167,7 +189,10 @@ def keyed_upsert(spark, sf):
 
 
 def merge_upsert(spark, sf):
-    return state.merge_upsert(_customers(spark, sf), _updates(spark, sf), ["c_custkey"], "seq")
+    """Rows with structs inside structs, merged leaf by leaf."""
+    nest = lambda rows, *more: rows.select("c_custkey", "c_name", F.struct("c_acctbal", F.struct("c_mktsegment").alias("kind")).alias("account"), *more)
+    merged = state.merge_upsert(nest(_customers(spark, sf)), nest(_updates(spark, sf), "seq"), ["c_custkey"], "seq")
+    return merged.select("c_custkey", "c_name", "account.c_acctbal", "account.kind.c_mktsegment")
 
 
 def dedup_latest(spark, sf):
@@ -198,7 +223,7 @@ def bot_backlog(spark, sf):
     return state.bot_backlog(rows, reads)
 
 
-QUERIES = {f.__name__: f for f in (stream_stats, stats_by_bot_queue, chunk_stats, throughput, bucket_rollup, rolling_hour, reduce_checkpoints, hash_partition, batch_bytes, batch_time, lookup_join, key_fetch, find_ids, build_entities, load_entities, parent_join, correlation_search, checkpoint_asof, lineage_edges, trace_upstream, trace_downstream, trace_path, keyed_upsert, merge_upsert, dedup_latest, write_once_update, io_audit, advance_checkpoints, bot_backlog)}
+QUERIES = {f.__name__: f for f in (stream_stats, stats_by_bot_queue, chunk_stats, chunk_correlations, range_counts, throughput, bucket_rollup, rolling_hour, reduce_checkpoints, hash_partition, batch_bytes, batch_time, lookup_join, key_fetch, find_ids, build_entities, load_entities, parent_join, correlation_search, checkpoint_asof, lineage_edges, trace_upstream, trace_downstream, trace_path, keyed_upsert, merge_upsert, dedup_latest, write_once_update, io_audit, advance_checkpoints, bot_backlog)}
 
 _STATS = "max(eid) AS eid, min(eid) AS start_eid, CAST(sum(units) AS BIGINT) AS units, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS started_timestamp, max(timestamp) AS ended_timestamp, min(timestamp) AS first_timestamp"
 _FOLD = """, o AS (SELECT queue, dt, eid, size, timestamp, row_number() OVER (PARTITION BY queue, dt ORDER BY eid) AS r FROM rows_)
@@ -220,6 +245,8 @@ SQL = {
     "stats_by_bot_queue": sql(f"SELECT bot, queue, {_STATS} FROM bus GROUP BY bot, queue"),
     "chunk_stats": sql("""SELECT queue, CAST(dt AS VARCHAR) AS dt, bot, CAST(sum(u) AS BIGINT) AS units, max(s) AS source_timestamp, max(t) AS timestamp, max(c) AS checkpoint, coalesce(string_agg(source || '=' || CAST(u AS BIGINT), ',' ORDER BY source), '') AS by_source
       FROM (SELECT queue, dt, bot, source, sum(units) AS u, max(event_source_timestamp) AS s, max(timestamp) AS t, max(start) AS c FROM bus GROUP BY ALL) GROUP BY queue, dt, bot"""),
+    "chunk_correlations": sql("SELECT queue, CAST(dt AS VARCHAR) AS dt, source, arg_min(start, eid) AS start, arg_max(start, eid) AS \"end\", CAST(sum(units) AS BIGINT) AS records, max(event_source_timestamp) AS source_timestamp, max(timestamp) AS timestamp FROM bus WHERE source IS NOT NULL GROUP BY queue, dt, source"),
+    "range_counts": sql(" UNION ALL ".join(f"SELECT queue, '{name}' AS range, bucket, n, CAST(sum(n) OVER (PARTITION BY queue ORDER BY bucket RANGE BETWEEN {60_000 * stats.GRAINS[g][2] * (c - 1)} PRECEDING AND CURRENT ROW) AS BIGINT) AS range_n FROM (SELECT queue, timestamp - timestamp % {60_000 * stats.GRAINS[g][2]} AS bucket, count(*) AS n FROM rows_ GROUP BY 1, 2)" for name, (g, c) in stats.RANGES.items())),
     "throughput": sql("SELECT queue, timestamp - timestamp % 3600000 AS period, CAST(sum(units) AS BIGINT) AS records, CAST(sum(size) AS BIGINT) AS bytes, round(CASE WHEN max(timestamp) > min(timestamp) THEN sum(units) / ((max(timestamp) - min(timestamp)) / 1000) END, 6) AS rate, max(eid) AS eid FROM rows_ GROUP BY 1, 2"),
     "bucket_rollup": sql(f"""SELECT bot, grain, bucket, count(*) AS n, CAST(sum(units) AS BIGINT) AS units, CAST(sum(size) AS BIGINT) AS bytes FROM (
       SELECT *, 'minute_1' AS grain, 'minute_' || strftime(ts, '%Y-%m-%d %H:%M') AS bucket FROM rows_ UNION ALL SELECT *, 'minute_5', 'minute_5_' || strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M') FROM rows_
@@ -258,9 +285,17 @@ SQL = {
         UNION ALL SELECT DISTINCT d.root, d.depth + 1, wr.queue, d.est, list_append(d.path, wr.queue) FROM d JOIN rd ON rd.queue = d.queue AND rd.checkpoint > d.root JOIN wr ON wr.bot = rd.bot WHERE NOT list_contains(d.path, wr.queue)) SELECT * FROM d)),
       first AS (SELECT root, queue, min(depth) AS depth, any_value(est) AS est FROM walk GROUP BY root, queue)
       SELECT root, depth, f.queue, bot, checkpoint > root AS has_processed, CASE WHEN checkpoint > root THEN 0 ELSE source_timestamp - est END AS lag FROM first f JOIN rd ON rd.queue = f.queue"""),
-    "trace_path": sql(_TRACED + """, a AS (SELECT eid AS root, queue, eid FROM e WHERE queue = 'view'), b AS (SELECT root, 'click' AS queue, min(e.eid) AS eid FROM a JOIN e ON e.source = a.queue AND e.start = a.eid AND e.queue = 'click' GROUP BY root),
-      c AS (SELECT root, 'purchase' AS queue, min(e.eid) AS eid FROM b JOIN e ON e.source = b.queue AND e.start = b.eid AND e.queue = 'purchase' GROUP BY root), d AS (SELECT root, 'error' AS queue, min(e.eid) AS eid FROM c JOIN e ON e.source = c.queue AND e.start = c.eid AND e.queue = 'error' GROUP BY root)
-      SELECT root, 0 AS hop, queue, eid FROM a UNION ALL SELECT root, 1, queue, eid FROM b UNION ALL SELECT root, 2, queue, eid FROM c UNION ALL SELECT root, 3, queue, eid FROM d"""),
+    "trace_path": sql(""", s1 AS (SELECT 'stage_1' AS queue, strftime(max(ts), 'z/%Y/%m/%d/%H/%M/') || max(timestamp) || '-' || right('0000000' || max(event_id), 7) AS eid, max(timestamp) AS timestamp, min(timestamp) AS est, queue AS source, min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS "end", max(event_id) AS event_id
+        FROM rows_ GROUP BY rows_.queue, user_id % 5, timestamp // 60000),
+      s2 AS (SELECT 'stage_2' AS queue, strftime(make_timestamp(max(timestamp) * 1000), 'z/%Y/%m/%d/%H/%M/') || max(timestamp) || '-' || right('0000000' || max(event_id), 7) AS eid, max(timestamp) AS timestamp, min(timestamp) AS est, 'stage_1' AS source, min(eid) AS start, CASE WHEN count(*) > 1 THEN max(eid) END AS "end" FROM s1 GROUP BY timestamp // 60000),
+      cp AS (SELECT queue, timestamp // 60000 AS m, timestamp // 3600000 AS h, max(eid) AS c FROM (SELECT queue, eid, timestamp FROM rows_ UNION ALL SELECT queue, eid, timestamp FROM s1) GROUP BY ALL),
+      hop1 AS (SELECT e.eid AS root, e.queue, e.eid, e.timestamp, (SELECT min(h) FROM cp WHERE cp.queue = e.queue AND h >= e.timestamp // 3600000 AND c >= e.eid) AS h FROM rows_ e),
+      at1 AS (SELECT *, greatest(timestamp, 60000 * (SELECT min(m) FROM cp WHERE cp.queue = hop1.queue AND m >= hop1.h * 60 AND c >= hop1.eid)) // 1000 * 1000 AS b FROM hop1),
+      f1 AS (SELECT root, arg_min(s.eid, s.eid) AS eid, arg_min(s.timestamp, s.eid) AS timestamp, arg_min(s.timestamp - est, s.eid) AS lag FROM at1 a JOIN s1 s ON s.source = a.queue AND s.timestamp BETWEEN b AND b + 60000 AND (s.start = a.eid OR (s.start <= a.eid AND a.eid <= s."end")) GROUP BY root),
+      hop2 AS (SELECT root, eid, timestamp, (SELECT min(h) FROM cp WHERE queue = 'stage_1' AND h >= f1.timestamp // 3600000 AND c >= f1.eid) AS h FROM f1),
+      at2 AS (SELECT *, greatest(timestamp, 60000 * (SELECT min(m) FROM cp WHERE queue = 'stage_1' AND m >= hop2.h * 60 AND c >= hop2.eid)) // 1000 * 1000 AS b FROM hop2),
+      f2 AS (SELECT root, min(s.eid) AS eid, arg_min(s.timestamp - est, s.eid) AS lag FROM at2 a JOIN s2 s ON s.timestamp BETWEEN b AND b + 60000 AND (s.start = a.eid OR (s.start <= a.eid AND a.eid <= s."end")) GROUP BY root)
+      SELECT root, 1 AS hop, 'reader' AS bot, 'stage_1' AS queue, eid, lag FROM f1 UNION ALL SELECT root, 2, 'joiner', 'stage_2', eid, lag FROM f2"""),
     "keyed_upsert": f"WITH {_UPD} SELECT c_custkey, CASE WHEN r IS NULL THEN t.c_name ELSE last.c_name END AS c_name, CASE WHEN r IS NULL THEN t.c_acctbal ELSE last.c_acctbal END AS c_acctbal, CASE WHEN r IS NULL THEN t.c_mktsegment ELSE last.c_mktsegment END AS c_mktsegment FROM t FULL JOIN last USING (c_custkey)",
     "merge_upsert": f"WITH {_UPD}, n AS (SELECT c_custkey, arg_max(c_name, seq) AS a, arg_max(c_acctbal, seq) FILTER (c_acctbal IS NOT NULL) AS b, arg_max(c_mktsegment, seq) FILTER (c_mktsegment IS NOT NULL) AS c FROM u GROUP BY 1) SELECT c_custkey, coalesce(a, c_name) AS c_name, coalesce(b, c_acctbal) AS c_acctbal, coalesce(c, c_mktsegment) AS c_mktsegment FROM t FULL JOIN n USING (c_custkey)",
     "dedup_latest": "SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS r FROM orders) WHERE r = 1",

@@ -10,9 +10,11 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
+from ..functions.eid import build_eid
 from ..operators.batching import number_batches
+from ..operators.process import to_envelope
 from .shared import cut, new_path
 
 
@@ -41,16 +43,29 @@ def read_csv(spark: SparkSession, path: str, schema: str, sep: str = "|") -> Dat
     return spark.read.schema(schema).csv(path, sep=sep, escape='"' if sep == "," else "\\", nullValue="\\N", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, lineSep="\n")
 
 
+def _leaf(raw: Column, kind: str) -> Column:
+    return raw.try_cast("double") if kind == "Number" else F.when(~raw.rlike(r"^[{\[]"), raw) if kind == "IfString" else raw
+
+
+def _wild(text: Column, steps: list[str], kind: str) -> Column:
+    """The value at dotted steps of a JSON text; a * is every member, as a map from its name (or its place) to the value."""
+    if "*" not in steps:
+        return _leaf(F.get_json_object(text, "$" + "".join(f".{x}" for x in steps)) if steps else text, kind)
+    at = steps.index("*")
+    inner = F.get_json_object(text, "$" + "".join(f".{x}" for x in steps[:at])) if at else text
+    members = F.when(inner.startswith("["), F.map_from_entries(F.transform(F.from_json(inner, "array<string>"), lambda x, i: F.struct(i.cast("string").alias("key"), x.alias("value"))))).otherwise(F.from_json(inner, "map<string,string>"))
+    found = F.transform_values(members, lambda _, x: _wild(x, steps[at + 1 :], kind))
+    return F.map_filter(found, lambda _, x: x.isNotNull())
+
+
 def project_payload(events: DataFrame, payload: str, fields: dict[str, str]) -> DataFrame:
     """events with a column for each dotted path: Number (double), Eid or String (text), Raw (unparsed text as
-    name_raw), IfString (null for what starts with { or [)."""
+    name_raw), IfString (null for what starts with { or [). A path with a * gives a map of all that it reaches, from the
+    members' names (places in a list) to values; what isn't there is left out."""
     out = {}
     for path, kind in fields.items():
-        name, raw = path.replace(".", "_"), F.get_json_object(payload, f"$.{path}")
-        if kind == "Raw":
-            out[f"{name}_raw"] = raw
-        else:
-            out[name] = raw.try_cast("double") if kind == "Number" else F.when(~raw.rlike(r"^[{\[]"), raw) if kind == "IfString" else raw
+        name = path.replace(".", "_").replace("*", "all")
+        out[f"{name}_raw" if kind == "Raw" else name] = _wild(F.col(payload), path.split("."), kind)
     return events.withColumns(out)
 
 
@@ -106,15 +121,43 @@ def write_archive(events: DataFrame, path: str | None = None) -> str:
     return path
 
 
-def manifest(spark: SparkSession, path: str, by: list[Column]) -> DataFrame:
-    """Per file (or part of one) of an archive: start, end, records and bytes of its events."""
-    rows = spark.read.parquet(path)
-    return rows.groupBy(*by).agg(F.min("eid").alias("start"), F.max("eid").alias("end"), F.count(F.lit(1)).alias("records"), F.sum("size").cast("long").alias("size"))
-
-
-def append_batch(events: DataFrame, path: str, batch: int) -> None:
-    """Append one batch, so that repeating it changes nothing: its own partition is overwritten."""
-    events.withColumn("batch", F.lit(batch)).write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each file of an archive of events (eid, bot, size, units, source, start, timestamp,
+    event_source_timestamp): q, dt, file, start, end, records, size, gzip_size, offset and byte_offset (records and bytes in the
+    files before it of its queue and day), stats (bot -> units, start, end, checkpoint) and correlations (source, start, end,
+    records)."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("gzip_size"))
+    of = ["q", "dt", "file"]
+    units = F.sum(F.coalesce("units", F.lit(1))).cast("long")
+    whole = rows.groupBy(*of).agg(F.min("eid").alias("start"), F.max("eid").alias("end"), F.count(F.lit(1)).alias("records"), F.sum("size").cast("long").alias("size"), F.max("gzip_size").alias("gzip_size"))
+    bots = rows.groupBy(*of, "bot").agg(units.alias("units"), F.max("event_source_timestamp").alias("start"), F.max("timestamp").alias("end"), F.max_by(F.coalesce("start", "eid"), "eid").alias("checkpoint"))
+    bots = bots.groupBy(*of).agg(F.map_from_entries(F.collect_list(F.struct("bot", F.struct("units", "start", "end", "checkpoint")))).alias("stats"))
+    sources = rows.where("source is not null").groupBy(*of, "source").agg(F.min_by("start", "eid").alias("start"), F.max_by("start", "eid").alias("end"), units.alias("records"))
+    sources = sources.groupBy(*of).agg(F.sort_array(F.collect_list(F.struct("source", "start", "end", "records"))).alias("correlations"))
+    before = Window.partitionBy("q", "dt").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    out = whole.join(bots, of).join(sources, of, "left")
+    return out.withColumns({"offset": F.coalesce(F.sum("records").over(before), F.lit(0)), "byte_offset": F.coalesce(F.sum("size").over(before), F.lit(0)), "correlations": F.coalesce("correlations", F.array())})
+
+
+def append_batch(events: DataFrame, path: str, batch: int, key: Column | None = None, records_per_file: int = 0) -> None:
+    """Append one batch, so that repeating it changes nothing: its own partition is overwritten. key deals the rows to
+    tasks, all rows of a key to one; records_per_file is the most that a file takes (0: no limit)."""
+    rows = events.withColumn("batch", F.lit(batch))
+    rows = rows if key is None else rows.repartition(key)
+    rows.write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", records_per_file).mode("overwrite").parquet(path)
+
+
+def put_events(spark: SparkSession, rows: list[dict], path: str, bot: str, queue: str, batch: int, now: int | None = None) -> DataFrame:
+    """Put one event or a few (payload, and what of the envelope is known) into a queue's table as a batch: envelope, ids
+    in the order of the list, append. Gives what was written."""
+    fields = "payload string, id string, event string, timestamp long, event_source_timestamp long"
+    names = [x.split()[0] for x in fields.split(",")]
+    made = spark.createDataFrame([(*(r.get(n) for n in names), k) for k, r in enumerate(rows)], f"{fields}, place long")
+    out = to_envelope(made, bot, queue, None if now is None else F.lit(now).cast("long"))
+    number = F.row_number().over(Window.partitionBy("event", "timestamp").orderBy("place")) - 1
+    out = cut(out.withColumn("eid", build_eid(F.col("timestamp"), number)).select(F.col("event").alias("queue"), "eid", F.col("id").alias("bot"), "timestamp", "event_source_timestamp", "payload"))
+    append_batch(out, path, batch)
+    return out
 
 
 def poll_pages(fetch: Callable[[int], DataFrame], state: int, step: int, records: int | None = None, seconds: float | None = None, last: int | None = None) -> DataFrame | None:
@@ -133,47 +176,77 @@ def poll_pages(fetch: Callable[[int], DataFrame], state: int, step: int, records
 
 
 class PolledRange(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+    def __init__(self, after: int, last: int, most: int):
+        self.after, self.last, self.most = after, last, most
+
+
+def polled(poll: Callable[[int, int, int], list[tuple]], after: int, last: int, most: int, seconds: float | None = None, page: int = 1000) -> Iterator[tuple]:
+    """Rows of poll(state, last, most) -> the next rows (position, ...), at most so many, with state < position <= last,
+    page after page: the state is the last position, so gaps in the positions cost nothing. It ends when there are no
+    more, or at most rows, or after so many seconds."""
+    began, n = time.monotonic(), 0
+    while n < most and (seconds is None or time.monotonic() - began < seconds):
+        rows = poll(after, last, min(page, most - n))
+        if not rows:
+            return
+        yield from rows
+        n, after = n + len(rows), rows[-1][0]
 
 
 class PollingSource(DataSource):
-    """format("polling"): calls a poll function with a position until it gives nothing, in parallel ranges of positions.
+    """format("polling"): calls a poll function with a state until it gives nothing, in a batch or a stream.
 
-    Options: last (positions), ranges, records (at most, in all). The function is polled(first, last) -> rows; subclass
-    or set it for other systems. The state is the position, so a lost task polls its own range again."""
+    Options: last (the largest position), ranges (of positions that a batch polls at once), records (at most, from the first
+    position on: the batch is one range then), seconds (for each range), page (rows of a call and of a micro-batch). Subclass and
+    set poll and fields for other systems. A lost task polls its own range again."""
 
-    polled: Callable[[int, int], list[tuple]] = staticmethod(lambda first, last: [(k, json.dumps({"n": k * k})) for k in range(first, last)])
+    poll: Callable[[int, int, int], list[tuple]] = staticmethod(lambda after, last, most: [(k, json.dumps({"n": k * k})) for k in range(after + 1, min(last, after + most) + 1)])
+    fields = "position long, payload string"
 
     @classmethod
     def name(cls) -> str:
         return "polling"
 
     def schema(self) -> str:
-        return "position long, payload string"
+        return type(self).fields
 
     def reader(self, schema) -> DataSourceReader:
-        return _PollingReader(self.options, type(self).polled)
+        return _PollingReader(self.options, type(self).poll)
+
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return _PollingStream(self.options, type(self).poll)
 
 
 class _PollingReader(DataSourceReader):
-    def __init__(self, options, polled):
-        self.last = min(int(options.get("last", 0)), int(options.get("records", 2**62)))
-        self.ranges = max(1, int(options.get("ranges", 8)))
-        self.polled = polled
+    def __init__(self, options, poll):
+        self.last, self.records = int(options.get("last", 0)), int(options.get("records", 2**62))
+        self.ranges = 1 if "records" in options else max(1, int(options.get("ranges", 8)))
+        self.seconds = float(options["seconds"]) if "seconds" in options else None
+        self.page, self.poll = int(options.get("page", 1000)), poll
 
     def partitions(self):
-        step = max(1, -(-self.last // self.ranges))
-        return [PolledRange(a, min(a + step, self.last)) for a in range(0, self.last, step)] or [PolledRange(0, 0)]
+        step = max(1, -(-(self.last + 1) // self.ranges))
+        return [PolledRange(a - 1, min(a + step - 1, self.last), self.records) for a in range(0, self.last + 1, step)]
 
     def read(self, partition):
-        at = partition.first
-        while at < partition.last:
-            rows = self.polled(at, min(at + 1000, partition.last))
-            if not rows:
-                return
-            yield from rows
-            at += len(rows)
+        yield from polled(self.poll, partition.after, partition.last, partition.most, self.seconds, self.page)
+
+
+class _PollingStream(SimpleDataSourceStreamReader):
+    """Each micro-batch is the next page; the offset is the state."""
+
+    def __init__(self, options, poll):
+        self.last, self.page, self.poll = int(options.get("last", 2**62)), int(options.get("page", 1000)), poll
+
+    def initialOffset(self) -> dict:
+        return {"position": -1}
+
+    def read(self, start: dict):
+        rows = self.poll(start["position"], self.last, self.page)
+        return iter(rows), {"position": rows[-1][0] if rows else start["position"]}
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return polled(self.poll, start["position"], end["position"], 2**62, None, self.page)
 
 
 def write_with_retries(rows: DataFrame, emit: Callable[[DataFrame, int], DataFrame], tries: int = 10, delay: float = 0.001, most: float = 1.0) -> int:

@@ -193,7 +193,8 @@ def test_polling_stops_at_empty_and_at_its_cap(spark):
     assert formats.poll_pages(fetch, -1, 10, records=15).count() == 20
     assert formats.poll_pages(fetch, 99, 10) is None
     spark.dataSource.register(formats.PollingSource)
-    assert spark.read.format("polling").option("last", 2500).option("ranges", 3).load().agg(F.sum("position")).first()[0] == 2500 * 2499 // 2
+    assert spark.read.format("polling").option("last", 2499).option("records", 1234).load().agg(F.max("position"), F.count(F.lit(1))).first()[:] == (1233, 1234)
+    assert spark.read.format("polling").option("last", 2499).option("ranges", 3).load().agg(F.sum("position")).first()[0] == 2500 * 2499 // 2
 
 
 def test_streams_give_all_rows_or_an_error(spark, tmp_path):
@@ -353,3 +354,108 @@ def test_a_hot_day_is_many_archive_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = spark.read.parquet(f"{tmp_path}/x").groupBy(F.input_file_name()).agg(F.min("eid").alias("a"), F.max("eid").alias("b"), F.count(F.lit(1)).alias("n")).orderBy("a").collect()
     assert len(files) > 1 and sum(f.n for f in files) == 4000 and all(x.b < y.a for x, y in zip(files, files[1:]))
+
+
+def test_polling_by_state_goes_on_over_gaps(spark, tmp_path):
+    """200 rows with a gap of 50,000 positions, in a batch of several ranges and as a stream of pages."""
+
+    class Gappy(formats.PollingSource):
+        fields = "position long, name string"
+
+        @classmethod
+        def name(cls):
+            return "gappy"
+
+        @staticmethod
+        def poll(after, last, most):
+            there = [*range(100), *range(50_000, 50_100)]
+            return [(k, f"n{k}") for k in there if after < k <= last][:most]
+
+    spark.dataSource.register(Gappy)
+    want = sum(range(100)) + sum(range(50_000, 50_100))
+    for ranges in (1, 7):
+        assert spark.read.format("gappy").option("last", 60_000).option("ranges", ranges).option("page", 30).load().agg(F.count(F.lit(1)), F.sum("position")).first()[:] == (200, want)
+    query = spark.readStream.format("gappy").option("last", 60_000).option("page", 70).load().writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").start()
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").agg(F.count(F.lit(1)), F.sum("position")).first()[:] == (200, want)
+
+
+def test_polling_ends_at_its_caps():
+    forever = lambda after, last, most: [(after + 1 + k,) for k in range(most)]
+    assert len(list(formats.polled(forever, -1, 10**9, 2500))) == 2500
+    slow = lambda after, last, most: time.sleep(0.05) or [(after + 1,)]
+    assert 1 <= len(list(formats.polled(slow, -1, 10**9, 10**9, seconds=0.3))) <= 7
+
+
+def test_put_one_and_many(spark, tmp_path):
+    path = f"{tmp_path}/q"
+    formats.put_events(spark, [{"payload": "{}"}], path, "b", "q", 0, now=MS)
+    for _ in range(2):  # repeated, it changes nothing
+        formats.put_events(spark, [{"payload": '{"a":1}', "timestamp": MS + 1}, {"payload": '{"a":2}', "timestamp": MS + 1}, {"payload": '{"a":3}', "event": "other", "id": "own"}], path, "b", "q", 1, now=MS)
+    got = [(r.queue, r.eid[-9:], r.bot, r.payload, r.event_source_timestamp - MS) for r in spark.read.parquet(path).orderBy("payload").collect()]
+    assert got == [("q", "6-0000000", "b", '{"a":1}', 1), ("q", "6-0000001", "b", '{"a":2}', 1), ("other", "5-0000000", "own", '{"a":3}', 0), ("q", "5-0000000", "b", "{}", 0)]
+
+
+def test_append_by_hash_key(spark, tmp_path):
+    formats.append_batch(spark.range(100).withColumn("key", (F.col("id") % 3).cast("string")), f"{tmp_path}/k", 0, key=hashing.partition_of(F.col("key"), 3), records_per_file=20)
+    rows = spark.read.parquet(f"{tmp_path}/k").select("key", F.input_file_name().alias("f"))
+    assert rows.groupBy("f").count().agg(F.max("count"), F.sum("count")).first()[:] == (20, 100)
+    assert rows.groupBy("key").agg(F.countDistinct(F.regexp_extract("f", "part-(\\d+)", 1)).alias("n")).agg(F.max("n")).first()[0] == 1
+
+
+def test_wildcards(spark):
+    bodies = ['{"a":{"x":{"n":1,"m":2},"y":{"m":3},"z":{"n":"q"}},"l":[{"s":"u"},{},{"s":"v"}]}', '{"a":{},"l":[]}', '{"a":5}', "broken", None]
+    rows = spark.createDataFrame([(k, b) for k, b in enumerate(bodies)], "k int, b string")
+    got = formats.project_payload(rows, "b", {"a.*.n": "Number", "l.*.s": "String", "a.*.*": "String"}).orderBy("k").collect()
+    assert got[0].a_all_n == {"x": 1.0} and got[0].l_all_s == {"0": "u", "2": "v"}
+    assert got[0].a_all_all["x"] == {"n": "1", "m": "2"}
+    assert got[1].a_all_n == {} and all(not g.a_all_n for g in got[2:])
+
+
+def test_deep_merge(spark):
+    kind = "k long, v struct<a:int,b:struct<c:string,d:array<int>>>"
+    t = spark.createDataFrame([(1, (1, ("x", [1]))), (2, (5, None)), (4, None)], kind)
+    u = spark.createDataFrame([(1, (None, ("y", None)), 1), (1, (7, None), 2), (2, (None, (None, [3])), 1), (3, (None, ("z", None)), 1)], f"{kind}, seq long")
+    got = {r.k: r.v and r.v.asDict(True) for r in state.merge_upsert(t, u, ["k"], "seq").collect()}
+    assert got == {1: {"a": 7, "b": {"c": "y", "d": [1]}}, 2: {"a": 5, "b": {"c": None, "d": [3]}}, 3: {"a": None, "b": {"c": "z", "d": None}}, 4: None}
+
+
+def test_correlations(spark):
+    e = events(spark, 3)
+    r = batching.correlation(e).first()
+    assert (r.source, r.start[-1], r.end[-1], r.partial_start, r.units) == ("q", "0", "2", None, 3)
+    r = batching.correlation(e.limit(1), partial=True).first()
+    assert (r.start, r.end, r.partial_start[-1], r.partial_end) == (None, None, "0", None)
+    with pytest.raises(ValueError):
+        batching.correlation(e.limit(0))
+
+
+def test_manifest_of_files(spark, tmp_path):
+    rows = [("q", f"z/{k:03d}", "ab"[k % 2], 10, None if k == 3 else 2, "s" if k else None, f"z/{k - 1:03d}", k, k - 1) for k in range(10)]
+    e = spark.createDataFrame(rows, "queue string, eid string, bot string, size long, units long, source string, start string, timestamp long, event_source_timestamp long").withColumn("dt", F.lit("2024-01-01").cast("date"))
+    for part in (e.where("eid < 'z/004'"), e.where("eid >= 'z/004'")):
+        part.withColumn("q", F.col("queue")).coalesce(1).write.mode("append").partitionBy("q", "dt").parquet(f"{tmp_path}/m")
+    a, b = formats.manifest(spark, f"{tmp_path}/m").orderBy("start").collect()
+    assert (a.start, a.end, a.records, a.size, a.offset, a.byte_offset) == ("z/000", "z/003", 4, 40, 0, 0)
+    assert (b.start, b.end, b.records, b.size, b.offset, b.byte_offset) == ("z/004", "z/009", 6, 60, 4, 40)
+    assert a.gzip_size > 0 and a.stats["b"].asDict() == {"units": 3, "start": 2, "end": 3, "checkpoint": "z/002"}
+    assert [c.asDict() for c in b.correlations] == [{"source": "s", "start": "z/003", "end": "z/008", "records": 12}]
+
+
+def test_ranges_end_with_their_bucket(spark):
+    e = spark.createDataFrame([("q", 60_000 * m) for m in (0, 3, 4, 5, 9, 14, 400, 1500)], "queue string, timestamp long")
+    got = {(r.range, r.bucket // 60_000): r.range_n for r in stats.range_counts(e, ["queue"]).collect()}
+    assert got["minute_5", 4] == 3 and got["minute_5", 5] == 3 and got["minute_15", 14] == 6 and got["hour_6", 360] == 1 and got["day", 360] == 7 and got["day", 1500] == 2 and got["week", 1500] == 8
+
+
+def test_paths_end_where_nothing_is_found(spark):
+    eid_ = lambda ms: f"z/2022/03/24/19/{14 + (ms // 60_000):02d}/{MS // 60_000 * 60_000 + ms}-0000000"
+    at = lambda ms: MS // 60_000 * 60_000 + ms
+    made = [("out", eid_(m), at(m), at(m) - 5, "in", eid_(a), b and eid_(b)) for m, a, b in ((5000, 1000, 3000), (9000, 1000, 1500), (200_000, 6000, None))]
+    roots = [(f"r{m}", "in", eid_(m), at(m)) for m in (1200, 2500, 6000, 7000)]
+    stood = lambda grain: [("b", "in", f"{grain}", eid_(9000))]
+    tables = {"hour": spark.createDataFrame(stood("hour_2022-03-24 19"), "bot string, queue string, bucket string, checkpoint string"), "minute_1": spark.createDataFrame(stood("minute_2022-03-24 19:14"), "bot string, queue string, bucket string, checkpoint string")}
+    e = spark.createDataFrame(made, "queue string, eid string, timestamp long, event_source_timestamp long, source string, start string, end string")
+    got = {r.root: (r.eid, r.lag) for r in lineage.trace_path(spark.createDataFrame(roots, "root string, queue string, eid string, timestamp long"), e, tables, [("b", "out")]).collect()}
+    assert got == {"r1200": (eid_(5000), 5), "r2500": (eid_(5000), 5)}  # 6000's is more than a minute later, 7000 has none
