@@ -50,6 +50,15 @@ def offload(events: DataFrame, bot: str, transform: Callable[[DataFrame], Column
     return Worked(rows.select(F.lit(bot).alias("id"), "queue", "eid", "delivery", F.col("n").alias("records"), "event_source_timestamp"), stats.checkpoint_from_correlations(seen))
 
 
+def load_entities(events: DataFrame, bot: str, out_queue: str, ids: Callable[[DataFrame], DataFrame], assemble: Callable[[DataFrame], DataFrame]) -> Worked:
+    """Change events to entities: ids(events) gives the distinct root ids that they touch, assemble(ids) the entities as
+    (id, payload); each becomes an event of out_queue, and the bot's checkpoint passes all events that were asked. On a stream a
+    micro-batch is what is gathered before a load."""
+    made = assemble(ids(events)).select(F.lit(bot).alias("id"), F.lit(out_queue).alias("event"), F.col("id").cast("string").alias("entity"), "payload")
+    seen = events.select(F.lit(bot).alias("id"), F.col("queue").alias("source"), F.col("eid").alias("start"), F.lit(None).cast("string").alias("end"), "units", "timestamp", "event_source_timestamp")
+    return Worked(made, stats.checkpoint_from_correlations(seen))
+
+
 def latest(checkpoints: DataFrame) -> DataFrame:
     """Where each (bot, queue) stands after its checkpoints of several batches: the furthest position (one that is null
     moves nothing), all records, the oldest source time and the newest end."""

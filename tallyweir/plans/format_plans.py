@@ -144,6 +144,23 @@ def offload_stream(spark, sf):
     return read_plans._delivered(bots.Worked(run.output(), run.checkpoints()))
 
 
+def load_entities_stream(spark, sf):
+    """Events as changes of customers: per micro-batch their ids, the customers with their orders, and the checkpoint. An entity
+    that several micro-batches load is shown once."""
+    customer, orders = (table(spark, sf, t) for t in ("customer", "orders"))
+
+    def assemble(ids):
+        roots = joins.key_fetch(customer.withColumnRenamed("c_custkey", "id"), ids, "id").select("id", "c_name")
+        e = joins.build_entities(roots, "id", many={"orders": (orders.select("o_custkey", "o_orderkey"), "o_custkey")})
+        keys = F.array_join(F.transform("orders", lambda x: x["o_orderkey"].cast("string")), ",")
+        return e.select("id", F.concat(F.lit('{"name":"'), F.col("c_name"), F.lit('","orders":['), keys, F.lit("]}")).alias("payload"))
+
+    step = lambda batch: bots.load_entities(_own_time(from_events(batch)), "entities", "customer_entities", lambda e: joins.find_ids({"customer": e.select(F.col("user_id").alias("id"))}, {"customer": True}), assemble)
+    run = run_bot(_dealt(spark, sf), step)
+    loaded = run.output().distinct().select(F.lit("entity").alias("kind"), "id", F.col("event").alias("queue"), "entity", "payload")
+    return loaded.unionByName(run.checkpoints().select(F.lit("checkpoint").alias("kind"), F.col("bot").alias("id"), "queue", F.col("checkpoint").alias("entity"), F.col("records").cast("string").alias("payload")))
+
+
 def checkpoint_hook(spark, sf):
     """What the hook is told of each micro-batch, put together."""
     told = new_path(spark, "hook")
@@ -173,7 +190,7 @@ def batch_stream(spark, sf):
     return streams.batch_stream(from_events(streams.stream_table(spark, sf, "events")), 1000)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, project_wildcard, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
+QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, project_wildcard, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, load_entities_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
 
 _E = ", ".join(EVENT)
 _DOUBLED = sql(", d AS (" + read_plans._SYNC.replace("payload, event_source_timestamp, queue AS source", "payload, timestamp AS event_source_timestamp, queue AS source") + ")")
@@ -199,6 +216,9 @@ SQL = {
     "stream_read": read_plans.SQL["read_range"],
     "enrich_stream": _DOUBLED + """ SELECT 'event' AS kind, id, event AS queue, payload, start AS position, units AS n, event_source_timestamp AS source_timestamp FROM d WHERE action = 'emit'
       UNION ALL SELECT 'checkpoint', id, source, NULL, max(start), CAST(sum(units) AS BIGINT), min(event_source_timestamp) FROM d GROUP BY id, source""",
+    "load_entities_stream": sql("""SELECT 'entity' AS kind, 'entities' AS id, 'customer_entities' AS queue, CAST(c_custkey AS VARCHAR) AS entity, '{"name":"' || c_name || '","orders":[' || coalesce(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey), '') || ']}' AS payload
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE c_custkey IN (SELECT user_id FROM rows_) GROUP BY c_custkey, c_name
+      UNION ALL SELECT 'checkpoint', 'entities', queue, max(eid), CAST(count(*) AS VARCHAR) FROM rows_ GROUP BY queue"""),
     "checkpoint_hook": _DOUBLED + " SELECT id AS bot, source AS queue, max(start) AS checkpoint, CAST(sum(units) AS BIGINT) AS records, min(event_source_timestamp) AS source_timestamp, max(event_source_timestamp) AS ended_timestamp FROM d GROUP BY id, source",
     "manual_checkpoint": sql("SELECT 'manual' AS bot, queue, max(eid) AS checkpoint, count(*) AS records, min(timestamp) AS source_timestamp, max(timestamp) AS ended_timestamp FROM rows_ WHERE event_id % 3 < 2 GROUP BY queue"),
     "offload_stream": sql("""SELECT 'delivery' AS kind, 'offloader' AS id, queue, sha256(payload) AS payload, eid AS position, CAST(1 AS BIGINT) AS n, timestamp AS source_timestamp FROM rows_ WHERE k % 3 > 0

@@ -40,7 +40,7 @@ class BotRun:
             hook(number, None, self.spark.read.schema(CHECKPOINT).parquet(f"{self.path}/checkpoints/batch={number}"))
 
     def output(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/out")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/out").select(*self.schema.names)
 
     def checkpoints(self) -> DataFrame:
         return latest(self.spark.read.schema(CHECKPOINT).parquet(f"{self.path}/checkpoints"))
