@@ -111,4 +111,71 @@ best AS (SELECT doc_id, count(*) AS c, max(dice) AS dice, arg_max(name, struct_p
 SELECT d.doc_id, name AS license_id, dice, CAST(coalesce(c, 0) AS BIGINT) AS n_matches FROM d LEFT JOIN best USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op5_decontamination": OP5, "op7_warc": OP7, "op8_license_scan": OP8}
+
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+_BYTE = "list_reduce(list_prepend(xor(c, b), range(8)::BIGINT[]), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+_CRC = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)), lambda c, b: {_BYTE}), 4294967295)"
+_LOWERED = _LOWER.replace("coalesce(text, '')", "text")
+
+
+def _levels(name: str, height: int) -> str:
+    """Levels {name}0 (g, i, n, node) to {name}height; {name}p0 to {name}p(height): each node's siblings, by g, i."""
+    out = []
+    for k in range(height):
+        out.append(f"""{name}p{k} AS (SELECT *, coalesce(string_agg(node, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(node, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k} WINDOW r AS (PARTITION BY g, i // 8 ORDER BY i)),
+{name}{k + 1} AS (SELECT g, i // 8 AS i, (n + 7) // 8 AS n, CASE WHEN n = 1 THEN node ELSE sha256(node || r) END AS node FROM {name}p{k} WHERE i % 8 = 0)""")
+    return ",\n".join(out)
+
+
+def _fold(name: str, start: str, height: int) -> str:
+    """{name}f0 (id, g, i, acc, proof) from start up the levels, to {name}f(height)."""
+    out = [f"{name}f0 AS ({start})"]
+    for k in range(height):
+        out.append(f"""{name}f{k + 1} AS (SELECT id, f.g, f.i // 8 AS i, CASE WHEN n = 1 THEN acc ELSE sha256(l || acc || r) END AS acc, CASE WHEN n = 1 THEN proof ELSE proof || l || r END AS proof
+  FROM {name}f{k} f JOIN {name}p{k} p ON f.g = p.g AND f.i = p.i)""")
+    return ",\n".join(out)
+
+
+_DEEP, _WIDE = 7, 3  # levels that are written out: parts of 8^7 rows, 8^3 parts
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS id, *, {_leaf('text')} AS leaf, {_leaf(_LOWERED)} AS lowered, {_CRC} % 3 = 0 AS hit, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+a0 AS (SELECT g, i, n, leaf AS node FROM o),
+{_levels('a', _DEEP)},
+b0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n, node, g AS part FROM a{_DEEP}),
+{_levels('b', _WIDE)},
+{_fold('a', "SELECT id, g, i, CASE WHEN hit THEN lowered ELSE leaf END AS acc, '' AS proof FROM o", _DEEP)},
+{_fold('b', f"SELECT id, 0 AS g, b0.i, acc, proof FROM af{_DEEP} f JOIN b0 ON f.g = b0.part", _WIDE)}
+SELECT doc_id, leaf, s.node AS subroot, t.node AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = t.node AS verified
+FROM o JOIN bf{_WIDE} f USING (id) JOIN a{_DEEP} s ON s.g = o.g JOIN b{_WIDE} t ON true
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+f AS (SELECT part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t),
+  regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails,
+  coalesce(g.good, false) AS good, coalesce(g.toxic, false) AS toxic
+  FROM w LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) g USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(range(1, 6)) AS k),
+p AS (SELECT [a.k, b.k, c.k, e.k, h.k] AS o, chr(64 + a.k::INT) || chr(64 + b.k::INT) || chr(64 + c.k::INT) || chr(64 + e.k::INT) || chr(64 + h.k::INT) AS filter_order
+  FROM l a, l b, l c, l e, l h WHERE len(list_distinct([a.k, b.k, c.k, e.k, h.k])) = 5),
+s AS (SELECT m.*, filter_order, k AS step, o[k] AS x, list_position(list_transform(o, lambda y: fails[y]), true) AS gone FROM m, p, l),
+r AS (SELECT part, filter_order, step, x,
+  coalesce(sum(n) FILTER (gone IS NULL OR gone = 0 OR gone > step), 0) AS kept, coalesce(sum(n) FILTER (gone = step), 0) AS removed, coalesce(sum(n) FILTER (fails[x] AND gone BETWEEN 1 AND step - 1), 0) AS redundant,
+  coalesce(sum(n) FILTER (fails[x] AND len(list_filter(fails, lambda y: y)) = 1), 0) AS unique_fails, coalesce(sum(good) FILTER (gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM r
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op2_minhash_near_dedup": OP2, "op4_quality_rules": OP4, "op5_decontamination": OP5, "op7_warc": OP7, "op8_license_scan": OP8, "op12_merkle_manifest": OP12, "op13_filter_audit": OP13}

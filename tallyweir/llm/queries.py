@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, host_rules, langid, licenses, minhash, packing, spans, warc, weak_labels
+from . import bpe, chat, decontam, filter_audit, host_rules, langid, licenses, merkle, minhash, packing, spans, warc, weak_labels
 from .oracles import ORACLE_SQL  # noqa: F401
 from .tables import table
 
@@ -17,6 +17,13 @@ def tokenizer_files() -> dict[str, str]:
     return {"tokenizer": public_tokenizers.path("byte_bpe_50k.json"), "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+def word_tokenizer() -> str:
+    """Path of the public vocabulary with word ends."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1, whose texts hold control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -65,4 +72,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
-QUERIES = {q.__name__: q for q in (op1_chat_format, op2_minhash_near_dedup, op3_quality_classifier, op4_quality_rules, op5_decontamination, op6_span_dedup, op7_warc, op8_license_scan, op9_packing, op10_language_id)}
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), word_tokenizer()), word_tokenizer())
+    return read.select("doc_id", "n_tokens", F.sha2("token_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, seen=merkle.tampered(docs))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {q.__name__: q for q in (op1_chat_format, op2_minhash_near_dedup, op3_quality_classifier, op4_quality_rules, op5_decontamination, op6_span_dedup, op7_warc, op8_license_scan, op9_packing, op10_language_id, op11_bpe_codec, op12_merkle_manifest, op13_filter_audit)}
