@@ -10,6 +10,9 @@ tokenizer reaches over white space. Where the run gives the ids that stood there
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -30,8 +33,12 @@ MAP_BITS = 1 << 26
 #: Rows that a joined key may have in one task.
 HOT_ROWS = 4096
 #: Words that a worker remembers, each of at most so many bytes.
-MEMORY, MEMORY_BYTES = 200_000, 64
+MEMORY, MEMORY_BYTES = 300_000, 64
 SPACE = frozenset(b" \t\n\r\x0b\x0c")
+#: How a vocabulary with word ends cuts texts into words, and how it marks their ends.
+WORD_PARTS, END = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "</w>"
+#: Printable characters up to U+024F but U+0130, in UTF-8.
+LATIN = re.compile(rb"(?:[!-~]|\xc2[\xa1-\xbf]|[\xc3\xc5-\xc8][\x80-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc9[\x80-\x8f])+").fullmatch
 
 _GEAR = np.random.Generator(np.random.PCG64(20260207)).integers(0, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
@@ -77,34 +84,94 @@ def digest(data: bytes) -> bytes:
     return blake2b(data, digest_size=16).digest()
 
 
+class _Known(dict):
+    """word -> ids; short words are kept, and all given up when they are too many."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encoder.word(word)
+        if len(word) <= MEMORY_BYTES:
+            if len(self) >= MEMORY:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+def _byte_symbols() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others counted on from
+    256."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def word_ranks(path: str) -> tuple[dict[bytes, int], list[int]] | None:
+    """A vocabulary with word ends as ranks of byte strings, in which the byte 255 ends a word, and the id of each rank; null
+    if it isn't lower case, cut at white space and byte-level, or if a token is made by two merges or merges don't rank as
+    ids do. The pairs that end a word come first, then the merges in their order. Each token's bytes encode to it
+    alone (a test holds this for the whole vocabulary), so no other pair with its bytes ever stands side by side."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    model = made["model"]
+    kinds = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+    split, *level = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    if kinds != ["NFC", "Replace", "Lowercase"] or split.get("pattern") != {"Regex": WORD_PARTS} or [x["type"] for x in level] != ["ByteLevel"] or model.get("end_of_word_suffix") != END:
+        return None
+    byte = _byte_symbols()
+    raw = lambda token: bytes(byte[c] for c in token.removesuffix(END)) + (b"\xff" if token.endswith(END) else b"")
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    ids = [model["vocab"][a + b] for a, b in merges]
+    first = [t for t in model["vocab"] if len(t.removesuffix(END)) == 1]
+    if ids != sorted(set(ids)) or len(ids) + len(first) != len(model["vocab"]):
+        return None
+    ranks = {bytes([b]): b for b in range(256)}
+    for token in [*sorted(t for t in first if t.endswith(END)), *(a + b for a, b in merges)]:
+        ranks[raw(token)] = len(ranks)
+    back = [0] * len(ranks)
+    for token, k in model["vocab"].items():
+        back[ranks[raw(token)]] = k
+    return ranks, back
+
+
 class Encoder:
-    """Ids, as little-endian unsigned 32-bit integers, of runs of text."""
+    """Ids of runs of text, as little-endian unsigned integers of two bytes where the vocabulary fits, else of four."""
 
     def __init__(self, path: str):
+        import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.known = _Known(self)
+        self.parts = regex.compile(WORD_PARTS)
+        fast = word_ranks(path)
+        self.piece, self.back = (tiktoken.Encoding("words", pat_str=".", mergeable_ranks=fast[0], special_tokens={})._core_bpe.encode_single_piece, fast[1]) if fast else (None, [])
 
     def run(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """Of any text, by tokenizers."""
+        return array(self.code, self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+    def word(self, text: bytes) -> bytes:
+        """Of text without white space. Words of Latin letters, digits and marks are encoded by their ranks: in this range (without
+        white space, and without the one letter that two make in lower case) lower case goes letter by letter and the normal form changes nothing."""
+        if self.piece is None or b"<|" in text or not LATIN(text):
+            return self.run(text)
+        back = self.back
+        return array(self.code, [back[k] for p in self.parts.findall(text.decode().lower()) for k in self.piece(p.encode() + b"\xff")]).tobytes()
 
     def words(self, text: bytes) -> bytes:
         """Ids of text that has white space, or nothing, at both ends: those of its words, one after the other."""
-        known, words = self.known, text.split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > MEMORY:
-            known.clear()
-        new = {w for w in words if w not in known}
-        short = [w for w in new if len(w) <= MEMORY_BYTES]
-        for w, x in zip(short, self.tokenizer.encode_batch_fast([w.decode() for w in short], add_special_tokens=False), strict=True):
-            known[w] = np.array(x.ids, dtype="<u4").tobytes()
-        return b"".join([known[w] if w in known else self.run(w) for w in words])
+        return b"".join(map(self.known.__getitem__, text.split()))
+
+    def wide(self, ids: bytes) -> bytes:
+        """As unsigned integers of four bytes."""
+        return ids if self.code == "I" else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
     def chunk(self, text: bytes) -> tuple[bytes, bytes, bytes, bytes, bytes, bool]:
         """A chunk's record: its text up to the first and from the last white space, the ids of these and of what is
@@ -170,7 +237,7 @@ def _in_place(path: str, shared):
             for k, chunks in chunked(batch.column(1)):
                 if not chunks or not _is_shared([digest(c) for c in chunks], bits):
                     rows.append(k)
-                    ids.append(e.joined(map(e.chunk, chunks)))
+                    ids.append(e.wide(e.joined(map(e.chunk, chunks))))
                     size += len(ids[-1])
                 if size > 8_000_000:
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, pa.binary())], names=["doc_id", "token_bytes"])
@@ -242,6 +309,17 @@ def _joined(path: str):
     return join
 
 
+def _widened(path: str):
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([e.wide(x.as_py()) for x in part.column(1)], pa.binary())], names=["doc_id", "token_bytes"])
+
+    return widen
+
+
 def spread_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
     """many joined with one (a row for each key, with n: how many rows of many have it). A key of more than HOT_ROWS rows is
     dealt to several tasks: its row of one is repeated, its rows of many are split by their hash."""
@@ -279,17 +357,17 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = _shared_map(rows.select("text"))
     alone = rows.mapInArrow(_in_place(tokenizer, shared), "doc_id long, token_bytes binary")
-    chunks = scratch.cut(rows.mapInArrow(_chunks_of_sharers(shared), _CHUNK_ROWS))
+    chunks = scratch.cut(rows.mapInArrow(_chunks_of_sharers(shared), _CHUNK_ROWS), "zstd")
     places = chunks.groupBy("text_digest", "place", "digest").agg(F.count(F.lit(1)).alias("copies"))
     counted = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     texts = chunks.where("chunk is not null").groupBy("digest").agg(F.first("chunk").alias("chunk")).join(counted, "digest").select("digest", "chunk", "n")
     kinds = {"head": "binary", "head_ids": "binary", "middle_ids": "binary", "tail": "binary", "tail_ids": "binary", "solid": "boolean"}
-    records = scratch.cut(texts.mapInArrow(_records(tokenizer), "digest binary, n long, " + ", ".join(f"{k} {v}" for k, v in kinds.items())))
+    records = scratch.cut(texts.mapInArrow(_records(tokenizer), "digest binary, n long, " + ", ".join(f"{k} {v}" for k, v in kinds.items())), "zstd")
     found = spread_join(places, records, "digest")
     whole = found.groupBy("text_digest").agg(F.collect_list(F.struct("place", *_PARTS)).alias("chunks"), F.max("copies").alias("n"))
     whole = whole.mapInArrow(_joined(tokenizer), "text_digest binary, n long, token_bytes binary")
     holders = chunks.where("place = 0").select("doc_id", "text_digest", F.monotonically_increasing_id().alias("row"))
-    met = spread_join(holders, whole, "text_digest").select("doc_id", "token_bytes")
+    met = spread_join(holders, whole, "text_digest").select("doc_id", "token_bytes").mapInArrow(_widened(tokenizer), "doc_id long, token_bytes binary")
     return alone.unionByName(met).select("doc_id", (F.octet_length("token_bytes") / 4).cast("long").alias("n_tokens"), "token_bytes")
 
 

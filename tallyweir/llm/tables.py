@@ -30,8 +30,8 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
+def written(df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -52,9 +52,9 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         self.paths.append(new_path(self.spark, "cut"))
-        return written(df, self.paths[-1])
+        return written(df, self.paths[-1], compression)
 
     def clear(self) -> None:
         while self.paths:

@@ -88,12 +88,29 @@ def test_shared_chunks_are_encoded_once(monkeypatch, tokenizer):
         records = [e.chunk(text[:cut]), e.chunk(text[cut:])]
         run = e.run
         monkeypatch.setattr(e, "run", lambda x, run=run: asked.append(x) or run(x))
-        ids = np.frombuffer(e.joined(records), "<u4").tolist()
+        ids = np.frombuffer(e.wide(e.joined(records)), "<u4").tolist()
         monkeypatch.undo()
         assert ids == tokenizer.encode(text.decode(), add_special_tokens=False).ids
         assert all(b" " not in x for x in asked) and len(asked) <= 1
 
 
+def test_words_by_ranks_are_those_of_tokenizers(tokenizer):
+    """The proof that bpe.word_ranks names, over the vocabulary, and every character of the range beside letters, digits and
+    marks."""
+    ranks, back = bpe.word_ranks(queries.word_tokenizer())
+    e = bpe.Encoder(queries.word_tokenizer())
+    whole = {token: [back[k] for k in e.piece(token)] for token in ranks if back[ranks[token]] or token == b"!"}
+    assert all(ids == [back[ranks[token]]] for token, ids in whole.items()) and len(set(back)) >= 49_406
+    r = random.Random(4)
+    alphabet = [chr(c) for c in range(0x21, 0x250)]
+    words = [f"{c}a{c}{c}1{c}'s{c}" for c in alphabet] + ["".join(r.choice(alphabet[:94] if r.random() < 0.7 else alphabet) for _ in range(r.randint(1, 14))) for _ in range(20_000)]
+    words += ["".join(r.choice("etaoinshrdlucmfw'sdltév") for _ in range(r.randint(1, 30))) for _ in range(20_000)]
+    assert sum(bool(bpe.LATIN(w.encode())) for w in words) > 20_000
+    for w, x in zip(words, tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+        if " " not in w.replace("\xa0", " ").replace("\x85", " "):
+            assert np.frombuffer(e.wide(e.word(w.encode())), "<u4").tolist() == x.ids, w
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOC)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
