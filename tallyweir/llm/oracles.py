@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import TEMPLATES, THRESHOLD
+from .licenses import TELLING, TEMPLATES, THRESHOLD
 
 _ESCAPE = r"regexp_replace({0}, '([<\[])(\\*)(/?(?:s>|INST\]|NEXT\]))', '\1\\\2\3', 'g')"
 
@@ -93,19 +93,20 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM m
 """
 
-_T = ", ".join("('{}', '{}')".format(n, x.replace("'", "''")) for n, x in TEMPLATES)
+_T = ", ".join("('{}', '{}', {}, {})".format(n, x.replace("'", "''"), m.split(), next((v for k, v in TELLING.items() if k in n), [])) for n, x, m in TEMPLATES)
 _W8 = r"list_filter(string_split(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '')"
 _B8 = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
 _S8 = rf"list_transform(string_split(regexp_replace(line, '([.!?;])[ \t]+', '\1' || chr(1), 'g'), chr(1)), lambda s: {_W8.format('s')})"
 
 OP8 = f"""
-WITH t AS (SELECT name, {_B8} AS b FROM (SELECT name, {_W8.format("x")} AS w FROM (VALUES {_T}) v(name, x))),
+WITH t AS (SELECT name, {_B8} AS b, list_concat(must, list_intersect(telling, w))::VARCHAR[] AS yes, list_filter(telling, lambda x: NOT list_contains(w, x))::VARCHAR[] AS no
+  FROM (SELECT name, must, telling, {_W8.format("x")} AS w FROM (VALUES {_T}) v(name, x, must, telling))),
 d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
 e AS (SELECT doc_id, list_transform(regexp_split_to_array(x, '\n[ \t\r]*\n'), lambda p: list_transform(string_split(p, chr(10)), lambda line: {_S8})) AS n FROM d),
 u AS (SELECT doc_id, unnest(list_distinct(list_concat(flatten(flatten(n)), list_transform(flatten(n), lambda x: flatten(x)), list_transform(n, lambda x: flatten(flatten(x))), [flatten(flatten(flatten(n)))]))) AS w FROM e),
-n AS (SELECT row_number() OVER () AS u, doc_id, {_B8} AS b FROM u),
+n AS (SELECT row_number() OVER () AS u, doc_id, w, {_B8} AS b FROM u),
 s AS (SELECT u, doc_id, name, 2.0::DOUBLE * len(list_intersect(n.b, t.b)) / (len(n.b) + len(t.b)) AS dice FROM n JOIN t
-  ON len(n.b) BETWEEN 1 AND 1000 AND len(n.b) >= {THRESHOLD / (2 - THRESHOLD)!r} * len(t.b) AND len(n.b) <= {(2 - THRESHOLD) / THRESHOLD!r} * len(t.b)),
+  ON len(n.b) BETWEEN 1 AND 1000 AND len(n.b) >= {THRESHOLD / (2 - THRESHOLD)!r} * len(t.b) AND len(n.b) <= {(2 - THRESHOLD) / THRESHOLD!r} * len(t.b) AND list_has_all(w, yes) AND NOT list_has_any(w, no)),
 m AS (SELECT u, doc_id, max(dice) AS dice, arg_max(name, struct_pack(d := dice, n := name)) AS name FROM s WHERE dice >= {THRESHOLD} GROUP BY u, doc_id),
 best AS (SELECT doc_id, count(*) AS c, max(dice) AS dice, arg_max(name, struct_pack(d := dice, n := name)) AS name FROM m GROUP BY doc_id)
 SELECT d.doc_id, name AS license_id, dice, CAST(coalesce(c, 0) AS BIGINT) AS n_matches FROM d LEFT JOIN best USING (doc_id)
