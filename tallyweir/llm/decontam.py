@@ -1,106 +1,166 @@
 """Benchmark decontamination: Wu-Manber multi-pattern search over words.
 
 A window (10 consecutive item words; all words of a shorter item) is a pattern. A text is walked with a block of two
-words: a shift table says how far the next possible end of a pattern is; where it says 0, the patterns with this last
-block (their suffix bucket) are compared word by word. Items are taken in blocks of bounded size, each shipped to the
-tasks once and searched in all documents; one block is the rule, and more only add passes.
+words: a shift table says how far the next possible end of a pattern is; where it says 0, the patterns whose last words
+have the hash of the text's (their suffix bucket) are compared, by word hashes and then by their bytes. Words are numbers
+in arrays, so the tables of 8 MB of items take less than 200 MB, and a Python worker keeps them for its later tasks. Items are
+taken in blocks of bounded size, each shipped to the tasks when its pass begins and given up after it; one block is
+the rule, and more only add passes.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import by_plain_names, cut, ddl, private, quoted
+from .tables import Scratch, by_plain_names, cut, ddl, private, quoted
+from .words import U64, mix, text_blocks, word_hashes
 
 WINDOW = 10
-#: Bytes of item text in one block: what the driver and each task hold at most.
+#: Bytes of item text in one block: what the driver holds at once.
 BLOCK_BYTES = 8_000_000
+#: Words of a suffix that choose a bucket.
+SUFFIX = 5
 #: A-Z to lower case, and every byte that is in no word to a space.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+IN_WORD = np.frombuffer(WORD_BYTES, dtype=np.uint8) != 32
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    return text.translate(WORD_BYTES).split() if text else []
+def words_of(text: bytes) -> list[bytes]:
+    return text.translate(WORD_BYTES).split()
+
+
+def _suffixes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words that end at each word; of no meaning for the first n - 1."""
+    total = np.zeros(len(words), np.uint64)
+    for k in range(n):
+        total[k:] += words[: len(words) - k] * (mix(np.array([k + 1], np.uint64))[0] | U64(1))
+    return mix(total)
 
 
 class Patterns:
-    """Shift and suffix tables for patterns of one length (2 words or more), or of one word."""
-
-    def __init__(self, patterns: dict[tuple[bytes, ...], list]):
-        self.m = len(next(iter(patterns)))
-        self.bucket: dict = defaultdict(list)
-        self.shift: dict = {}
-        for p, items in patterns.items():
-            self.bucket[p[-2:]].append((p, items))
-            for end in range(2, self.m + 1):
-                block, left = p[end - 2 : end], self.m - end
-                if left < self.shift.get(block, self.m):
-                    self.shift[block] = left
-        if self.m == 1:
-            self.shift = dict.fromkeys(self.bucket, 0)
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, list]]:
-        """(first word, items) of each occurrence."""
-        m, shift, bucket, n = self.m, self.shift.get, self.bucket, len(words)
-        most, at = max(1, m - 1), m - 1
-        if m == 1:
-            for at, word in enumerate(words):
-                if (word,) in bucket:
-                    yield at, bucket[(word,)][0][1]
+    """Shift table and suffix buckets of the patterns of m words that start at starts in the items' words. Equal patterns
+    are one, with the items that hold it."""
+
+    def __init__(self, m: int, words: np.ndarray, starts: np.ndarray, item_of: np.ndarray):
+        self.m, self.words = m, words
+        self.block, self.width = min(2, m), min(SUFFIX, m)
+        blocks = _suffixes(words, self.block)
+        self.slots = U64((1 << max(16, min(24, int(8 * len(starts)).bit_length()))) - 1)
+        shift = np.full(int(self.slots) + 1, max(1, m - self.block + 1), dtype=np.uint8)
+        for end in range(self.block, m + 1):  # the last, with the smallest shift, stays
+            shift[(blocks[starts + end - 1] & self.slots).astype(np.int64)] = m - end
+        self.shift = shift
+        whole, suffix = _suffixes(words, m)[starts + m - 1], _suffixes(words, self.width)[starts + m - 1]
+        order = np.lexsort((item_of[starts], whole, suffix))
+        starts, whole, suffix = starts[order], whole[order], suffix[order]
+        new = np.ones(len(starts), dtype=bool)
+        new[1:] = (whole[1:] != whole[:-1]) | (suffix[1:] != suffix[:-1])
+        #: Of each pattern: where its equals lie in items, and the suffix's hash.
+        self.first = np.append(np.flatnonzero(new), len(starts))
+        self.items = item_of[starts]
+        self.start, self.suffix = starts[new], suffix[new]
+
+    def search(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first word, pattern) of each place where the words' hashes are a pattern's."""
+        m, n = self.m, len(words)
+        if n < m:
             return
+        steps = self.shift[(_suffixes(words, self.block) & self.slots).astype(np.int64)].tobytes()
+        ends, at = [], m - 1
         while at < n:
-            step = shift((words[at - 1], words[at]), most)
-            if step:
-                at += step
-                continue
-            seen = tuple(words[at - m + 1 : at + 1])
-            for p, items in bucket[seen[-2:]]:
-                if p == seen:
-                    yield at - m + 1, items
-            at += 1
-
-
-def _tables(items: list[tuple[int | str, bytes]], window: int) -> list[Patterns]:
-    by_length: dict[int, dict] = defaultdict(dict)
-    for item, text in items:
-        words = words_of(text)
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            p = tuple(words[i : i + window])
-            have = by_length[len(p)].setdefault(p, [])
-            if item not in have:
-                have.append(item)
-    return [Patterns(p) for p in by_length.values()]
+            step = steps[at]
+            if not step:
+                ends.append(at)
+                step = 1
+            at += step
+        if not ends:
+            return
+        wanted = _suffixes(words, self.width)[ends]
+        low, high = np.searchsorted(self.suffix, wanted, "left"), np.searchsorted(self.suffix, wanted, "right")
+        for k in np.flatnonzero(low < high):
+            at = ends[k] - m + 1
+            for p in range(low[k], high[k]):
+                if np.array_equal(words[at : at + m], self.words[self.start[p] : self.start[p] + m]):
+                    yield at, p
+
+
+class Tables:
+    """All patterns of a block of items (id, text)."""
+
+    def __init__(self, items: list[tuple[int | str, bytes]], window: int):
+        self.ids = [k for k, _ in items]
+        texts = pa.array([t for _, t in items], pa.binary())
+        hashes, places, item_of, self.blocks, counts = [], [], [], [], []
+        for first, data, offsets in text_blocks(texts):
+            h, at, bounds = word_hashes(data, offsets, in_word=IN_WORD)
+            hashes.append(h)
+            places.append(at + sum(len(b) for b in self.blocks))
+            counts.append(np.diff(bounds))
+            self.blocks.append(data.tobytes())
+        self.data = b"".join(self.blocks)
+        del self.blocks
+        words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        self.place = np.append(np.concatenate(places) if places else np.empty(0, np.int64), len(self.data)).astype(np.int64)
+        count = np.concatenate(counts) if counts else np.empty(0, np.int64)
+        item_of = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        left = np.repeat(np.cumsum(count), count) - np.arange(len(words))
+        size = np.minimum(count, window)[item_of]
+        self.patterns = [Patterns(int(m), words, np.flatnonzero((size == m) & (left >= m)), item_of) for m in np.unique(size)]
+
+    def search(self, words: np.ndarray, place: np.ndarray, data: bytes) -> Iterator[tuple[int, int, list]]:
+        """(first word, word after the last, items) of each occurrence in a text whose words start at place (which ends with
+        its length) in data."""
+        for t in self.patterns:
+            for at, p in t.search(words):
+                s = t.start[p]
+                if words_of(data[place[at] : place[at + t.m]])[: t.m] == words_of(self.data[self.place[s] : self.place[s + t.m]])[: t.m]:
+                    yield at, at + t.m, [self.ids[k] for k in np.unique(t.items[t.first[p] : t.first[p + 1]])]
+
+
+_KEPT: dict[str, Tables] = {}
+
+
+def _tables(name: str, items, window: int) -> Tables:
+    """The tables of a block, which this worker keeps until it is asked for another block's."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = Tables(items.value, window)
+    return _KEPT[name]
 
 
 def _searcher(items, window: int, kind: pa.DataType, names: list[str], hits_only: bool = False):
     """For batches whose last column is a text: the others with n_words, spans and items, called names. items: a
     broadcast list of (item, text), whose ids are of this kind. hits_only leaves rows without a hit out."""
+    block = uuid.uuid4().hex
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables(items.value, window)
+        tables = _tables(block, items, window)
         for batch in batches:
             n_words, spans, found = [], [], []
-            for text in batch.column(batch.num_columns - 1):
-                words = words_of(text.as_py())
-                hit, seen = [], set()
-                for t in tables:
-                    for at, which in t.search(words):
-                        hit.append((at, at + t.m))
+            for _, data, offsets in text_blocks(batch.column(batch.num_columns - 1)):
+                raw = data.tobytes()
+                hashes, places, bounds = word_hashes(data, offsets, in_word=IN_WORD)
+                for k in range(len(bounds) - 1):
+                    a, b = bounds[k], bounds[k + 1]
+                    hit, seen = [], set()
+                    for start, end, which in tables.search(hashes[a:b], np.append(places[a:b], offsets[k + 1]), raw):
+                        hit.append((start, end))
                         seen.update(which)
-                merged: list = []
-                for a, b in sorted(hit):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                n_words.append(len(words))
-                spans.append([{"start": a, "end": b} for a, b in merged])
-                found.append(sorted(seen))
+                    merged: list = []
+                    for start, end in sorted(hit):
+                        if merged and start <= merged[-1][1]:
+                            merged[-1][1] = max(end, merged[-1][1])
+                        else:
+                            merged.append([start, end])
+                    n_words.append(int(b - a))
+                    spans.append([{"start": x, "end": y} for x, y in merged])
+                    found.append(sorted(seen))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             out = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(spans, span), pa.array(found, pa.list_(kind))], names=[*batch.schema.names[:-1], *names])
             yield out.filter(pa.array([bool(x) for x in found], pa.bool_())) if hits_only else out
@@ -127,18 +187,22 @@ def _search(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int,
     kind, item = (pa.int64(), "long") if number else (pa.string(), "string")
     made = f"{names[0]} long, {names[1]} array<struct<start:long,end:long>>, {names[2]} array<{item}>"
     text = F.col("text").cast("string")
-    blocks = [sc.broadcast([(r.item_id, bytes(r.text)) for r in part.collect()]) for part in parts]
-    if len(blocks) == 1:
-        return docs.select(*map(quoted, keep), text.cast("binary").alias(raw)).mapInArrow(_searcher(blocks[0], window, kind, names), f"{ddl(docs, keep)}, {made}"), names
+    ship = lambda part: sc.broadcast([(r.item_id, bytes(r.text)) for r in part.collect()])
+    if len(parts) == 1:
+        return docs.select(*map(quoted, keep), text.cast("binary").alias(raw)).mapInArrow(_searcher(ship(parts[0]), window, kind, names), f"{ddl(docs, keep)}, {made}"), names
     # what a text holds depends on the text alone: each further block gives the texts that it hits, by digest, and only
     # these few rows are grouped and joined back
-    first = docs.select(*map(quoted, keep), F.md5(text).alias(mark), text.cast("binary").alias(raw)).mapInArrow(_searcher(blocks[0], window, kind, names), f"{ddl(docs, keep)}, {mark} string, {made}")
-    hits = None
-    for block in blocks[1:]:
+    scratch, hits = Scratch(docs.sparkSession), None
+    for part in parts[1:]:
+        block = ship(part)
         one = docs.where("text is not null").select(F.md5(text).alias(key), text.cast("binary").alias(raw)).mapInArrow(_searcher(block, window, kind, names, True), f"{key} string, {made}")
+        one = scratch.cut(one)
+        block.unpersist()
         hits = one if hits is None else hits.unionByName(one)
     more_spans, more_items = private([*docs.columns, raw, mark, key, *names], "more_spans", "more_items")
     hits = cut(hits.groupBy(key).agg(F.flatten(F.collect_set(names[1])).alias(more_spans), F.array_distinct(F.flatten(F.collect_set(names[2]))).alias(more_items)))
+    scratch.clear()
+    first = docs.select(*map(quoted, keep), F.md5(text).alias(mark), text.cast("binary").alias(raw)).mapInArrow(_searcher(ship(parts[0]), window, kind, names), f"{ddl(docs, keep)}, {mark} string, {made}")
     both = first.join(hits, F.col(mark) == F.col(key), "left")
     spans = F.aggregate(F.array_sort(F.concat(names[1], F.coalesce(more_spans, F.slice(names[1], 1, 0)))), F.array().cast("array<struct<start:long,end:long>>"), _join_spans)
     items = F.array_sort(F.array_distinct(F.concat(names[2], F.coalesce(more_items, F.slice(names[2], 1, 0)))))
@@ -150,7 +214,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     spans (start, end of hit words, joined where they meet) and item_ids (the items with an occurring window, ascending;
     longs, or strings if benchmark's ids aren't whole numbers).
 
-    Null or empty texts have no words and no hits; items without words, id or text have no windows; items with equal
+    Null or empty texts have no words and no hits, and so has every text where the benchmark is empty; items without words, id or text have no windows; items with equal
     windows are all named. A benchmark of several blocks needs a pass over the texts for each; only texts with hits are
     shuffled then."""
     new = ["n_words", "n_hit", "spans", "item_ids"]
