@@ -8,6 +8,7 @@ smoothed to its domain and the domain to the corpus. Tables of agreement and pri
 from __future__ import annotations
 
 import html as markup
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,23 +91,49 @@ def _likelihoods(model):
     return score
 
 
-@F.pandas_udf(StringType())
-def _characters(text: pd.Series) -> pd.Series:
-    """Entities to the characters they stand for."""
-    return text.map(lambda t: markup.unescape(t) if t is not None and "&" in t else t)
+_HIDDEN = re.compile(r"<(script|style)\b", re.IGNORECASE | re.ASCII)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE | re.ASCII) for name in ("script", "style")}
+
+
+def strip_markup(page: str) -> str:
+    """A page's text, in one pass from left to right: comments, scripts, styles and tags are spaces. What opens and isn't closed
+    is looked for once: an open comment or script is a tag, an open tag is text."""
+    out, at, open_ended = [], 0, set()
+    while (lt := page.find("<", at)) >= 0:
+        out.append(page[at:lt])
+        end = -1
+        if page.startswith("<!--", lt) and "comment" not in open_ended:
+            if (found := page.find("-->", lt + 4)) >= 0:
+                end = found + 3
+            else:
+                open_ended.add("comment")
+        elif (m := _HIDDEN.match(page, lt)) and (name := m[1].lower()) not in open_ended:
+            if found := _CLOSE[name].search(page, m.end()):
+                end = found.end()
+            else:
+                open_ended.add(name)
+        if end < 0:
+            if (gt := page.find(">", lt + 1)) < 0:
+                at = lt
+                break
+            end = gt + 1
+        out.append(" ")
+        at = end
+    out.append(page[at:])
+    return "".join(out)
 
 
-def visible(html: Column) -> Column:
-    """Text of a page: without comments, scripts, styles and tags, entities as characters."""
-    bare = F.regexp_replace(html, "(?is)<!--.*?-->|<(script|style)\\b.*?</\\1\\s*>|<[^>]*>", " ")
-    return _characters(bare)
+@F.pandas_udf(StringType())
+def visible(html: pd.Series) -> pd.Series:
+    """Text of pages: without markup, entities as characters."""
+    return html.map(lambda t: t if t is None else markup.unescape(strip_markup(t)))
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
     """page_id, host, declared, suffix and text of pages (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.col("url"), "^[A-Za-z][\\w+.-]*://([^/?#:]+)", 1))
     path = F.lower(F.regexp_extract(F.col("url"), "^[A-Za-z][\\w+.-]*://[^/?#]+/([A-Za-z]{2})(?:/|$)", 1))
-    declared = F.lower(F.regexp_extract(F.col("html"), "(?i)<html\\b[^>]*?\\blang\\s*=\\s*[\"']?([A-Za-z]{2,3})", 1))
+    declared = F.lower(F.regexp_extract(F.col("html"), "(?i)<html\\b[^<>]*?(?<![\\w-])lang\\s*=\\s*[\"']?([A-Za-z]{2,3})", 1))
     none = lambda c: F.when(c != "", c)
     suffix = F.concat_ws("/", none(F.regexp_extract(host, "([a-z]+)$", 1)), none(path))
     return pages.select("page_id", none(host).alias("host"), none(declared).alias("declared"), none(suffix).alias("suffix"), visible(F.coalesce("html", F.lit(""))).alias("text"))
@@ -158,7 +185,8 @@ def fuse(evidence: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
 def identify(docs: DataFrame, pages: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id (null for pages), page_id (null for documents), host, declared, suffix, lang, prob and text_lang of each
     row of docs (doc_id, text, lang, source) and pages (page_id, url, html). docs' lang trains the text model and is no
-    evidence for its row; a document's host is its source, and it has no markup or address. Null texts are empty."""
+    evidence for its row; a document's host is its source, and it has no markup or address. Null texts are empty. Repeated rows
+    are rows each and all count for their host; empty tables give no rows, and without documents every page is `und`."""
     langs, model = train(docs, train_rows)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), F.col("source").cast("string").alias("host"), F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("suffix"), text.alias("text"))
