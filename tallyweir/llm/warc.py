@@ -63,7 +63,7 @@ def _compose(segment: int):
                 head = [("WARC-Record-ID", f"<{me}>"), ("WARC-Target-URI", url), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Payload-Digest", digest)]
                 if r["refers_to"] is not None:
                     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-                    made = [_record([("WARC-Type", "revisit"), *head, ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{r['refers_to']}>"), ("X-Payload-Length", r["n"]), ("Content-Type", "application/http; msgtype=response")], block)]
+                    made = [_record([("WARC-Type", "revisit"), *head, ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{r['refers_to']}:{r['owner_row']}>"), ("X-Payload-Length", r["n"]), ("Content-Type", "application/http; msgtype=response")], block)]
                 else:
                     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(r["payload"])
                     cuts = range(0, len(block), segment)
@@ -95,15 +95,15 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT, min_revi
     its repeated rows are responses too; a row without a page_id revisits. Control characters in a url are escaped."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"n": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")})
+    rows = rows.withColumns({"n": F.octet_length("payload").cast("long"), "digest": F.sha1("payload"), "row": F.monotonically_increasing_id()})
     # groups are counted before the shuffle, on ids and digests only
-    owner = rows.where(F.col("n") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("digest").alias("_digest"), "owner")
+    owner = rows.where(F.col("n") >= min_revisit).groupBy("digest").agg(F.max(F.struct("page_id", "row")).alias("own"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("digest").alias("_digest"), F.col("own.page_id").alias("owner"), F.col("own.row").alias("owner_row"))
     # a payload that very many pages share is dealt out by salt
     owner = owner.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
     joined = salted.join(owner, (F.col("digest") == F.col("_digest")) & (F.col("salt") == F.col("_salt")), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("owner")), F.col("owner"))
-    records = joined.select("page_id", "url", "digest", "n", refers.alias("refers_to"), F.when(refers.isNull(), F.col("payload")).alias("payload"), F.monotonically_increasing_id().alias("row")).mapInArrow(_compose(segment), "record binary")
+    records = joined.select("page_id", "url", "digest", "n", refers.alias("refers_to"), "owner_row", F.when(refers.isNull(), F.col("payload")).alias("payload"), "row").mapInArrow(_compose(segment), "record binary")
     records.select(F.col("record").cast("string").alias("value")).write.format("text").option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).save(path)
 
 
