@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.eid import eid_millis
+from ..sources.shared import Scratch, cut
+from .points import BLOCK, chain, next_point, prefix_sums, same
 from .read import prefix_sum
 
 
@@ -41,33 +43,32 @@ def correlation(events: DataFrame, keys: list[str] = (), partial: Column | bool
     return rows.select(*keys, "source", *named, "units")
 
 
-def fold_batches(events: DataFrame, keys: list[str], count: int | None = None, size: int | None = None, millis: int | None = None) -> DataFrame:
-    """eid, keys and batch: a batch closes once it has count events or size bytes (the crossing event is in), or before
-    an event that comes millis or more after its first one by event time; the first limit reached wins.
-
-    A batch depends on all before it, so each key group is one sequential fold in eid order; give keys that are fine
-    enough (queue and day). Groups are sorted by Spark, which spills, and pass through Python in Arrow batches with a
-    state of four numbers: memory doesn't grow with a group. Null keys are a group of their own."""
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, batch, n, b, first = None, 0, 0, 0, 0
-        for g in batches:
-            columns = dict(zip(g.schema.names, g.columns, strict=True))
-            groups = zip(*(columns[k].to_pylist() for k in keys), strict=True)
-            out = []
-            for group, s, t in zip(groups, columns["size"].to_pylist(), columns["timestamp"].to_pylist(), strict=True):
-                if group != last:
-                    last, batch, n, b = group, 0, 0, 0
-                elif (count and n >= count) or (size and b >= size) or (millis and None not in (t, first) and t - first >= millis):
-                    batch, n, b = batch + 1, 0, 0
-                first = t if not n else first
-                n, b = n + 1, b + s
-                out.append(batch)
-            yield pa.RecordBatch.from_arrays([*(columns[k] for k in keys), columns["eid"], pa.array(out, pa.int64())], names=[*keys, "eid", "batch"])
-
-    fields = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    rows = events.select(*keys, "eid", F.coalesce("size", F.lit(0)).cast("long").alias("size"), F.col("timestamp").cast("long").alias("timestamp"))
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "eid").mapInArrow(fold, ", ".join([*(f"{k} {fields[k]}" for k in keys), "eid string, batch long"]))
+def limit_batches(events: DataFrame, keys: list[str] = ("queue",), count: int | None = None, size: int | None = None, millis: int | None = None) -> DataFrame:
+    """keys, eid and batch of events (eid, size): a batch closes once it has count events or size bytes (the crossing event is
+    in), or before an event whose id is millis or more after its first one's; the first limit reached wins.
+
+    A batch depends on all before it, but where a batch that began at some event would end depends on that event alone: it is
+    the next point in the running sums. These are found for all events at once, and the batches that are real are those
+    that the chain from a key's first event passes. So a queue is many tasks, and its batches go on over its days. Null keys are a
+    group; a null size is 0; an id without a time is in no time limit; equal ids stand by size."""
+    keys = list(keys)
+    if not (count or size or millis):
+        raise ValueError("a batch needs a limit")
+    scratch = Scratch(events.sparkSession)
+    rows = events.select(*keys, "eid", F.coalesce("size", F.lit(0)).cast("long").alias("_size"), F.lit(1).cast("long").alias("_one"))
+    rows = prefix_sums(rows, keys, {"_one": "i", "_size": "_bytes"}, ["eid"], F.left("eid", F.lit(15))).drop("_one", "_size").withColumn("_ms", eid_millis(F.col("eid")))
+    rows = scratch.cut(rows.withColumn("next", F.col("i") + count if count else F.lit(None).cast("long")))
+    asked = rows
+    for limit, place in ((size, "_bytes"), (millis, "_ms")):
+        if limit:
+            asked = next_point(asked, F.col(place) + limit, rows, keys, F.col(place), F.col("i"), "_next", scratch, F.col("i"))
+            asked = asked.withColumn("next", F.least("next", "_next")).drop("_next")
+    starts = chain(asked, keys, scratch).withColumn("_start", F.lit(1).cast("long"))
+    rows = same(rows, starts, [*keys, "i"], "left").withColumn("_start", F.coalesce("_start", F.lit(0).cast("long")))
+    numbered = prefix_sums(rows, keys, {"_start": "_before"}, ["i"], F.floor(F.col("i") / BLOCK))
+    out = cut(numbered.select(*keys, "eid", (F.col("_before") + F.col("_start") - 1).cast("long").alias("batch")))
+    scratch.clear()
+    return out
 
 
 def external(rows: DataFrame, fetch, column: str, result: str = "string", retries: int = 3, pause: float = 0.0) -> DataFrame:

@@ -17,6 +17,13 @@ class Worked(NamedTuple):
 
     output: DataFrame
     checkpoints: DataFrame
+    #: What both are taken from, and how: who writes rows first has the source read once, and both from the same rows.
+    rows: DataFrame | None = None
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None
+
+    @staticmethod
+    def of(rows: DataFrame, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> "Worked":
+        return Worked(*split(rows), rows, split)
 
 
 def _read(events: DataFrame, batch: int | None) -> DataFrame:
@@ -32,7 +39,12 @@ def enrich(events: DataFrame, bot: str, out_queue: str, transform: Callable[[Dat
     rows = _read(events, batch)
     action, payload = transform(rows)
     made = process.process(rows, action, payload, bot, out_queue, keep=("timestamp", "end"))
-    return Worked(made.where(F.col("action") == process.EMIT).drop("action", "eid", "timestamp", "end"), stats.checkpoint_from_correlations(made))
+    return Worked.of(made, lambda m: (m.where(F.col("action") == process.EMIT).drop("action", "eid", "timestamp", "end"), stats.checkpoint_from_correlations(m)))
+
+
+def warehouse_run(events: DataFrame, bot: str, suffix: str, transform: Callable[[DataFrame], tuple[Column, Column]], batch: int | None = None) -> Worked:
+    """Events processed into the warehouse's queue, dw.load and the suffix: read, process, write, checkpoint."""
+    return enrich(events, bot, f"dw.load{suffix}", transform, batch)
 
 
 def offload(events: DataFrame, bot: str, transform: Callable[[DataFrame], Column], batch: int = 1) -> Worked:
@@ -46,17 +58,19 @@ def offload(events: DataFrame, bot: str, transform: Callable[[DataFrame], Column
         b = batching.merge_batches(batching.number_batches(mapped, batch))
         body = F.concat(F.lit("["), F.array_join(F.transform("events", lambda e: e["payload"]), ","), F.lit("]"))
         rows = b.select("queue", "eid", body.alias("delivery"), "units", "timestamp", "event_source_timestamp", "n")
-    seen = rows.select(F.lit(bot).alias("id"), F.col("queue").alias("source"), F.col("eid").alias("start"), F.lit(None).cast("string").alias("end"), "units", "timestamp", "event_source_timestamp")
-    return Worked(rows.select(F.lit(bot).alias("id"), "queue", "eid", "delivery", F.col("n").alias("records"), "event_source_timestamp"), stats.checkpoint_from_correlations(seen))
+    return Worked.of(rows, lambda r: (r.select(F.lit(bot).alias("id"), "queue", "eid", "delivery", F.col("n").alias("records"), "event_source_timestamp"), stats.checkpoint_from_correlations(_seen(r, bot))))
+
+
+def _seen(events: DataFrame, bot: str) -> DataFrame:
+    return events.select(F.lit(bot).alias("id"), F.col("queue").alias("source"), F.col("eid").alias("start"), F.lit(None).cast("string").alias("end"), "units", "timestamp", "event_source_timestamp")
 
 
 def load_entities(events: DataFrame, bot: str, out_queue: str, ids: Callable[[DataFrame], DataFrame], assemble: Callable[[DataFrame], DataFrame]) -> Worked:
     """Change events to entities: ids(events) gives the distinct root ids that they touch, assemble(ids) the entities as
     (id, payload); each becomes an event of out_queue, and the bot's checkpoint passes all events that were asked. On a stream a
     micro-batch is what is gathered before a load."""
-    made = assemble(ids(events)).select(F.lit(bot).alias("id"), F.lit(out_queue).alias("event"), F.col("id").cast("string").alias("entity"), "payload")
-    seen = events.select(F.lit(bot).alias("id"), F.col("queue").alias("source"), F.col("eid").alias("start"), F.lit(None).cast("string").alias("end"), "units", "timestamp", "event_source_timestamp")
-    return Worked(made, stats.checkpoint_from_correlations(seen))
+    load = lambda e: assemble(ids(e)).select(F.lit(bot).alias("id"), F.lit(out_queue).alias("event"), F.col("id").cast("string").alias("entity"), "payload")
+    return Worked.of(events, lambda e: (load(e), stats.checkpoint_from_correlations(_seen(e, bot))))
 
 
 def latest(checkpoints: DataFrame) -> DataFrame:

@@ -6,11 +6,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.eid import build_eid, eid_millis
-from ..sources.shared import cut
+from .points import first_reached
 
 
 def lookup_join(events: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
@@ -90,27 +90,7 @@ def checkpoint_asof(wanted: DataFrame, stats: DataFrame) -> DataFrame:
     """wanted (bot, queue, eid, bucket; other columns pass; equal rows are one) with found: the first stats bucket (bot,
     queue, bucket, checkpoint) at or after bucket whose checkpoint has reached eid; null if there is none.
 
-    A bot's checkpoints rise from bucket to bucket but where they are forced back, so its stats are cut into rising runs.
-    In a run found is the later of two lookups: the first bucket from bucket on, and the first whose checkpoint has
-    reached eid. Each is an equi-join with a table that has a row for each hour or bucket, not for each event: only such
-    tables are put in order."""
-    by, run = ["bot", "queue"], ["bot", "queue", "run"]
-    order = Window.partitionBy(*by).orderBy("bucket")
-    fell = (F.col("checkpoint") < F.lag("checkpoint").over(order)).cast("int")
-    s = cut(stats.where("checkpoint is not null").select(*by, "bucket", "checkpoint").withColumn("fell", F.coalesce(fell, F.lit(0))).withColumn("run", F.sum("fell").over(order.rowsBetween(Window.unboundedPreceding, 0))))
-    hour = lambda c: F.left(c, F.lit(15))
-    runs = s.groupBy(*run).agg(F.max("bucket").alias("_last"), F.max("checkpoint").alias("_top"))
-    fits = (F.col("_last") >= F.col("bucket")) & (F.col("_top") >= F.col("eid"))
-    asked = wanted.join(F.broadcast(runs), by, "left").withColumn("_h", hour(F.col("eid")))
-    asked = asked.withColumn("run", F.when(fits, F.col("run")))
-    later = Window.partitionBy(*run).orderBy(F.col("_h").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    hours = s.groupBy(*run, hour(F.col("checkpoint")).alias("_h")).agg(F.collect_list(F.struct("checkpoint", "bucket")).alias("_here"), F.min("bucket").alias("_b"))
-    hours = asked.select(*run, "_h").distinct().where("run is not null").join(hours, [*run, "_h"], "full_outer").withColumn("_after", F.min("_b").over(later))
-    on = Window.partitionBy(*run).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    buckets = asked.select(*run, "bucket").distinct().where("run is not null").join(s.select(*run, "bucket", F.col("bucket").alias("_own")), [*run, "bucket"], "full_outer").withColumn("_from", F.min("_own").over(on))
-    both = asked.join(hours.select(*run, "_h", "_here", "_after"), [*run, "_h"], "left").join(buckets.select(*run, "bucket", "_from").distinct(), [*run, "bucket"], "left")
-    reached = F.array_min(F.transform(F.filter("_here", lambda x: x["checkpoint"] >= F.col("eid")), lambda x: x["bucket"]))
-    reached = F.coalesce(F.least(reached, "_after"), reached, "_after")
-    found = F.when(F.col("run").isNotNull() & reached.isNotNull() & F.col("_from").isNotNull(), F.greatest(reached, "_from"))
-    out = both.withColumn("_found", found).groupBy(*wanted.columns).agg(F.min("_found").alias("found"))
-    return out
+    Every question goes to the part of its bot's statistics that may answer it, however often checkpoints were forced back."""
+    rows = stats.select("bot", "queue", F.col("bucket").alias("place"), F.col("checkpoint").alias("top"))
+    asked = wanted.withColumns({"x": F.col("bucket"), "y": F.col("eid")})
+    return first_reached(asked, rows, ["bot", "queue"]).drop("x", "y")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.eid import eid_millis, utc_millis
 from ..functions.refs import ref_id
-from ..sources.shared import cut
+from ..sources.shared import Scratch, cut
 from .joins import checkpoint_asof
+from .points import next_point, same
 from .stats import bucket_label
 
 
@@ -50,22 +51,32 @@ def trace_downstream(roots: DataFrame, reads: DataFrame, writes: DataFrame, hops
     """root, depth, queue, bot, has_processed and lag of the bots downstream of each root (root, queue, eid,
     event_source_timestamp). reads: (bot, queue, checkpoint, source_timestamp); writes: (bot, queue). A bot has processed
     an event that its checkpoint is past; its lag is 0 then, else the time it is behind. Only processed bots are passed,
-    and each queue is visited once for a root. Where hops are given and queues are left after that many, it raises."""
-    now = roots.select("root", "eid", "event_source_timestamp", "queue")
-    seen, out = now.select("root", "queue"), None
+    and each queue is visited once for a root. Where hops are given and queues are left after that many, it raises.
+
+    What a trace meets depends on the root's queue and on which checkpoints are past it, so roots between the same two
+    checkpoints are one class: classes walk the graph, and roots are joined with what theirs has met."""
+    scratch = Scratch(roots.sparkSession)
+    marks = reads.where("checkpoint is not null").select("checkpoint").distinct()
+    past = F.concat("eid", F.lit("\0"))  # a checkpoint at or after this is past the event
+    rows = scratch.cut(next_point(roots.select("root", "eid", "event_source_timestamp", "queue"), past, marks, [], F.col("checkpoint"), F.col("checkpoint"), "mark", scratch))
+    bots = cut(reads.select("bot", "queue", "checkpoint", "source_timestamp"))
+    now = cut(rows.select(F.col("queue").alias("origin"), "mark", "queue").distinct())
+    seen, walked = now, None
     for depth in count():
         if hops is not None and depth >= hops:
             raise ValueError(f"a trace is longer than {hops} hops")
-        at = now.join(reads.select("bot", "queue", "checkpoint", "source_timestamp"), "queue").withColumn("has_processed", F.coalesce(F.col("checkpoint") > F.col("eid"), F.lit(False)))
-        at = cut(at.withColumn("lag", F.when(F.col("has_processed"), F.lit(0).cast("long")).otherwise(F.col("source_timestamp") - F.col("event_source_timestamp"))))
-        part = at.select("root", F.lit(depth).alias("depth"), "queue", "bot", "has_processed", "lag")
-        out = part if out is None else out.unionByName(part)
-        down = at.where("has_processed").select("root", "eid", "event_source_timestamp", "bot").join(writes.select("bot", "queue"), "bot").select("root", "eid", "event_source_timestamp", "queue").distinct()
-        now = cut(down.join(seen, ["root", "queue"], "left_anti"))
+        at = cut(now.join(bots, "queue").withColumn("has_processed", F.coalesce(F.col("checkpoint") >= F.col("mark"), F.lit(False))))
+        part = at.select("origin", "mark", F.lit(depth).alias("depth"), "queue", "bot", "has_processed", "source_timestamp")
+        walked = part if walked is None else walked.unionByName(part)
+        down = at.where("has_processed").select("origin", "mark", "bot").join(writes.select("bot", "queue"), "bot").select("origin", "mark", "queue").distinct()
+        now = cut(same(down, seen.withColumn("_s", F.lit(1)), ["origin", "mark", "queue"], "left").where("_s is null").drop("_s"))
         if now.isEmpty():
             break
-        seen = seen.unionByName(now.select("root", "queue"))
-    return out
+        seen = seen.unionByName(now)
+    starts = rows.select("root", "event_source_timestamp", F.col("queue").alias("origin"), "mark")
+    out = same(starts, walked, ["origin", "mark"])
+    lag = F.when(F.col("has_processed"), F.lit(0).cast("long")).otherwise(F.col("source_timestamp") - F.col("event_source_timestamp"))
+    return out.select("root", "depth", "queue", "bot", "has_processed", lag.alias("lag"))
 
 
 def _asof_time(asked: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:

@@ -76,3 +76,30 @@ def violations(rows: DataFrame, key: str, rules: list[tuple[str, str, str, Colum
             broken = broken & F.coalesce(required[field], F.lit(False))
         made.append(F.when(broken, F.struct(F.lit(field).alias("field"), F.lit(rule).alias("rule"), F.lit(level).alias("level"))))
     return rows.select(key, F.explode(F.array_compact(F.array(*made))).alias("v")).select(key, "v.field", "v.rule", "v.level")
+
+
+def json_type(text: Column, field: str) -> Column:
+    """The type of a JSON text's field as a validator names it: number, string, boolean, object (a list or null too), or
+    undefined where it isn't there."""
+    made = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{field}", "variant"))
+    kinds = F.when(made.startswith("OBJECT") | made.startswith("ARRAY"), "object").when(made == "STRING", "string").when(made == "BOOLEAN", "boolean").when(made == "VOID", "null")
+    return F.when(made.isNull(), "undefined").otherwise(F.coalesce(kinds, F.lit("number")))
+
+
+def present(kind: Column) -> Column:
+    """Holds where a field has a value."""
+    return ~kind.isin("undefined", "null")
+
+
+def of_type(kind: Column, name: str, required: bool = False) -> Column:
+    """Holds for a field of this type; one without a value is asked only where it is required."""
+    return (F.when(kind == "null", "object").otherwise(kind) == name) | (F.lit(not required) & ~present(kind))
+
+
+def not_of_type(kind: Column, name: str) -> Column:
+    return F.when(kind == "null", "object").otherwise(kind) != name
+
+
+def violation_counts(broken: DataFrame) -> DataFrame:
+    """How many rows broke each rule: field, rule, level, n."""
+    return broken.groupBy("field", "rule", "level").agg(F.count(F.lit(1)).alias("n"))

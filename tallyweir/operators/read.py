@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.eid import after, day_bounds
+from ..functions.eid import after, day_bounds, eid_millis
+from ..sources.shared import cut
+from .points import prefix_sums
 
 
 def read_range(events: DataFrame, queue: str | list[str], start: str | None = None, end: str | None = None) -> DataFrame:
@@ -22,22 +24,21 @@ def read_range(events: DataFrame, queue: str | list[str], start: str | None = No
 
 def read_from_checkpoint(events: DataFrame, readers: DataFrame, checkpoints: DataFrame, queues: DataFrame, default_start: str) -> DataFrame:
     """Every event that each reader (bot, queue, start) has yet to read: after its explicit start, else its checkpoint,
-    else default_start, up to the queue's max_eid. Adds reader."""
+    else default_start, up to the queue's max_eid. Adds reader. Readers with nothing to read are left out first, so a table stored by
+    queue and day is read only in the queues of the others, and from the first day that one of them needs."""
     at = readers.join(checkpoints.select("bot", "queue", "checkpoint"), ["bot", "queue"], "left").join(queues, "queue")
     at = at.select(F.col("bot").alias("reader"), "queue", after(F.coalesce("start", "checkpoint", F.lit(default_start))).alias("_from"), "max_eid")
+    at = cut(at).where("_from < max_eid")  # a written table, so that its rows can prune folders at run time
+    if "dt" in events.columns:
+        at = at.withColumn("_day", F.to_date(F.timestamp_millis(eid_millis(F.trim("_from")))))
+        return events.join(at, (events["queue"] == at["queue"]) & (F.col("eid") > F.col("_from")) & (F.col("eid") <= F.col("max_eid")) & (F.col("_day").isNull() | (F.col("dt") >= F.col("_day")))).drop(at["queue"]).drop("_from", "max_eid", "_day")
     return events.join(at, "queue").where("eid > _from and eid <= max_eid").drop("_from", "max_eid")
 
 
 def prefix_sum(events: DataFrame, keys: list[str], value: str, name: str = "before") -> DataFrame:
     """events with the sum of value over the rows of the same keys with a smaller eid, in two phases: sums by hour give
     each hour its offset, and only rows of one hour are ordered together (equal eids by value)."""
-    rows = events.withColumn("_hour", F.left("eid", F.lit(15)))
-    sums = rows.groupBy(*keys, "_hour").agg(F.sum(value).alias("_s"))
-    upto = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, "_hour", F.coalesce(F.sum("_s").over(upto), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(*keys, "_hour").orderBy("eid", value).rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("_local", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return local.join(offsets, [*keys, "_hour"]).withColumn(name, F.col("_local") + F.col("_offset")).drop("_hour", "_local", "_offset")
+    return prefix_sums(events, keys, {value: name}, ["eid"], F.left("eid", F.lit(15)))
 
 
 def read_limit(events: DataFrame, queue: str, limit: int, start: str | None = None) -> DataFrame:

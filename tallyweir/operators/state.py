@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.shared import Scratch, cut
+from .points import BLOCK, chain, next_point, numbered, prefix_sums, same
+
 
 def keyed_upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """target with each key of batch replaced by its last row (by seq), whole."""
@@ -32,6 +35,15 @@ def _grown(kind: StructType, values: dict[tuple[str, ...], Column], at: tuple[st
     return out
 
 
+def newest_leaves(batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """Each key's rows as one: of every field, inside structs too, the newest value that isn't null. seq goes."""
+    kind = StructType([f for f in batch.schema.fields if f.name not in (*keys, seq)])
+    paths = _leaves(kind)
+    leaf = lambda p: F.col(".".join(f"`{x}`" for x in p))
+    new = batch.groupBy(*keys).agg(*(F.max_by(leaf(p), F.when(leaf(p).isNotNull(), F.col(seq))).alias(f"_{k}") for k, p in enumerate(paths)))
+    return new.select(*keys, *_grown(kind, {p: F.col(f"_{k}") for k, p in enumerate(paths)}))
+
+
 def merge_upsert(target: DataFrame, batch: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """target merged with each key's rows in batch, field by field and inside structs at any depth: the newest value
     that isn't null wins. Lists and maps are values. Newest values are taken before the shuffle, leaf by leaf, so a hot key
@@ -58,15 +70,49 @@ def write_once_update(target: DataFrame, updates: DataFrame, keys: list[str], on
     return target.join(new, keys, "full_outer").select(*keys, *(pick(c).alias(c) for c in fields))
 
 
-def advance_checkpoints(stored: DataFrame, proposals: DataFrame) -> DataFrame:
+def advance_checkpoints(stored: DataFrame, proposals: DataFrame, order: str | None = None) -> DataFrame:
     """proposals (bot, direction, queue, expected, eid, force) against stored (bot, direction, queue, checkpoint):
     status applied, or stale where a read expects another checkpoint than the stored one; writes and forced proposals
-    aren't compared, and without a stored one all pass. checkpoint is what holds afterwards; a null eid keeps expected."""
+    aren't compared, and without a stored one all pass. checkpoint is what holds afterwards; a null eid keeps expected.
+
+    With order (a column of proposals, of whose equals the smaller eid comes first) a key may have several proposals, and each
+    meets what those before it have left; order passes then. Without it a key has one."""
+    if order is not None:
+        return _in_turn(stored, proposals, order)
     j = proposals.join(stored.select("bot", "direction", "queue", F.col("checkpoint").alias("_old")), ["bot", "direction", "queue"], "left")
     ok = F.col("_old").isNull() | F.coalesce("force", F.lit(False)) | (F.col("direction") == "write") | F.col("expected").eqNullSafe(F.col("_old"))
     return j.select("bot", "direction", "queue", F.when(ok, "applied").otherwise("stale").alias("status"), F.when(ok, F.coalesce("eid", "expected")).otherwise(F.col("_old")).alias("checkpoint"))
 
 
+def _in_turn(stored: DataFrame, proposals: DataFrame, order: str) -> DataFrame:
+    """Proposals in turn. The one that follows an applied one is known from its own value alone: the first after it that
+    expects this value, or isn't compared. So those that are applied are the chain that begins at what is stored."""
+    keys = ["bot", "direction", "queue"]
+    scratch = Scratch(proposals.sparkSession)
+    value = F.coalesce("eid", "expected")
+    free = F.coalesce("force", F.lit(False)) | (F.col("direction") == "write")
+    new = proposals.select(*keys, F.col(order).alias("_order"), "expected", "eid", value.alias("value"), F.coalesce(free, F.lit(False)).alias("free"), F.lit(1).alias("_new"))
+    old = same(new.select(*keys).distinct(), stored.select(*keys, F.col("checkpoint").alias("value")), keys, "left")
+    kinds = {f.name: f.dataType for f in new.schema.fields}
+    old = old.select(*keys, F.lit(None).cast(kinds["_order"]).alias("_order"), F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("eid"), "value", F.lit(False).alias("free"), F.lit(0).alias("_new"))
+    rows = numbered(old.unionByName(new), keys, ["_new", "_order", "eid", "expected"], scratch)
+    rows = scratch.cut(rows.withColumn("next", F.when(F.col("value").isNull(), F.col("i") + 1)))  # nothing is stored: all pass
+    later = rows.where("_new = 1")
+    asked = next_point(rows, F.col("i") + 1, later.where("free"), keys, F.col("i"), F.col("i"), "_free", scratch)
+    asked = asked.withColumn("_wanted", F.coalesce("value", F.lit("")))
+    expecting = later.where("expected is not null").withColumn("_wanted", F.col("expected"))
+    asked = next_point(asked, F.when(F.col("value").isNotNull(), F.col("i") + 1), expecting, [*keys, "_wanted"], F.col("i"), F.col("i"), "_match", scratch)
+    applied = chain(asked.withColumn("next", F.coalesce("next", F.least("_free", "_match"))), keys, scratch).withColumn("_applied", F.lit(1).cast("long"))
+    rows = same(rows, applied, [*keys, "i"], "left").withColumn("_applied", F.coalesce("_applied", F.lit(0).cast("long")))
+    turns = prefix_sums(rows, keys, {"_applied": "_before"}, ["i"], F.floor(F.col("i") / BLOCK)).withColumn("_turn", F.col("_before") + F.col("_applied"))
+    turns = scratch.cut(turns)
+    held = turns.where("_applied = 1").select(*keys, "_turn", F.col("value").alias("checkpoint"))
+    out = same(turns.where("_new = 1"), held, [*keys, "_turn"], "left")
+    out = cut(out.select(*keys, F.col("_order").alias(order), "eid", F.when(F.col("_applied") == 1, "applied").otherwise("stale").alias("status"), "checkpoint"))
+    scratch.clear()
+    return out
+
+
 def bot_backlog(events: DataFrame, reads: DataFrame) -> DataFrame:
     """Per reading (bot, queue): has_more (the queue is past its checkpoint, or it has none) and the events pending."""
     latest = events.groupBy("queue").agg(F.max("eid").alias("latest"))

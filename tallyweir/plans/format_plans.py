@@ -73,9 +73,16 @@ def explode_chunks(spark, sf):
     return formats.explode_chunks(formats.make_chunks(bus_rows(spark, sf), ["queue", "dt"], 20))
 
 
+def explode_rebased(spark, sf):
+    """Chunks whose lines re-base their ids, and an archive's, whose events keep theirs: every id comes back."""
+    rows = bus_rows(spark, sf)
+    kinds = [formats.explode_chunks(formats.make_chunks(rows, ["queue", "dt"], 20, ids).withColumn("archive", F.lit(ids == "own"))).withColumn("ids", F.lit(ids)) for ids in ("rebased", "own")]
+    return kinds[0].unionByName(kinds[1])
+
+
 def archive_queue(spark, sf):
     path = formats.write_archive(bus_rows(spark, sf).select(*EVENT, "dt"))
-    return spark.read.parquet(path).where("dt >= date'2024-01-10'").select(*EVENT, F.col("dt").cast("string").alias("dt"))
+    return spark.read.schema(", ".join(f"{c} {'long' if c in ('timestamp', 'size') else 'string'}" for c in EVENT) + ", q string, dt date").parquet(path).select(*EVENT, F.col("dt").cast("string").alias("dt"))
 
 
 def queue_manifest(spark, sf):
@@ -100,16 +107,6 @@ def append_queue(spark, sf):
     return spark.read.parquet(path).groupBy("queue", "batch").agg(F.count(F.lit(1)).alias("n"), F.max("eid").alias("last_eid"))
 
 
-def retrying_sink(spark, sf):
-    """A sink that takes at most a third of a queue's rows, and one, in a try: what it holds after all tries."""
-    rows = bus_rows(spark, sf).select("event_id", "queue", "eid", "size")
-    path = new_path(spark, "sink")
-    quota = rows.groupBy("queue").count().agg(F.max("count")).first()[0]
-    formats.write_with_retries(rows, formats.throttled_sink(path, "queue", "eid", (quota or 0) // 3 + 1))
-    held = spark.read.parquet(path)
-    return held.groupBy("queue", F.col("batch").alias("try")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.max("eid").alias("last_eid"), F.sum("size").alias("bytes"))
-
-
 def external_enrich(spark, sf):
     return batching.external(bus_rows(spark, sf).select("eid", "k"), lambda rows: [json.dumps({"sq": r["k"] ** 2}) for r in rows], "answer")
 
@@ -190,7 +187,7 @@ def batch_stream(spark, sf):
     return streams.batch_stream(from_events(streams.stream_table(spark, sf, "events")), 1000)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, project_wildcard, custom_parse, polling_source, explode_chunks, archive_queue, queue_manifest, append_queue, retrying_sink, external_enrich, stream_read, enrich_stream, offload_stream, load_entities_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
+QUERIES = {f.__name__: f for f in (jsonl_source, jsonl_sink, csv_roundtrip, project_payload, project_wildcard, custom_parse, polling_source, explode_chunks, explode_rebased, archive_queue, queue_manifest, append_queue, external_enrich, stream_read, enrich_stream, offload_stream, load_entities_stream, checkpoint_hook, manual_checkpoint, lookup_join_stream, batch_stream)}
 
 _E = ", ".join(EVENT)
 _DOUBLED = sql(", d AS (" + read_plans._SYNC.replace("payload, event_source_timestamp, queue AS source", "payload, timestamp AS event_source_timestamp, queue AS source") + ")")
@@ -205,13 +202,12 @@ SQL = {
     "explode_chunks": sql(""", n AS (SELECT *, (row_number() OVER (PARTITION BY queue, dt ORDER BY eid) - 1) // 20 AS batch FROM rows_),
       c AS (SELECT *, first_value(eid) OVER w AS f, row_number() OVER w - 1 AS p FROM n WINDOW w AS (PARTITION BY queue, dt, batch ORDER BY eid))
       SELECT queue, regexp_extract(f, '^(.*)-', 1) || '-' || right('0000000' || (CAST(regexp_extract(f, '-(\\d+)$', 1) AS BIGINT) + p), 7) AS eid, bot AS id, timestamp, payload FROM c"""),
-    "archive_queue": sql(f"SELECT {_E}, CAST(dt AS VARCHAR) AS dt FROM rows_ WHERE dt >= '2024-01-10'"),
+    "explode_rebased": sql("SELECT ids, queue, eid, bot AS id, timestamp, payload FROM rows_, (VALUES ('rebased'), ('own')) v(ids)"),
+    "archive_queue": sql(f"SELECT {_E}, CAST(dt AS VARCHAR) AS dt FROM rows_"),
     "queue_manifest": sql(""", d AS (SELECT queue, dt, min(eid) AS start, max(eid) AS "end", count(*) AS records, CAST(sum(size) AS BIGINT) AS size, count(*) AS upto, true AS zipped, count(source) AS correlated FROM bus GROUP BY queue, dt),
       b AS (SELECT queue, dt, bot, CAST(sum(units) AS BIGINT) AS units, max(timestamp) AS last FROM bus GROUP BY queue, dt, bot)
       SELECT queue, CAST(dt AS VARCHAR) AS dt, bot, units, last, start, "end", records, size, upto, zipped, correlated FROM b JOIN d USING (queue, dt)"""),
     "append_queue": sql("SELECT queue, CAST(timestamp % 2 AS INTEGER) AS batch, count(*) AS n, max(eid) AS last_eid FROM rows_ GROUP BY 1, 2"),
-    "retrying_sink": sql(""", q AS (SELECT max(n) // 3 + 1 AS quota FROM (SELECT count(*) AS n FROM rows_ GROUP BY queue)), r AS (SELECT *, CAST((row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // quota AS INTEGER) AS try FROM rows_, q)
-      SELECT queue, try, count(*) AS n, count(DISTINCT event_id) AS ids, max(eid) AS last_eid, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY queue, try"""),
     "external_enrich": sql("""SELECT eid, k, '{"sq": ' || k * k || '}' AS answer FROM rows_"""),
     "stream_read": read_plans.SQL["read_range"],
     "enrich_stream": _DOUBLED + """ SELECT 'event' AS kind, id, event AS queue, payload, start AS position, units AS n, event_source_timestamp AS source_timestamp FROM d WHERE action = 'emit'

@@ -95,12 +95,12 @@ def _json():
 
 
 def route_by_size(spark, sf):
-    d = table(spark, sf, "documents").where("text is not null")
+    d = table(spark, sf, "documents")
     return process.route_by_size(d, _json(), 3000).select("doc_id", "json_size", "route")
 
 
 def dead_letter(spark, sf):
-    d = table(spark, sf, "documents").where("text is not null").withColumn("eid", F.col("doc_id"))
+    d = table(spark, sf, "documents").withColumn("eid", F.col("doc_id"))
     out = process.dead_letter(d, _json(), "loader", 3000)
     return out.select("eid", "event", "size", "max_size", "error", F.sha2("preview", 256).alias("preview_sha256"))
 
@@ -214,7 +214,7 @@ _FANNED = """, fanned AS (SELECT 'fan' AS id, 'fanned' AS event, CASE WHEN n > 0
     CASE WHEN pos >= n - 1 THEN eid END AS start, CAST(1 AS BIGINT) AS units, CAST(pos AS BIGINT) AS pos, timestamp, event_source_timestamp
   FROM (SELECT *, k % 4 AS n, unnest(range(greatest(k % 4, 1))) AS pos FROM bus))"""
 _NUMBERED = ", b AS (SELECT *, (row_number() OVER (PARTITION BY queue ORDER BY eid) - 1) // {n} AS batch FROM bus{where})"
-_JSON = "CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang}) AS VARCHAR)"
+_JSON = "regexp_replace(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang}) AS VARCHAR), '\"(doc_id|text|lang)\":null,?', '', 'g')"
 
 SQL = {
     "flagship": sql(f"SELECT queue, max(eid) AS eid, min(eid) AS start_eid, CAST(sum(k) AS BIGINT) AS units, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS started_timestamp, max(timestamp) AS ended_timestamp, min(timestamp) AS first_timestamp FROM bus WHERE queue IN ('view', 'purchase') AND eid > '{START} ' AND eid <= '{END}' GROUP BY queue"),
@@ -235,8 +235,8 @@ SQL = {
     "dw_feed": """SELECT 'dw' AS id, 'dw.load.customer' AS event, 1710000000000 AS timestamp, 1710000000000 AS event_source_timestamp, '{"c":' || c_custkey || '}' AS payload FROM customer""",
     "stamp_eids": """SELECT event_id, queue, strftime(m, 'z/%Y/%m/%d/%H/%M/') || epoch_ms(m) || '-' || right('0000000' || (row_number() OVER (PARTITION BY queue, m ORDER BY event_id) - 1), 7) AS eid
       FROM (SELECT event_id, event_type AS queue, date_trunc('minute', ts) AS m FROM events)""",
-    "route_by_size": f"SELECT doc_id, CAST(strlen(j) AS BIGINT) AS json_size, CASE WHEN strlen(j) > 3000 THEN 'file' ELSE 'inline' END AS route FROM (SELECT doc_id, {_JSON} AS j FROM documents WHERE text IS NOT NULL)",
-    "dead_letter": f"SELECT doc_id AS eid, 'bot.loader.error' AS event, CAST(strlen(j) AS BIGINT) AS size, CAST(9000 AS BIGINT) AS max_size, 'event is too large' AS error, sha256(substring(j, 1, 2000)) AS preview_sha256 FROM (SELECT doc_id, {_JSON} AS j FROM documents WHERE text IS NOT NULL) WHERE strlen(j) > 9000",
+    "route_by_size": f"SELECT doc_id, CAST(strlen(j) AS BIGINT) AS json_size, CASE WHEN strlen(j) > 3000 THEN 'file' ELSE 'inline' END AS route FROM (SELECT doc_id, {_JSON} AS j FROM documents)",
+    "dead_letter": f"SELECT doc_id AS eid, 'bot.loader.error' AS event, CAST(strlen(j) AS BIGINT) AS size, CAST(9000 AS BIGINT) AS max_size, 'event is too large' AS error, sha256(substring(j, 1, 2000)) AS preview_sha256 FROM (SELECT doc_id, {_JSON} AS j FROM documents) WHERE strlen(j) > 9000",
     "route_queues": sql("SELECT event, count(*) AS n, min(eid) AS first_eid, max(eid) AS last_eid FROM (SELECT CASE WHEN value > 20 THEN 'big_' || queue ELSE 'small' END AS event, eid FROM bus) GROUP BY event"),
     "quality_rules": """WITH d AS (SELECT doc_id, text IS NOT NULL AND text <> '' AS has, regexp_matches(text, '[.!?]$') AS ends, lang IN ('en', 'de', 'fr') AS l, regexp_matches(source, '^src1?[0-5]$') AS s, n_chars < 5000 AS n FROM documents)
       SELECT doc_id, 'text' AS field, 'required' AS rule, 'error' AS level FROM d WHERE NOT has UNION ALL SELECT doc_id, 'text', 'match', 'warn' FROM d WHERE has AND NOT coalesce(ends, false)

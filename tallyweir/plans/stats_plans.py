@@ -59,11 +59,11 @@ def hash_partition(spark, sf):
 
 
 def batch_bytes(spark, sf):
-    return batching.fold_batches(bus_rows(spark, sf), ["queue", "dt"], size=100).withColumn("dt", F.col("dt").cast("string"))
+    return batching.limit_batches(bus_rows(spark, sf), size=100)
 
 
 def batch_time(spark, sf):
-    return batching.fold_batches(bus_rows(spark, sf), ["queue", "dt"], count=10, millis=3_600_000).withColumn("dt", F.col("dt").cast("string"))
+    return batching.limit_batches(bus_rows(spark, sf), count=10, millis=3_600_000)
 
 
 def lookup_join(spark, sf):
@@ -125,7 +125,7 @@ def checkpoint_asof(spark, sf):
     """When each bot had passed each event that another bot of its queue has: the hour, and the minute from it on."""
     rows = bus_rows(spark, sf)
     readers = rows.select("bot", "queue").distinct()
-    want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(F.broadcast(readers), "queue").where("bot <> own").drop("own")
+    want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(readers, "queue").where("bot <> own").drop("own")
     hours = joins.checkpoint_asof(want, _bot_stats(rows, "hour"))
     asked = hours.where("found is not null").select("bot", "queue", "eid", F.col("found").alias("hour"), F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00")).alias("bucket"))
     minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1")).select("bot", "queue", "eid", "hour", F.col("found").alias("minute"))
@@ -177,11 +177,12 @@ def trace_path(spark, sf):
 
 def _updates(spark, sf):
     o = table(spark, sf, "orders")
-    return o.select(F.col("o_custkey").alias("c_custkey"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("c_name"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("c_acctbal"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("c_mktsegment"), F.col("o_orderkey").alias("seq"))
+    key = F.col("o_custkey") + F.when(F.col("o_orderkey") % 4 == 0, 1_000_000_000).otherwise(0)  # a quarter are of new customers
+    return o.select(key.alias("c_custkey"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("c_name"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice")).alias("c_acctbal"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("c_mktsegment"), F.col("o_orderkey").alias("seq"))
 
 
 def _customers(spark, sf):
-    return table(spark, sf, "customer").where("c_custkey % 4 > 0").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
 def keyed_upsert(spark, sf):
@@ -226,17 +227,17 @@ def bot_backlog(spark, sf):
 QUERIES = {f.__name__: f for f in (stream_stats, stats_by_bot_queue, chunk_stats, chunk_correlations, range_counts, throughput, bucket_rollup, rolling_hour, reduce_checkpoints, hash_partition, batch_bytes, batch_time, lookup_join, key_fetch, find_ids, build_entities, load_entities, parent_join, correlation_search, checkpoint_asof, lineage_edges, trace_upstream, trace_downstream, trace_path, keyed_upsert, merge_upsert, dedup_latest, write_once_update, io_audit, advance_checkpoints, bot_backlog)}
 
 _STATS = "max(eid) AS eid, min(eid) AS start_eid, CAST(sum(units) AS BIGINT) AS units, min(event_source_timestamp) AS source_timestamp, max(timestamp) AS started_timestamp, max(timestamp) AS ended_timestamp, min(timestamp) AS first_timestamp"
-_FOLD = """, o AS (SELECT queue, dt, eid, size, timestamp, row_number() OVER (PARTITION BY queue, dt ORDER BY eid) AS r FROM rows_)
+_FOLD = """, o AS (SELECT queue, eid, size, timestamp, row_number() OVER (PARTITION BY queue ORDER BY eid) AS r FROM rows_)
 , f AS (SELECT * FROM (WITH RECURSIVE g AS (
-    SELECT queue, dt, eid, r, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, CAST(size AS BIGINT) AS b, timestamp AS first FROM o WHERE r = 1
-    UNION ALL SELECT o.queue, o.dt, o.eid, o.r, CASE WHEN {full} THEN batch + 1 ELSE batch END, CASE WHEN {full} THEN 1 ELSE n + 1 END, CASE WHEN {full} THEN o.size ELSE b + o.size END, CASE WHEN {full} THEN o.timestamp ELSE first END
-    FROM g JOIN o ON g.queue = o.queue AND g.dt = o.dt AND o.r = g.r + 1) SELECT * FROM g))
-SELECT queue, CAST(dt AS VARCHAR) AS dt, eid, batch FROM f"""
+    SELECT queue, eid, r, CAST(0 AS BIGINT) AS batch, CAST(1 AS BIGINT) AS n, CAST(size AS BIGINT) AS b, timestamp AS first FROM o WHERE r = 1
+    UNION ALL SELECT o.queue, o.eid, o.r, CASE WHEN {full} THEN batch + 1 ELSE batch END, CASE WHEN {full} THEN 1 ELSE n + 1 END, CASE WHEN {full} THEN o.size ELSE b + o.size END, CASE WHEN {full} THEN o.timestamp ELSE first END
+    FROM g JOIN o ON g.queue = o.queue AND o.r = g.r + 1) SELECT * FROM g))
+SELECT queue, eid, batch FROM f"""
 _WEEK = "date_trunc('week', ts + INTERVAL 1 DAY) - INTERVAL 1 DAY"
 _IDS = """SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_shipdate < '1996-02-01' UNION SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < -500
   UNION SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 7"""
-_UPD = """u AS (SELECT o_custkey AS c_custkey, 'order ' || o_orderkey AS c_name, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS c_acctbal, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS c_mktsegment, o_orderkey AS seq FROM orders),
-  t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 4 > 0),
+_UPD = """u AS (SELECT o_custkey + CASE WHEN o_orderkey % 4 = 0 THEN 1000000000 ELSE 0 END AS c_custkey, 'order ' || o_orderkey AS c_name, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS c_acctbal, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS c_mktsegment, o_orderkey AS seq FROM orders),
+  t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer),
   last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS r FROM u) WHERE r = 1)"""
 _TRACED = ", e AS (SELECT * REPLACE ('bot_' || (event_id % 7) AS bot) FROM bus)"
 

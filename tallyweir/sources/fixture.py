@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.eid import build_eid, utc_millis
+from .bus import stored_bus
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,15 +23,23 @@ def from_events(events: DataFrame) -> DataFrame:
     )
 
 
+ROW = ["event_id", "user_id", "value", "queue", "bot", "timestamp", "eid", "payload", "size", "units", "dt", "k"]
+
+
 def bus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_events(table(spark, sf_dir, "events"))
+    return bus_events(spark, sf_dir).select(*ROW)
 
 
 def bus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bus_rows with event_source_timestamp and the parent (source, start): the same user's event before; a signup has none."""
+    """The stored bus table of the given events."""
+    return stored_bus(spark, sf_dir, lambda: with_parents(from_events(table(spark, sf_dir, "events"))))
+
+
+def with_parents(rows: DataFrame) -> DataFrame:
+    """rows with event_source_timestamp and the parent (source, start): the same user's event before; a signup has none."""
     w = Window.partitionBy("user_id").orderBy("event_id")
     linked = F.col("queue") != "signup"
-    return bus_rows(spark, sf_dir).withColumns({
+    return rows.withColumns({
         "source": F.when(linked, F.lag("queue").over(w)), "start": F.when(linked, F.lag("eid").over(w)),
         "event_source_timestamp": F.coalesce(F.lag("timestamp").over(w), "timestamp"),
     })

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.eid import build_eid
 from ..operators.batching import number_batches
@@ -58,20 +62,37 @@ def _wild(text: Column, steps: list[str], kind: str) -> Column:
     return F.map_filter(found, lambda _, x: x.isNotNull())
 
 
+def _pruned(paths: list[list[str]]) -> StructType:
+    """A struct with these paths and nothing else, of texts."""
+    out = StructType()
+    for head in dict.fromkeys(p[0] for p in paths):
+        below = [p[1:] for p in paths if p[0] == head and len(p) > 1]
+        out = out.add(head, _pruned(below) if below else StringType())
+    return out
+
+
 def project_payload(events: DataFrame, payload: str, fields: dict[str, str]) -> DataFrame:
     """events with a column for each dotted path: Number (double), Eid or String (text), Raw (unparsed text as
     name_raw), IfString (null for what starts with { or [). A path with a * gives a map of all that it reaches, from the
-    members' names (places in a list) to values; what isn't there is left out."""
+    members' names (places in a list) to values; what isn't there is left out. Plain paths are parsed once, by a schema that has nothing
+    else; two paths that give one name are an error."""
+    name = lambda path, kind: path.replace(".", "_").replace("*", "all") + ("_raw" if kind == "Raw" else "")
+    if len(named := [name(*f) for f in fields.items()]) > len(set(named)):
+        raise ValueError(f"two paths have one name: {sorted(named)}")
+    steps = {path: path.split(".") for path in fields}
+    whole = lambda path: any(steps[path] == other[: len(steps[path])] and path != p for p, other in steps.items())
+    plain = [p for p in fields if "*" not in steps[p] and not whole(p)]
+    private = next(f"_json{k}" for k in range(len(events.columns) + 1) if f"_json{k}" not in events.columns)
+    parsed = events.withColumn(private, F.from_json(payload, _pruned([steps[p] for p in plain]))) if plain else events
     out = {}
     for path, kind in fields.items():
-        name = path.replace(".", "_").replace("*", "all")
-        out[f"{name}_raw" if kind == "Raw" else name] = _wild(F.col(payload), path.split("."), kind)
-    return events.withColumns(out)
+        out[name(path, kind)] = _leaf(reduce(lambda c, x: c.getField(x), steps[path], F.col(private)), kind) if path in plain else _wild(F.col(payload), steps[path], kind)
+    return parsed.withColumns(out).drop(private)
 
 
 def custom_parse(lines: DataFrame, column: str, parser: Callable[[str], dict | None], schema: str) -> DataFrame:
-    """Rows from parser(line) over whole batches; a line for which it gives None is dropped."""
-    names = [x.split()[0] for x in schema.split(",")]
+    """Rows from parser(line) over whole batches; a line for which it gives None is dropped. schema: a DDL string."""
+    names = StructType.fromDDL(schema).names
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -80,36 +101,72 @@ def custom_parse(lines: DataFrame, column: str, parser: Callable[[str], dict | N
     return lines.select(column).mapInPandas(parse, schema)
 
 
-def make_chunks(events: DataFrame, keys: list[str], records: int = 1000) -> DataFrame:
+def make_chunks(events: DataFrame, keys: list[str], records: int = 1000, ids: str = "counted") -> DataFrame:
     """Stored chunks of events: the gzip JSON lines of up to records events of a key in eid order, with start, end,
-    records and size. Events are numbered in two phases, so a hot key is many chunks in many tasks."""
+    records and size. Events are numbered in two phases, so a hot key is many chunks in many tasks.
+
+    ids: counted (from the chunk's start, by line), rebased (a line before each event that doesn't follow from the one before
+    says its id) or own (an archive's: events carry their ids)."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.drop(columns="lines").assign(body=[gzip.compress("".join(x + "\n" for x in lines).encode(), mtime=0) for lines in b["lines"]], size=[sum(len(x.encode()) + 1 for x in lines) for lines in b["lines"]])
 
-    line = F.to_json(F.struct(F.col("bot").alias("id"), "timestamp", "payload"))
+    line = F.to_json(F.struct(*(["eid"] if ids == "own" else []), F.col("bot").alias("id"), "timestamp", "payload"))
     numbered = number_batches(events, records, keys)
     grouped = numbered.groupBy(*keys, "batch").agg(F.sort_array(F.collect_list(F.struct("eid", line.alias("line")))).alias("x"), F.min("eid").alias("start"), F.max("eid").alias("end"), F.count(F.lit(1)).alias("records"))
     fields = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    rows = grouped.select(*keys, "batch", "start", "end", "records", F.transform("x", lambda e: e["line"]).alias("lines"))
+    lines = F.transform("x", lambda e: e["line"])
+    if ids == "rebased":
+        head, number = (lambda e: F.substring_index(e, "-", 1)), (lambda e: F.substring_index(e, "-", -1).cast("long"))
+        follows = lambda e, i: (i == 0) | ((head(e) == head(F.get("x", i - 1)["eid"])) & (number(e) == number(F.get("x", i - 1)["eid"]) + 1))
+        lines = F.flatten(F.transform("x", lambda e, i: F.when(follows(e["eid"], i), F.array(e["line"])).otherwise(F.array(F.concat(F.lit(_REBASE), F.to_json(F.struct(e["eid"].alias("eid")))), e["line"]))))
+    rows = grouped.select(*keys, "batch", "start", "end", "records", lines.alias("lines"))
     return rows.mapInPandas(pack, ", ".join([*(f"{k} {fields[k]}" for k in keys), "batch long, start string, end string, records long, body binary, size long"]))
 
 
-def explode_chunks(chunks: DataFrame) -> DataFrame:
-    """queue, eid, id, timestamp and payload of the events in chunks (queue, start, body): ids are the chunk's first one
-    counted on by line; lines that don't parse are dropped, their places counted."""
+_REBASE = "__cmd:eid__"
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for queue, start, body in zip(b["queue"], b["start"], b["body"], strict=True):
-                yield pd.DataFrame({"queue": queue, "start": start, "lines": [gzip.decompress(body).decode().splitlines()]})
 
-    rows = chunks.select("queue", "start", "body").mapInPandas(lines, "queue string, start string, lines array<string>").select("queue", "start", F.posexplode("lines").alias("pos", "line"))
-    parsed = rows.withColumn("e", F.from_json("line", "id string, timestamp long, payload string")).where("e is not null and e.timestamp is not null")
-    head = F.regexp_extract("start", "^(.*)-\\d+$", 1)
-    number = F.regexp_extract("start", "-(\\d+)$", 1).cast("long") + F.col("pos")
-    return parsed.select("queue", F.concat(head, F.lit("-"), F.right(F.concat(F.lit("0000000"), number.cast("string")), F.lit(7))).alias("eid"), "e.id", "e.timestamp", "e.payload")
+def _chunk_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each line of each chunk (queue, start, body, archive): queue, archive, head and number of the line's id,
+    and the line. A re-basing line changes the head and begins to count anew, and is no row itself."""
+    names = ["queue", "archive", "head", "number", "line"]
+    for batch in batches:
+        queues, starts, bodies, archives = (c.to_pylist() for c in batch.columns)
+        for queue, start, body, archive in zip(queues, starts, bodies, archives, strict=True):
+            head, _, first = (start or "").partition("-")
+            heads, numbers, lines, at, size = [], [], [], int(first or 0), 0
+
+            def rows(queue=queue, archive=archive) -> pa.RecordBatch:
+                n = len(lines)
+                return pa.RecordBatch.from_arrays([pa.array([queue] * n, pa.string()), pa.array([archive] * n, pa.bool_()), pa.array(heads, pa.string()), pa.array(numbers, pa.int64()), pa.array(lines, pa.string())], names=names)
+
+            for raw in gzip.GzipFile(fileobj=io.BytesIO(body)):
+                line = raw.decode().removesuffix("\n")  # a line of JSON may hold other line separators
+                if line.startswith(_REBASE):
+                    head, _, first = json.loads(line[len(_REBASE) :])["eid"].partition("-")
+                    at = int(first or 0)
+                    continue
+                heads.append(head)
+                numbers.append(at)
+                lines.append(line)
+                at, size = at + 1, size + len(line)
+                if size > 8_000_000:
+                    yield rows()
+                    heads, numbers, lines, size = [], [], [], 0
+            yield rows()
+
+
+def explode_chunks(chunks: DataFrame) -> DataFrame:
+    """queue, eid, id, timestamp and payload of the events in chunks (queue, start, body; archive: whether events keep their own
+    ids): other ids are the chunk's first one counted on by line, from the last re-basing line on; lines that don't parse
+    are dropped, their places counted. A chunk is inflated line by line."""
+    archive = F.col("archive") if "archive" in chunks.columns else F.lit(False)
+    rows = chunks.where("body is not null").select("queue", "start", "body", F.coalesce(archive, F.lit(False)).alias("archive")).mapInArrow(_chunk_lines, "queue string, archive boolean, head string, number long, line string")
+    parsed = rows.withColumn("e", F.from_json("line", "eid string, id string, timestamp long, payload string")).where("e is not null and e.timestamp is not null")
+    counted = F.concat("head", F.lit("-"), F.right(F.concat(F.lit("0000000"), F.col("number").cast("string")), F.lit(7)))
+    return parsed.select("queue", F.when(F.col("archive"), F.col("e.eid")).otherwise(counted).alias("eid"), "e.id", "e.timestamp", "e.payload")
 
 
 def write_archive(events: DataFrame, path: str | None = None) -> str:
@@ -140,11 +197,11 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_batch(events: DataFrame, path: str, batch: int, key: Column | None = None, records_per_file: int = 0) -> None:
-    """Append one batch, so that repeating it changes nothing: its own partition is overwritten. key deals the rows to
-    tasks, all rows of a key to one; records_per_file is the most that a file takes (0: no limit)."""
-    rows = events.withColumn("batch", F.lit(batch))
-    rows = rows if key is None else rows.repartition(key)
-    rows.write.partitionBy("batch").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", records_per_file).mode("overwrite").parquet(path)
+    """Append one batch, so that repeating it leaves the rows of the repeat and no others: its own folder is overwritten, and is
+    there for a batch without rows too. key deals the rows to tasks, all rows of a key to one; records_per_file is the
+    most that a file takes (0: no limit)."""
+    rows = events if key is None else events.repartition(key)
+    rows.write.option("maxRecordsPerFile", records_per_file).mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def put_events(spark: SparkSession, rows: list[dict], path: str, bot: str, queue: str, batch: int, now: int | None = None) -> DataFrame:
@@ -247,56 +304,3 @@ class _PollingStream(SimpleDataSourceStreamReader):
 
     def readBetweenOffsets(self, start: dict, end: dict):
         return polled(self.poll, start["position"], end["position"], 2**62, None, self.page)
-
-
-def write_with_retries(rows: DataFrame, emit: Callable[[DataFrame, int], DataFrame], tries: int = 10, delay: float = 0.001, most: float = 1.0) -> int:
-    """Write rows by emit(rows, number of the try) -> rows that failed, again and again only those, with Fibonacci pauses
-    of delay seconds and more up to most. Gives the number of tries; raises when rows are left after all of them. The failed rows are
-    written between tries, so a lost executor repeats one try; emit must take a repeated try of the same number."""
-    pause, following = delay, delay
-    for number in range(tries):
-        rows = cut(emit(rows, number))
-        if rows.isEmpty():
-            return number + 1
-        time.sleep(min(pause, most))
-        pause, following = following, pause + following
-    raise RuntimeError(f"{rows.count()} rows failed after {tries} tries")
-
-
-def throttled_sink(path: str, key: str, order: str, quota: int) -> Callable[[DataFrame, int], DataFrame]:
-    """A table under path that takes at most quota rows of a key in a try, the first in order, and gives the others back."""
-
-    def emit(rows: DataFrame, number: int) -> DataFrame:
-        n = F.row_number().over(Window.partitionBy(key).orderBy(order))
-        numbered = cut(rows.withColumn("_n", n))
-        append_batch(numbered.where(F.col("_n") <= quota).drop("_n"), path, number)
-        return numbered.where(F.col("_n") > quota).drop("_n")
-
-    return emit
-
-
-def retrying_sink(rows: DataFrame, write: Callable[[list[dict]], list[int]], batch: int = 500, tries: int = 10, delay: float = 0.001) -> DataFrame:
-    """Write rows in batches, again and again only those that failed, with Fibonacci pauses: write(rows) -> places of the
-    failed ones. It writes whenever the result is asked for, and again where a task is repeated.
-    One row a partition: written, retried, failed. A row that fails every time is counted, or raises at the reader."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        written = retried = failed = 0
-        for b in batches:
-            records = b.to_dict("records")
-            for i in range(0, len(records), batch):
-                left, pause, following = records[i : i + batch], delay, delay
-                for n in range(tries):
-                    if n:
-                        time.sleep(min(pause, 1.0))
-                        pause, following = following, pause + following
-                    bad = write(left)
-                    written += len(left) - len(bad)
-                    left = [left[k] for k in bad]
-                    if not left:
-                        break
-                    retried += len(left) * (n + 1 < tries)
-                failed += len(left)
-        yield pd.DataFrame({"written": [written], "retried": [retried], "failed": [failed]})
-
-    return rows.mapInPandas(run, "written long, retried long, failed long")

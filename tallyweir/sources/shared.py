@@ -24,6 +24,33 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing will read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Intermediate tables of one operator: cut() writes them; clear() deletes those that its result doesn't read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.paths.append(new_path(self.spark, "cut"))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def clear(self) -> None:
+        while self.paths:
+            remove(self.spark, self.paths.pop())
+
+
 def cut(df: DataFrame) -> DataFrame:
     path = new_path(df.sparkSession, "cut")
     df.write.parquet(path)

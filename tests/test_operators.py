@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweir.functions import eid, hashing, refs
-from tallyweir.operators import batching, bots, joins, lineage, process, read, state, stats
+from tallyweir.operators import batching, bots, joins, lineage, points, process, read, state, stats
 from tallyweir.sources import formats
 from tallyweir.streaming import streams
 from tallyweir.streaming.bots import BotRun, ManualCheckpoint, run_bot
@@ -96,36 +96,46 @@ def test_stream_stats(spark):
     assert (s.units, s.source_timestamp, s.started_timestamp, s.ended_timestamp, s.first_timestamp) == (5, -5, 4000, 4000, 0)
 
 
-def test_fold_carries_over_arrow_batches(spark):
-    """Groups longer than an Arrow batch, several groups in a task, a null key, null sizes and times."""
-    rows = [(q, f"z/{i:04d}", None if i % 11 == 5 else (i * 7) % 13, None if i % 17 == 3 else i * 100) for q, n in (("a", 60), ("b", 1), (None, 40), ("c", 25)) for i in range(n)]
-    e = spark.createDataFrame(rows, "queue string, eid string, size long, timestamp long").repartition(5)
+def folded(rows, count=None, size=None, millis=None):
+    """(queue, eid) -> batch of rows (queue, eid, size, ms), one after the other."""
     want = {}
     for q in {r[0] for r in rows}:
-        batch, n, size = 0, 0, 0
-        for _, eid_, s, _ in sorted((r for r in rows if r[0] == q), key=lambda r: r[1]):
-            if n >= 9 or size >= 40:
-                batch, n, size = batch + 1, 0, 0
-            n, size = n + 1, size + (s or 0)
+        batch, n, b, first = 0, 0, 0, None
+        for _, eid_, s, ms in sorted((r for r in rows if r[0] == q), key=lambda r: (r[1], r[2] or 0)):
+            if n and ((count and n >= count) or (size and b >= size) or (millis and ms - first >= millis)):
+                batch, n, b = batch + 1, 0, 0
+            first = ms if not n else first
+            n, b = n + 1, b + (s or 0)
             want[q, eid_] = batch
-    default = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = batching.fold_batches(e, ["queue"], count=9, size=40).collect()
-        assert batching.fold_batches(e, ["queue"], millis=500).count() == len(rows)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", default)
-    assert {(r.queue, r.eid): r.batch for r in got} == want and len(got) == len(rows)
+    return want
+
+
+@pytest.mark.parametrize("limits", [{"count": 9, "size": 40}, {"size": 30}, {"size": 1000, "millis": 9_000_000}, {"millis": 500}, {"count": 1}, {"size": 10**9}])
+def test_batches_are_those_of_a_fold(spark, limits, monkeypatch):
+    """Over hours, several blocks of a chain, null keys and sizes, sizes of 0, and batches longer than a block."""
+    monkeypatch.setattr(points, "BLOCK", 16)
+    monkeypatch.setattr(batching, "BLOCK", 16)
+    r = random.Random(6)
+    rows = []
+    for q, n in (("a", 160), ("b", 1), (None, 90), ("c", 33)):
+        ms = MS
+        for i in range(n):
+            ms += r.choice([0, 10, 700, 100_000, 4_000_000])
+            rows.append((q, f"z/{time.strftime('%Y/%m/%d/%H/%M', time.gmtime(ms / 1000))}/{ms}-{i:07d}", r.choice([None, 0, 0, 3, 11, 25]), ms))
+    e = spark.createDataFrame([x[:3] for x in rows], "queue string, eid string, size long").repartition(5)
+    got = batching.limit_batches(e, ["queue"], **limits).collect()
+    assert {(x.queue, x.eid): x.batch for x in got} == folded(rows, **limits) and len(got) == len(rows)
 
 
 def test_batches(spark):
     e = events(spark, 7)
     b = batching.merge_batches(batching.number_batches(e, 3)).orderBy("batch").collect()
     assert [(len(x.events), x.units, x.end is None) for x in b] == [(3, 3, False), (3, 3, False), (1, 1, True)]
-    by = [r.batch for r in batching.fold_batches(e, ["queue"], size=150).orderBy("eid").collect()]
+    by = [r.batch for r in batching.limit_batches(e, ["queue"], size=150).orderBy("eid").collect()]
     assert by == [0, 0, 1, 1, 2, 2, 3]
-    assert [r.batch for r in batching.fold_batches(e, ["queue"], millis=2500).orderBy("eid").collect()] == [0, 0, 0, 1, 1, 1, 2]
-    assert [r.batch for r in batching.fold_batches(e, ["queue"], count=2, millis=10**9).orderBy("eid").collect()] == [0, 0, 1, 1, 2, 2, 3]
+    assert [r.batch for r in batching.limit_batches(e, ["queue"], count=2, millis=10**9).orderBy("eid").collect()] == [0, 0, 1, 1, 2, 2, 3]
+    with pytest.raises(ValueError, match="needs a limit"):
+        batching.limit_batches(e)
 
 
 def test_reduce_checkpoints(spark):
@@ -175,11 +185,6 @@ def test_json_lines(spark, tmp_path):
         formats.read_jsonl(spark, str(tmp_path), "a long").collect()
 
 
-def test_retrying_sink_gives_up(spark):
-    out = formats.retrying_sink(spark.range(10).coalesce(1), lambda rows: list(range(len(rows))), tries=3).first()
-    assert (out.written, out.retried, out.failed) == (0, 20, 10)
-
-
 def test_rules_skip_after_required(spark):
     d = spark.createDataFrame([(1, None), (2, "ab")], "k long, x string")
     rules = [("x", "required", "error", F.col("x").isNotNull()), ("x", "match", "warn", F.col("x").rlike("^z"))]
@@ -311,6 +316,9 @@ def test_asof_against_a_scan_also_where_checkpoints_fall(spark):
     got = {(x.bot, x.eid, x.bucket): x.found for x in joins.checkpoint_asof(spark.createDataFrame(wanted, "bot string, queue string, eid string, bucket string"), spark.createDataFrame(rows, "bot string, queue string, bucket string, checkpoint string")).collect()}
     want = {(b, e, k): min((x for o, _, x, c in rows if o == b and x >= k and c >= e), default=None) for b, _, e, k in wanted}
     assert got == want and None in want.values() and len(set(want.values())) > 20
+    asked = spark.createDataFrame(wanted, "bot string, queue string, y string, x string")
+    reached = points.first_reached(asked, spark.createDataFrame(rows, "bot string, queue string, place string, top string"), ["bot", "queue"], salts=2, size=7)
+    assert {(x.bot, x.y, x.x): x.found for x in reached.collect()} == want
 
 
 def test_reads_choose_by_registry(spark):
@@ -337,14 +345,6 @@ def test_byte_budget_edges(spark):
     assert read.read_byte_budget(e, "none", 10).count() == 0
 
 
-def test_retries_stop_with_an_error(spark, tmp_path):
-    rows = spark.range(20).selectExpr("id", "id % 2 as key")
-    assert formats.write_with_retries(rows, formats.throttled_sink(f"{tmp_path}/a", "key", "id", 4)) == 3
-    assert spark.read.parquet(f"{tmp_path}/a").selectExpr("count(*)", "count(distinct id)").first()[:] == (20, 20)
-    with pytest.raises(RuntimeError, match="12 rows failed after 1"):
-        formats.write_with_retries(rows, formats.throttled_sink(f"{tmp_path}/b", "key", "id", 4), tries=1)
-
-
 def test_a_hot_day_is_many_archive_files(spark, tmp_path):
     e = spark.range(4000).selectExpr("'q' as queue", "lpad(id, 6, '0') as eid", "date'2024-01-01' as dt").repartition(3)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one file
