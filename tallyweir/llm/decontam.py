@@ -66,25 +66,32 @@ class Patterns:
         self.items = item_of[starts]
         self.start, self.suffix = starts[new], suffix[new]
 
-    def search(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(first word, pattern) of each place where the words' hashes are a pattern's."""
-        m, n = self.m, len(words)
-        if n < m:
+    def search(self, words: np.ndarray, bounds: list[int]) -> Iterator[tuple[int, int]]:
+        """(first word, pattern) of each place where the words' hashes are a pattern's, in texts whose words lie between
+        bounds. Tables are asked for all texts at once; each text is walked by itself."""
+        m = self.m
+        if len(words) < m:
             return
-        steps = self.shift[(_suffixes(words, self.block) & self.slots).astype(np.int64)].tobytes()
-        ends, at = [], m - 1
-        while at < n:
-            step = steps[at]
-            if not step:
-                ends.append(at)
-                step = 1
-            at += step
-        if not ends:
+        shift = self.shift[(_suffixes(words, self.block) & self.slots).astype(np.int64)]
+        if m == 1:
+            ends = np.flatnonzero(shift == 0)
+        else:
+            steps, found = shift.tobytes(), []
+            for start, n in zip(bounds, bounds[1:], strict=False):
+                at = start + m - 1
+                while at < n:
+                    step = steps[at]
+                    if not step:
+                        found.append(at)
+                        step = 1
+                    at += step
+            ends = np.array(found, dtype=np.int64)
+        if not len(ends):
             return
         wanted = _suffixes(words, self.width)[ends]
         low, high = np.searchsorted(self.suffix, wanted, "left"), np.searchsorted(self.suffix, wanted, "right")
         for k in np.flatnonzero(low < high):
-            at = ends[k] - m + 1
+            at = int(ends[k]) - m + 1
             for p in range(low[k], high[k]):
                 if np.array_equal(words[at : at + m], self.words[self.start[p] : self.start[p] + m]):
                     yield at, p
@@ -113,14 +120,18 @@ class Tables:
         size = np.minimum(count, window)[item_of]
         self.patterns = [Patterns(int(m), words, np.flatnonzero((size == m) & (left >= m)), item_of) for m in np.unique(size)]
 
-    def search(self, words: np.ndarray, place: np.ndarray, data: bytes) -> Iterator[tuple[int, int, list]]:
-        """(first word, word after the last, items) of each occurrence in a text whose words start at place (which ends with
-        its length) in data."""
+    def search(self, words: np.ndarray, place: np.ndarray, bounds: np.ndarray, data: bytes) -> dict[int, list[tuple[int, int, list]]]:
+        """text -> (first word, word after the last, items) of each occurrence in texts whose words, between bounds, start at
+        place in data."""
+        out: dict[int, list] = {}
+        place = np.append(place, len(data))
         for t in self.patterns:
-            for at, p in t.search(words):
-                s = t.start[p]
+            for at, p in t.search(words, bounds.tolist()):
+                s, text = t.start[p], int(np.searchsorted(bounds, at, "right")) - 1
                 if words_of(data[place[at] : place[at + t.m]])[: t.m] == words_of(self.data[self.place[s] : self.place[s + t.m]])[: t.m]:
-                    yield at, at + t.m, [self.ids[k] for k in np.unique(t.items[t.first[p] : t.first[p + 1]])]
+                    first = at - int(bounds[text])
+                    out.setdefault(text, []).append((first, first + t.m, [self.ids[k] for k in np.unique(t.items[t.first[p] : t.first[p + 1]])]))
+        return out
 
 
 _KEPT: dict[str, Tables] = {}
@@ -146,19 +157,15 @@ def _searcher(items, window: int, kind: pa.DataType, names: list[str], hits_only
             for _, data, offsets in text_blocks(batch.column(batch.num_columns - 1)):
                 raw = data.tobytes()
                 hashes, places, bounds = word_hashes(data, offsets, in_word=IN_WORD)
+                hits = tables.search(hashes, places, bounds, raw)
+                n_words += np.diff(bounds).tolist()
                 for k in range(len(bounds) - 1):
-                    a, b = bounds[k], bounds[k + 1]
-                    hit, seen = [], set()
-                    for start, end, which in tables.search(hashes[a:b], np.append(places[a:b], offsets[k + 1]), raw):
-                        hit.append((start, end))
-                        seen.update(which)
-                    merged: list = []
-                    for start, end in sorted(hit):
+                    seen, merged = {x for *_, which in hits.get(k, ()) for x in which}, []
+                    for start, end in sorted((a, b) for a, b, _ in hits.get(k, ())):
                         if merged and start <= merged[-1][1]:
                             merged[-1][1] = max(end, merged[-1][1])
                         else:
                             merged.append([start, end])
-                    n_words.append(int(b - a))
                     spans.append([{"start": x, "end": y} for x, y in merged])
                     found.append(sorted(seen))
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
