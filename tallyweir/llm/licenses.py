@@ -142,8 +142,10 @@ def scan(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, thr
     two = one.select("doc_id", F.flatten("n").alias("lines"), F.transform("n", lambda x: F.flatten(F.flatten(x))).alias("paragraphs"))
     three = two.select("doc_id", F.concat(F.flatten("lines"), F.transform("lines", F.flatten), "paragraphs", F.array(F.flatten("paragraphs"))).alias("u"))
     may = lambda w: (F.size(w) - 1 >= F.lit(least)) & F.arrays_overlap(w, anchored)
+    # the last unit is the whole text: one without any anchor has no unit with one
+    some = three.select("doc_id", F.when(F.arrays_overlap(F.element_at("u", -1), anchored), F.col("u")).otherwise(F.slice("u", 1, 0)).alias("u"))
     # equal units stand side by side once they are sorted by their hash
-    four = three.select("doc_id", F.array_sort(F.transform(F.filter("u", may), lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))).alias("s"))
+    four = some.select("doc_id", F.array_sort(F.transform(F.filter("u", may), lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))).alias("s"))
     new = F.filter("s", lambda x, i: (i == 0) | (x != F.get(F.col("s"), i - 1)))
     five = four.select("doc_id", F.transform(new, lambda x: F.struct(bigrams(x["w"]).alias("b"), F.array_intersect(x["w"], marks).alias("m"))).alias("u"))
     sized = F.filter("u", lambda x: (F.size(x["b"]) > 0) & (F.size(x["b"]) <= most))
