@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.eid import build_eid, eid_millis
-from .points import first_reached
+from ..sources.shared import Scratch, cut
+from .points import first_reached, same
 
 
 def lookup_join(events: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
@@ -57,26 +57,36 @@ def parent_join(events: DataFrame) -> DataFrame:
 
 def correlation_search(points: DataFrame, spans: DataFrame) -> DataFrame:
     """source, x, start, end, found: which spans (source, start, end, eid) hold each point (source, x): start <= x <= end,
-    or start = x where there is no end. Both are dealt by source and hour and swept in order; a task holds the spans that
-    are open where it stands, and time grows with rows and matches, not with their product. Null positions match nothing."""
-    hour = lambda c: F.left(c, F.lit(15))
-    since = lambda c: F.floor(eid_millis(c) / 3_600_000).cast("long")
-    to = F.coalesce("end", "start")
-    hours = F.transform(F.sequence(since(F.col("start")), F.greatest(since(to), since(F.col("start")))), lambda h: build_eid(h * 3_600_000, None, "hour"))
+    or start = x where there is no end. Null positions match nothing.
+
+    Points and spans are dealt by ranges of (source, position) and swept in order in each; a span that is open where a range
+    begins is given to that range too. So a source, or an hour of it, with most of the points is many tasks; a task holds the
+    spans that are open where it stands, and time grows with rows and matches, not with their product."""
+    scratch = Scratch(points.sparkSession)
     none = F.lit(None).cast("string")
-    s = spans.where("start is not null").select("source", F.explode(hours).alias("hour"), F.col("start").alias("at"), F.lit(0).alias("kind"), "start", "end", F.col("eid").alias("found"))
-    p = points.where("x is not null").select("source", hour(F.col("x")).alias("hour"), F.col("x").alias("at"), F.lit(1).alias("kind"), none.alias("start"), none.alias("end"), none.alias("found"))
-    both = s.unionByName(p).repartition("source", "hour").sortWithinPartitions("source", "hour", "at", "kind")
-    return both.mapInArrow(_sweep, "source string, x string, start string, end string, found string")
+    s = spans.where("start is not null").select("source", F.col("start").alias("at"), F.lit(0).alias("kind"), "start", "end", F.col("eid").alias("found"))
+    p = points.where("x is not null").select("source", F.col("x").alias("at"), F.lit(1).alias("kind"), none.alias("start"), none.alias("end"), none.alias("found"))
+    both = s.unionByName(p).withColumn("tie", F.monotonically_increasing_id())
+    dealt = scratch.cut(both.repartitionByRange("source", "at", "kind", "tie").withColumn("range", F.spark_partition_id()))
+    lows = dealt.groupBy("source", "range").agg(F.min("at").alias("low")).groupBy("source").agg(F.collect_list(F.struct("range", "low")).alias("ranges"))
+    to = F.greatest(F.coalesce("end", "start"), F.col("start"))
+    longer = same(dealt.where("kind = 0"), lows, ["source"])
+    longer = longer.withColumn("next", F.explode(F.filter("ranges", lambda r: (r["range"] > F.col("range")) & (r["low"] <= to))))
+    carried = longer.select("source", F.col("next.low").alias("at"), "kind", "start", "end", "found", F.col("next.range").alias("range"))
+    every = dealt.drop("tie").unionByName(carried).select("source", "range", "at", "kind", "start", "end", "found")
+    swept = every.repartition("source", "range").sortWithinPartitions("source", "range", "at", "kind")
+    out = cut(swept.mapInArrow(_sweep, "source string, x string, start string, end string, found string"))
+    scratch.clear()
+    return out
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, opened = None, []
     for batch in batches:
         out = []
-        for source, hour, at, kind, start, end, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (source, hour) != key:
-                key, opened = (source, hour), []
+        for source, part, at, kind, start, end, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (source, part) != key:
+                key, opened = (source, part), []
             if kind == 0:
                 opened.append((start, end, found))
                 continue
@@ -92,5 +102,5 @@ def checkpoint_asof(wanted: DataFrame, stats: DataFrame) -> DataFrame:
 
     Every question goes to the part of its bot's statistics that may answer it, however often checkpoints were forced back."""
     rows = stats.select("bot", "queue", F.col("bucket").alias("place"), F.col("checkpoint").alias("top"))
-    asked = wanted.withColumns({"x": F.col("bucket"), "y": F.col("eid")})
-    return first_reached(asked, rows, ["bot", "queue"]).drop("x", "y")
+    asked = wanted.withColumnsRenamed({"bucket": "x", "eid": "y"})
+    return first_reached(asked, rows, ["bot", "queue"]).withColumnsRenamed({"x": "bucket", "y": "eid"})

@@ -127,7 +127,7 @@ def chain(rows: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
 
 def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int = 16, size: int = 65_536) -> DataFrame:
     """asked (by, x, y and others) with found: the place of the first of rows (by, place, top) in order of place with place >= x
-    and top >= y; null if there is none. Equal rows of asked are one. All three are strings, compared by bytes.
+    and top >= y; null if there is none. Equal rows of asked are one. All are strings without NUL, compared by bytes.
 
     rows are cut into blocks of so many of a key; a question goes to the first block that may hold its answer and, where x is
     inside that one, to the next. A block's rows are held by the task that answers its questions, which pass in Arrow
@@ -139,46 +139,49 @@ def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int =
     may = F.filter("_blocks", lambda b: (b["high"] >= F.col("x")) & (b["top"] >= F.col("y")))
     where = F.when(F.get(may, 0)["low"] < F.col("x"), F.slice(may, 1, 2)).otherwise(F.slice(may, 1, 1))
     asked_at = asked.join(blocks, by, "left").withColumn("_to", F.explode_outer(where)).select(*asked.columns, F.col("_to.block").alias("block"))
-    names = asked.columns
-    q = asked_at.where("block is not null").select(*by, "block", F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), F.struct(*names).alias("row"))
-    r = numbered.select(*by, "block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "place", "top", F.lit(None).cast(asked.schema).alias("row"))
+    names, other = asked.columns, [c for c in asked.columns if c not in (*by, "x", "y")]
+    q = asked_at.where("block is not null").select(*by, "block", F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), *other)
+    r = numbered.select(*by, "block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "place", "top", *(F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in other))
     both = r.unionByName(q).repartition(*by, "block", "salt").sortWithinPartitions(*by, "block", "salt", "kind", "place")
     n = len(by)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, places, tops, rising = None, [], [], True
-        held: tuple | None = None
+        group, places, tops, held = None, [], [], None
         for batch in batches:
-            heads = list(zip(*(batch.column(k).to_pylist() for k in range(n + 2)), strict=True))
-            kinds, place, top = (batch.column(n + 2 + k).to_pylist() for k in range(3))
-            out, at = [], []
-            for k, head in enumerate(heads):
-                if head != group:
+            heads = [batch.column(k) for k in range(n + 2)]
+            codes = np.stack([c.dictionary_encode().indices.fill_null(-1).to_numpy() for c in heads])
+            edges = np.flatnonzero(np.append(True, (codes[:, 1:] != codes[:, :-1]).any(0))) if batch.num_rows else []
+            kinds = batch.column(n + 2).to_numpy()
+            place, top = (batch.column(n + 3 + k).cast(pa.binary()) for k in range(2))
+            out, at = [], np.flatnonzero(kinds)
+            for a, b in zip(edges, [*edges[1:], batch.num_rows], strict=True):
+                if (head := tuple(c[int(a)].as_py() for c in heads)) != group:
                     group, places, tops, held = head, [], [], None
-                if not kinds[k]:
-                    places.append(place[k].encode())
-                    tops.append(top[k].encode())
+                first = int(a + np.searchsorted(kinds[a:b], 1))  # a group's rows come before its questions
+                if first > a:
+                    places += place.slice(a, first - a).to_pylist()
+                    tops += top.slice(a, first - a).to_pylist()
                     held = None
+                if first == b:
                     continue
                 if held is None:
-                    held = (np.array(places, dtype=object), np.array(tops, dtype=object))
-                    rising = all(a <= b for a, b in zip(tops, tops[1:], strict=False))
-                at.append(k)
-                p, t = held
-                if not len(p):
-                    out.append(None)
-                    continue
-                j = int(np.searchsorted(p, place[k].encode()))
+                    t = np.array(tops)
+                    held = np.array(places), t, bool((t[1:] >= t[:-1]).all())
+                p, t, rising = held
+                j = np.searchsorted(p, np.array(place.slice(first, b - first).to_pylist()))
+                want = np.array(top.slice(first, b - first).to_pylist())
                 if rising:
-                    j = max(j, int(np.searchsorted(t, top[k].encode())))
+                    j = np.maximum(j, np.searchsorted(t, want))
                 else:
-                    want = top[k].encode()
-                    while j < len(t) and t[j] < want:
-                        j += 1
-                out.append(p[j].decode() if j < len(p) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(n + 5).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], names=["row", "found"])
-
-    row = f"row {asked.schema.simpleString()}, found string"
-    answered = both.mapInArrow(answer, row).select("row.*", "found")
+                    for k in np.flatnonzero((j < len(t)) & (t[np.minimum(j, len(t) - 1)] < want)):
+                        later = t[j[k] :] >= want[k]
+                        j[k] = j[k] + later.argmax() if later.any() else len(t)
+                out += [places[x] if x < len(places) else None for x in j]
+            kept = [*range(n), *range(n + 3, batch.num_columns)]
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in kept), pa.array(out, pa.binary()).cast(pa.string())], names=[*by, "x", "y", *other, "found"])
+
+    kinds = ", ".join(f"`{c}` {asked.schema[c].dataType.simpleString()}" for c in (*by, "x", "y", *other))
+    answered = both.mapInArrow(answer, f"{kinds}, found string").select(*names, "found")
     none = asked_at.where("block is null").select(*names, F.lit(None).cast("string").alias("found"))
     return answered.unionByName(none).groupBy(*names).agg(F.min("found").alias("found"))

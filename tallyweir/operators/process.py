@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.eid import build_eid
+from ..sources.shared import Scratch
+from .points import numbered
+
 EMIT, ACK, DROP = "emit", "ack", "drop"
 LARGE_BYTES, DEAD_BYTES, PREVIEW = 600_000, 3, 2000
 
@@ -21,6 +25,14 @@ def to_envelope(rows: DataFrame, bot: str, queue: str, now: Column | None = None
     })
 
 
+def assign_eids(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows (queue, ms, ...) with eid: the id of their time, numbered from 0 in order within a queue's millisecond, however many
+    rows that has. Rows of equal order stand anyhow."""
+    scratch = Scratch(rows.sparkSession)
+    out = numbered(rows, ["queue", "ms"], order, scratch)
+    return out.withColumn("eid", build_eid(F.col("ms"), F.col("i"))).drop("i")
+
+
 def process(events: DataFrame, action: Column, payload: Column, bot: str, out_queue: Column | str, keep: tuple[str, ...] = (), **options: Column) -> DataFrame:
     """id, event, payload, event_source_timestamp, source, start, units and action of each event that isn't dropped.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import batching, bots, joins, process, read
 from ..sources import formats
 from ..sources.fixture import bus_events, bus_rows, from_events, sql, table
+from ..sources.sections import _at
 from ..sources.shared import new_path
 from ..streaming import streams
 from ..streaming.bots import ManualCheckpoint, run_bot
@@ -60,13 +61,30 @@ def custom_parse(spark, sf):
 
 
 def polling_source(spark, sf):
-    """Orders polled up to the largest key, in ranges of 20,000 keys, or at most 16 longer ones."""
-    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("position"), "o_custkey", "o_totalprice")
-    first, last = orders.agg(F.min("position"), F.max("position")).first()
-    if last is None:
-        return orders
-    step = max(20_000, -(-(last - first + 1) // 16))
-    return formats.poll_pages(lambda at: orders.where((F.col("position") > at) & (F.col("position") <= at + step)), first - 1, step, last=last)
+    """Orders in a file store outside of Spark, polled page by page by eight readers at once, each over its range of keys."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("position"), F.col("o_custkey").cast("long").alias("o_custkey"), F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    path = new_path(spark, "store")
+    orders.repartitionByRange(8, "position").sortWithinPartitions("position").write.parquet(path)
+
+    class Orders(formats.PollingSource):
+        fields = "position long, o_custkey long, o_totalprice double"
+
+        @classmethod
+        def name(cls):
+            return "polling_orders"
+
+        @staticmethod
+        def poll(after, last, most):
+            import pyarrow.dataset as ds
+
+            fs, root = _at(path)
+            at = ds.field("position")
+            rows = ds.dataset(root, filesystem=fs, format="parquet").to_table(filter=(at > after) & (at <= last)).sort_by("position").slice(0, most)
+            return list(zip(*(c.to_pylist() for c in rows.columns), strict=True))
+
+    spark.dataSource.register(Orders)
+    last = orders.agg(F.max("position")).first()[0]
+    return spark.read.format("polling_orders").option("last", last or 0).option("ranges", 8).option("page", 20_000).load()
 
 
 def explode_chunks(spark, sf):
@@ -114,7 +132,7 @@ def external_enrich(spark, sf):
 def stream_read(spark, sf):
     """The range read over a stream, with everything there is read in batches."""
     step = lambda b: read.read_range(from_events(b), "view", read_plans.START, read_plans.END).select(*EVENT)
-    return streams.run_batches(streams.stream_table(spark, sf, "events"), step)
+    return streams.run_batches(_dealt(spark, sf), step)
 
 
 def _own_time(events):
@@ -180,7 +198,7 @@ def manual_checkpoint(spark, sf):
 def lookup_join_stream(spark, sf):
     dim = table(spark, sf, "customer")
     step = lambda b: joins.lookup_join(b, dim, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey", F.col("joined_data.c_name").alias("c_name"), F.col("joined_data.c_acctbal").alias("c_acctbal"))
-    return streams.run_batches(streams.stream_table(spark, sf, "orders"), step)
+    return streams.run_batches(streams.deal(table(spark, sf, "orders")), step)
 
 
 def batch_stream(spark, sf):

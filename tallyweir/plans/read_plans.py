@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import refs
-from ..functions.eid import build_eid, utc_millis
+from ..functions.eid import utc_millis
 from ..operators import batching, bots, process, read, stats
 from ..sources.fixture import bus_events, bus_rows, checkpoints, sql, table
 
@@ -83,11 +83,8 @@ def dw_feed(spark, sf):
 
 
 def stamp_eids(spark, sf):
-    from pyspark.sql import Window
-
     rows = table(spark, sf, "events").select("event_id", F.col("event_type").alias("queue"), stats.bucket_start(utc_millis(F.col("ts")), "minute_1").alias("ms"))
-    n = F.row_number().over(Window.partitionBy("queue", "ms").orderBy("event_id")) - 1
-    return rows.select("event_id", "queue", build_eid(F.col("ms"), n).alias("eid"))
+    return process.assign_eids(rows, ["event_id"]).select("event_id", "queue", "eid")
 
 
 def _json():
