@@ -125,7 +125,7 @@ def chain(rows: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
     return scratch.cut(with_entry.groupBy(*keys, "block").applyInArrow(marked, f"{kinds}{comma}i long"))
 
 
-def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int = 16, size: int = 65_536) -> DataFrame:
+def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int = 4, size: int = 16_384) -> DataFrame:
     """asked (by, x, y and others) with found: the place of the first of rows (by, place, top) in order of place with place >= x
     and top >= y; null if there is none. Equal rows of asked are one. All are strings without NUL, compared by bytes.
 

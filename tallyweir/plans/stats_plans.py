@@ -8,6 +8,7 @@ from ..functions.eid import build_eid
 from ..functions.hashing import partition_of
 from ..operators import batching, joins, lineage, state, stats
 from ..sources.fixture import bus_events, bus_rows, checkpoints, sql, table
+from ..sources.shared import cut
 
 QUEUES = ["click", "error", "purchase", "signup", "view"]
 
@@ -128,7 +129,7 @@ def checkpoint_asof(spark, sf):
     rows = bus_rows(spark, sf)
     readers = rows.select("bot", "queue").distinct()
     want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(readers, "queue").where("bot <> own").drop("own")
-    hours = joins.checkpoint_asof(want, _bot_stats(rows, "hour"))
+    hours = cut(joins.checkpoint_asof(want, _bot_stats(rows, "hour")))
     asked = hours.where("found is not null").select("bot", "queue", "eid", F.col("found").alias("hour"), F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00")).alias("bucket"))
     minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1")).select("bot", "queue", "eid", "hour", F.col("found").alias("minute"))
     return hours.join(minutes, ["bot", "queue", "eid"], "left").select("bot", "queue", "eid", "bucket", "hour", "minute")
