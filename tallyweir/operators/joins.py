@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import Scratch, cut
-from .points import first_reached, same
+from .points import first_reached, in_blocks, same
 
 
 def lookup_join(events: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
@@ -96,11 +96,17 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["source", "x", "start", "end", "found"])
 
 
+def checkpoint_blocks(stats: DataFrame) -> DataFrame:
+    """Statistics (bot, queue, bucket, checkpoint) as checkpoint_asof searches them, written: for those that are asked more than once."""
+    return in_blocks(stats.select("bot", "queue", F.col("bucket").alias("place"), F.col("checkpoint").alias("top")), ["bot", "queue"])
+
+
 def checkpoint_asof(wanted: DataFrame, stats: DataFrame) -> DataFrame:
     """wanted (bot, queue, eid, bucket; other columns pass; equal rows are one) with found: the first stats bucket (bot,
-    queue, bucket, checkpoint) at or after bucket whose checkpoint has reached eid; null if there is none.
+    queue, bucket, checkpoint; or its checkpoint_blocks) at or after bucket whose checkpoint has reached eid; null if there is none,
+    or eid or bucket is null.
 
     Every question goes to the part of its bot's statistics that may answer it, however often checkpoints were forced back."""
-    rows = stats.select("bot", "queue", F.col("bucket").alias("place"), F.col("checkpoint").alias("top"))
+    rows = stats if "block" in stats.columns else checkpoint_blocks(stats)
     asked = wanted.withColumnsRenamed({"bucket": "x", "eid": "y"})
     return first_reached(asked, rows, ["bot", "queue"]).withColumnsRenamed({"x": "bucket", "y": "eid"})

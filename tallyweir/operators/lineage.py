@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.eid import eid_millis, utc_millis
 from ..functions.refs import ref_id
 from ..sources.shared import Scratch, cut
-from .joins import checkpoint_asof
+from .joins import checkpoint_asof, checkpoint_blocks
 from .points import next_point, same
 from .stats import bucket_label
 
@@ -95,6 +95,7 @@ def trace_path(roots: DataFrame, events: DataFrame, stats: dict[str, DataFrame],
     source, start, end; stats: hour and minute_1 tables of (bot, queue, bucket, checkpoint). A hop that finds nothing ends
     its root's path. All roots go one hop at a time, joined by queue and minute."""
     now = roots.select("root", "queue", "eid", "timestamp")
+    stats = {grain: checkpoint_blocks(rows) for grain, rows in stats.items()}
     out = None
     for hop, (bot, queue) in enumerate(hops, 1):
         asked = _asof_time(now.withColumn("bot", F.lit(bot)), stats)

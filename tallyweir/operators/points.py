@@ -3,14 +3,14 @@ passes."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import Scratch
+from ..sources.shared import Scratch, cut
 
 #: Rows of a chain that one group of a task follows.
 BLOCK = 16_384
@@ -125,22 +125,50 @@ def chain(rows: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
     return scratch.cut(with_entry.groupBy(*keys, "block").applyInArrow(marked, f"{kinds}{comma}i long"))
 
 
+def _reach(tops: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """search(begin, want): for each question the first index from begin on whose top is at least want, or len(tops). Maxima of
+    runs of 1, 2, 4, ... tops are kept, so a question takes so many steps as their number has binary digits, in any order of tops."""
+    values, ranks = np.unique(tops, return_inverse=True)
+    levels = [ranks.astype(np.int64)]
+    while 2 ** len(levels) <= len(tops):
+        below, half = levels[-1], 2 ** (len(levels) - 1)
+        levels.append(np.maximum(below[:-half], below[half:]))
+
+    def search(begin: np.ndarray, want: np.ndarray) -> np.ndarray:
+        at, rank = begin.astype(np.int64), np.searchsorted(values, want)
+        for k in range(len(levels) - 1, -1, -1):
+            runs = levels[k]
+            at = at + 2**k * ((at < len(runs)) & (runs[np.minimum(at, len(runs) - 1)] < rank))
+        return at
+
+    return search
+
+
+def in_blocks(rows: DataFrame, by: list[str], size: int = 16_384) -> DataFrame:
+    """by, place, top and block of rows without a null place or top, written: they are dealt by ranges of (by, place), and a range
+    is cut into blocks of at most so many of a key. Searches that ask the same rows share them."""
+    dealt = rows.where("place is not null and top is not null").select(*by, "place", "top").repartitionByRange(*by, "place")
+    within = F.row_number().over(Window.partitionBy(*by, "_range").orderBy("place", "top")) - 1
+    dealt = cut(dealt.withColumn("_range", F.spark_partition_id()))
+    return dealt.withColumn("block", F.col("_range") * F.lit(2**32) + F.floor(within / size)).drop("_range")
+
+
 def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int = 4, size: int = 16_384) -> DataFrame:
     """asked (by, x, y and others) with found: the place of the first of rows (by, place, top) in order of place with place >= x
-    and top >= y; null if there is none. Equal rows of asked are one. All are strings without NUL, compared by bytes.
+    and top >= y; null if there is none, or x or y is null. Equal rows of asked are one. All are strings without NUL, compared by bytes.
 
-    rows are cut into blocks of so many of a key; a question goes to the first block that may hold its answer and, where x is
+    rows are in blocks, or made so (in_blocks); a question goes to the first block that may hold its answer and, where x is
     inside that one, to the next. A block's rows are held by the task that answers its questions, which pass in Arrow
-    batches, dealt over salts; tops that fall are searched one by one, others by halving."""
-    order = Window.partitionBy(*by).orderBy("place")
-    numbered = rows.where("place is not null and top is not null").select(*by, "place", "top").withColumn("block", F.floor((F.row_number().over(order) - 1) / size))
+    batches, dealt over salts."""
+    numbered = rows if "block" in rows.columns else in_blocks(rows, by, size)
     blocks = numbered.groupBy(*by, "block").agg(F.min("place").alias("low"), F.max("place").alias("high"), F.max("top").alias("top"))
     blocks = blocks.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("block", "low", "high", "top"))).alias("_blocks"))
     may = F.filter("_blocks", lambda b: (b["high"] >= F.col("x")) & (b["top"] >= F.col("y")))
-    where = F.when(F.get(may, 0)["low"] < F.col("x"), F.slice(may, 1, 2)).otherwise(F.slice(may, 1, 1))
-    asked_at = asked.join(blocks, by, "left").withColumn("_to", F.explode_outer(where)).select(*asked.columns, F.col("_to.block").alias("block"))
+    where = F.transform(F.when(F.get(may, 0)["low"] < F.col("x"), F.slice(may, 1, 2)).otherwise(F.slice(may, 1, 1)), lambda b: b["block"])
     names, other = asked.columns, [c for c in asked.columns if c not in (*by, "x", "y")]
-    q = asked_at.where("block is not null").select(*by, "block", F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), *other)
+    salt = F.pmod(F.xxhash64(*names), F.when(F.col("block").isNull(), 1024).otherwise(salts)).cast("int")  # unanswered ones meet no rows
+    q = asked.join(blocks, by, "left").withColumn("block", F.explode_outer(where))
+    q = q.select(*by, "block", salt.alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), *other)
     r = numbered.select(*by, "block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "place", "top", *(F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in other))
     both = r.unionByName(q).repartition(*by, "block", "salt").sortWithinPartitions(*by, "block", "salt", "kind", "place")
     n = len(by)
@@ -162,26 +190,17 @@ def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int =
                     places += place.slice(a, first - a).to_pylist()
                     tops += top.slice(a, first - a).to_pylist()
                     held = None
-                if first == b:
-                    continue
-                if held is None:
-                    t = np.array(tops)
-                    held = np.array(places), t, bool((t[1:] >= t[:-1]).all())
-                p, t, rising = held
-                j = np.searchsorted(p, np.array(place.slice(first, b - first).to_pylist()))
-                want = np.array(top.slice(first, b - first).to_pylist())
-                if rising:
-                    j = np.maximum(j, np.searchsorted(t, want))
-                else:
-                    for k in np.flatnonzero((j < len(t)) & (t[np.minimum(j, len(t) - 1)] < want)):
-                        later = t[j[k] :] >= want[k]
-                        j[k] = j[k] + later.argmax() if later.any() else len(t)
-                out += [places[x] if x < len(places) else None for x in j]
+                if head[n] is None:  # no block holds an answer
+                    out += [None] * (b - first)
+                elif first < b:
+                    held = held or (np.array(places), _reach(np.array(tops)))
+                    begin = np.searchsorted(held[0], np.array(place.slice(first, b - first).to_pylist()))
+                    found = held[1](begin, np.array(top.slice(first, b - first).to_pylist()))
+                    out += [places[k] if k < len(places) else None for k in found]
             kept = [*range(n), *range(n + 3, batch.num_columns)]
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in kept), pa.array(out, pa.binary()).cast(pa.string())], names=[*by, "x", "y", *other, "found"])
 
     kinds = ", ".join(f"`{c}` {asked.schema[c].dataType.simpleString()}" for c in (*by, "x", "y", *other))
-    answered = both.mapInArrow(answer, f"{kinds}, found string").select(*names, "found")
-    none = asked_at.where("block is null").select(*names, F.lit(None).cast("string").alias("found"))
-    return answered.unionByName(none).groupBy(*names).agg(F.min("found").alias("found"))
+    answered = both.mapInArrow(answer, f"{kinds}, found string")
+    return answered.groupBy(*names).agg(F.min("found").alias("found"))

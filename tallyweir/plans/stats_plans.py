@@ -129,10 +129,10 @@ def checkpoint_asof(spark, sf):
     rows = bus_rows(spark, sf)
     readers = rows.select("bot", "queue").distinct()
     want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(readers, "queue").where("bot <> own").drop("own")
-    hours = cut(joins.checkpoint_asof(want, _bot_stats(rows, "hour")))
-    asked = hours.where("found is not null").select("bot", "queue", "eid", F.col("found").alias("hour"), F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00")).alias("bucket"))
-    minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1")).select("bot", "queue", "eid", "hour", F.col("found").alias("minute"))
-    return hours.join(minutes, ["bot", "queue", "eid"], "left").select("bot", "queue", "eid", "bucket", "hour", "minute")
+    hours = joins.checkpoint_asof(want, _bot_stats(rows, "hour")).withColumnsRenamed({"bucket": "from", "found": "hour"})
+    asked = hours.withColumn("bucket", F.concat(F.lit("minute_"), F.substr("hour", F.lit(6)), F.lit(":00")))  # null where there is no hour
+    minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1"))
+    return minutes.select("bot", "queue", "eid", F.col("from").alias("bucket"), "hour", F.col("found").alias("minute"))
 
 
 def _traced(spark, sf):
@@ -166,7 +166,7 @@ def _worked(spark, sf):
     rows = bus_rows(spark, sf).select("queue", "eid", "timestamp", "event_id", (F.col("user_id") % 5).alias("part"))
     minute = stats.bucket_start(F.col("timestamp"), "minute_1")
     batch = lambda events, name, *by: events.groupBy(*by, minute.alias("m")).agg(F.max("timestamp").alias("timestamp"), F.min("timestamp").alias("event_source_timestamp"), F.min("eid").alias("start"), F.max("eid").alias("last"), F.count(F.lit(1)).alias("n"), F.max("event_id").alias("event_id")).withColumns({"eid": build_eid(F.col("timestamp"), F.col("event_id")), "end": F.when(F.col("n") > 1, F.col("last"))}).select(F.lit(name).alias("queue"), "eid", "timestamp", "event_source_timestamp", *(F.col(c).alias("source") for c in ("queue",)), "start", "end", "event_id")
-    one = batch(rows, "stage_1", "queue", "part")
+    one = cut(batch(rows, "stage_1", "queue", "part"))
     two = batch(one, "stage_2", "queue")
     read = rows.select(F.lit("reader").alias("bot"), "queue", "eid", "timestamp").unionByName(one.select(F.lit("joiner").alias("bot"), "queue", "eid", "timestamp"))
     return rows, one.unionByName(two), {g: _bot_stats(read, g) for g in ("hour", "minute_1")}

@@ -4,6 +4,7 @@ import inspect
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,6 +322,34 @@ def test_asof_against_a_scan_also_where_checkpoints_fall(spark):
     assert {(x.bot, x.y, x.x): x.found for x in reached.collect()} == want
 
 
+def test_reach_against_a_scan():
+    r = random.Random(5)
+    for n in (1, 2, 3, 7, 64, 100):
+        tops = np.array([b"%03d" % r.randrange(120) for _ in range(n)])
+        begin, want = np.array([r.randrange(n + 1) for _ in range(300)]), np.array([b"%03d" % r.randrange(125) for _ in range(300)])
+        scan = [next((k for k in range(b, n) if tops[k] >= w), n) for b, w in zip(begin, want, strict=True)]
+        assert points._reach(tops)(begin, want).tolist() == scan
+
+
+def test_asof_of_a_bot_that_is_rewound_a_thousand_times(spark):
+    r = random.Random(6)
+    rows, mark = [], 0
+    for m in range(6000):
+        mark = mark - 40 if m % 6 == 5 else mark + r.randrange(24) if m < 5000 or m > 5400 else mark  # it stands still for a while
+        rows.append(("b", "q", f"{m:06d}", f"{max(mark, 0):06d}"))
+    rows += [(None, "q", "000001", "000009"), ("b", "q", None, "999999"), ("b", "q", "000003", None), *rows[10:20]]
+    wanted = [("b", "q", f"{r.randrange(18000):06d}", f"{r.randrange(6200):06d}") for _ in range(400)]
+    wanted += [("b", "q", None, "000000"), ("b", "q", "000000", None), (None, "q", "000001", "000000"), ("c", "q", "000001", "000000"), wanted[0]]
+    schema = "bot string, queue string, {} string, {} string"
+    asked, told = spark.createDataFrame(wanted, schema.format("eid", "bucket")), joins.checkpoint_blocks(spark.createDataFrame(rows, schema.format("bucket", "checkpoint")))
+    got = joins.checkpoint_asof(asked, told).collect()
+    scan = lambda b, e, k: min((x for o, _, x, c in rows if b and o == b and x and c and e and k and x >= k and c >= e), default=None)
+    assert {(x.bot, x.eid, x.bucket): x.found for x in got} == {(b, e, k): scan(b, e, k) for b, _, e, k in wanted}
+    assert len(got) == len(set(wanted)) and sum(x.found is None for x in got) < 300
+    few = points.first_reached(asked.withColumnsRenamed({"eid": "y", "bucket": "x"}), told.drop("block"), ["bot", "queue"], salts=3, size=50)
+    assert {(x.bot, x.y, x.x): x.found for x in few.collect()} == {(x.bot, x.eid, x.bucket): x.found for x in got}
+
+
 def test_reads_choose_by_registry(spark):
     row = lambda q, n: (q, f"z/2024/01/0{n}/00/00/{n}", n)
     e = spark.createDataFrame([row("q", n) for n in range(3, 7)] + [row("q/_snapshot", n) for n in (1, 2)] + [row("q/_archive", n) for n in (1, 2, 3)], "queue string, eid string, n int")
