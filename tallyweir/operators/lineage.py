@@ -79,10 +79,10 @@ def trace_downstream(roots: DataFrame, reads: DataFrame, writes: DataFrame, hops
     return out.select("root", "depth", "queue", "bot", "has_processed", lag.alias("lag"))
 
 
-def _asof_time(asked: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
+def _asof_time(asked: DataFrame, stats: dict[str, DataFrame], scratch: Scratch) -> DataFrame:
     """asked (bot, queue, eid, timestamp, ...) with begin: when the bot had read past eid, by the first hour from timestamp's
     on, and the first minute from that hour on, whose checkpoint has reached it; not before timestamp. Null if never."""
-    hour = checkpoint_asof(asked.withColumn("bucket", bucket_label(F.col("timestamp"), "hour")), stats["hour"]).where("found is not null")
+    hour = scratch.cut(checkpoint_asof(asked.withColumn("bucket", bucket_label(F.col("timestamp"), "hour")), stats["hour"]).where("found is not null"))
     minute = checkpoint_asof(hour.withColumn("bucket", F.concat(F.lit("minute_"), F.substr("found", F.lit(6)), F.lit(":00"))).drop("found"), stats["minute_1"]).where("found is not null")
     at = utc_millis(F.concat(F.substr("found", F.lit(8)), F.lit(":00")).cast("timestamp_ntz"))
     return minute.withColumn("begin", F.greatest(at, F.col("timestamp"))).drop("bucket", "found")
@@ -95,10 +95,10 @@ def trace_path(roots: DataFrame, events: DataFrame, stats: dict[str, DataFrame],
     source, start, end; stats: hour and minute_1 tables of (bot, queue, bucket, checkpoint). A hop that finds nothing ends
     its root's path. All roots go one hop at a time, joined by queue and minute."""
     now = roots.select("root", "queue", "eid", "timestamp")
-    stats = {grain: checkpoint_blocks(rows) for grain, rows in stats.items()}
+    scratch, stats = Scratch(roots.sparkSession), {grain: checkpoint_blocks(rows) for grain, rows in stats.items()}
     out = None
     for hop, (bot, queue) in enumerate(hops, 1):
-        asked = _asof_time(now.withColumn("bot", F.lit(bot)), stats)
+        asked = _asof_time(now.withColumn("bot", F.lit(bot)), stats, scratch)
         first = asked.withColumn("begin", F.col("begin") - F.pmod("begin", F.lit(1000)))
         minute = lambda ms: F.floor(ms / 60_000)
         points = first.select("root", F.col("queue").alias("source"), F.col("eid").alias("x"), "begin", F.explode(F.array_distinct(F.array(minute(F.col("begin")), minute(F.col("begin") + 60_000)))).alias("_m"))
@@ -107,6 +107,7 @@ def trace_path(roots: DataFrame, events: DataFrame, stats: dict[str, DataFrame],
         found = points.join(made, ["source", "_m"]).where(holds & F.col("at").between(F.col("begin"), F.col("begin") + 60_000))
         found = found.groupBy("root").agg(F.min(F.struct("eid", "timestamp", "event_source_timestamp")).alias("e"))
         now = cut(found.select("root", F.lit(queue).alias("queue"), "e.eid", "e.timestamp", (F.col("e.timestamp") - F.col("e.event_source_timestamp")).alias("lag")))
+        scratch.clear()
         part = now.select("root", F.lit(hop).alias("hop"), F.lit(bot).alias("bot"), "queue", "eid", "lag")
         out = part if out is None else out.unionByName(part)
     return out

@@ -153,23 +153,27 @@ def in_blocks(rows: DataFrame, by: list[str], size: int = 16_384) -> DataFrame:
     return dealt.withColumn("block", F.col("_range") * F.lit(2**32) + F.floor(within / size)).drop("_range")
 
 
-def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], salts: int = 4, size: int = 16_384) -> DataFrame:
+def first_reached(asked: DataFrame, rows: DataFrame, by: list[str], share: int = 1_000_000, size: int = 16_384) -> DataFrame:
     """asked (by, x, y and others) with found: the place of the first of rows (by, place, top) in order of place with place >= x
     and top >= y; null if there is none, or x or y is null. Equal rows of asked are one. All are strings without NUL, compared by bytes.
 
     rows are in blocks, or made so (in_blocks); a question goes to the first block that may hold its answer and, where x is
     inside that one, to the next. A block's rows are held by the task that answers its questions, which pass in Arrow
-    batches, dealt over salts."""
+    batches; a block that is asked more than share questions is copied, one copy for so many of them. asked is read twice, first to
+    count these."""
     numbered = rows if "block" in rows.columns else in_blocks(rows, by, size)
     blocks = numbered.groupBy(*by, "block").agg(F.min("place").alias("low"), F.max("place").alias("high"), F.max("top").alias("top"))
     blocks = blocks.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("block", "low", "high", "top"))).alias("_blocks"))
     may = F.filter("_blocks", lambda b: (b["high"] >= F.col("x")) & (b["top"] >= F.col("y")))
     where = F.transform(F.when(F.get(may, 0)["low"] < F.col("x"), F.slice(may, 1, 2)).otherwise(F.slice(may, 1, 1)), lambda b: b["block"])
     names, other = asked.columns, [c for c in asked.columns if c not in (*by, "x", "y")]
-    salt = F.pmod(F.xxhash64(*names), F.when(F.col("block").isNull(), 1024).otherwise(salts)).cast("int")  # unanswered ones meet no rows
-    q = asked.join(blocks, by, "left").withColumn("block", F.explode_outer(where))
-    q = q.select(*by, "block", salt.alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), *other)
-    r = numbered.select(*by, "block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "place", "top", *(F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in other))
+    at = asked.join(blocks, by, "left").withColumn("block", F.explode_outer(where)).drop("_blocks")
+    hot = at.where("block is not null").groupBy(*by, "block").agg(F.ceil(F.count(F.lit(1)) / share).alias("_copies")).where("_copies > 1")
+    copies = F.when(F.col("block").isNull(), 1024).otherwise(F.coalesce("_copies", F.lit(1)))  # without a block a question meets no rows
+    salt = F.pmod(F.xxhash64(*names), copies).cast("int")
+    q = at.join(hot, [*by, "block"], "left").select(*by, "block", salt.alias("salt"), F.lit(1).alias("kind"), F.col("x").alias("place"), F.col("y").alias("top"), *other)
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)).cast("int") - 1))
+    r = numbered.join(hot, [*by, "block"], "left").select(*by, "block", each.alias("salt"), F.lit(0).alias("kind"), "place", "top", *(F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in other))
     both = r.unionByName(q).repartition(*by, "block", "salt").sortWithinPartitions(*by, "block", "salt", "kind", "place")
     n = len(by)
 

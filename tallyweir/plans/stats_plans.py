@@ -129,7 +129,7 @@ def checkpoint_asof(spark, sf):
     rows = bus_rows(spark, sf)
     readers = rows.select("bot", "queue").distinct()
     want = rows.select(F.col("bot").alias("own"), "queue", "eid", stats.bucket_label(F.col("timestamp"), "hour").alias("bucket")).join(readers, "queue").where("bot <> own").drop("own")
-    hours = joins.checkpoint_asof(want, _bot_stats(rows, "hour")).withColumnsRenamed({"bucket": "from", "found": "hour"})
+    hours = cut(joins.checkpoint_asof(want, _bot_stats(rows, "hour"))).withColumnsRenamed({"bucket": "from", "found": "hour"})
     asked = hours.withColumn("bucket", F.concat(F.lit("minute_"), F.substr("hour", F.lit(6)), F.lit(":00")))  # null where there is no hour
     minutes = joins.checkpoint_asof(asked, _bot_stats(rows, "minute_1"))
     return minutes.select("bot", "queue", "eid", F.col("from").alias("bucket"), "hour", F.col("found").alias("minute"))

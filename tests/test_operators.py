@@ -318,7 +318,7 @@ def test_asof_against_a_scan_also_where_checkpoints_fall(spark):
     want = {(b, e, k): min((x for o, _, x, c in rows if o == b and x >= k and c >= e), default=None) for b, _, e, k in wanted}
     assert got == want and None in want.values() and len(set(want.values())) > 20
     asked = spark.createDataFrame(wanted, "bot string, queue string, y string, x string")
-    reached = points.first_reached(asked, spark.createDataFrame(rows, "bot string, queue string, place string, top string"), ["bot", "queue"], salts=2, size=7)
+    reached = points.first_reached(asked, spark.createDataFrame(rows, "bot string, queue string, place string, top string"), ["bot", "queue"], share=5, size=7)
     assert {(x.bot, x.y, x.x): x.found for x in reached.collect()} == want
 
 
@@ -346,7 +346,7 @@ def test_asof_of_a_bot_that_is_rewound_a_thousand_times(spark):
     scan = lambda b, e, k: min((x for o, _, x, c in rows if b and o == b and x and c and e and k and x >= k and c >= e), default=None)
     assert {(x.bot, x.eid, x.bucket): x.found for x in got} == {(b, e, k): scan(b, e, k) for b, _, e, k in wanted}
     assert len(got) == len(set(wanted)) and sum(x.found is None for x in got) < 300
-    few = points.first_reached(asked.withColumnsRenamed({"eid": "y", "bucket": "x"}), told.drop("block"), ["bot", "queue"], salts=3, size=50)
+    few = points.first_reached(asked.withColumnsRenamed({"eid": "y", "bucket": "x"}), told.drop("block"), ["bot", "queue"], share=3, size=50)
     assert {(x.bot, x.y, x.x): x.found for x in few.collect()} == {(x.bot, x.eid, x.bucket): x.found for x in got}
 
 
