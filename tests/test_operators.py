@@ -4,12 +4,14 @@ import inspect
 import random
 import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyweir.functions import eid, hashing, refs
 from tallyweir.operators import batching, bots, joins, lineage, points, process, read, state, stats
+from tallyweir.plans import stats_plans
 from tallyweir.sources import formats
 from tallyweir.streaming import streams
 from tallyweir.streaming.bots import BotRun, ManualCheckpoint, run_bot
@@ -179,6 +181,28 @@ def test_find_ids_and_entities(spark):
     assert sorted((r.k, len(r.kids)) for r in e.collect()) == [(1, 1), (2, 0)]
 
 
+def _shop(spark, path):
+    """Orders 1 to 4 with lines of any date or none, 5 and 6 without; customer 50 is in debt."""
+    shipped = [(1, "1995-01-02"), (2, "1998-06-30"), (3, None), (4, "2001-11-04"), (4, "2001-11-04")]
+    tables = {
+        "lineitem": spark.createDataFrame([(k, 10 * k + n, n, d) for n, (k, d) in enumerate(shipped)], "l_orderkey long, l_partkey long, l_linenumber int, d string").withColumn("l_shipdate", F.col("d").cast("timestamp_ntz")).drop("d"),
+        "orders": spark.createDataFrame([(k, 10 * k) for k in range(1, 7)], "o_orderkey long, o_custkey long"),
+        "customer": spark.createDataFrame([(10 * k, -600.0 if k == 5 else 0.0) for k in range(1, 7)], "c_custkey long, c_acctbal double"),
+        "part": spark.createDataFrame([(43, 7), (44, 8)], "p_partkey long, p_size int"),
+    }
+    con = duckdb.connect()
+    for name, rows in tables.items():
+        rows.write.parquet(f"{path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/{name}.parquet/*.parquet'")
+    return con
+
+
+def test_ids_of_lines_of_any_date(spark, tmp_path):
+    con = _shop(spark, tmp_path)
+    got = sorted(r.id for r in stats_plans.find_ids(spark, str(tmp_path)).collect())
+    assert got == [1, 2, 3, 4, 5] == sorted(k for (k,) in con.execute(stats_plans.SQL["find_ids"]).fetchall())
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a":1}\n\nnot json\n{"a":2}\n')
     assert sorted(r.a for r in formats.read_jsonl(spark, str(tmp_path), "a long", True).where("a is not null").collect()) == [1, 2]
