@@ -203,6 +203,14 @@ def test_ids_of_lines_of_any_date(spark, tmp_path):
     assert got == [1, 2, 3, 4, 5] == sorted(k for (k,) in con.execute(stats_plans.SQL["find_ids"]).fetchall())
 
 
+def test_entities_of_lines_of_any_date(spark, tmp_path):
+    con = _shop(spark, tmp_path)
+    got = sorted(tuple(r) for r in stats_plans.load_entities(spark, str(tmp_path)).collect())
+    parts = {1: "10", 2: "21", 3: "32", 4: "43,44", 5: ""}
+    assert got == [("entities", "order_entities", 1710000000000, f'{{"order":{k},"parts":[{p}]}}') for k, p in parts.items()]
+    assert got == sorted(con.execute(stats_plans.SQL["load_entities"]).fetchall())
+
+
 def test_json_lines(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a":1}\n\nnot json\n{"a":2}\n')
     assert sorted(r.a for r in formats.read_jsonl(spark, str(tmp_path), "a long", True).where("a is not null").collect()) == [1, 2]
