@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.eid import build_eid
 from ..operators.batching import number_batches
@@ -34,17 +34,36 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, skip_errors: bool =
 
 
 def write_csv(rows: DataFrame, path: str | None = None) -> str:
-    """Comma-separated; a null is \\N and line breaks inside texts go."""
+    """Comma-separated; a null is \\N and line breaks inside texts go. A text that says \\N itself gets one more backslash."""
     path = path or new_path(rows.sparkSession, "csv")
     kinds = dict(rows.dtypes)
-    flat = rows.select(*(F.coalesce(F.regexp_replace(c, "\n", "") if kinds[c] == "string" else F.col(c).cast("string"), F.lit("\\N")).alias(c) for c in rows.columns))
-    flat.write.csv(path, sep=",", escape='"', emptyValue="", lineSep="\n")
+
+    def flat(c: str) -> Column:
+        text = F.replace(F.col(c), F.lit("\n"), F.lit(""))
+        return F.when(text.contains("\\N"), F.regexp_replace(text, r"^([\x00-\x20]*\\*)(\\N[\x00-\x20]*)\z", r"$1\\$2")).otherwise(text)
+
+    rows.select(*(F.coalesce(flat(c) if kinds[c] == "string" else F.col(c).cast("string"), F.lit("\\N")).alias(c) for c in rows.columns)).write.csv(path, sep=",", escape='"', lineSep="\n")
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, sep: str = "|") -> DataFrame:
-    """CSV as the bus reads it: bars, backslash escapes, \\N for null, spaces around values and empty lines ignored."""
-    return spark.read.schema(schema).csv(path, sep=sep, escape='"' if sep == "," else "\\", nullValue="\\N", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, lineSep="\n")
+    """CSV as the bus reads it: bars, backslash escapes, \\N for null, spaces around values and empty lines ignored. With commas, what
+    write_csv wrote, where a value without characters is an empty text."""
+    spaces = {"ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True, "lineSep": "\n"}
+    if sep != ",":
+        return spark.read.schema(schema).csv(path, sep=sep, escape="\\", nullValue="\\N", **spaces)
+    fields = StructType.fromDDL(schema)
+    texts = StructType([StructField(f.name, StringType()) for f in fields])
+    # Spark makes an empty value null, too. No value holds a line break, so with that as nullValue its nulls are the empty values alone.
+    # Without charToEscapeQuoteEscaping a character 0 inside quotes is lost.
+    read = spark.read.schema(texts).csv(path, sep=sep, escape='"', charToEscapeQuoteEscaping='"', nullValue="\n", **spaces)
+
+    def value(f: StructField) -> Column:
+        said = F.coalesce(F.col(f.name), F.lit(""))
+        text = F.when(said.startswith("\\\\"), F.regexp_replace(said, r"^\\(\\+N)\z", "$1")).otherwise(said)
+        return F.when(said != "\\N", text if f.dataType == StringType() else said.try_cast(f.dataType)).alias(f.name)
+
+    return read.select(*map(value, fields))
 
 
 def _leaf(raw: Column, kind: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions import eid, hashing, refs
 from tallyweir.operators import batching, bots, joins, lineage, points, process, read, state, stats
-from tallyweir.plans import stats_plans
+from tallyweir.plans import format_plans, stats_plans
 from tallyweir.sources import formats
 from tallyweir.streaming import streams
 from tallyweir.streaming.bots import BotRun, ManualCheckpoint, run_bot
@@ -218,6 +218,19 @@ def test_json_lines(spark, tmp_path):
         formats.read_jsonl(spark, str(tmp_path), "a long").collect()
 
 
+def test_csv_of_any_text(spark, tmp_path):
+    text = [None, "", " ", "\n", "\x00", "\\N", " \\N\t", "\\\n\\N", "\\", '"', '""', ' "a" , b ', 'a\x00"b', "a\x00,b", "a\r\nb\r", "\u2028a\u00a0", "x" * 1_048_570 + '",' * 9]
+    label = [None, "", " ", "\\N", " a ", "a\nb", "\r", "\x00", 'a,"b', "+%25"]
+    texts = [(k, t, "en", "web", 499 if k % 2 else 500) for k, t in enumerate(text)]
+    labels = [(100 + k, "a", x, label[-k], None if k % 3 == 2 else 9) for k, x in enumerate(label)]
+    spark.createDataFrame(texts + labels, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in format_plans.csv_roundtrip(spark, str(tmp_path)).collect())
+    assert got == sorted(con.execute(format_plans.SQL["csv_roundtrip"]).fetchall())
+    assert [r[1] for r in got[:8]] == [None, "", "", "", "", "\\N", "\\N", "\\\\N"]
+
+
 def test_rules_skip_after_required(spark):
     d = spark.createDataFrame([(1, None), (2, "ab")], "k long, x string")
     rules = [("x", "required", "error", F.col("x").isNotNull()), ("x", "match", "warn", F.col("x").rlike("^z"))]
